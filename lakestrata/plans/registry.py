@@ -11,14 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators import bronze, diagnosis, gold, inventory, merge, silver
+from lakestrata.plans import daily
+from lakestrata.plans.tables import Lakehouse
 from lakestrata.schemas import telemetry_struct
-from lakestrata.session import configure
+from lakestrata.session import configure, scratch_path
 from lakestrata.sources import eventlog
-from lakestrata.sources.envelope import envelope_sql, read_envelope
+from lakestrata.sources.envelope import envelope, envelope_sql, read_envelope
+from lakestrata.streaming import ingest
 
 # Fixed parameters of the checked queries.
 AS_OF = "2024-01-31"
@@ -175,6 +181,54 @@ def q_severity_describe(spark, sf_dir):
     return gold.severity_describe(_severity(spark, sf_dir))
 
 
+def _scratch_lakehouse(spark: SparkSession, name: str) -> Lakehouse:
+    """A fresh lakehouse (own folder, own catalog database) for one run."""
+    root = scratch_path(spark, name)
+    return Lakehouse(spark, f"{root}/lake", database=f"lakestrata_{uuid.uuid4().hex[:12]}")
+
+
+SCRATCH_BUCKETS = 8
+
+
+def _devices() -> list[daily.DeviceType]:
+    return [daily.DeviceType(t, _telemetry(), next(iter(TEMPLATE))) for t in DEVICE_TYPES]
+
+
+def q_daily_gold_counts(spark, sf_dir):
+    """The whole daily batch (bronze, silver, gold per type) into fresh tables."""
+    configure(spark)
+    lh = _scratch_lakehouse(spark, "daily")
+    layout = daily.Layout(buckets=SCRATCH_BUCKETS)
+    as_of = dt.datetime.fromisoformat(LOAD_TS)
+    minutes = int((as_of - dt.datetime(2023, 12, 31)).total_seconds() // 60)
+    daily.run_daily(lh, read_envelope(spark, sf_dir), _devices(), minutes, as_of, LOAD_TS, layout)
+    return daily.gold_tables(lh, _devices(), layout)
+
+
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return envelope(stream)
+
+
+def q_stream_types(spark, sf_dir):
+    """Device types discovered by a streaming run over the whole log."""
+    configure(spark)
+    query, out = ingest.discover_types(_events_stream(spark, sf_dir))
+    query.awaitTermination()
+    return spark.read.parquet(out).select("TemplateName").distinct()
+
+
+def q_stream_bronze(spark, sf_dir):
+    """Micro-batch bronze ingest of the whole log (foreachBatch + insert-only merge)."""
+    configure(spark)
+    lh = _scratch_lakehouse(spark, "stream-bronze")
+    layout = daily.Layout(buckets=SCRATCH_BUCKETS)
+    query = ingest.start_bronze_ingest(_events_stream(spark, sf_dir), lh, layout=layout, load_ts=LOAD_TS)
+    query.awaitTermination()
+    return lh.read(layout.bronze_spec())
+
+
 QUERIES: dict[str, Query] = {
     "bronze_enrich": q_bronze_enrich,
     "bronze_bounded_read": q_bronze_bounded_read,
@@ -200,6 +254,9 @@ QUERIES: dict[str, Query] = {
     "gold_severity": q_gold_severity,
     "severity_means": q_severity_means,
     "severity_describe": q_severity_describe,
+    "daily_gold_counts": q_daily_gold_counts,
+    "stream_types": q_stream_types,
+    "stream_bronze": q_stream_bronze,
 }
 
 
@@ -355,6 +412,10 @@ ORACLES: dict[str, str] = {
     "severity_v2": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte())
     + "SELECT date, deviceid, valuetype, count, severity_moy FROM sev",
     "gold_severity": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte()) + "SELECT * FROM sev",
+    "daily_gold_counts": _gold_prefix().replace("readings AS (SELECT Device_Date AS date,", "readings AS (SELECT templateName AS device_type, Device_Date AS date,")
+    + _COUNTS.replace("SELECT date, deviceid,", "SELECT device_type, date, deviceid,").replace("GROUP BY date, deviceid", "GROUP BY device_type, date, deviceid"),
+    "stream_types": _with(_bronze_cte()) + "SELECT DISTINCT templateName AS TemplateName FROM bronze",
+    "stream_bronze": _with(_bronze_cte()) + "SELECT * FROM bronze",
     "severity_means": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte())
     + "SELECT date, deviceid, avg(count) AS avg_count, avg(severity) AS avg_severity, "
     "avg(severity_moy) AS avg_severity_moy FROM sev GROUP BY date, deviceid",
