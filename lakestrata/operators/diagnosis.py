@@ -2,8 +2,9 @@
 
 One pass over the flagged messages, no driver loop: the per-field test of
 ``silver.offending`` names every field whose raw value its declared type
-rejects.  Messages that fail before any field is read get a NULL field and
-a reason instead.  The result is distinct ``(TemplateName, DeviceId,
+rejects.  Messages that fail before any field is read (the body is not a JSON
+object, or it has no ``telemetry`` object) get a NULL field and a reason
+instead.  The result is distinct ``(TemplateName, DeviceId,
 FlaggedField, Reason)``; the distinct is a partial-then-final aggregation,
 so a device holding a large share of the flagged rows is combined map-side.
 """
@@ -30,8 +31,11 @@ def diagnose(parsed: DataFrame, telemetry: T.StructType) -> DataFrame:
     """Flagged rows of ``silver.parse`` -> distinct (TemplateName, DeviceId, FlaggedField, Reason)."""
     per_field = F.array(*[F.when(c, _finding(name, REASON_TYPE)) for name, c in offending(telemetry).items()])
     msg = F.col("JSONTemplate")
+    # A malformed body parses to a struct of NULLs, not to NULL: test that the
+    # body is a JSON object directly (only flagged rows reach this).
+    readable = F.json_object_keys(F.col("body")).isNotNull()
     findings = (
-        F.when(msg.isNull(), F.array(_finding(None, REASON_UNREADABLE)))
+        F.when(~readable, F.array(_finding(None, REASON_UNREADABLE)))
         .when(msg.getField("telemetry").isNull(), F.array(_finding(None, REASON_NO_TELEMETRY)))
         .otherwise(F.filter(per_field, lambda x: x.isNotNull()))
     )

@@ -68,6 +68,9 @@ class Lakehouse:
         if spec.bucket_by and spec.buckets:
             ddl += f" CLUSTERED BY ({_ident(spec.bucket_by)}) INTO {spec.buckets} BUCKETS"
         self.spark.sql(ddl + f" LOCATION '{self.path(spec.name)}'")
+        if spec.partition_by:
+            # The catalog tracks partitions: register the ones on storage.
+            self.spark.sql(f"ALTER TABLE {self.fq(spec.name)} RECOVER PARTITIONS")
         return True
 
     def list_tables(self) -> list[str]:

@@ -48,6 +48,12 @@ ACTIVE_DICTIONARY = {
 MAX_TEMPLATE_FIELDS = 50_000
 
 
+def _decoded_name(path_col):
+    """File name from a (URI-encoded) path; a literal '+' stays '+'."""
+    name = F.regexp_extract(path_col, r"([^/]+)$", 1)
+    return F.url_decode(F.regexp_replace(name, r"\+", "%2B"))
+
+
 def list_files(spark: SparkSession, directory: str, skip: Sequence[str] = (NOTE_FILE,),
                glob: str = "*") -> DataFrame:
     """Files under ``directory`` (recursively), minus the skipped names: ``(path, file)``."""
@@ -55,7 +61,7 @@ def list_files(spark: SparkSession, directory: str, skip: Sequence[str] = (NOTE_
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
         .load(directory).select("path")
     )
-    files = files.withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
+    files = files.withColumn("file", _decoded_name(F.col("path")))
     return files.filter(~F.col("file").isin(list(skip))) if skip else files
 
 
@@ -67,7 +73,7 @@ def read_entries(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """
     raw = spark.read.option("wholetext", "true").text(paths if isinstance(paths, str) else list(paths))
     parsed = raw.select(
-        F.col("_metadata.file_name").alias("file"),
+        _decoded_name(F.col("_metadata.file_path")).alias("file"),
         F.from_json("value", TEMPLATE_FILE_SCHEMA).alias("interfaces"),
     )
     ifaces = parsed.select("file", F.posexplode_outer("interfaces").alias("iface", "interface"))
