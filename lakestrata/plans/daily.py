@@ -75,6 +75,21 @@ class BatchResult:
     written: dict = field(default_factory=dict)
 
 
+def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "rowhash") -> None:
+    """Create the table from the batch when absent, then merge insert-only.
+
+    Same result as create-then-MERGE: after a create, every non-NULL key of
+    the batch is in the table, so the merge can only add the NULL-key rows
+    again - those are appended directly, without joining the batch against
+    itself.  Otherwise the anti-join of ``merge.new_rows`` runs against the
+    partitions of the table that the batch touches.
+    """
+    if lh.create_if_absent(spec, source):
+        lh.append(spec, source.filter(F.col(key).isNull()))
+    else:
+        lh.append(spec, merge.new_rows(source, lh.read(spec), key, spec.partition_by))
+
+
 def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=None,
                   layout: Layout | None = None) -> DataFrame:
     """Bounded event-log read -> bronze, insert-only on rowhash.
@@ -90,10 +105,7 @@ def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=Non
     scratch = layout.scratch_spec()
     lh.overwrite(scratch, batch)
     staged = lh.read(scratch)
-    spec = layout.bronze_spec()
-    lh.create_if_absent(spec, staged)
-    fresh = merge.new_rows(staged, lh.read(spec), "rowhash", bronze.PARTITION_COLS)
-    lh.append(spec, fresh)
+    merge_into(lh, layout.bronze_spec(), staged)
     return bronze.range_report(staged)
 
 
@@ -112,10 +124,7 @@ def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
         if diagnose and wrote_flags:
             lh.append(layout.flag_detail_spec(),
                       diagnosis.diagnose_as_detail(diagnosis.diagnose(parsed, device.telemetry)))
-        rows = silver.rows(parsed)
-        spec = layout.silver_spec(device.name)
-        lh.create_if_absent(spec, rows)
-        lh.append(spec, merge.new_rows(rows, lh.read(spec), "rowhash", spec.partition_by))
+        merge_into(lh, layout.silver_spec(device.name), silver.rows(parsed))
     finally:
         parsed.unpersist()
     return {"flags": wrote_flags}

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.sources.eventlog import spread
+
 # The reading rules, first match wins (FIXTURES.md section 6).
 #   event_id % 17 = 0  -> null
 #   event_id % 19 = 0  -> "bad" (a string)
@@ -70,7 +72,8 @@ def envelope(events: DataFrame, blank_type_every: int | None = None) -> DataFram
 
 
 def read_envelope(spark: SparkSession, sf_dir: str, blank_type_every: int | None = None) -> DataFrame:
-    return envelope(spark.read.parquet(f"{sf_dir}/events.parquet"), blank_type_every)
+    """The derived event log over ``<sf_dir>/events.parquet``, spread over all cores."""
+    return envelope(spread(spark.read.parquet(f"{sf_dir}/events.parquet")), blank_type_every)
 
 
 def envelope_sql(blank_type_every: int | None = None) -> str:

@@ -27,6 +27,22 @@ def _ts(value: TimeLike) -> Column:
     return F.lit(value).cast("timestamp")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a source with fewer splits than cores over all cores.
+
+    The per-row work after a scan (JSON parsing, hashing) runs in the scan's
+    tasks.  A source of a few unsplittable files would run it on a few
+    cores; a round-robin repartition of the raw rows fixes that.  A large
+    source already has at least as many splits as cores and is returned
+    unchanged (no shuffle).
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def with_string_body(df: DataFrame) -> DataFrame:
     """Body as text: binary bodies are cast, string bodies kept."""
     if isinstance(df.schema["body"].dataType, T.BinaryType):
@@ -49,7 +65,7 @@ def read_bounded(spark: SparkSession, path: str, start: TimeLike, end: TimeLike
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    return with_string_body(bounded(reader.load(path), start, end))
+    return with_string_body(spread(bounded(reader.load(path), start, end)))
 
 
 def rolling(df: DataFrame, minutes: int = 3000, as_of: TimeLike | None = None,

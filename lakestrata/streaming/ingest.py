@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakestrata.operators import bronze, merge
-from lakestrata.plans.daily import Layout
+from lakestrata.operators import bronze
+from lakestrata.plans.daily import Layout, merge_into
 from lakestrata.plans.tables import Lakehouse
 from lakestrata.session import scratch_path
 
@@ -61,10 +61,7 @@ def bronze_batch_writer(lh: Lakehouse, layout: Layout | None = None, load_ts=Non
     spec = layout.bronze_spec()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enriched = bronze.enrich(batch, load_ts)
-        if lh.create_if_absent(spec, enriched):
-            return
-        lh.append(spec, merge.new_rows(enriched, lh.read(spec), "rowhash", bronze.PARTITION_COLS))
+        merge_into(lh, spec, bronze.enrich(batch, load_ts))
 
     return write
 
