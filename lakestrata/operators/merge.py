@@ -15,7 +15,13 @@ Plan, for a target far larger than the batch:
   per map task, not one hot reducer.
 * NULL keys bypass the join entirely: they can never match, and routing
   them through the shuffle would send them all to one reducer.
-* AQE skew-join handling splits a hot key on the (streamed) source side.
+* Hot keys of the batch (a body repeated in a large share of the rows) are
+  split off: the batch's keys are counted (partial aggregation collapses
+  the copies map-side), keys with at least ``N / MAX_HOT_KEYS`` copies are
+  at most MAX_HOT_KEYS rows and are broadcast; their rows are resolved by
+  broadcast joins without a shuffle, the rest by the (shuffled or
+  bucketed) anti-join.  AQE skew handling cannot split a join whose other
+  side is a bucketed scan, hence the explicit split.
 """
 
 from __future__ import annotations
@@ -28,6 +34,10 @@ from pyspark.sql import functions as F
 # More distinct partitions than this in one batch: skip the pruning filter
 # (still exact, only reads more of the target).
 MAX_PRUNED_PARTITIONS = 5000
+# Upper bound on the number of hot keys split off (and broadcast).
+MAX_HOT_KEYS = 1000
+# Batches smaller than this are not worth the extra counting pass.
+MIN_ROWS_FOR_SKEW_SPLIT = 1_000_000
 
 
 def batch_partitions_filter(batch: DataFrame, partition_cols: Sequence[str]) -> Column | None:
@@ -52,9 +62,24 @@ def batch_partitions_filter(batch: DataFrame, partition_cols: Sequence[str]) ->
     return cond
 
 
+def hot_keys(keyed: DataFrame, key: str, rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Keys holding at least ``rows / max_keys`` of the ``rows`` batch rows.
+
+    At most ``max_keys`` keys can reach that share, so the result has a
+    proven bound and may be broadcast.
+    """
+    threshold = max(2, -(-rows // max_keys))
+    return keyed.groupBy(key).count().filter(F.col("count") >= threshold).select(key)
+
+
 def new_rows(source: DataFrame, target: DataFrame, key: str = "rowhash",
-             partition_cols: Sequence[str] | None = None, dedup_source: bool = False) -> DataFrame:
-    """Source rows to insert: key NULL, or key absent from the target."""
+             partition_cols: Sequence[str] | None = None, dedup_source: bool = False,
+             skew_split: bool | None = None) -> DataFrame:
+    """Source rows to insert: key NULL, or key absent from the target.
+
+    ``skew_split``: split off the batch's hot keys (default: for batches of
+    at least MIN_ROWS_FOR_SKEW_SPLIT rows; counting costs one extra pass).
+    """
     k = F.col(key)
     if partition_cols:
         prune = batch_partitions_filter(source, partition_cols)
@@ -64,5 +89,14 @@ def new_rows(source: DataFrame, target: DataFrame, key: str = "rowhash",
     keyed = source.filter(k.isNotNull())
     if dedup_source:
         keyed = keyed.dropDuplicates([key])
-    fresh = keyed.join(existing, on=key, how="left_anti")
-    return fresh.unionByName(source.filter(k.isNull()))
+    nulls = source.filter(k.isNull())
+    rows = keyed.count() if skew_split is not False else 0
+    if skew_split is None:
+        skew_split = rows >= MIN_ROWS_FOR_SKEW_SPLIT
+    if not skew_split or rows == 0:
+        return keyed.join(existing, on=key, how="left_anti").unionByName(nulls)
+    hot = F.broadcast(hot_keys(keyed, key, rows))
+    hot_existing = F.broadcast(existing.join(hot, on=key, how="left_semi"))
+    fresh_hot = keyed.join(hot, on=key, how="left_semi").join(hot_existing, on=key, how="left_anti")
+    fresh_cold = keyed.join(hot, on=key, how="left_anti").join(existing, on=key, how="left_anti")
+    return fresh_cold.unionByName(fresh_hot).unionByName(nulls)

@@ -43,16 +43,23 @@ def types_stream(stream: DataFrame) -> DataFrame:
 
 
 def discover_types(stream: DataFrame, sink_path: str | None = None, checkpoint: str | None = None,
-                   available_now: bool = True, processing_time: str | None = None) -> tuple[StreamingQuery, str]:
-    """Write the distinct device types of the stream to a Parquet sink."""
+                   available_now: bool = True, processing_time: str | None = None,
+                   sink: str = "parquet", query_name: str = "distinct_templates") -> tuple[StreamingQuery, str]:
+    """Write the distinct device types of the stream to a sink.
+
+    ``sink="parquet"`` (default) writes files under ``sink_path`` and returns
+    their path; ``sink="memory"`` keeps the rows in the in-memory table
+    ``query_name`` (the result is one row per type) and returns that name.
+    """
     spark = stream.sparkSession
     sink_path = sink_path or scratch_path(spark, "types")
     checkpoint = checkpoint or f"{sink_path}/_checkpoint"
-    writer = (
-        types_stream(stream).writeStream.format("parquet").outputMode("append")
-        .option("path", f"{sink_path}/data").option("checkpointLocation", checkpoint)
-    )
-    return _trigger(writer, available_now, processing_time).start(), f"{sink_path}/data"
+    writer = types_stream(stream).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if sink == "memory":
+        writer, where = writer.format("memory").queryName(query_name), query_name
+    else:
+        writer, where = writer.format(sink).option("path", f"{sink_path}/data"), f"{sink_path}/data"
+    return _trigger(writer, available_now, processing_time).start(), where
 
 
 def bronze_batch_writer(lh: Lakehouse, layout: Layout | None = None, load_ts=None) -> Callable[[DataFrame, int], None]:

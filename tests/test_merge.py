@@ -74,3 +74,22 @@ def test_tables_reattach_and_truncate(spark):
     assert lh2.size_in_bytes("t") is None or lh2.size_in_bytes("t") >= 0
     lh2.truncate(spec)
     assert lh2.read(spec).count() == 0
+
+
+def test_skew_split_equals_plain_merge(spark):
+    """A body copied in a third of the batch: the split merge equals the plain one."""
+    rows = [("hot", 2024, 1, i) for i in range(300)] + [(f"k{i}", 2024, 1, 1000 + i) for i in range(600)]
+    rows += [(None, None, None, 5000 + i) for i in range(100)]
+    source = spark.createDataFrame(rows, SCHEMA)
+    target = spark.createDataFrame([("k1", 2024, 1, 0), ("k2", 2024, 1, 0), ("other", 2024, 1, 0)], SCHEMA)
+    plain = merge.new_rows(source, target, "rowhash", ["yearDevice", "monthDevice"], skew_split=False)
+    split = merge.new_rows(source, target, "rowhash", ["yearDevice", "monthDevice"], skew_split=True)
+    assert sorted(r["v"] for r in split.collect()) == sorted(r["v"] for r in plain.collect())
+    assert split.filter(F.col("rowhash") == "hot").count() == 300
+    # the hot key already in the target: all its copies are dropped
+    target2 = target.unionByName(spark.createDataFrame([("hot", 2024, 1, 0)], SCHEMA))
+    split2 = merge.new_rows(source, target2, "rowhash", None, skew_split=True)
+    assert split2.filter(F.col("rowhash") == "hot").count() == 0
+    assert split2.count() == 598 + 100
+    hot = merge.hot_keys(source.filter(F.col("rowhash").isNotNull()), "rowhash", 900, max_keys=10)
+    assert [r["rowhash"] for r in hot.collect()] == ["hot"]
