@@ -19,10 +19,11 @@ from pyspark.sql import types as T
 
 from lakestrata.operators import bronze, diagnosis, gold, merge, silver
 from lakestrata.plans.tables import Lakehouse, TableSpec
-from lakestrata.session import checkpoint_root
 from lakestrata.sources import eventlog
 
 DEFAULT_BUCKETS = 64
+# More touched dates than this in one batch: rebuild the daily counts fully.
+MAX_TOUCHED_DATES = 5000
 
 
 @dataclass
@@ -57,6 +58,9 @@ class Layout:
     def severity_spec(self, device_type: str) -> TableSpec:
         return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}_Severity")
 
+    def daily_counts_spec(self, device_type: str) -> TableSpec:
+        return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}_daily", ("date",))
+
 
 @dataclass
 class DeviceType:
@@ -124,27 +128,48 @@ def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
         if diagnose and wrote_flags:
             lh.append(layout.flag_detail_spec(),
                       diagnosis.diagnose_as_detail(diagnosis.diagnose(parsed, device.telemetry)))
-        merge_into(lh, layout.silver_spec(device.name), silver.rows(parsed))
+        rows = silver.rows(parsed)
+        merge_into(lh, layout.silver_spec(device.name), rows)
+        dates = rows.select("Device_Date").distinct().limit(MAX_TOUCHED_DATES + 1).collect()
     finally:
         parsed.unpersist()
-    return {"flags": wrote_flags}
+    touched = None if len(dates) > MAX_TOUCHED_DATES else [r["Device_Date"] for r in dates]
+    return {"flags": wrote_flags, "dates": touched}
 
 
-def build_gold(lh: Lakehouse, device: DeviceType, as_of: str | dt.date | None = None,
-               layout: Layout | None = None) -> None:
-    """Silver -> gold counts and gold severity, both full overwrites.
+def _dates_filter(dates: list) -> F.Column:
+    known = [d for d in dates if d is not None]
+    cond = F.col("Device_Date").isin(known) if known else F.lit(False)
+    return cond | F.col("Device_Date").isNull() if None in dates else cond
 
-    One aggregation over silver feeds both tables; its (small) result is
-    checkpointed to the shared checkpoint folder so that both writes read
-    it without a second scan and survive a lost executor.
+
+def build_gold(lh: Lakehouse, device: DeviceType, as_of: str | dt.date | None = None,
+               layout: Layout | None = None, touched_dates: list | None = None) -> None:
+    """Silver -> daily counts -> gold counts and gold severity.
+
+    The daily counts (one row per device and day: total, anomaly-predicate
+    and value-class counts) are kept in a table partitioned by date.  With
+    ``touched_dates`` (the device dates of this run's silver batch) only those
+    dates are recomputed from silver - a partition-pruned read - and their
+    partitions replaced; any date whose silver rows changed is among them,
+    so the table stays exact.  Without them, or on the first run, it is
+    rebuilt from all of silver.  Gold counts and severity (which depends on
+    ``as_of``) are then projections of the small daily table, overwritten.
     """
     layout = layout or Layout()
     if device.gold_field is None:
         return
     as_of = as_of or dt.date.today()
-    checkpoint_root(lh.spark)
-    readings = gold.readings(lh.read(layout.silver_spec(device.name)), device.gold_field)
-    daily = gold.daily_counts(readings, device.large_threshold).checkpoint(eager=True)
+    spec = layout.daily_counts_spec(device.name)
+    silver_df = lh.read(layout.silver_spec(device.name))
+    if touched_dates is None or not lh.exists(spec):
+        daily = gold.daily_counts(gold.readings(silver_df, device.gold_field), device.large_threshold)
+        lh.overwrite(spec, daily)
+    elif touched_dates:
+        part = silver_df.filter(_dates_filter(touched_dates))
+        daily = gold.daily_counts(gold.readings(part, device.gold_field), device.large_threshold)
+        lh.replace_partitions(spec, daily)
+    daily = lh.read(spec)
     lh.overwrite(layout.gold_spec(device.name), gold.counts_from_daily(daily))
     sev = gold.severity(gold.class_rows_from_daily(daily), as_of, device.rows_per_day)
     lh.overwrite(layout.severity_spec(device.name), sev)
@@ -169,7 +194,7 @@ def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType
     try:
         for device in devices:
             written[device.name] = refine_silver(lh, window, device, layout, diagnose)
-            build_gold(lh, device, as_of.date(), layout)
+            build_gold(lh, device, as_of.date(), layout, written[device.name]["dates"])
     finally:
         window.unpersist()
     return BatchResult(report, written)

@@ -130,6 +130,23 @@ class Lakehouse:
         self.append(spec, df)
         return True
 
+    def replace_partitions(self, spec: TableSpec, df: DataFrame) -> None:
+        """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
+        if not self.exists(spec):
+            self.create(spec, df)
+            return
+        columns = self.spark.table(self.fq(spec.name)).columns
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, "dynamic")  # insertInto ignores the per-write option
+        try:
+            self._bucketed(spec, df).select(*columns).write.insertInto(self.fq(spec.name), overwrite=True)
+        finally:
+            if before is None:
+                self.spark.conf.unset(key)
+            else:
+                self.spark.conf.set(key, before)
+
     def overwrite(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace the table's content (the plan must not read this table)."""
         self.create(spec, df, mode="overwrite")
