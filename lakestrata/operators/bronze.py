@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.functions.expressions import minutes_between
+from lakestrata.functions.expressions import evaluate_once, minutes_between
 from lakestrata.schemas import BRONZE_BODY_SCHEMA
 from lakestrata.sources.eventlog import with_string_body
 
@@ -38,7 +38,10 @@ def enrich(events: DataFrame, load_ts: str | dt.datetime | Column | None = None)
     default now).  Source columns pass through unchanged.
     """
     df = with_string_body(events)
-    parsed = F.from_json(F.col("body"), BRONZE_BODY_SCHEMA)
+    # Parsed once per row; a later filter on a parsed field (the device type)
+    # stays above the parse instead of parsing the body a second time.
+    df = evaluate_once(df, {"_envelope": F.from_json(F.col("body"), BRONZE_BODY_SCHEMA)})
+    parsed = F.col("_envelope")
     device_time = parsed.getField("enqueuedTime")
     added = {
         "templateId": parsed.getField("templateId"),
@@ -50,8 +53,8 @@ def enrich(events: DataFrame, load_ts: str | dt.datetime | Column | None = None)
         "rowhash": F.sha2(F.col("body"), 256),
         "loadDatetime": _load_ts(load_ts),
     }
-    keep = [F.col(c) for c in df.columns if c.lower() not in {a.lower() for a in added}]
-    # One select: the parse is a common subexpression of the four fields.
+    drop = {a.lower() for a in added} | {"_envelope"}
+    keep = [F.col(c) for c in df.columns if c.lower() not in drop]
     return df.select(*keep, *[e.alias(n) for n, e in added.items()])
 
 
