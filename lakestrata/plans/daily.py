@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -18,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.operators import bronze, diagnosis, gold, merge, silver
-from lakestrata.plans.tables import Lakehouse, TableSpec
+from lakestrata.plans.tables import Lakehouse, TableSpec, dynamic_partition_overwrite
 from lakestrata.sources import eventlog
 
 DEFAULT_BUCKETS = 64
+# Device types processed concurrently by the daily batch.
+DEFAULT_PARALLEL_TYPES = 4
 # More touched dates than this in one batch: rebuild the daily counts fully.
 MAX_TOUCHED_DATES = 5000
 
@@ -177,11 +180,14 @@ def build_gold(lh: Lakehouse, device: DeviceType, as_of: str | dt.date | None =
 
 def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType] | list[DeviceType],
               minutes: int = 3000, as_of: dt.datetime | None = None, load_ts=None,
-              layout: Layout | None = None, diagnose: bool = False) -> BatchResult:
+              layout: Layout | None = None, diagnose: bool = False,
+              parallel_types: int = DEFAULT_PARALLEL_TYPES) -> BatchResult:
     """K7: ingest the last ``minutes`` up to ``as_of``, then silver and gold per type.
 
     Bronze is read once for all types: filtered to the window and the known
-    types, persisted, and parsed per type from there.
+    types, persisted, and parsed per type from there.  The per-type jobs are
+    independent (own tables) and are submitted from up to
+    ``parallel_types`` threads, so small types do not leave the cluster idle.
     """
     layout = layout or Layout()
     devices = list(devices.values()) if isinstance(devices, Mapping) else list(devices)
@@ -190,11 +196,18 @@ def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType
     report = ingest_bronze(lh, events, start, as_of, load_ts, layout)
     window = eventlog.incremental(lh.read(layout.bronze_spec()), start)
     window = silver.select_types(window, [d.name for d in devices]).persist(StorageLevel.MEMORY_AND_DISK)
-    written = {}
+
+    def one_type(device: DeviceType) -> dict:
+        done = refine_silver(lh, window, device, layout, diagnose)
+        build_gold(lh, device, as_of.date(), layout, done["dates"])
+        return done
+
     try:
-        for device in devices:
-            written[device.name] = refine_silver(lh, window, device, layout, diagnose)
-            build_gold(lh, device, as_of.date(), layout, written[device.name]["dates"])
+        with dynamic_partition_overwrite(lh.spark):
+            workers = max(1, min(parallel_types, len(devices)))
+            with ThreadPoolExecutor(max_workers=workers) as pool:
+                futures = {d.name: pool.submit(one_type, d) for d in devices}
+                written = {name: f.result() for name, f in futures.items()}
     finally:
         window.unpersist()
     return BatchResult(report, written)

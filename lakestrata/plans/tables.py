@@ -14,6 +14,9 @@ whose folder holds data but which the (session-scoped) catalog lacks.
 from __future__ import annotations
 
 import re
+import threading
+from collections import defaultdict
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -29,6 +32,30 @@ class TableSpec:
     buckets: int = 0
 
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def dynamic_partition_overwrite(spark: SparkSession):
+    """Overwrites replace only the partitions written (restored afterwards).
+
+    Leaves the setting alone when it is already dynamic, so that jobs run
+    from several threads inside one such block never toggle it.
+    """
+    before = spark.conf.get(_OVERWRITE_MODE, None)
+    if before is not None and before.lower() == "dynamic":
+        yield
+        return
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_OVERWRITE_MODE)
+        else:
+            spark.conf.set(_OVERWRITE_MODE, before)
+
+
 def _ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -40,8 +67,17 @@ class Lakehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
+        # Writes to one table from several driver threads are serialised
+        # (check-then-create, and the committer's temporary folder per path);
+        # writes to different tables run concurrently.
+        self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
+        self._locks_guard = threading.Lock()
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}")
 
+    def _lock(self, name: str) -> threading.RLock:
+        with self._locks_guard:
+            return self._locks[name]
+
     # -- naming -------------------------------------------------------------
     def fq(self, name: str) -> str:
         return f"{_ident(self.database)}.{_ident(name)}"
@@ -106,22 +142,25 @@ class Lakehouse:
             writer = writer.partitionBy(*spec.partition_by)
         if spec.bucket_by and spec.buckets:
             writer = writer.bucketBy(spec.buckets, spec.bucket_by).sortBy(spec.bucket_by)
-        writer.saveAsTable(self.fq(spec.name))
+        with self._lock(spec.name):
+            writer.saveAsTable(self.fq(spec.name))
 
     def create_if_absent(self, spec: TableSpec, df: DataFrame) -> bool:
         """Create the table from ``df`` unless it exists; True when created."""
-        if self.exists(spec):
-            return False
-        self.create(spec, df)
-        return True
+        with self._lock(spec.name):
+            if self.exists(spec):
+                return False
+            self.create(spec, df)
+            return True
 
     def append(self, spec: TableSpec, df: DataFrame) -> None:
         """Append by column name (creating the table when absent)."""
-        if not self.exists(spec):
-            self.create(spec, df)
-            return
-        columns = self.spark.table(self.fq(spec.name)).columns
-        self._bucketed(spec, df).select(*columns).write.insertInto(self.fq(spec.name))
+        with self._lock(spec.name):
+            if not self.exists(spec):
+                self.create(spec, df)
+                return
+            columns = self.spark.table(self.fq(spec.name)).columns
+            self._bucketed(spec, df).select(*columns).write.insertInto(self.fq(spec.name))
 
     def append_if_rows(self, spec: TableSpec, df: DataFrame) -> bool:
         """Append only a non-empty batch; True when something was written."""
@@ -132,20 +171,13 @@ class Lakehouse:
 
     def replace_partitions(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
-        if not self.exists(spec):
-            self.create(spec, df)
-            return
-        columns = self.spark.table(self.fq(spec.name)).columns
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key, None)
-        self.spark.conf.set(key, "dynamic")  # insertInto ignores the per-write option
-        try:
-            self._bucketed(spec, df).select(*columns).write.insertInto(self.fq(spec.name), overwrite=True)
-        finally:
-            if before is None:
-                self.spark.conf.unset(key)
-            else:
-                self.spark.conf.set(key, before)
+        with self._lock(spec.name):
+            if not self.exists(spec):
+                self.create(spec, df)
+                return
+            columns = self.spark.table(self.fq(spec.name)).columns
+            with dynamic_partition_overwrite(self.spark):  # insertInto ignores the per-write option
+                self._bucketed(spec, df).select(*columns).write.insertInto(self.fq(spec.name), overwrite=True)
 
     def overwrite(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace the table's content (the plan must not read this table)."""
