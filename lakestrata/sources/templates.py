@@ -46,6 +46,8 @@ ACTIVE_DICTIONARY = {
 # A template with more fields than this is refused (its struct is built on
 # the driver).
 MAX_TEMPLATE_FIELDS = 50_000
+# The device-type dictionary is broadcast; it may not exceed this many entries.
+MAX_DICTIONARY_ENTRIES = 100_000
 
 
 def _decoded_name(path_col):
@@ -106,7 +108,12 @@ def diagnostics(entries: DataFrame) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
-    """Device type -> template file name, as a small DataFrame ``(device_type, file)``."""
+    """Device type -> template file name, as a small DataFrame ``(device_type, file)``.
+
+    It is the broadcast side of :func:`flatten`, so its size is checked.
+    """
+    if len(mapping) > MAX_DICTIONARY_ENTRIES:
+        raise TemplateError(f"{len(mapping)} dictionary entries exceed the broadcast bound {MAX_DICTIONARY_ENTRIES}")
     schema = T.StructType(
         [T.StructField("device_type", T.StringType(), False), T.StructField("file", T.StringType(), False)]
     )

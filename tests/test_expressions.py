@@ -97,3 +97,28 @@ def test_evaluate_once_keeps_filter_above_parse(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate")
     assert out.count() == 1
+
+
+def py_sev0(valuetype, ts, n):
+    w = {"normal": 0.0, "large": 0.5, "negative": 0.7, "null": 0.3, "zero": 0.3}
+    score = 0
+    score += 1 * n
+    score += w.get(valuetype, 0.0)
+    score += 1 * (AS_OF - ts.date()).days
+    score += 1 * (ts.hour - 12) ** 2
+    score += 0.7 * n
+    return float(np.float32(score))
+
+
+def test_severity_v0_time_of_day(spark):
+    rows = [(dt.datetime(2024, 1, 20, h, 30), vt, n) for h in (0, 7, 12, 23)
+            for vt in ("normal", "large", "null") for n in (1, 30)]
+    df = spark.createDataFrame(rows, "ts timestamp, valuetype string, count bigint")
+    out = df.select("ts", "valuetype", "count", X.severity_v0("count", "valuetype", "ts", AS_OF).alias("s")).collect()
+    for r in out:
+        assert r["s"] == py_sev0(r["valuetype"], r["ts"], r["count"]), r
+
+
+def test_field_text():
+    from lakestrata.schemas import field_text
+    assert field_text(T.StructField("X", T.DoubleType(), True)) == "StructField('X', DoubleType(), True)"
