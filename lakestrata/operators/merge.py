@@ -100,3 +100,20 @@ def new_rows(source: DataFrame, target: DataFrame, key: str = "rowhash",
     fresh_hot = keyed.join(hot, on=key, how="left_semi").join(hot_existing, on=key, how="left_anti")
     fresh_cold = keyed.join(hot, on=key, how="left_anti").join(existing, on=key, how="left_anti")
     return fresh_cold.unionByName(fresh_hot).unionByName(nulls)
+
+
+def insert_new_sql(spark, target_table: str, source: DataFrame, key: str = "rowhash",
+                   view: str = "source") -> None:
+    """The SQL form over a temp view: ``INSERT INTO target SELECT new source rows``.
+
+    ``MERGE ... WHEN NOT MATCHED THEN INSERT`` needs a transactional table
+    format; on Parquet tables the same statement is an ``INSERT`` of the
+    source rows that have no matching key (a NULL key never matches).
+    Columns are matched by name.
+    """
+    source.createOrReplaceTempView(view)
+    columns = ", ".join(f"s.`{c}`" for c in spark.table(target_table).columns)
+    spark.sql(
+        f"INSERT INTO {target_table} SELECT {columns} FROM {view} s "
+        f"LEFT ANTI JOIN (SELECT DISTINCT `{key}` FROM {target_table}) t ON s.`{key}` = t.`{key}`"
+    )

@@ -104,3 +104,29 @@ def test_template_rejects_bad_types():
     with pytest.raises(TemplateError):
         telemetry_struct({"rowhash": "double"})
     assert [f.name for f in telemetry_struct({"b": "float", "a": "integer"}).fields] == ["a", "b"]
+
+
+def test_diagnosis_equals_per_field_strict_parses(spark, parsed):
+    """Q2 parity: field f is named iff a strict parse with only f in the template fails."""
+    from pyspark.sql import types as T
+    key = "spark.sql.json.enablePartialResults"
+    ours = {}
+    for r in parsed.select("case").collect():
+        one = diagnosis.diagnose(parsed.filter(F.col("case") == r["case"]), TELE).collect()
+        ours[r["case"]] = {x["FlaggedField"] for x in one if x["Reason"] == "type mismatch"}
+    spark.conf.set(key, "false")
+    try:
+        for field in TELE.fields:
+            only = T.StructType([field])
+            rows = parsed.select(
+                "case",
+                F.from_json("body", message_schema(only)).getField("telemetry").isNull().alias("bad_alone"),
+                F.from_json("body", message_schema(T.StructType([]))).getField("telemetry").isNull().alias("bad_empty"),
+            ).collect()
+            for r in rows:
+                if r["case"] == "duplicate key bad then good":
+                    continue
+                strict_blames = bool(r["bad_alone"]) and not bool(r["bad_empty"])
+                assert strict_blames == (field.name in ours[r["case"]]), (r["case"], field.name)
+    finally:
+        spark.conf.set(key, "true")
