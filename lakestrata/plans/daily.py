@@ -22,7 +22,10 @@ from lakestrata.operators import bronze, diagnosis, gold, merge, silver
 from lakestrata.plans.tables import Lakehouse, TableSpec, dynamic_partition_overwrite
 from lakestrata.sources import eventlog
 
-DEFAULT_BUCKETS = 64
+# Bucket count of the history tables, fixed when a table is created.  Size
+# it so that one day's batch gives buckets of a few hundred MB: about 270 GB
+# of bronze a day (100 TB a year) -> 256-1024 buckets.
+DEFAULT_BUCKETS = 256
 # Device types processed concurrently by the daily batch.
 DEFAULT_PARALLEL_TYPES = 4
 # More touched dates than this in one batch: rebuild the daily counts fully.
@@ -34,6 +37,7 @@ class Layout:
     """Table names and physical layout of one lakehouse."""
 
     buckets: int = DEFAULT_BUCKETS
+    silver_buckets: int | None = None  # default: same as bronze
     bronze: str = "bronze"
     scratch: str = "mergetemptable"
     silver_prefix: str = "silver"
@@ -47,7 +51,7 @@ class Layout:
 
     def silver_spec(self, device_type: str) -> TableSpec:
         name = f"{self.silver_prefix}_{device_type.replace(' ', '')}"
-        return TableSpec(name, ("Device_Date",), "rowhash", self.buckets)
+        return TableSpec(name, ("Device_Date",), "rowhash", self.silver_buckets or self.buckets)
 
     def flags_spec(self) -> TableSpec:
         return TableSpec(f"{self.silver_prefix}_FLAGS")

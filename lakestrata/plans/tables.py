@@ -122,17 +122,26 @@ class Lakehouse:
 
     # -- writes -------------------------------------------------------------
     def _bucketed(self, spec: TableSpec, df: DataFrame) -> DataFrame:
-        """Group rows by bucket before a bucketed write.
+        """Cluster rows for the table's layout before a write.
 
-        Range-partitioning on (bucket id, input partition) gives each task
-        one or two buckets, so each task writes few files; and because the
-        range bounds are sampled from the data, a bucket holding a large
+        Bucketed tables: range-partition on (bucket id, input partition).
+        Each task then holds one or a few buckets and writes few files, the
+        write uses at least as many tasks as the cluster has cores, and since
+        the range bounds are sampled from the data, a bucket holding a large
         share of the rows (one body copied many times) is split across
         several tasks instead of landing in one.
+
+        Partitioned, unbucketed tables: the same on (partition values, input
+        partition), so each partition value is written by few tasks (few
+        files) and a hot value is still split.
         """
+        parallelism = self.spark.sparkContext.defaultParallelism
         if spec.bucket_by and spec.buckets:
             bucket = F.pmod(F.hash(F.col(spec.bucket_by)), F.lit(spec.buckets))
-            return df.repartitionByRange(spec.buckets, bucket, F.spark_partition_id())
+            return df.repartitionByRange(max(spec.buckets, parallelism), bucket, F.spark_partition_id())
+        if spec.partition_by:
+            cols = [F.col(c) for c in spec.partition_by]
+            return df.repartitionByRange(parallelism, *cols, F.spark_partition_id())
         return df
 
     def create(self, spec: TableSpec, df: DataFrame, mode: str = "overwrite") -> None:

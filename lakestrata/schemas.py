@@ -31,7 +31,7 @@ BRONZE_BODY_SCHEMA = T.StructType(
     ]
 )
 
-# Names of the silver columns that are not telemetry fields.  A template
+# The silver columns that are not telemetry fields.  A template
 # field with one of these names would make the wide projection ambiguous.
 SILVER_FIXED_COLUMNS = (
     "Eventhub_enqueuedTime",

@@ -127,7 +127,7 @@ def test_insert_new_sql_matches_dataframe_form(spark):
 
 
 def test_binary_body_event_log(spark):
-    """A log with a binary body (as event hubs deliver it) reads like the text form."""
+    """A log with a binary body (as a log connector delivers it) reads like the text form."""
     from lakestrata.operators import bronze
     from lakestrata.sources import eventlog
     path = scratch_path(spark, "test-binary-log")
