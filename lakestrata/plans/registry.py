@@ -181,6 +181,48 @@ def q_severity_describe(spark, sf_dir):
     return gold.severity_describe(_severity(spark, sf_dir))
 
 
+def _orders_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Natural readings: order totals per customer and order date (many "large")."""
+    configure(spark)
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return o.select(
+        F.to_date("o_orderdate").alias("date"),
+        F.col("o_custkey").cast("string").alias("deviceid"),
+        F.col("o_totalprice").alias("runninghour"),
+    )
+
+
+def _customer_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Natural readings without a date: account balances per market segment.
+
+    Every group has a NULL date key, so its anomaly counts are NULL.
+    """
+    configure(spark)
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return c.select(
+        F.lit(None).cast("date").alias("date"),
+        F.col("c_mktsegment").alias("deviceid"),
+        F.col("c_acctbal").alias("runninghour"),
+    )
+
+
+def q_gold_counts_orders(spark, sf_dir):
+    return gold.counts(_orders_readings(spark, sf_dir))
+
+
+def q_gold_severity_orders(spark, sf_dir):
+    daily_df = gold.daily_counts(_orders_readings(spark, sf_dir))
+    return gold.severity(gold.class_rows_from_daily(daily_df), AS_OF)
+
+
+def q_gold_counts_customer(spark, sf_dir):
+    return gold.counts(_customer_readings(spark, sf_dir))
+
+
+def q_value_class_counts_customer(spark, sf_dir):
+    return gold.class_rows(_customer_readings(spark, sf_dir))
+
+
 def _scratch_lakehouse(spark: SparkSession, name: str) -> Lakehouse:
     """A fresh lakehouse (own folder, own catalog database) for one run."""
     root = scratch_path(spark, name)
@@ -254,6 +296,10 @@ QUERIES: dict[str, Query] = {
     "gold_severity": q_gold_severity,
     "severity_means": q_severity_means,
     "severity_describe": q_severity_describe,
+    "gold_counts_orders": q_gold_counts_orders,
+    "gold_severity_orders": q_gold_severity_orders,
+    "gold_counts_customer": q_gold_counts_customer,
+    "value_class_counts_customer": q_value_class_counts_customer,
     "daily_gold_counts": q_daily_gold_counts,
     "stream_types": q_stream_types,
     "stream_bronze": q_stream_bronze,
@@ -346,6 +392,14 @@ sev AS (
   FROM classes)"""
 
 
+_ORDERS_READINGS = """readings AS (
+  SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_custkey AS VARCHAR) AS deviceid, o_totalprice AS runninghour
+  FROM orders)"""
+
+_CUSTOMER_READINGS = """readings AS (
+  SELECT CAST(NULL AS DATE) AS date, c_mktsegment AS deviceid, c_acctbal AS runninghour FROM customer)"""
+
+
 def _gold_prefix() -> str:
     return _with(_bronze_cte(), _parsed_cte(), _silver_cte())
 
@@ -414,6 +468,11 @@ ORACLES: dict[str, str] = {
     "gold_severity": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte()) + "SELECT * FROM sev",
     "daily_gold_counts": _gold_prefix().replace("readings AS (SELECT Device_Date AS date,", "readings AS (SELECT templateName AS device_type, Device_Date AS date,")
     + _COUNTS.replace("SELECT date, deviceid,", "SELECT device_type, date, deviceid,").replace("GROUP BY date, deviceid", "GROUP BY device_type, date, deviceid"),
+    "gold_counts_orders": _with(_ORDERS_READINGS) + _COUNTS,
+    "gold_severity_orders": _with(_ORDERS_READINGS, _severity_cte()) + "SELECT * FROM sev",
+    "gold_counts_customer": _with(_CUSTOMER_READINGS) + _COUNTS,
+    "value_class_counts_customer": _with(_CUSTOMER_READINGS)
+    + f"SELECT date, deviceid, {_CLASS} AS valuetype, count(*) AS count FROM readings GROUP BY 1, 2, 3",
     "stream_types": _with(_bronze_cte()) + "SELECT DISTINCT templateName AS TemplateName FROM bronze",
     "stream_bronze": _with(_bronze_cte()) + "SELECT * FROM bronze",
     "severity_means": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte())

@@ -84,7 +84,10 @@ def telemetry_struct(fields: Mapping[str, str] | Iterable[tuple[str, str]]) -> T
 
 
 def message_schema(telemetry: T.StructType) -> T.StructType:
-    """The full typed message: fixed envelope plus the given telemetry struct."""
+    """The full typed message: fixed envelope plus the given telemetry struct.
+
+    The envelope field names and types are fixed values of the message format.
+    """
     return T.StructType(
         [
             T.StructField("applicationId", T.StringType(), True),
