@@ -40,17 +40,7 @@ MAX_HOT_KEYS = 1000
 MIN_ROWS_FOR_SKEW_SPLIT = 1_000_000
 
 
-def batch_partitions_filter(batch: DataFrame, partition_cols: Sequence[str]) -> Column | None:
-    """A filter selecting the target partitions present in ``batch``.
-
-    Collects the batch's distinct partition values: a handful of rows (one
-    per month touched), bounded by MAX_PRUNED_PARTITIONS; beyond that the
-    pruning is skipped.
-    """
-    cols = list(partition_cols)
-    values = batch.select(*cols).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
-    if len(values) > MAX_PRUNED_PARTITIONS or not values:
-        return None if values else F.lit(False)
+def _partition_filter(values: list, cols: list[str]) -> Column:
     cond = None
     for row in values:
         clause = None
@@ -59,7 +49,28 @@ def batch_partitions_filter(batch: DataFrame, partition_cols: Sequence[str]) ->
             term = F.col(c).isNull() if v is None else (F.col(c) == F.lit(v))
             clause = term if clause is None else clause & term
         cond = clause if cond is None else cond | clause
-    return cond
+    return cond if cond is not None else F.lit(False)
+
+
+def batch_stats(batch: DataFrame, key: str, partition_cols: Sequence[str] | None) -> tuple[Column | None, int | None]:
+    """One job over the batch: (filter for its target partitions, its non-NULL key count).
+
+    The partition values are a handful of rows (one per month touched),
+    bounded by MAX_PRUNED_PARTITIONS; beyond that the pruning is skipped
+    (filter None) and the count is left to the caller (None).
+    """
+    cols = list(partition_cols or [])
+    if not cols:
+        return None, batch.agg(F.count(key).alias("_n")).first()["_n"]
+    stats = batch.groupBy(*cols).agg(F.count(key).alias("_n")).limit(MAX_PRUNED_PARTITIONS + 1).collect()
+    if len(stats) > MAX_PRUNED_PARTITIONS:
+        return None, None
+    return _partition_filter(stats, cols), sum(r["_n"] for r in stats)
+
+
+def batch_partitions_filter(batch: DataFrame, partition_cols: Sequence[str]) -> Column | None:
+    """A filter selecting the target partitions present in ``batch`` (None: too many)."""
+    return batch_stats(batch, batch.columns[0], partition_cols)[0]
 
 
 def hot_keys(keyed: DataFrame, key: str, rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
@@ -81,16 +92,16 @@ def new_rows(source: DataFrame, target: DataFrame, key: str = "rowhash",
     at least MIN_ROWS_FOR_SKEW_SPLIT rows; counting costs one extra pass).
     """
     k = F.col(key)
-    if partition_cols:
-        prune = batch_partitions_filter(source, partition_cols)
-        if prune is not None:
-            target = target.filter(prune)
+    prune, rows = batch_stats(source, key, partition_cols)
+    if prune is not None:
+        target = target.filter(prune)
     existing = target.select(key).filter(k.isNotNull()).distinct()
     keyed = source.filter(k.isNotNull())
     if dedup_source:
         keyed = keyed.dropDuplicates([key])
     nulls = source.filter(k.isNull())
-    rows = keyed.count() if skew_split is not False else 0
+    if skew_split is not False and (rows is None or dedup_source):
+        rows = keyed.count()
     if skew_split is None:
         skew_split = rows >= MIN_ROWS_FOR_SKEW_SPLIT
     if not skew_split or rows == 0:

@@ -96,7 +96,7 @@ def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "ro
     partitions of the table that the batch touches.
     """
     if lh.create_if_absent(spec, source):
-        lh.append(spec, source.filter(F.col(key).isNull()))
+        lh.append_if_rows(spec, source.filter(F.col(key).isNull()))
     else:
         lh.append(spec, merge.new_rows(source, lh.read(spec), key, spec.partition_by))
 
