@@ -120,6 +120,10 @@ class Lakehouse:
             raise AnalysisException(f"table {spec.name} does not exist")  # type: ignore[call-arg]
         return self.spark.table(self.fq(spec.name))
 
+    def preview(self, spec: TableSpec | str, n: int = 100) -> DataFrame:
+        """The first ``n`` rows of a table, in no particular order (a preview)."""
+        return self.read(spec).limit(n)
+
     # -- writes -------------------------------------------------------------
     def _bucketed(self, spec: TableSpec, df: DataFrame) -> DataFrame:
         """Cluster rows for the table's layout before a write.
