@@ -86,15 +86,20 @@ class BatchResult:
     written: dict = field(default_factory=dict)
 
 
-def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "rowhash") -> None:
+def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "rowhash",
+               dedup_source: bool = False) -> None:
     """Create the table from the batch when absent, then merge insert-only.
 
     Same result as create-then-MERGE: after a create, every non-NULL key of
     the batch is in the table, so the merge can only add the NULL-key rows
     again - those are appended directly, without joining the batch against
     itself.  Otherwise the anti-join of ``merge.new_rows`` runs against the
-    partitions of the table that the batch touches.
+    partitions of the table that the batch touches.  ``dedup_source`` keeps
+    one row per key of the batch (by default every copy is inserted).
     """
+    if dedup_source:
+        source = source.filter(F.col(key).isNull()).unionByName(
+            source.filter(F.col(key).isNotNull()).dropDuplicates([key]))
     if lh.create_if_absent(spec, source):
         lh.append_if_rows(spec, source.filter(F.col(key).isNull()))
     else:
@@ -102,7 +107,7 @@ def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "ro
 
 
 def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=None,
-                  layout: Layout | None = None) -> DataFrame:
+                  layout: Layout | None = None, dedup_source: bool = False) -> DataFrame:
     """Bounded event-log read -> bronze, insert-only on rowhash.
 
     The enriched batch is staged once to the scratch table (the log is read
@@ -116,22 +121,32 @@ def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=Non
     scratch = layout.scratch_spec()
     lh.overwrite(scratch, batch)
     staged = lh.read(scratch)
-    merge_into(lh, layout.bronze_spec(), staged)
+    merge_into(lh, layout.bronze_spec(), staged, dedup_source=dedup_source)
     return bronze.range_report(staged)
 
 
 def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
-                  layout: Layout | None = None, diagnose: bool = False) -> dict:
+                  layout: Layout | None = None, diagnose: bool = False, dedup_flags: bool = False) -> dict:
     """Bronze rows (already windowed) -> flags (appended) + silver (merged).
 
     The parse is persisted once and read by the flags, the silver rows and
-    (optionally) the field diagnosis.
+    (optionally) the field diagnosis.  Flags are appended on every run, so
+    overlapping windows repeat a ``(type, device, load date)``;
+    ``dedup_flags`` appends only triples the flags table lacks.
     """
     layout = layout or Layout()
     parsed = silver.parse(silver.select_types(bronze_window, device.name), device.telemetry)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        wrote_flags = lh.append_if_rows(layout.flags_spec(), silver.flags(parsed))
+        flags = silver.flags(parsed)
+        if dedup_flags and lh.exists(layout.flags_spec()):
+            seen = lh.read(layout.flags_spec())
+            same = [flags[c].eqNullSafe(seen[c]) for c in flags.columns]
+            cond = same[0]
+            for c in same[1:]:
+                cond = cond & c
+            flags = flags.join(seen, cond, "left_anti")
+        wrote_flags = lh.append_if_rows(layout.flags_spec(), flags)
         if diagnose and wrote_flags:
             lh.append(layout.flag_detail_spec(),
                       diagnosis.diagnose_as_detail(diagnosis.diagnose(parsed, device.telemetry)))
@@ -185,7 +200,7 @@ def build_gold(lh: Lakehouse, device: DeviceType, as_of: str | dt.date | None =
 def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType] | list[DeviceType],
               minutes: int = 3000, as_of: dt.datetime | None = None, load_ts=None,
               layout: Layout | None = None, diagnose: bool = False,
-              parallel_types: int = DEFAULT_PARALLEL_TYPES) -> BatchResult:
+              parallel_types: int = DEFAULT_PARALLEL_TYPES, dedup_flags: bool = False) -> BatchResult:
     """K7: ingest the last ``minutes`` up to ``as_of``, then silver and gold per type.
 
     Bronze is read once for all types: filtered to the window and the known
@@ -202,7 +217,7 @@ def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType
     window = silver.select_types(window, [d.name for d in devices]).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one_type(device: DeviceType) -> dict:
-        done = refine_silver(lh, window, device, layout, diagnose)
+        done = refine_silver(lh, window, device, layout, diagnose, dedup_flags)
         build_gold(lh, device, as_of.date(), layout, done["dates"])
         return done
 

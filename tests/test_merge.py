@@ -138,3 +138,24 @@ def test_binary_body_event_log(spark):
     cols = sorted(want.columns)
     assert got.count() == want.count() > 0
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+
+
+def test_flag_dedup_and_table_admin(spark):
+    lh = Lakehouse(spark, scratch_path(spark, "test-admin") + "/lake", "test_admin")
+    env = read_envelope(spark, "/root/testdata/sf0.001")
+    tele = telemetry_struct({"RUNNINGHR": "double"})
+    devs = [daily.DeviceType("click", tele, "RUNNINGHR")]
+    layout = daily.Layout(buckets=4)
+    for _ in range(2):
+        daily.run_daily(lh, env, devs, 44640, dt.datetime(2024, 1, 31), "2024-01-31 00:00:00", layout,
+                        dedup_flags=True)
+    flags = lh.read(layout.flags_spec())
+    assert flags.count() == flags.distinct().count() > 0
+    # SK7: a default-mode write refuses an existing table; SK8: drop keeps no catalog entry
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException):
+        lh.create(layout.flags_spec(), flags.limit(1), mode="errorifexists")
+    assert lh.preview(layout.silver_spec("click"), 5).count() == 5
+    lh.drop("gold_click")
+    assert "gold_click" not in lh.list_tables()
