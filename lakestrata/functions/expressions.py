@@ -26,8 +26,6 @@ SEVERITY_V2_CLASS_WEIGHT = {"large": 50, "negative": 50, "null": 30, "zero": 40,
 SEVERITY_V2_AGE_STEPS = ((3, 1), (7, 1.5), (14, 1.8))  # (up to N days, multiplier)
 SEVERITY_V2_OLDER = 2.0
 
-VALUE_CLASSES = ("large", "zero", "negative", "null", "normal")
-
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -16,8 +16,6 @@ from lakestrata.functions.expressions import evaluate_once, minutes_between
 from lakestrata.schemas import BRONZE_BODY_SCHEMA
 from lakestrata.sources.eventlog import with_string_body
 
-BRONZE_ADDED = ("templateId", "templateName", "deviceId", "deviceEnqueueTtime",
-                "yearDevice", "monthDevice", "rowhash", "loadDatetime")
 PARTITION_COLS = ("yearDevice", "monthDevice")
 
 

@@ -11,11 +11,12 @@ so a device holding a large share of the flagged rows is combined map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.operators.silver import offending
+from lakestrata.schemas import FLAG_DETAIL_SCHEMA
 
 # The reasons reported with a flagged field.
 REASON_UNREADABLE = "unreadable body"
@@ -53,3 +54,8 @@ def diagnose(parsed: DataFrame, telemetry: T.StructType) -> DataFrame:
 def diagnose_as_detail(findings: DataFrame) -> DataFrame:
     """The flag-detail table layout ``(TemplateName, DeviceId, FlaggedField)``."""
     return findings.select("TemplateName", "DeviceId", "FlaggedField").distinct()
+
+
+def empty_findings(spark: SparkSession) -> DataFrame:
+    """No findings, with the findings schema (a seed for unions and empty tables)."""
+    return spark.createDataFrame([], FLAG_DETAIL_SCHEMA)

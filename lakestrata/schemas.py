@@ -43,14 +43,6 @@ SILVER_FIXED_COLUMNS = (
     "rowhash",
 )
 
-FLAG_SCHEMA = T.StructType(
-    [
-        T.StructField("TemplateName", T.StringType(), True),
-        T.StructField("DeviceID", T.StringType(), True),
-        T.StructField("load_date", T.DateType(), True),
-    ]
-)
-
 FLAG_DETAIL_SCHEMA = T.StructType(
     [
         T.StructField("TemplateName", T.StringType(), True),

@@ -130,3 +130,9 @@ def test_diagnosis_equals_per_field_strict_parses(spark, parsed):
                 assert strict_blames == (field.name in ours[r["case"]]), (r["case"], field.name)
     finally:
         spark.conf.set(key, "true")
+
+
+def test_empty_findings_schema(spark, parsed):
+    empty = diagnosis.empty_findings(spark)
+    assert empty.count() == 0
+    assert empty.schema.names == diagnosis.diagnose(parsed, TELE).schema.names
