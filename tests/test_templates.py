@@ -98,3 +98,26 @@ def test_telemetry_by_type(spark, template_dir):
     structs = tp.telemetry_by_type(spark, template_dir, mapping)
     assert [f.name for f in structs["LNG Tank 1"].fields] == ["LEVEL", "ON", "PRESSURE"]
     assert structs["Compressors"]["PRESSURE"].dataType.simpleString() == "double"
+
+
+def test_cli_daily_from_templates(spark, template_dir):
+    """The command line builds device types from template files and runs the batch."""
+    from pyspark.sql import functions as F
+
+    from lakestrata.plans.cli import main
+    from lakestrata.session import scratch_path
+    from lakestrata.sources.envelope import read_envelope
+
+    log = scratch_path(spark, "test-cli-log")
+    # messages typed "Compressors" (RUNNINGHR is declared double in that template)
+    read_envelope(spark, "/root/testdata/sf0.001").withColumn(
+        "body", F.regexp_replace("body", '"templateName":"[a-z]+"', '"templateName":"Compressors"')
+    ).write.parquet(log)
+    root = scratch_path(spark, "test-cli") + "/lake"
+    assert main(["daily", "--root", root, "--database", "test_cli", "--log", log, "--templates", template_dir,
+                 "--type", "Compressors=Compressors.json", "--minutes", "44640", "--as-of", "2024-01-31T00:00:00Z",
+                 "--buckets", "4"], spark) == 0
+    gold = spark.table("test_cli.gold_Compressors")
+    assert gold.agg(F.sum("TotalCount")).first()[0] == spark.table("test_cli.silver_Compressors").count() > 0
+    assert main(["discrepancy", "--templates", template_dir, "--type", "Compressors=Compressors.json",
+                 "--type", "LNG Tank 1=LNG Tank.json"], spark) == 0
