@@ -139,7 +139,10 @@ class Lakehouse:
         partition), so each partition value is written by few tasks (few
         files) and a hot value is still split.
         """
-        parallelism = self.spark.sparkContext.defaultParallelism
+        try:
+            parallelism = self.spark.sparkContext.defaultParallelism
+        except Exception:  # Spark Connect: fall back to the shuffle setting
+            parallelism = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
         if spec.bucket_by and spec.buckets:
             bucket = F.pmod(F.hash(F.col(spec.bucket_by)), F.lit(spec.buckets))
             return df.repartitionByRange(max(spec.buckets, parallelism), bucket, F.spark_partition_id())

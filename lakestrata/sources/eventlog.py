@@ -36,11 +36,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     source already has at least as many splits as cores and is returned
     unchanged (no shuffle).
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= want:
+    if df.isStreaming:
         return df
-    return df.repartition(want)
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (Spark Connect): leave as is
+        return df
+    return df if have >= want else df.repartition(want)
 
 
 def with_string_body(df: DataFrame) -> DataFrame:
