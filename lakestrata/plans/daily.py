@@ -117,7 +117,7 @@ def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=Non
     added again.  Returns the batch range report (one row).
     """
     layout = layout or Layout()
-    batch = bronze.enrich(eventlog.bounded(events, start, end), load_ts)
+    batch = bronze.enrich(eventlog.spread(eventlog.bounded(events, start, end)), load_ts)
     scratch = layout.scratch_spec()
     lh.overwrite(scratch, batch)
     staged = lh.read(scratch)
