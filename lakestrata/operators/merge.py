@@ -40,7 +40,8 @@ MAX_HOT_KEYS = 1000
 MIN_ROWS_FOR_SKEW_SPLIT = 1_000_000
 
 
-def _partition_filter(values: list, cols: list[str]) -> Column:
+def partition_filter(values: list, cols: list[str]) -> Column:
+    """OR of the given partition value rows (NULL-safe); FALSE for none."""
     cond = None
     for row in values:
         clause = None
@@ -65,7 +66,7 @@ def batch_stats(batch: DataFrame, key: str, partition_cols: Sequence[str] | None
     stats = batch.groupBy(*cols).agg(F.count(key).alias("_n")).limit(MAX_PRUNED_PARTITIONS + 1).collect()
     if len(stats) > MAX_PRUNED_PARTITIONS:
         return None, None
-    return _partition_filter(stats, cols), sum(r["_n"] for r in stats)
+    return partition_filter(stats, cols), sum(r["_n"] for r in stats)
 
 
 def batch_partitions_filter(batch: DataFrame, partition_cols: Sequence[str]) -> Column | None:

@@ -26,6 +26,10 @@ from lakestrata.sources import eventlog
 # it so that one day's batch gives buckets of a few hundred MB: about 270 GB
 # of bronze a day (100 TB a year) -> 256-1024 buckets.
 DEFAULT_BUCKETS = 256
+# A load cannot precede the enqueue time of what it loads; this much clock
+# difference between the log and the cluster is tolerated when the load
+# index prunes bronze partitions.
+LOAD_CLOCK_SLACK = dt.timedelta(days=1)
 # Device types processed concurrently by the daily batch.
 DEFAULT_PARALLEL_TYPES = 4
 # More touched dates than this in one batch: rebuild the daily counts fully.
@@ -49,6 +53,9 @@ class Layout:
     def scratch_spec(self) -> TableSpec:
         return TableSpec(self.scratch)
 
+    def loads_spec(self) -> TableSpec:
+        return TableSpec(f"{self.bronze}_loads")
+
     def silver_spec(self, device_type: str) -> TableSpec:
         name = f"{self.silver_prefix}_{device_type.replace(' ', '')}"
         return TableSpec(name, ("Device_Date",), "rowhash", self.silver_buckets or self.buckets)
@@ -122,9 +129,41 @@ def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=Non
     lh.overwrite(scratch, batch)
     staged = lh.read(scratch)
     merge_into(lh, layout.bronze_spec(), staged, dedup_source=dedup_source)
+    record_load(lh, staged, layout)
     return bronze.range_report(staged)
 
 
+def record_load(lh: Lakehouse, batch: DataFrame, layout: Layout | None = None) -> None:
+    """Append the load index: bronze partitions touched per load time (a few rows)."""
+    layout = layout or Layout()
+    index = batch.groupBy("loadDatetime", *bronze.PARTITION_COLS).agg(F.count(F.lit(1)).alias("rows"))
+    lh.append(layout.loads_spec(), index)
+
+
+def bronze_window(lh: Lakehouse, start: dt.datetime, device_types: list[str],
+                  layout: Layout | None = None) -> DataFrame:
+    """Bronze rows with hub time ``>= start`` of the given types.
+
+    Bronze is partitioned by device time, the window is on hub time.  A row
+    enqueued at ``t >= start`` was loaded at ``L >= t``, so only partitions
+    that a load at ``L >= start - LOAD_CLOCK_SLACK`` touched can hold window
+    rows; the load index names them and the read is partition-pruned.
+    Without an index (or with too many partitions) bronze is read whole,
+    relying on Parquet statistics for the time filter.
+    """
+    layout = layout or Layout()
+    table = lh.read(layout.bronze_spec())
+    if lh.exists(layout.loads_spec()):
+        since = F.lit((start - LOAD_CLOCK_SLACK).isoformat(sep=" ")).cast("timestamp")
+        touched = (
+            lh.read(layout.loads_spec()).filter(F.col("loadDatetime") >= since)
+            .select(*bronze.PARTITION_COLS).distinct().limit(merge.MAX_PRUNED_PARTITIONS + 1).collect()
+        )
+        if len(touched) <= merge.MAX_PRUNED_PARTITIONS:
+            table = table.filter(merge.partition_filter(touched, list(bronze.PARTITION_COLS)))
+    return silver.select_types(eventlog.incremental(table, start), device_types)
+
+
 def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
                   layout: Layout | None = None, diagnose: bool = False, dedup_flags: bool = False) -> dict:
     """Bronze rows (already windowed) -> flags (appended) + silver (merged).
@@ -213,8 +252,7 @@ def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     start = as_of - dt.timedelta(minutes=minutes)
     report = ingest_bronze(lh, events, start, as_of, load_ts, layout)
-    window = eventlog.incremental(lh.read(layout.bronze_spec()), start)
-    window = silver.select_types(window, [d.name for d in devices]).persist(StorageLevel.MEMORY_AND_DISK)
+    window = bronze_window(lh, start, [d.name for d in devices], layout).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one_type(device: DeviceType) -> dict:
         done = refine_silver(lh, window, device, layout, diagnose, dedup_flags)

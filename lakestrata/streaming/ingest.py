@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.operators import bronze
-from lakestrata.plans.daily import Layout, merge_into
+from lakestrata.plans.daily import Layout, merge_into, record_load
 from lakestrata.plans.tables import Lakehouse
 from lakestrata.session import scratch_path
 
@@ -68,7 +68,12 @@ def bronze_batch_writer(lh: Lakehouse, layout: Layout | None = None, load_ts=Non
     spec = layout.bronze_spec()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_into(lh, spec, bronze.enrich(batch, load_ts))
+        enriched = bronze.enrich(batch, load_ts).persist()
+        try:
+            merge_into(lh, spec, enriched)
+            record_load(lh, enriched, layout)
+        finally:
+            enriched.unpersist()
 
     return write
 
