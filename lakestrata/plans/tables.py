@@ -72,7 +72,9 @@ class Lakehouse:
         # writes to different tables run concurrently.
         self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
         self._locks_guard = threading.Lock()
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}")
+        # The database folder goes under the (shared) root, not under the
+        # session's warehouse folder, which may be machine-local.
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)} LOCATION '{self.root}/_catalog/{database}.db'")
 
     def _lock(self, name: str) -> threading.RLock:
         with self._locks_guard:
