@@ -261,6 +261,15 @@ def q_stream_types(spark, sf_dir):
     return spark.read.parquet(out).select("TemplateName").distinct()
 
 
+def q_stream_types_unknown(spark, sf_dir):
+    """Types discovered by the stream that the known list lacks (Q5 on a stream)."""
+    configure(spark)
+    query, out = ingest.discover_types(_events_stream(spark, sf_dir))
+    query.awaitTermination()
+    seen = spark.read.parquet(out).select("TemplateName").distinct()
+    return inventory.seen_not_known(seen, inventory.known_types(spark, KNOWN_TYPES))
+
+
 def q_stream_bronze(spark, sf_dir):
     """Micro-batch bronze ingest of the whole log (foreachBatch + insert-only merge)."""
     configure(spark)
@@ -302,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "value_class_counts_customer": q_value_class_counts_customer,
     "daily_gold_counts": q_daily_gold_counts,
     "stream_types": q_stream_types,
+    "stream_types_unknown": q_stream_types_unknown,
     "stream_bronze": q_stream_bronze,
 }
 
@@ -474,6 +484,8 @@ ORACLES: dict[str, str] = {
     "value_class_counts_customer": _with(_CUSTOMER_READINGS)
     + f"SELECT date, deviceid, {_CLASS} AS valuetype, count(*) AS count FROM readings GROUP BY 1, 2, 3",
     "stream_types": _with(_bronze_cte()) + "SELECT DISTINCT templateName AS TemplateName FROM bronze",
+    "stream_types_unknown": _with(_bronze_cte())
+    + f"SELECT DISTINCT templateName AS TemplateName FROM bronze WHERE templateName NOT IN ({_in_list(KNOWN_TYPES)})",
     "stream_bronze": _with(_bronze_cte()) + "SELECT * FROM bronze",
     "severity_means": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte())
     + "SELECT date, deviceid, avg(count) AS avg_count, avg(severity) AS avg_severity, "
