@@ -128,8 +128,9 @@ def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=Non
     scratch = layout.scratch_spec()
     lh.overwrite(scratch, batch)
     staged = lh.read(scratch)
-    merge_into(lh, layout.bronze_spec(), staged, dedup_source=dedup_source)
+    # Index first: a failure after it leaves a superset of partitions indexed.
     record_load(lh, staged, layout)
+    merge_into(lh, layout.bronze_spec(), staged, dedup_source=dedup_source)
     return bronze.range_report(staged)
 
 

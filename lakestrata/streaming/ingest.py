@@ -70,8 +70,8 @@ def bronze_batch_writer(lh: Lakehouse, layout: Layout | None = None, load_ts=Non
     def write(batch: DataFrame, batch_id: int) -> None:
         enriched = bronze.enrich(batch, load_ts).persist()
         try:
+            record_load(lh, enriched, layout)  # index first (see ingest_bronze)
             merge_into(lh, spec, enriched)
-            record_load(lh, enriched, layout)
         finally:
             enriched.unpersist()
 
