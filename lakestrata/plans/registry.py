@@ -270,6 +270,17 @@ def q_stream_types_unknown(spark, sf_dir):
     return inventory.seen_not_known(seen, inventory.known_types(spark, KNOWN_TYPES))
 
 
+def q_stream_bronze_dedup(spark, sf_dir):
+    """Bronze rows of the whole log streamed with watermark de-duplication on rowhash."""
+    configure(spark)
+    out = scratch_path(spark, "stream-dedup")
+    deduped = ingest.dedup_within_watermark(_events_stream(spark, sf_dir), "1 minute", load_ts=LOAD_TS)
+    query = (deduped.writeStream.format("parquet").outputMode("append").option("path", f"{out}/data")
+             .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
 def q_stream_bronze(spark, sf_dir):
     """Micro-batch bronze ingest of the whole log (foreachBatch + insert-only merge)."""
     configure(spark)
@@ -313,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "stream_types": q_stream_types,
     "stream_types_unknown": q_stream_types_unknown,
     "stream_bronze": q_stream_bronze,
+    "stream_bronze_dedup": q_stream_bronze_dedup,
 }
 
 
@@ -487,6 +499,7 @@ ORACLES: dict[str, str] = {
     "stream_types_unknown": _with(_bronze_cte())
     + f"SELECT DISTINCT templateName AS TemplateName FROM bronze WHERE templateName NOT IN ({_in_list(KNOWN_TYPES)})",
     "stream_bronze": _with(_bronze_cte()) + "SELECT * FROM bronze",
+    "stream_bronze_dedup": _with(_bronze_cte()) + "SELECT * FROM bronze",
     "severity_means": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte())
     + "SELECT date, deviceid, avg(count) AS avg_count, avg(severity) AS avg_severity, "
     "avg(severity_moy) AS avg_severity_moy FROM sev GROUP BY date, deviceid",

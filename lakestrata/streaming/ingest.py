@@ -89,7 +89,12 @@ def start_bronze_ingest(stream: DataFrame, lh: Lakehouse, checkpoint: str | None
     return _trigger(writer, available_now, processing_time).start()
 
 
-def dedup_within_watermark(stream: DataFrame, delay: str = "1 minute", time_col: str = "enqueuedTime") -> DataFrame:
-    """Bronze rows of a stream with repeated bodies dropped within the watermark."""
-    enriched = bronze.enrich(stream.withWatermark(time_col, delay))
+def dedup_within_watermark(stream: DataFrame, delay: str = "1 minute", time_col: str = "enqueuedTime",
+                           load_ts=None) -> DataFrame:
+    """Bronze rows of a stream with repeated bodies dropped within the watermark.
+
+    State holds each hash until the watermark passes its event time plus
+    ``delay``, so it stays bounded by the rows of one delay period.
+    """
+    enriched = bronze.enrich(stream.withWatermark(time_col, delay), load_ts)
     return enriched.dropDuplicatesWithinWatermark(["rowhash"])
