@@ -42,7 +42,11 @@ def select_types(bronze: DataFrame, device_types: str | Sequence[str]) -> DataFr
 
 
 def offending(telemetry: T.StructType) -> dict[str, Column]:
-    """Per template field: raw value present but not accepted by its type."""
+    """Per template field: raw value present but not accepted by its type.
+
+    One map lookup per field (each a scan of the message's entries): used
+    by the diagnosis, which only sees flagged messages.
+    """
     typed = F.col("JSONTemplate").getField("telemetry")
     raw = F.col("telemetry_raw")
     return {
@@ -51,6 +55,27 @@ def offending(telemetry: T.StructType) -> dict[str, Column]:
     }
 
 
+def any_offending(telemetry: T.StructType) -> Column:
+    """True when some template field's raw value is not accepted by its type.
+
+    Linear in the message and template sizes: the number of distinct
+    template fields with a non-null raw value (one pass over the map, with a
+    hash-set membership test) exceeds the number of non-null typed fields.
+    A typed field is non-null only if its raw value is, so the counts differ
+    exactly when a present value was rejected.
+    """
+    names = [f.name for f in telemetry.fields]
+    if not names:
+        return F.lit(False)
+    typed = F.col("JSONTemplate").getField("telemetry")
+    present = F.map_filter(F.col("telemetry_raw"), lambda k, v: v.isNotNull() & k.isin(names))
+    raw_count = F.size(F.array_distinct(F.map_keys(present)))
+    typed_count = F.lit(0)
+    for name in names:
+        typed_count = typed_count + F.when(typed.getField(name).isNotNull(), 1).otherwise(0)
+    return raw_count > typed_count
+
+
 def parse(bronze: DataFrame, telemetry: T.StructType) -> DataFrame:
     """Adds ``JSONTemplate`` (typed message), ``telemetry_raw`` and ``flagged`` (1/0)."""
     parsed = evaluate_once(
@@ -60,9 +85,7 @@ def parse(bronze: DataFrame, telemetry: T.StructType) -> DataFrame:
             "telemetry_raw": F.from_json(F.col("body"), RAW_TELEMETRY_SCHEMA).getField("telemetry"),
         },
     )
-    bad = parse_failed(F.col("JSONTemplate"), F.col("body"))
-    for cond in offending(telemetry).values():
-        bad = bad | cond
+    bad = parse_failed(F.col("JSONTemplate"), F.col("body")) | any_offending(telemetry)
     return parsed.withColumn("flagged", F.when(bad, F.lit(1)).otherwise(F.lit(0)))
 
 
