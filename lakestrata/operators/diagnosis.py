@@ -1,8 +1,8 @@
 """Field diagnosis: which telemetry field makes a flagged message fail.
 
-One pass over the flagged messages, no driver loop: the per-field test of
-``silver.offending`` names every field whose raw value its declared type
-rejects.  Messages that fail before any field is read (the body is not a JSON
+One pass over the flagged messages, no driver loop: every field whose raw
+value its declared type rejects is named (``offending_names``, linear in the
+message size).  Messages that fail before any field is read (the body is not a JSON
 object, or it has no ``telemetry`` object) get a NULL field and a reason
 instead.  The result is distinct ``(TemplateName, DeviceId,
 FlaggedField, Reason)``; the distinct is a partial-then-final aggregation,
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.operators.silver import offending
+from lakestrata.operators.silver import present_fields
 from lakestrata.schemas import FLAG_DETAIL_SCHEMA
 
 # The reasons reported with a flagged field.
@@ -28,9 +28,24 @@ def _finding(field, reason: str):
     return F.struct(F.lit(field).cast("string").alias("FlaggedField"), F.lit(reason).alias("Reason"))
 
 
+def offending_names(telemetry: T.StructType):
+    """Names of the offending fields of a message, linear in its size.
+
+    ``to_json`` drops NULL fields, so the typed struct written back as a map
+    holds exactly the accepted fields; the offending ones are the template
+    fields with a raw value minus those (``array_except`` is hash-based).
+    """
+    accepted = F.from_json(F.to_json(F.col("JSONTemplate").getField("telemetry")),
+                           T.MapType(T.StringType(), T.StringType()))
+    return F.array_except(present_fields(telemetry), F.map_keys(accepted))
+
+
 def diagnose(parsed: DataFrame, telemetry: T.StructType) -> DataFrame:
     """Flagged rows of ``silver.parse`` -> distinct (TemplateName, DeviceId, FlaggedField, Reason)."""
-    per_field = F.array(*[F.when(c, _finding(name, REASON_TYPE)) for name, c in offending(telemetry).items()])
+    per_field = F.transform(
+        offending_names(telemetry),
+        lambda n: F.struct(n.alias("FlaggedField"), F.lit(REASON_TYPE).alias("Reason")),
+    )
     msg = F.col("JSONTemplate")
     # A malformed body parses to a struct of NULLs, not to NULL: test that the
     # body is a JSON object directly (only flagged rows reach this).
@@ -38,7 +53,7 @@ def diagnose(parsed: DataFrame, telemetry: T.StructType) -> DataFrame:
     findings = (
         F.when(~readable, F.array(_finding(None, REASON_UNREADABLE)))
         .when(msg.getField("telemetry").isNull(), F.array(_finding(None, REASON_NO_TELEMETRY)))
-        .otherwise(F.filter(per_field, lambda x: x.isNotNull()))
+        .otherwise(per_field)
     )
     return (
         parsed.filter(F.col("flagged") == 1)

@@ -44,8 +44,10 @@ def select_types(bronze: DataFrame, device_types: str | Sequence[str]) -> DataFr
 def offending(telemetry: T.StructType) -> dict[str, Column]:
     """Per template field: raw value present but not accepted by its type.
 
-    One map lookup per field (each a scan of the message's entries): used
-    by the diagnosis, which only sees flagged messages.
+    One map lookup per field, each a scan of the message's entries: the
+    direct (quadratic) statement of the rule, kept as the reference the
+    linear forms (``any_offending``, ``diagnosis.offending_names``) are
+    tested against.
     """
     typed = F.col("JSONTemplate").getField("telemetry")
     raw = F.col("telemetry_raw")
@@ -55,6 +57,13 @@ def offending(telemetry: T.StructType) -> dict[str, Column]:
     }
 
 
+def present_fields(telemetry: T.StructType) -> Column:
+    """Distinct template fields with a non-null raw value (one pass over the map)."""
+    names = [f.name for f in telemetry.fields]
+    present = F.map_filter(F.col("telemetry_raw"), lambda k, v: v.isNotNull() & k.isin(names))
+    return F.array_distinct(F.map_keys(present))
+
+
 def any_offending(telemetry: T.StructType) -> Column:
     """True when some template field's raw value is not accepted by its type.
 
@@ -68,8 +77,7 @@ def any_offending(telemetry: T.StructType) -> Column:
     if not names:
         return F.lit(False)
     typed = F.col("JSONTemplate").getField("telemetry")
-    present = F.map_filter(F.col("telemetry_raw"), lambda k, v: v.isNotNull() & k.isin(names))
-    raw_count = F.size(F.array_distinct(F.map_keys(present)))
+    raw_count = F.size(present_fields(telemetry))
     typed_count = F.lit(0)
     for name in names:
         typed_count = typed_count + F.when(typed.getField(name).isNotNull(), 1).otherwise(0)

@@ -136,3 +136,23 @@ def test_empty_findings_schema(spark, parsed):
     empty = diagnosis.empty_findings(spark)
     assert empty.count() == 0
     assert empty.schema.names == diagnosis.diagnose(parsed, TELE).schema.names
+
+
+def test_linear_forms_equal_per_field_lookups(parsed):
+    """any_offending / offending_names equal the per-field statement of the rule."""
+    per_field = silver.offending(TELE)
+    direct_any = None
+    for c in per_field.values():
+        direct_any = c if direct_any is None else direct_any | c
+    direct_names = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in per_field.items()]), lambda x: x.isNotNull())
+    rows = parsed.filter(F.col("JSONTemplate.telemetry").isNotNull()).select(
+        "case",
+        silver.any_offending(TELE).alias("linear_any"), direct_any.alias("direct_any"),
+        diagnosis.offending_names(TELE).alias("linear_names"), direct_names.alias("direct_names"),
+    ).collect()
+    assert rows
+    for r in rows:
+        if r["case"] == "duplicate key bad then good":
+            continue
+        assert bool(r["linear_any"]) == bool(r["direct_any"]), r["case"]
+        assert set(r["linear_names"]) == set(r["direct_names"]), r["case"]
