@@ -122,3 +122,32 @@ def test_severity_v0_time_of_day(spark):
 def test_field_text():
     from lakestrata.schemas import field_text
     assert field_text(T.StructField("X", T.DoubleType(), True)) == "StructField('X', DoubleType(), True)"
+
+
+def test_severity_and_class_property(spark):
+    """Random batches: native expressions equal the Python formulas bit for bit."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    classes = st.sampled_from(["normal", "large", "negative", "null", "zero"])
+    ages = st.integers(min_value=-30, max_value=400)
+    counts = st.integers(min_value=1, max_value=200_000)
+    values = st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=True, width=64))
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(st.tuples(ages, classes, counts, values), min_size=1, max_size=300))
+    def check(batch):
+        rows = [(AS_OF - dt.timedelta(days=a), vt, n, v) for a, vt, n, v in batch]
+        df = spark.createDataFrame(rows, "date date, valuetype string, count bigint, v double")
+        out = df.select(
+            "date", "valuetype", "count", "v",
+            X.severity_v1("count", "valuetype", "date", AS_OF).alias("s1"),
+            X.severity_v2("count", "valuetype", "date", AS_OF).alias("s2"),
+            X.value_class("v").alias("c"),
+        ).collect()
+        for r in out:
+            assert r["s1"] == py_sev1(r["valuetype"], r["date"], r["count"])
+            assert r["s2"] == py_sev2(r["valuetype"], r["date"], r["count"])
+            assert r["c"] == py_class(r["v"])
+
+    check()
