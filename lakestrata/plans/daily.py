@@ -94,7 +94,7 @@ class BatchResult:
 
 
 def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "rowhash",
-               dedup_source: bool = False) -> None:
+               dedup_source: bool = False, null_keys: bool = True) -> None:
     """Create the table from the batch when absent, then merge insert-only.
 
     Same result as create-then-MERGE: after a create, every non-NULL key of
@@ -102,13 +102,16 @@ def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "ro
     again - those are appended directly, without joining the batch against
     itself.  Otherwise the anti-join of ``merge.new_rows`` runs against the
     partitions of the table that the batch touches.  ``dedup_source`` keeps
-    one row per key of the batch (by default every copy is inserted).
+    one row per key of the batch (by default every copy is inserted);
+    ``null_keys=False`` states that the batch has no NULL key (silver: a
+    NULL body is always flagged), which saves checking for them.
     """
     if dedup_source:
         source = source.filter(F.col(key).isNull()).unionByName(
             source.filter(F.col(key).isNotNull()).dropDuplicates([key]))
     if lh.create_if_absent(spec, source):
-        lh.append_if_rows(spec, source.filter(F.col(key).isNull()))
+        if null_keys:
+            lh.append_if_rows(spec, source.filter(F.col(key).isNull()))
     else:
         lh.append(spec, merge.new_rows(source, lh.read(spec), key, spec.partition_by))
 
@@ -166,13 +169,16 @@ def bronze_window(lh: Lakehouse, start: dt.datetime, device_types: list[str],
 
 
 def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
-                  layout: Layout | None = None, diagnose: bool = False, dedup_flags: bool = False) -> dict:
+                  layout: Layout | None = None, diagnose: bool = False, dedup_flags: bool = False,
+                  want_dates: bool = True) -> dict:
     """Bronze rows (already windowed) -> flags (appended) + silver (merged).
 
     The parse is persisted once and read by the flags, the silver rows and
     (optionally) the field diagnosis.  Flags are appended on every run, so
     overlapping windows repeat a ``(type, device, load date)``;
-    ``dedup_flags`` appends only triples the flags table lacks.
+    ``dedup_flags`` appends only triples the flags table lacks.  With
+    ``want_dates`` the device dates of the batch are returned (bounded) for
+    the incremental gold step.
     """
     layout = layout or Layout()
     parsed = silver.parse(silver.select_types(bronze_window, device.name), device.telemetry)
@@ -191,11 +197,13 @@ def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
             lh.append(layout.flag_detail_spec(),
                       diagnosis.diagnose_as_detail(diagnosis.diagnose(parsed, device.telemetry)))
         rows = silver.rows(parsed)
-        merge_into(lh, layout.silver_spec(device.name), rows)
-        dates = rows.select("Device_Date").distinct().limit(MAX_TOUCHED_DATES + 1).collect()
+        merge_into(lh, layout.silver_spec(device.name), rows, null_keys=False)
+        dates = None
+        if want_dates:
+            dates = rows.select("Device_Date").distinct().limit(MAX_TOUCHED_DATES + 1).collect()
     finally:
         parsed.unpersist()
-    touched = None if len(dates) > MAX_TOUCHED_DATES else [r["Device_Date"] for r in dates]
+    touched = None if dates is None or len(dates) > MAX_TOUCHED_DATES else [r["Device_Date"] for r in dates]
     return {"flags": wrote_flags, "dates": touched}
 
 
@@ -256,7 +264,9 @@ def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType
     window = bronze_window(lh, start, [d.name for d in devices], layout).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one_type(device: DeviceType) -> dict:
-        done = refine_silver(lh, window, device, layout, diagnose, dedup_flags)
+        # Touched dates matter only once the daily counts exist (else: full build).
+        want = device.gold_field is not None and lh.exists(layout.daily_counts_spec(device.name))
+        done = refine_silver(lh, window, device, layout, diagnose, dedup_flags, want_dates=want)
         build_gold(lh, device, as_of.date(), layout, done["dates"])
         return done
 
