@@ -55,6 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--buckets", type=int, default=daily.DEFAULT_BUCKETS)
     d.add_argument("--diagnose", action="store_true", help="also write the flag-detail table")
     d.add_argument("--dedup-flags", action="store_true")
+    d.add_argument("--slice-minutes", type=int, default=None,
+                   help="process the window in consecutive slices of this many minutes (backfills)")
     q = sub.add_parser("discrepancy", help="fields declared with different types across templates")
     q.add_argument("--templates", required=True)
     q.add_argument("--type", action="append")
@@ -80,9 +82,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     as_of = dt.datetime.fromisoformat(args.as_of.replace("Z", "")) if args.as_of else None
     events = spark.read.format(args.format).load(args.log)
     lh = Lakehouse(spark, args.root, args.database)
-    result = daily.run_daily(lh, events, devices, args.minutes, as_of, layout=daily.Layout(buckets=args.buckets),
-                             diagnose=args.diagnose, dedup_flags=args.dedup_flags)
-    result.range_report.show(truncate=False)
+    options = dict(layout=daily.Layout(buckets=args.buckets), diagnose=args.diagnose, dedup_flags=args.dedup_flags)
+    if args.slice_minutes:
+        end = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        results = daily.backfill(lh, events, devices, end - dt.timedelta(minutes=args.minutes), end,
+                                 args.slice_minutes, **options)
+    else:
+        results = [daily.run_daily(lh, events, devices, args.minutes, as_of, **options)]
+    for result in results:
+        result.range_report.show(truncate=False)
     print("tables:", ", ".join(sorted(lh.list_tables())))
     return 0
 

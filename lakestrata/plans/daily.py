@@ -291,3 +291,25 @@ def gold_tables(lh: Lakehouse, devices: list[DeviceType], layout: Layout | None
         part = lh.read(spec).withColumn("device_type", F.lit(d.name))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def backfill(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType] | list[DeviceType],
+             start: dt.datetime, end: dt.datetime, slice_minutes: int = 1440, **kwargs) -> list[BatchResult]:
+    """The daily batch over ``[start, end]`` in consecutive slices.
+
+    A long window processed at once holds the whole range in one set of
+    shuffles; slicing bounds each run to ``slice_minutes`` of log.  Each
+    slice is a normal run through the same insert-only merges, so a row on
+    a slice boundary (both windows are inclusive) is stored once, and the
+    result equals one run over the whole range.
+    """
+    if slice_minutes <= 0:
+        raise ValueError("slice_minutes must be positive")
+    results = []
+    lower = start
+    while lower < end:
+        upper = min(lower + dt.timedelta(minutes=slice_minutes), end)
+        minutes = int((upper - lower).total_seconds() // 60)
+        results.append(run_daily(lh, events, devices, minutes, upper, **kwargs))
+        lower = upper
+    return results

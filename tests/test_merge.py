@@ -180,3 +180,22 @@ def test_bronze_window_prunes_by_load_index(spark):
     files = pruned.inputFiles()
     assert files and all("monthDevice=1" in f and "yearDevice=2024" in f for f in files)
     assert any("yearDevice=2023" in f for f in lh.read(layout.bronze_spec()).inputFiles())
+
+
+def test_backfill_in_slices_equals_one_run(spark):
+    env = read_envelope(spark, "/root/testdata/sf0.001")
+    tele = telemetry_struct({"RUNNINGHR": "double"})
+    devs = [daily.DeviceType(t, tele, "RUNNINGHR") for t in ("click", "signup")]
+    layout = daily.Layout(buckets=4)
+    load = "2024-01-31 00:00:00"
+    sliced = Lakehouse(spark, scratch_path(spark, "test-backfill") + "/lake", "test_backfill")
+    runs = daily.backfill(sliced, env, devs, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31), 10 * 1440,
+                          load_ts=load, layout=layout)
+    assert len(runs) == 3
+    one = Lakehouse(spark, scratch_path(spark, "test-backfill-one") + "/lake", "test_backfill_one")
+    daily.run_daily(one, env, devs, 30 * 1440, dt.datetime(2024, 1, 31), load, layout)
+    for d in devs:
+        for spec in (layout.gold_spec(d.name), layout.severity_spec(d.name), layout.silver_spec(d.name)):
+            a, b = sliced.read(spec), one.read(spec)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, spec.name
+    assert sliced.read(layout.bronze_spec()).count() == one.read(layout.bronze_spec()).count()
