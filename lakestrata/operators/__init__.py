@@ -1,0 +1 @@
+"""Per-step transformations: bronze, merge, silver, diagnosis, gold, type inventory."""

@@ -1,0 +1 @@
+"""Jobs over tables: the lakehouse tables, the daily batch, the CLI, the checked queries."""

@@ -1,0 +1 @@
+"""Readers: event logs (bounded, rolling, streaming), derived messages, device templates."""

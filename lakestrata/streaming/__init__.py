@@ -1,0 +1 @@
+"""Structured Streaming forms of ingest and type discovery."""
