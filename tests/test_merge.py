@@ -1,4 +1,4 @@
-"""Insert-only merge semantics and idempotent bronze / silver jobs."""
+"""Insert-only merge semantics (DataFrame and SQL forms)."""
 
 import datetime as dt
 
@@ -34,48 +34,6 @@ def test_partition_filter_includes_null_partition(spark):
     assert sorted(r["rowhash"] for r in target.filter(cond).collect()) == ["x", "y"]
 
 
-def test_daily_batch_idempotent(spark):
-    lh = Lakehouse(spark, scratch_path(spark, "test-daily") + "/lake", "test_daily_idem")
-    layout = daily.Layout(buckets=4)
-    env = read_envelope(spark, "/root/testdata/sf0.001")
-    # one NULL body, re-inserted on every run
-    env = env.unionByName(env.limit(1).withColumn("body", F.lit(None).cast("string")).withColumn("event_id", F.lit(-1).cast("long")))
-    tele = telemetry_struct({"RUNNINGHR": "double"})
-    devs = [daily.DeviceType(t, tele, "RUNNINGHR") for t in ("click", "view")]
-    as_of = dt.datetime(2024, 1, 31)
-    daily.run_daily(lh, env, devs, 44640, as_of, "2024-01-31 00:00:00", layout)
-    bronze1 = lh.read(layout.bronze_spec()).count()
-    silver1 = lh.read(layout.silver_spec("click")).count()
-    gold1 = {tuple(r) for r in lh.read(layout.gold_spec("click")).collect()}
-    daily.run_daily(lh, env, devs, 44640, as_of, "2024-01-31 00:00:00", layout)
-    b = lh.read(layout.bronze_spec())
-    total = env.count()
-    # first run: create + merge adds the NULL-hash row twice; second run once more
-    assert bronze1 == total + 1
-    assert b.count() == total + 2
-    assert b.filter(F.col("rowhash").isNotNull()).count() == total - 1
-    assert lh.read(layout.silver_spec("click")).count() == silver1
-    assert {tuple(r) for r in lh.read(layout.gold_spec("click")).collect()} == gold1
-    assert "silver_FLAGS".lower() in [t.lower() for t in lh.list_tables()]
-
-
-def test_tables_reattach_and_truncate(spark):
-    root = scratch_path(spark, "test-tables") + "/lake"
-    lh = Lakehouse(spark, root, "test_tables_a")
-    spec = TableSpec("t", ("p",), "k", 4)
-    df = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "p int, k string, v int")
-    assert lh.create_if_absent(spec, df)
-    assert not lh.create_if_absent(spec, df)
-    lh.append(spec, spark.createDataFrame([(3, "c", 3)], "v int, k string, p int").select("p", "k", "v"))
-    assert lh.read(spec).count() == 3
-    # a second catalog database over the same folder re-attaches the data
-    lh2 = Lakehouse(spark, root, "test_tables_b")
-    assert lh2.exists(spec) and lh2.read(spec).count() == 3
-    assert lh2.size_in_bytes("t") is None or lh2.size_in_bytes("t") >= 0
-    lh2.truncate(spec)
-    assert lh2.read(spec).count() == 0
-
-
 def test_skew_split_equals_plain_merge(spark):
     """A body copied in a third of the batch: the split merge equals the plain one."""
     rows = [("hot", 2024, 1, i) for i in range(300)] + [(f"k{i}", 2024, 1, 1000 + i) for i in range(600)]
@@ -95,26 +53,6 @@ def test_skew_split_equals_plain_merge(spark):
     assert [r["rowhash"] for r in hot.collect()] == ["hot"]
 
 
-def test_two_days_equal_one_two_day_run(spark):
-    """Incremental runs (bronze, silver, daily counts) equal one run over both days."""
-    env = read_envelope(spark, "/root/testdata/sf0.001")
-    tele = telemetry_struct({"RUNNINGHR": "double"})
-    devs = [daily.DeviceType(t, tele, "RUNNINGHR") for t in ("click", "view", "error")]
-    layout = daily.Layout(buckets=4)
-    load = "2024-01-31 00:00:00"
-    inc = Lakehouse(spark, scratch_path(spark, "test-inc") + "/lake", "test_inc")
-    daily.run_daily(inc, env, devs, 15 * 1440, dt.datetime(2024, 1, 16), load, layout)
-    daily.run_daily(inc, env, devs, 16 * 1440, dt.datetime(2024, 1, 31), load, layout)
-    one = Lakehouse(spark, scratch_path(spark, "test-one") + "/lake", "test_one")
-    daily.run_daily(one, env, devs, 31 * 1440, dt.datetime(2024, 1, 31), load, layout)
-    for d in devs:
-        for spec in (layout.gold_spec(d.name), layout.severity_spec(d.name), layout.silver_spec(d.name)):
-            a, b = inc.read(spec), one.read(spec)
-            cols = [c for c in a.columns if c != "loaddatetime"]
-            assert a.select(cols).exceptAll(b.select(cols)).count() == 0, spec.name
-            assert b.select(cols).exceptAll(a.select(cols)).count() == 0, spec.name
-
-
 def test_insert_new_sql_matches_dataframe_form(spark):
     lh = Lakehouse(spark, scratch_path(spark, "test-sql-merge") + "/lake", "test_sql_merge")
     spec = TableSpec("t")
@@ -124,78 +62,3 @@ def test_insert_new_sql_matches_dataframe_form(spark):
                                    SCHEMA)
     merge.insert_new_sql(spark, lh.fq("t"), source)
     assert sorted(r["v"] for r in lh.read(spec).collect()) == [1, 2, 11, 12, 13]
-
-
-def test_binary_body_event_log(spark):
-    """A log with a binary body (as a log connector delivers it) reads like the text form."""
-    from lakestrata.operators import bronze
-    from lakestrata.sources import eventlog
-    path = scratch_path(spark, "test-binary-log")
-    env = read_envelope(spark, "/root/testdata/sf0.001")
-    env.withColumn("body", F.col("body").cast("binary")).write.parquet(path)
-    got = bronze.enrich(eventlog.read_bounded(spark, path, "2024-01-05T00:00:00Z", "2024-01-06T00:00:00Z"), "2024-01-31")
-    want = bronze.enrich(eventlog.bounded(env, "2024-01-05T00:00:00Z", "2024-01-06T00:00:00Z"), "2024-01-31")
-    cols = sorted(want.columns)
-    assert got.count() == want.count() > 0
-    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
-
-
-def test_flag_dedup_and_table_admin(spark):
-    lh = Lakehouse(spark, scratch_path(spark, "test-admin") + "/lake", "test_admin")
-    env = read_envelope(spark, "/root/testdata/sf0.001")
-    tele = telemetry_struct({"RUNNINGHR": "double"})
-    devs = [daily.DeviceType("click", tele, "RUNNINGHR")]
-    layout = daily.Layout(buckets=4)
-    for _ in range(2):
-        daily.run_daily(lh, env, devs, 44640, dt.datetime(2024, 1, 31), "2024-01-31 00:00:00", layout,
-                        dedup_flags=True)
-    flags = lh.read(layout.flags_spec())
-    assert flags.count() == flags.distinct().count() > 0
-    # SK7: a default-mode write refuses an existing table; SK8: drop keeps no catalog entry
-    import pytest
-    from pyspark.errors import AnalysisException
-    with pytest.raises(AnalysisException):
-        lh.create(layout.flags_spec(), flags.limit(1), mode="errorifexists")
-    assert lh.preview(layout.silver_spec("click"), 5).count() == 5
-    lh.drop("gold_click")
-    assert "gold_click" not in lh.list_tables()
-
-
-def test_bronze_window_prunes_by_load_index(spark):
-    """Old device months loaded long ago are not read; the rows equal the unpruned read."""
-    from lakestrata.sources.envelope import envelope
-    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    old = envelope(events.withColumn("ts", F.col("ts") - F.expr("INTERVAL 60 DAYS")))
-    new = envelope(events)
-    lh = Lakehouse(spark, scratch_path(spark, "test-window") + "/lake", "test_window")
-    layout = daily.Layout(buckets=4)
-    daily.ingest_bronze(lh, old, dt.datetime(2023, 1, 1), dt.datetime(2023, 12, 31), "2023-12-31 00:00:00", layout)
-    daily.ingest_bronze(lh, new, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31), "2024-01-31 00:00:00", layout)
-    start = dt.datetime(2024, 1, 20)
-    types = ["click", "view", "error", "purchase", "signup"]
-    pruned = daily.bronze_window(lh, start, types, layout)
-    plain = lh.read(layout.bronze_spec()).filter(F.col("enqueuedTime") >= "2024-01-20").filter(
-        F.col("templateName").isin(types))
-    assert sorted(r["event_id"] for r in pruned.collect()) == sorted(r["event_id"] for r in plain.collect())
-    files = pruned.inputFiles()
-    assert files and all("monthDevice=1" in f and "yearDevice=2024" in f for f in files)
-    assert any("yearDevice=2023" in f for f in lh.read(layout.bronze_spec()).inputFiles())
-
-
-def test_backfill_in_slices_equals_one_run(spark):
-    env = read_envelope(spark, "/root/testdata/sf0.001")
-    tele = telemetry_struct({"RUNNINGHR": "double"})
-    devs = [daily.DeviceType(t, tele, "RUNNINGHR") for t in ("click", "signup")]
-    layout = daily.Layout(buckets=4)
-    load = "2024-01-31 00:00:00"
-    sliced = Lakehouse(spark, scratch_path(spark, "test-backfill") + "/lake", "test_backfill")
-    runs = daily.backfill(sliced, env, devs, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31), 10 * 1440,
-                          load_ts=load, layout=layout)
-    assert len(runs) == 3
-    one = Lakehouse(spark, scratch_path(spark, "test-backfill-one") + "/lake", "test_backfill_one")
-    daily.run_daily(one, env, devs, 30 * 1440, dt.datetime(2024, 1, 31), load, layout)
-    for d in devs:
-        for spec in (layout.gold_spec(d.name), layout.severity_spec(d.name), layout.silver_spec(d.name)):
-            a, b = sliced.read(spec), one.read(spec)
-            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, spec.name
-    assert sliced.read(layout.bronze_spec()).count() == one.read(layout.bronze_spec()).count()
