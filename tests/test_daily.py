@@ -149,3 +149,18 @@ def test_backfill_in_slices_equals_one_run(spark):
             a, b = sliced.read(spec), one.read(spec)
             assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, spec.name
     assert sliced.read(layout.bronze_spec()).count() == one.read(layout.bronze_spec()).count()
+
+
+def test_device_type_without_messages(spark):
+    """A type with no rows in the window gets empty silver and gold tables, no flags."""
+    lh = Lakehouse(spark, scratch_path(spark, "test-empty-type") + "/lake", "test_empty_type")
+    env = read_envelope(spark, "/root/testdata/sf0.001")
+    tele = telemetry_struct({"RUNNINGHR": "double", "PRESSURE": "float"})
+    devs = [daily.DeviceType("Compressors", tele, "RUNNINGHR"), daily.DeviceType("click", tele, "RUNNINGHR")]
+    layout = daily.Layout(buckets=4)
+    result = daily.run_daily(lh, env, devs, 44640, dt.datetime(2024, 1, 31), "2024-01-31 00:00:00", layout)
+    assert result.written["Compressors"]["flags"] is False
+    assert lh.read(layout.silver_spec("Compressors")).count() == 0
+    assert lh.read(layout.gold_spec("Compressors")).count() == 0
+    assert {"PRESSURE", "RUNNINGHR", "Device_Date"} <= set(lh.read(layout.silver_spec("click")).columns)
+    assert lh.read(layout.gold_spec("click")).count() > 0

@@ -74,3 +74,17 @@ def test_rolling_and_bounded(spark):
     r = eventlog.rolling(env, 1440, end).count()
     assert r == env.filter((F.col("enqueuedTime") >= "2024-01-19") & (F.col("enqueuedTime") <= "2024-01-20")).count()
     assert eventlog.rolling_start(60, dt.datetime(2024, 1, 1, 1, 0)) == "2024-01-01T00:00:00.000000Z"
+
+
+def test_stream_ingest_with_processing_time_trigger(spark):
+    path, schema = _log_folder(spark)
+    lh = Lakehouse(spark, scratch_path(spark, "test-stream-pt") + "/lake", "test_stream_pt")
+    layout = daily.Layout(buckets=4)
+    query = ingest.start_bronze_ingest(eventlog.read_stream(spark, path, schema, watermark=None), lh,
+                                       scratch_path(spark, "test-stream-pt-ckpt"), layout, "2024-01-31 00:00:00",
+                                       available_now=False, processing_time="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert lh.read(layout.bronze_spec()).count() == read_envelope(spark, SF).count()
