@@ -88,3 +88,11 @@ def test_stream_ingest_with_processing_time_trigger(spark):
     finally:
         query.stop()
     assert lh.read(layout.bronze_spec()).count() == read_envelope(spark, SF).count()
+
+
+def test_start_time_format_with_fraction_and_zone(spark):
+    env = read_envelope(spark, SF)
+    start = eventlog.rolling_start(60 * 24 * 10, dt.datetime(2024, 1, 25))  # "...T00:00:00.000000Z"
+    assert start == "2024-01-15T00:00:00.000000Z"
+    got = eventlog.incremental(env, start).count()
+    assert got == env.filter(F.col("enqueuedTime") >= "2024-01-15").count() > 0
