@@ -119,6 +119,11 @@ def q_field_diagnosis(spark, sf_dir):
     return diagnosis.diagnose(_parsed(spark, sf_dir), _telemetry())
 
 
+def q_flag_detail(spark, sf_dir):
+    """The flag-detail table layout: distinct (TemplateName, DeviceId, FlaggedField)."""
+    return diagnosis.diagnose_as_detail(diagnosis.diagnose(_parsed(spark, sf_dir), _telemetry()))
+
+
 def q_types_seen(spark, sf_dir):
     return bronze.template_names(_bronze(spark, sf_dir))
 
@@ -215,6 +220,10 @@ def q_gold_severity_orders(spark, sf_dir):
     return gold.severity(gold.class_rows_from_daily(daily_df), AS_OF)
 
 
+def q_gold_percent_orders(spark, sf_dir):
+    return gold.percent(gold.counts(_orders_readings(spark, sf_dir)))
+
+
 def q_gold_counts_customer(spark, sf_dir):
     return gold.counts(_customer_readings(spark, sf_dir))
 
@@ -302,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "silver_incremental": q_silver_incremental,
     "silver_flags": q_silver_flags,
     "field_diagnosis": q_field_diagnosis,
+    "flag_detail": q_flag_detail,
     "types_seen": q_types_seen,
     "types_known_seen": q_types_known_seen,
     "types_unknown": q_types_unknown,
@@ -318,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "severity_describe": q_severity_describe,
     "gold_counts_orders": q_gold_counts_orders,
     "gold_severity_orders": q_gold_severity_orders,
+    "gold_percent_orders": q_gold_percent_orders,
     "gold_counts_customer": q_gold_counts_customer,
     "value_class_counts_customer": q_value_class_counts_customer,
     "daily_gold_counts": q_daily_gold_counts,
@@ -464,6 +475,10 @@ ORACLES: dict[str, str] = {
     + f"SELECT DISTINCT templateName AS TemplateName, deviceId AS DeviceId, "
     f"CASE WHEN reason = 'type mismatch' THEN '{next(iter(TEMPLATE))}' END AS FlaggedField, reason AS Reason "
     "FROM parsed WHERE reason IS NOT NULL",
+    "flag_detail": _gold_prefix()
+    + f"SELECT DISTINCT templateName AS TemplateName, deviceId AS DeviceId, "
+    f"CASE WHEN reason = 'type mismatch' THEN '{next(iter(TEMPLATE))}' END AS FlaggedField "
+    "FROM parsed WHERE reason IS NOT NULL",
     "types_seen": _with(_bronze_cte()) + "SELECT DISTINCT templateName AS TemplateName FROM bronze ORDER BY 1",
     "types_known_seen": _with(_bronze_cte())
     + f"SELECT DISTINCT templateName AS TemplateName FROM bronze WHERE templateName IN ({_in_list(KNOWN_TYPES)})",
@@ -492,6 +507,10 @@ ORACLES: dict[str, str] = {
     + _COUNTS.replace("SELECT date, deviceid,", "SELECT device_type, date, deviceid,").replace("GROUP BY date, deviceid", "GROUP BY device_type, date, deviceid"),
     "gold_counts_orders": _with(_ORDERS_READINGS) + _COUNTS,
     "gold_severity_orders": _with(_ORDERS_READINGS, _severity_cte()) + "SELECT * FROM sev",
+    "gold_percent_orders": _with(_ORDERS_READINGS)
+    + "SELECT date, deviceid, NullCount / TotalCount * 100 AS NullPercent, NegCount / TotalCount * 100 AS NegPercent, "
+    "ZeroCount / TotalCount * 100 AS ZeroPercent, LargeCount / TotalCount * 100 AS LargePercent, TotalCount "
+    f"FROM ({_COUNTS})",
     "gold_counts_customer": _with(_CUSTOMER_READINGS) + _COUNTS,
     "value_class_counts_customer": _with(_CUSTOMER_READINGS)
     + f"SELECT date, deviceid, {_CLASS} AS valuetype, count(*) AS count FROM readings GROUP BY 1, 2, 3",
