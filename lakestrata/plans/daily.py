@@ -61,7 +61,7 @@ class Layout:
         return TableSpec(name, ("Device_Date",), "rowhash", self.silver_buckets or self.buckets)
 
     def flags_spec(self) -> TableSpec:
-        return TableSpec(f"{self.silver_prefix}_FLAGS")
+        return TableSpec(f"{self.silver_prefix}_FLAGS", ("load_date",))
 
     def flag_detail_spec(self) -> TableSpec:
         return TableSpec(f"{self.silver_prefix}_flagdetail")
@@ -186,7 +186,11 @@ def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
     try:
         flags = silver.flags(parsed)
         if dedup_flags and lh.exists(layout.flags_spec()):
+            # Only the batch's load dates can match (a handful of partitions).
+            dates = flags.select("load_date").distinct().limit(MAX_TOUCHED_DATES + 1).collect()
             seen = lh.read(layout.flags_spec())
+            if len(dates) <= MAX_TOUCHED_DATES:
+                seen = seen.filter(merge.partition_filter(dates, ["load_date"]))
             same = [flags[c].eqNullSafe(seen[c]) for c in flags.columns]
             cond = same[0]
             for c in same[1:]:
