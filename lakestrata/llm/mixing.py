@@ -125,7 +125,9 @@ def plan(sized: DataFrame, weights: tuple[float, ...], share: float, most: float
 
 
 def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, shards: int = 64, seed: int = 7, block: int = 1024, carry: list[str] | None = None) -> DataFrame:
-    """The ``carry`` columns of ``docs`` (default: all), with size, source_size, target and pieces.
+    """The ``carry`` columns of ``docs``, with size, source_size, target and pieces.
+
+    Default: all columns but those that the new ones replace by name.
 
     Only the carried columns are shuffled: leave out the text where the
     pieces alone are wanted.
@@ -133,7 +135,7 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
     ``first .. first + words - 1`` of the document, at ``place`` within the
     shard (sort by it).  An unfinished epoch has only the drawn blocks.
     """
-    carry = docs.columns if carry is None else carry
+    carry = [c for c in docs.columns if c not in ("size", "source_size", "target", "pieces")] if carry is None else carry
     sized = docs.select(
         *(F.col(c) for c in carry),
         word_count(F.col("text").cast("string")).alias("size"),
@@ -182,6 +184,7 @@ def taken() -> Column:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes their first word: whole documents at the mix's rates."""
+    packed = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("__row"), "doc_id", "source", "text")
     times = F.size(F.filter("pieces", lambda p: p["first"] == 0))
-    mixed = mix(docs, **options).withColumn("__times", times).where("__times > 0")
-    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    mixed = mix(packed, carry=["__row"], **options).select("__row", times.alias("__times")).where("__times > 0")
+    return mixed.select("__row", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("__row.*")

@@ -3,7 +3,7 @@
 Trusted positives are documents labelled good; every other learning text
 is unlabelled web text, whatever its label.  The class prior is estimated
 from the scores of a first classifier (the least ratio of unlabelled to
-positive mass over score cuts), then a logistic model minimises the
+positive mass over score tails), then a logistic model minimises the
 non-negative unbiased risk
 
     prior * E_pos[l(f, +)] + max(0, E_unl[l(f, -)] - prior * E_pos[l(f, -)]).
@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 
 from .base import WordHasher, lower_ascii, mix, row_chunks, utf8, windows, word_spans
 
-COUNTS = ["n_words", "n_chars", "n_symbols", "n_marks", "n_bars", "n_upper", "n_digits", "n_stops", "n_commas", "n_lines", "n_adjacent", "n_distinct", "n_repeats", "n_long", "n_short", "n_capital"]
+#: Counts of a text, as columns ``q_...``.
+COUNTS = [f"q_{c}" for c in ("n_words", "n_chars", "n_symbols", "n_marks", "n_bars", "n_upper", "n_digits", "n_stops", "n_commas", "n_lines", "n_adjacent", "n_distinct", "n_repeats", "n_long", "n_short", "n_capital")]
 SAMPLE = 20_000
 
 
@@ -87,12 +88,12 @@ def features(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), text_col: st
 
 def inputs() -> list[Column]:
     """Model inputs: logarithms of rates, so that a fault in part of a text shows."""
-    words, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("n_chars"), F.lit(1))
+    words, chars = F.greatest(F.col("q_n_words"), F.lit(1)), F.greatest(F.col("q_n_chars"), F.lit(1))
     log = lambda c, base: F.log1p(1000 * F.col(c) / base)
     return [
-        F.log1p("n_words"), F.col("n_chars") / words, F.col("n_distinct") / words, F.col("n_short") / words,
-        *(log(c, chars) for c in ("n_symbols", "n_marks", "n_bars", "n_upper", "n_digits")),
-        *(log(c, words) for c in ("n_stops", "n_commas", "n_lines", "n_adjacent", "n_repeats", "n_long", "n_capital")),
+        F.log1p("q_n_words"), F.col("q_n_chars") / words, F.col("q_n_distinct") / words, F.col("q_n_short") / words,
+        *(log(c, chars) for c in ("q_n_symbols", "q_n_marks", "q_n_bars", "q_n_upper", "q_n_digits")),
+        *(log(c, words) for c in ("q_n_stops", "q_n_commas", "q_n_lines", "q_n_adjacent", "q_n_repeats", "q_n_long", "q_n_capital")),
     ]
 
 
@@ -119,19 +120,18 @@ def _train(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate:
 def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
     """Share of positives among the unlabelled: P(A) * prior <= U(A) for every set A of scores.
 
-    The least U(A) / P(A) over upper and lower tails, with an allowance for
-    the sampling error of both shares.
+    The least U(A) / P(A) over upper and lower tails.  Being a least value of
+    noisy ratios it errs below, if at all: a prior above the true share would
+    make the negative risk vanish before the negatives are told apart.
     """
     cuts = np.quantile(p, np.linspace(0.02, 0.98, 49))
     best = 1.0
     for above in (True, False):
         for c in cuts:
             ps, us = ((p >= c).mean(), (u >= c).mean()) if above else ((p <= c).mean(), (u <= c).mean())
-            if ps < 0.05:
-                continue
-            slack = 1.0 / np.sqrt(len(u)) + 1.0 / np.sqrt(len(p))
-            best = min(best, (us + slack) / ps)
-    return float(np.clip(best, 0.05, 0.95))
+            if ps >= 0.3:  # shares of smaller tails are too noisy
+                best = min(best, us / ps)
+    return float(np.clip(best, 0.05, 0.99))
 
 
 def fit(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
@@ -141,7 +141,7 @@ def fit(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample: int
 
     def take(df: DataFrame) -> np.ndarray:
         rows = df.select(array, F.xxhash64(id_col).alias("h"), F.col(id_col)).orderBy("h", id_col).limit(sample).select("x").collect()
-        return np.array([r["x"] for r in rows], float).reshape(len(rows), -1)
+        return np.array([r["x"] for r in rows], float).reshape(len(rows), len(inputs()))
 
     p, u = take(feats.join(good, id_col, "left_semi")), take(feats)
     if not len(p) or not len(u):

@@ -9,7 +9,7 @@ else (any text, same text included) is removed.  No task sees the corpus:
     frequent in a sample come last in the order, so that a passage shared by
     many texts does not gather their borders in one group; the order has no
     effect on the result.
-2.  Only segments whose gram occurs twice are kept.  Equal segments need no
+2.  Only segments whose gram occurs twice (in two segments, or in one) are kept.  Equal segments need no
     sorting: all their windows repeat.  Of each other group the distinct
     segments are fetched and sorted.
 3.  The suffixes of a group's segments are put in order by two-stage
@@ -80,10 +80,10 @@ def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(raw: np.ndarray, off: np.ndarray, grams: Grams, span: int):
-    """(gram, hash of the bytes, row, start, windows) of each segment."""
+    """(gram, hash of the bytes, row, start, windows, whether the gram occurs in it twice) of each segment."""
     none = np.zeros(0, np.int64)
     if len(raw) < span:
-        return none.view(np.uint64), none.view(np.uint64), none, none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none, none, none.astype(bool)
     value, sums = grams(raw)
     least = sliding_least(value, span - GRAM + 1)
     row = np.searchsorted(off, np.arange(len(least)), "right") - 1 if len(off) > 2 else np.zeros(len(least), np.int64)
@@ -96,7 +96,15 @@ def segments(raw: np.ndarray, off: np.ndarray, grams: Grams, span: int):
     end = stop[np.searchsorted(stop, at)] + span  # bytes up to the last window's end
     with np.errstate(over="ignore"):
         whole = mix((sums[end] - sums[at]) * grams.hasher.inverse[at] + (end - at).astype(np.uint64))
-    return least[at], whole, row[at], at - off[row[at]], end - at - span + 1
+    # places of grams that are the least of some window around them, and how many a segment has of its own
+    width = span - GRAM + 1
+    around = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
+    place = np.flatnonzero(value == ~sliding_least(~around, width))
+    kinds, kind = np.unique(value[place], return_inverse=True)
+    listed = np.sort(kind * (len(raw) + 1) + place)
+    own = np.searchsorted(kinds, least[at]) * (len(raw) + 1)
+    many = np.searchsorted(listed, own + end - GRAM, "right") - np.searchsorted(listed, own + at, "left") > 1
+    return least[at], whole, row[at], at - off[row[at]], end - at - span + 1, many
 
 
 def frequent_grams(texts: DataFrame, rows: int) -> np.ndarray:
@@ -235,7 +243,7 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _segment_rows(texts: DataFrame, frequent, span: int) -> DataFrame:
-    """(gram, hash, key, start, windows); the copies of a text that a task has seen are left out."""
+    """(gram, hash, key, start, n windows, many); the copies of a text that a task has seen are left out."""
 
     def run(batches):
         grams, seen = Grams(frequent.value), set()
@@ -246,24 +254,24 @@ def _segment_rows(texts: DataFrame, frequent, span: int) -> DataFrame:
                 if len(seen) > 500_000:
                     seen = set()
                 new = np.array([k not in seen and not seen.add(k) for k in keys[lo:hi].tolist()])
-                g, h, row, start, n = segments(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], grams, span)
+                g, h, row, start, n, many = segments(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], grams, span)
                 keep = new[row]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in (g[keep].view(np.int64), h[keep].view(np.int64), keys[lo:hi][row[keep]], start[keep], n[keep])], ["gram", "hash", "key", "start", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in (g[keep].view(np.int64), h[keep].view(np.int64), keys[lo:hi][row[keep]], start[keep], n[keep], many[keep])], ["gram", "hash", "key", "start", "n", "many"])
 
-    return texts.mapInArrow(run, "gram long, hash long, key long, start long, n long")
+    return texts.mapInArrow(run, "gram long, hash long, key long, start long, n long, many boolean")
 
 
 def _repeating(rows: DataFrame) -> DataFrame:
-    """Rows of grams that occur twice, with ``same`` (rows of an equal segment) and ``all`` (rows of the gram).
+    """Rows of grams that occur twice (in one segment: ``many``), with ``same`` (rows of an equal segment) and ``all`` (rows of the gram).
 
     Grams known to be frequent (below zero) are counted and joined, so that
     Spark may split them; the others are dealt out once.
     """
     cold = rows.where("gram >= 0")
-    cold = cold.withColumns({"same": F.count("*").over(W.partitionBy("gram", "hash")), "all": F.count("*").over(W.partitionBy("gram"))}).where("`all` > 1")
+    cold = cold.withColumns({"same": F.count("*").over(W.partitionBy("gram", "hash")), "all": F.count("*").over(W.partitionBy("gram"))}).where("`all` > 1 OR many")
     hot = rows.where("gram < 0")
-    equal = hot.groupBy("gram", "hash").agg(F.count("*").alias("same"))
-    every = equal.groupBy("gram").agg(F.sum("same").alias("all")).where("`all` > 1")
+    equal = hot.groupBy("gram", "hash").agg(F.count("*").alias("same"), F.max("many").alias("__many"))
+    every = equal.groupBy("gram").agg(F.sum("same").alias("all"), F.max("__many").alias("__any")).where("`all` > 1 OR __any")
     hot = hot.join(equal.join(every, "gram"), ["gram", "hash"]).select(*rows.columns, "same", "all")
     return cold.unionByName(hot)
 
@@ -362,8 +370,8 @@ def repeated_ranges(texts: DataFrame, rows: int, span: int) -> DataFrame:
     frequent = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts, rows))
     found = cut(_repeating(_segment_rows(texts, frequent, span)))
     equal = found.where("same > 1").select("key", "start", (F.col("start") + F.col("n") + (span - 1)).alias("end"))
-    # groups with different segments: one of each, to be sorted
-    mixed = found.where("same < `all`")
+    # groups with different segments, and segments that may repeat in themselves: one of each, to be sorted
+    mixed = found.where("same < `all` OR (same = 1 AND many)")
     one = mixed.groupBy("gram", "hash").agg(F.min(F.struct("key", "start", "n")).alias("s"), F.max("same").alias("same"))
     one = one.select("gram", "s.key", "s.start", "s.n", (F.col("same") == 1).alias("single"))
     each = cut(one.groupBy("key").agg(F.collect_list(F.struct("gram", "single", "start", "n")).alias("segments")))
