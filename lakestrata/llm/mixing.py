@@ -23,12 +23,18 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .base import mix as scramble
 
 MAX_SOURCES = 50_000
 ROUNDS = 24
+MAX_BLOCKS = 200_000
+PIECES = T.ArrayType(T.StructType([T.StructField(n, t()) for n, t in (("epoch", T.IntegerType), ("shard", T.IntegerType), ("place", T.LongType), ("first", T.LongType), ("words", T.LongType))]))
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -90,18 +96,18 @@ def _key(seed: int, source: str | None, r: int) -> int:
     return int.from_bytes(hashlib.blake2b(f"{seed}|{r}|{source!r}".encode(), digest_size=7).digest(), "big")
 
 
-def permuted(i: Column, n: Column, keys: Column) -> Column:
-    """Where a keyed permutation of 0..n-1 puts i: swap-or-not rounds, one key each."""
-
-    def step(x, k):
-        other = F.pmod(F.pmod(k, n) - x, n)
-        return F.when(F.xxhash64(F.greatest(x, other), k).bitwiseAND(1) == 1, other).otherwise(x)
-
-    return F.aggregate(keys, i, step)
+def permuted(i: np.ndarray, n: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where keyed permutations of 0..n-1 put i: swap-or-not rounds, a column of ``keys`` each."""
+    x = i.astype(np.int64)
+    for r in range(keys.shape[1]):
+        other = (keys[:, r] % n - x) % n
+        coin = scramble(np.maximum(x, other).astype(np.uint64) ^ scramble(keys[:, r].astype(np.uint64))) & np.uint64(1)
+        x = np.where(coin == 1, other, x)
+    return x
 
 
-def plan(sized: DataFrame, weights: tuple[float, ...], share: float, most: float, shards: int, seed: int, block: int) -> DataFrame:
-    """One row per source: size, target, blocks, quotas, keys."""
+def plan(sized: DataFrame, weights: tuple[float, ...], share: float, most: float, shards: int, seed: int, block: int) -> dict[str, list]:
+    """By source key: size, target, block width and number, epochs, blocks drawn, words of the last, shard quotas (running sums), keys."""
     per = sized.groupBy("__source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -119,9 +125,7 @@ def plan(sized: DataFrame, weights: tuple[float, ...], share: float, most: float
     dealt = split_tree([r[5] * r[4] + r[6] for r in rows], shards, seed)
     for i, r in enumerate(rows):
         r += [np.cumsum(dealt[:, i]).tolist(), [_key(seed, r[0], k) for k in range(ROUNDS)]]
-    rows = [["" if r[0] is None else f"={r[0]}", *r[1:]] for r in rows]
-    kind = "__s string, source_size long, target double, __width long, __blocks long, __epochs int, __drawn long, __last long, __ends array<long>, __keys array<long>"
-    return sized.sparkSession.createDataFrame(rows, kind)
+    return {"" if r[0] is None else f"={r[0]}": r[1:] for r in rows}
 
 
 def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, shards: int = 64, seed: int = 7, block: int = 1024, carry: list[str] | None = None) -> DataFrame:
@@ -143,7 +147,7 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("__key"),
         F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("__h"),
     )
-    sources = plan(sized, weights, share, most, shards, seed, block)
+    shared = docs.sparkSession.sparkContext.broadcast(plan(sized, weights, share, most, shards, seed, block))
     # offsets in each source's stream: sums of (source, hash slice), then inside a slice
     sized = sized.withColumn("__slice", F.shiftrightunsigned("__h", 52).cast("int"))
     slices = sized.groupBy("__key", "__slice").agg(F.sum("size").alias("__n"))
@@ -152,30 +156,54 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
     inner = F.sum("size").over(W.partitionBy("__key", "__slice").orderBy("__h", "size").rowsBetween(W.unboundedPreceding, -1))
     placed = sized.withColumn("__off", F.coalesce(inner, F.lit(0)))
     placed = placed.join(slices, (F.col("__key") == F.col("__sk")) & (F.col("__slice") == F.col("__sl")), "left")
-    placed = placed.withColumn("__at", F.col("__base") + F.col("__off")).join(F.broadcast(sources), F.col("__key") == F.col("__s"), "left")
-
-    def piece(epoch: Column, b: Column) -> Column:
-        rank = permuted(b, F.col("__blocks"), F.col("__keys"))
-        order = epoch * F.col("__blocks") + rank  # place in the source's queue of blocks
-        lo = F.greatest(b * F.col("__width"), F.col("__at"))
-        hi = F.least((b + 1) * F.col("__width"), F.col("__at") + F.col("size"))
-        # of the last block drawn, only the first words are taken
-        part = (epoch == F.col("__epochs")) & (rank == F.col("__drawn") - 1)
-        hi = F.when(part, F.least(hi, b * F.col("__width") + F.col("__last"))).otherwise(hi)
-        took = (epoch < F.col("__epochs")) | (rank < F.col("__drawn"))
-        return F.when(took & (hi > lo), F.struct(
-            epoch.cast("int").alias("epoch"),
-            F.size(F.filter(F.col("__ends"), lambda e: e <= order)).alias("shard"),
-            F.xxhash64(F.lit(seed), F.col("__key"), b, epoch).alias("place"),
-            (lo - F.col("__at")).alias("first"), (hi - lo).alias("words"),
-        ))
-
-    blocks = F.sequence(F.floor(F.col("__at") / F.col("__width")).cast("long"), F.floor((F.col("__at") + F.col("size") - 1) / F.col("__width")).cast("long"))
-    epochs = F.sequence(F.lit(0).cast("long"), F.col("__epochs").cast("long"))
-    pieces = F.flatten(F.transform(epochs, lambda e: F.array_compact(F.transform(blocks, lambda b: piece(e, b)))))
-    empty = F.array().cast("array<struct<epoch:int,shard:int,place:long,first:long,words:long>>")
-    out = placed.withColumn("pieces", F.when(F.col("size") > 0, pieces).otherwise(empty))
-    return out.select(*carry, "size", "source_size", "target", "pieces")
+    placed = placed.select(*carry, "size", "__key", (F.col("__base") + F.col("__off")).alias("__at"))
+    fields = [*placed.schema.fields[:-2], T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("pieces", PIECES)]
+
+    def run(batches):
+        sources = shared.value
+        for b in batches:
+            size, at = b.column(len(carry)).to_numpy(), b.column(len(carry) + 2).to_numpy()
+            plans = [sources[k] for k in b.column(len(carry) + 1).to_pylist()]
+            lo = 0
+            while lo < len(size):  # so many rows at a time that their blocks fit in memory
+                blocks = np.cumsum([n // p[2] + 2 for n, p in zip(size[lo:].tolist(), plans[lo:], strict=True)])
+                hi = lo + max(1, int(np.searchsorted(blocks, MAX_BLOCKS, "right")))
+                made = pieces_of(size[lo:hi], at[lo:hi], plans[lo:hi])
+                of_source = [pa.array([p[i] for p in plans[lo:hi]], t) for i, t in ((0, pa.int64()), (1, pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in b.columns[: len(carry) + 1]), *of_source, made], [f.name for f in fields])
+                lo = hi
+
+    return placed.mapInArrow(run, T.StructType(fields))
+
+
+def pieces_of(size: np.ndarray, at: np.ndarray, plans: list[list]) -> pa.Array:
+    """Lists of pieces of documents that lie at ``at`` in their sources' streams."""
+    width, blocks, epochs, drawn, last = (np.array([p[i] for p in plans], np.int64) for i in range(2, 7))
+    first = at // width
+    count = np.where(size > 0, (at + size - 1) // width - first + 1, 0)
+    row = np.repeat(np.arange(len(size)), count)
+    b = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    keys = np.array([p[8] for p in plans], np.int64).reshape(len(plans), ROUNDS)
+    rank = permuted(b, blocks[row], keys[row])
+    begin, end = np.maximum(b * width[row], at[row]), np.minimum((b + 1) * width[row], (at + size)[row])
+    found = []
+    for e in range(int(epochs.max(initial=0)) + 1):
+        part = e == epochs[row]
+        stop = np.where(part & (rank == drawn[row] - 1), np.minimum(end, b * width[row] + last[row]), end)
+        got = np.flatnonzero(((e < epochs[row]) | (part & (rank < drawn[row]))) & (stop > begin))
+        found.append((row[got], np.full(len(got), e), b[got], rank[got] + e * blocks[row[got]], begin[got], stop[got]))
+    row, epoch, b, order, begin, stop = (np.concatenate(c) for c in zip(*found, strict=True))
+    by = np.lexsort((b, epoch, row))
+    row, epoch, b, order, begin, stop = (c[by] for c in (row, epoch, b, order, begin, stop))
+    shard = np.zeros(len(row), np.int64)
+    cuts = np.searchsorted(row, np.arange(len(size) + 1))
+    for i in np.flatnonzero(np.diff(cuts)).tolist():
+        shard[cuts[i] : cuts[i + 1]] = np.searchsorted(plans[i][7], order[cuts[i] : cuts[i + 1]], "right")
+    with np.errstate(over="ignore"):
+        place = scramble(scramble(keys[row, 0].astype(np.uint64) + epoch.astype(np.uint64)) ^ b.astype(np.uint64)).view(np.int64)
+    values = [epoch.astype(np.int32), shard.astype(np.int32), place, begin - at[row], stop - begin]
+    structs = pa.StructArray.from_arrays([pa.array(v) for v in values], PIECES.elementType.names)
+    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), structs)
 
 
 def taken() -> Column:

@@ -25,7 +25,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,30 +134,33 @@ def choose_cutoffs(holdout: DataFrame, risk: float = 0.05, error: float = 0.05)
     rules.  One row per (stratum, rule) reaches the test, whatever the input.
     """
     rules = list(RULES)
-    counted = holdout.groupBy("stratum").agg(
-        F.count("*").alias("n"),
-        *(F.sum((rate(r) > c).cast("long")).alias(f"{r}_{c}") for r in rules for c in CUTOFFS),
-    )
-    counted = cut(counted)
-    tests = max(1, counted.count() * len(rules))
-    share, level = risk / len(rules), error / tests
-
-    def decide(frames):
-        for f in frames:
-            out = {"stratum": f["stratum"]}
-            for r in rules:
-                chosen = []
-                for i in range(len(f)):
+    # how many cutoffs a document's rate exceeds, counted per stratum and rule
+    level = lambda r: F.size(F.filter(F.lit(CUTOFFS), lambda c: rate(r) > c))
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("rule"), level(r).alias("level")) for i, r in enumerate(rules))))
+    counted = holdout.select("stratum", each.alias("e")).groupBy("stratum", "e.rule", "e.level").agg(F.count("*").alias("n"))
+    strata = cut(counted.groupBy("stratum").agg(F.collect_list(F.struct("rule", "level", "n")).alias("cells")))
+    tests = max(1, strata.count() * len(rules))
+    share, bound = risk / len(rules), error / tests
+
+    def decide(batches):
+        for b in batches:
+            chosen: list[list] = []
+            for cells in b.column(1).to_pylist():
+                table = np.zeros((len(rules), len(CUTOFFS) + 1), np.int64)
+                for cell in cells:
+                    table[cell["rule"], cell["level"]] = cell["n"]
+                row = []
+                for counts in table:
                     best = None
-                    for c in CUTOFFS:
-                        if binomial_tail(int(f[f"{r}_{c}"].iloc[i]), int(f["n"].iloc[i]), share) > level:
+                    for i, c in enumerate(CUTOFFS):  # loosest first; a rate above cutoff i is above all later ones
+                        if binomial_tail(int(counts[len(CUTOFFS) - i :].sum()), int(counts.sum()), share) > bound:
                             break
                         best = float(c)
-                    chosen.append(best)
-                out[r] = pd.array(chosen, dtype="Float64")
-            yield pd.DataFrame(out)
+                    row.append(best)
+                chosen.append(row)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[i] for r in chosen], pa.float64()) for i in range(len(rules)))], ["stratum", *rules])
 
-    return counted.mapInPandas(decide, "stratum string, " + ", ".join(f"{r} double" for r in rules))
+    return strata.mapInArrow(decide, "stratum string, " + ", ".join(f"{r} double" for r in rules))
 
 
 def judge(stats: DataFrame, labels: DataFrame, risk: float = 0.05, error: float = 0.05) -> DataFrame:
