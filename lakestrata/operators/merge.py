@@ -5,23 +5,18 @@ rows already present are never updated or deleted, duplicates *inside* the
 batch are all inserted (the source is not de-duplicated unless asked), and
 a NULL key never matches, so NULL-key rows are inserted on every run.
 
-Plan, for a target far larger than the batch:
+Plan, for a target far larger than the batch, the same at every size:
 
 * The target side is pruned to the partitions the batch touches (equal
   bodies give equal device times, hence equal partitions), and only its key
   column is read.
-* The target keys are de-duplicated before the shuffle (partial
-  aggregation), so a key repeated in a third of the target costs one row
-  per map task, not one hot reducer.
-* NULL keys bypass the join entirely: they can never match, and routing
-  them through the shuffle would send them all to one reducer.
-* Hot keys of the batch (a body repeated in a large share of the rows) are
-  split off: the batch's keys are counted (partial aggregation collapses
-  the copies map-side), keys with at least ``N / MAX_HOT_KEYS`` copies are
-  at most MAX_HOT_KEYS rows and are broadcast; their rows are resolved by
-  broadcast joins without a shuffle, the rest by the (shuffled or
-  bucketed) anti-join.  AQE skew handling cannot split a join whose other
-  side is a bucketed scan, hence the explicit split.
+* The batch's distinct keys (combined map-side, so a body copied into a
+  third of the batch costs a row per task) are anti-joined with the
+  target; the bucketed target scan is not shuffled.
+* The batch's rows are then semi-joined with the keys found new.  Both
+  sides are ordinary shuffles, so adaptive execution splits a hot key.
+* NULL keys bypass the joins: they can never match, and routing them
+  through a shuffle would send them all to one reducer.
 """
 
 from __future__ import annotations
@@ -31,87 +26,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# More distinct partitions than this in one batch: skip the pruning filter
-# (still exact, only reads more of the target).
-MAX_PRUNED_PARTITIONS = 5000
-# Upper bound on the number of hot keys split off (and broadcast).
-MAX_HOT_KEYS = 1000
-# Batches smaller than this are not worth the extra counting pass.
-MIN_ROWS_FOR_SKEW_SPLIT = 1_000_000
-
-
-def partition_filter(values: list, cols: list[str]) -> Column:
-    """OR of the given partition value rows (NULL-safe); FALSE for none."""
-    cond = None
-    for row in values:
-        clause = None
-        for c in cols:
-            v = row[c]
-            term = F.col(c).isNull() if v is None else (F.col(c) == F.lit(v))
-            clause = term if clause is None else clause & term
-        cond = clause if cond is None else cond | clause
-    return cond if cond is not None else F.lit(False)
-
-
-def batch_stats(batch: DataFrame, key: str, partition_cols: Sequence[str] | None) -> tuple[Column | None, int | None]:
-    """One job over the batch: (filter for its target partitions, its non-NULL key count).
-
-    The partition values are a handful of rows (one per month touched),
-    bounded by MAX_PRUNED_PARTITIONS; beyond that the pruning is skipped
-    (filter None) and the count is left to the caller (None).
-    """
-    cols = list(partition_cols or [])
-    if not cols:
-        return None, batch.agg(F.count(key).alias("_n")).first()["_n"]
-    stats = batch.groupBy(*cols).agg(F.count(key).alias("_n")).limit(MAX_PRUNED_PARTITIONS + 1).collect()
-    if len(stats) > MAX_PRUNED_PARTITIONS:
-        return None, None
-    return partition_filter(stats, cols), sum(r["_n"] for r in stats)
+# A batch that touches more partitions than this is refused: the batch would
+# write as many folders, and their names pass through the driver.
+MAX_BATCH_PARTITIONS = 100_000
 
 
-def batch_partitions_filter(batch: DataFrame, partition_cols: Sequence[str]) -> Column | None:
-    """A filter selecting the target partitions present in ``batch`` (None: too many)."""
-    return batch_stats(batch, batch.columns[0], partition_cols)[0]
+def partition_key(cols: Sequence[str]) -> Column:
+    """A text that tells partitions apart, NULL values included."""
+    return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("(null)")) for c in cols])
 
 
-def hot_keys(keyed: DataFrame, key: str, rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys holding at least ``rows / max_keys`` of the ``rows`` batch rows.
+def touched_partitions(target: DataFrame, batch: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` in partitions that ``batch`` has rows for.
 
-    At most ``max_keys`` keys can reach that share, so the result has a
-    proven bound and may be broadcast.
+    One membership test on partition columns: the scan lists only these.
     """
-    threshold = max(2, -(-rows // max_keys))
-    return keyed.groupBy(key).count().filter(F.col("count") >= threshold).select(key)
+    keys = batch.select(partition_key(cols).alias("k")).distinct().limit(MAX_BATCH_PARTITIONS + 1).collect()
+    if len(keys) > MAX_BATCH_PARTITIONS:
+        raise ValueError(f"a batch touches more than {MAX_BATCH_PARTITIONS} partitions")
+    return target.filter(partition_key(cols).isin([r["k"] for r in keys]))
 
 
 def new_rows(source: DataFrame, target: DataFrame, key: str = "rowhash",
-             partition_cols: Sequence[str] | None = None, dedup_source: bool = False,
-             skew_split: bool | None = None) -> DataFrame:
+             partition_cols: Sequence[str] | None = None, dedup_source: bool = False) -> DataFrame:
     """Source rows to insert: key NULL, or key absent from the target.
 
-    ``skew_split``: split off the batch's hot keys (default: for batches of
-    at least MIN_ROWS_FOR_SKEW_SPLIT rows; counting costs one extra pass).
+    ``dedup_source``: one row per key of the batch.
     """
     k = F.col(key)
-    prune, rows = batch_stats(source, key, partition_cols)
-    if prune is not None:
-        target = target.filter(prune)
-    existing = target.select(key).filter(k.isNotNull()).distinct()
+    if partition_cols:
+        target = touched_partitions(target, source, partition_cols)
     keyed = source.filter(k.isNotNull())
+    existing = target.select(key).filter(k.isNotNull())
+    fresh = keyed.select(key).distinct().join(existing, on=key, how="left_anti")
     if dedup_source:
         keyed = keyed.dropDuplicates([key])
-    nulls = source.filter(k.isNull())
-    if skew_split is not False and (rows is None or dedup_source):
-        rows = keyed.count()
-    if skew_split is None:
-        skew_split = rows >= MIN_ROWS_FOR_SKEW_SPLIT
-    if not skew_split or rows == 0:
-        return keyed.join(existing, on=key, how="left_anti").unionByName(nulls)
-    hot = F.broadcast(hot_keys(keyed, key, rows))
-    hot_existing = F.broadcast(existing.join(hot, on=key, how="left_semi"))
-    fresh_hot = keyed.join(hot, on=key, how="left_semi").join(hot_existing, on=key, how="left_anti")
-    fresh_cold = keyed.join(hot, on=key, how="left_anti").join(existing, on=key, how="left_anti")
-    return fresh_cold.unionByName(fresh_hot).unionByName(nulls)
+    return keyed.join(fresh, on=key, how="left_semi").unionByName(source.filter(k.isNull()))
 
 
 def insert_new_sql(spark, target_table: str, source: DataFrame, key: str = "rowhash",

@@ -19,21 +19,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.operators import bronze, diagnosis, gold, merge, silver
-from lakestrata.plans.tables import Lakehouse, TableSpec, dynamic_partition_overwrite
+from lakestrata.plans.tables import Lakehouse, TableSpec
+from lakestrata.session import require
 from lakestrata.sources import eventlog
 
 # Bucket count of the history tables, fixed when a table is created.  Size
 # it so that one day's batch gives buckets of a few hundred MB: about 270 GB
 # of bronze a day (100 TB a year) -> 256-1024 buckets.
 DEFAULT_BUCKETS = 256
-# A load cannot precede the enqueue time of what it loads; this much clock
-# difference between the log and the cluster is tolerated when the load
-# index prunes bronze partitions.
-LOAD_CLOCK_SLACK = dt.timedelta(days=1)
+# Bronze columns that the silver step reads.
+SILVER_INPUT = ("enqueuedTime", "body", "templateName", "deviceId", "loadDatetime", "rowhash")
 # Device types processed concurrently by the daily batch.
 DEFAULT_PARALLEL_TYPES = 4
-# More touched dates than this in one batch: rebuild the daily counts fully.
-MAX_TOUCHED_DATES = 5000
 
 
 @dataclass
@@ -43,7 +40,7 @@ class Layout:
     buckets: int = DEFAULT_BUCKETS
     silver_buckets: int | None = None  # default: same as bronze
     bronze: str = "bronze"
-    scratch: str = "mergetemptable"
+    scratch: str = "bronze_staging"
     silver_prefix: str = "silver"
     gold_prefix: str = "gold"
 
@@ -72,6 +69,10 @@ class Layout:
     def severity_spec(self, device_type: str) -> TableSpec:
         return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}_Severity")
 
+    def pending_spec(self, device_type: str) -> TableSpec:
+        """Device dates whose silver rows may have changed since gold was built."""
+        return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}_pending")
+
     def daily_counts_spec(self, device_type: str) -> TableSpec:
         return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}_daily", ("date",))
 
@@ -121,10 +122,11 @@ def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=Non
     """Bounded event-log read -> bronze, insert-only on rowhash.
 
     The enriched batch is staged once to the scratch table (the log is read
-    once; the merge and the range report read the stage).  A new bronze
-    table is created from the whole batch; the merge then runs in every
-    case, so - as with MERGE after the first write - NULL-hash rows are
-    added again.  Returns the batch range report (one row).
+    once; the merge and the range report read the stage), which is emptied
+    at the end.  A new bronze table is created from the whole batch; the
+    merge then runs in every case, so - as with MERGE after the first write -
+    NULL-hash rows are added again.  Returns the batch range report (one
+    row, computed here: the stage does not outlive the call).
     """
     layout = layout or Layout()
     batch = bronze.enrich(eventlog.spread(eventlog.bounded(events, start, end)), load_ts)
@@ -134,51 +136,59 @@ def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=Non
     # Index first: a failure after it leaves a superset of partitions indexed.
     record_load(lh, staged, layout)
     merge_into(lh, layout.bronze_spec(), staged, dedup_source=dedup_source)
-    return bronze.range_report(staged)
+    report = bronze.range_report(staged)
+    report = lh.spark.createDataFrame(report.collect(), report.schema)
+    lh.truncate(scratch)
+    return report
 
 
 def record_load(lh: Lakehouse, batch: DataFrame, layout: Layout | None = None) -> None:
-    """Append the load index: bronze partitions touched per load time (a few rows)."""
+    """Append to the load index: bronze partitions touched, with their span of hub time.
+
+    A bronze table older than its index is indexed whole the first time, so
+    the index always covers every row.
+    """
     layout = layout or Layout()
-    index = batch.groupBy("loadDatetime", *bronze.PARTITION_COLS).agg(F.count(F.lit(1)).alias("rows"))
-    lh.append(layout.loads_spec(), index)
+
+    def index(rows: DataFrame) -> DataFrame:
+        t = F.col("enqueuedTime").cast("timestamp")
+        return rows.groupBy(*bronze.PARTITION_COLS).agg(
+            F.min(t).alias("from_time"), F.max(t).alias("to_time"), F.count(F.lit(1)).alias("rows"))
+
+    spec = layout.loads_spec()
+    if not lh.exists(spec) and lh.exists(layout.bronze_spec()):
+        lh.append(spec, index(lh.read(layout.bronze_spec())))
+    lh.append(spec, index(batch))
 
 
-def bronze_window(lh: Lakehouse, start: dt.datetime, device_types: list[str],
+def bronze_window(lh: Lakehouse, start: dt.datetime | None, device_types: list[str],
                   layout: Layout | None = None) -> DataFrame:
-    """Bronze rows with hub time ``>= start`` of the given types.
-
-    Bronze is partitioned by device time, the window is on hub time.  A row
-    enqueued at ``t >= start`` was loaded at ``L >= t``, so only partitions
-    that a load at ``L >= start - LOAD_CLOCK_SLACK`` touched can hold window
-    rows; the load index names them and the read is partition-pruned.
-    Without an index (or with too many partitions) bronze is read whole,
-    relying on Parquet statistics for the time filter.
+    """Bronze rows with hub time ``>= start`` of the given types; no start: all rows.
+
+    Bronze is partitioned by device time, the window is on hub time.  The
+    load index keeps the span of hub time of each load's partitions; only
+    partitions with a row at ``start`` or later are read.  Without an index
+    bronze is read whole, relying on Parquet statistics for the time filter.
     """
     layout = layout or Layout()
     table = lh.read(layout.bronze_spec())
-    if lh.exists(layout.loads_spec()):
-        since = F.lit((start - LOAD_CLOCK_SLACK).isoformat(sep=" ")).cast("timestamp")
-        touched = (
-            lh.read(layout.loads_spec()).filter(F.col("loadDatetime") >= since)
-            .select(*bronze.PARTITION_COLS).distinct().limit(merge.MAX_PRUNED_PARTITIONS + 1).collect()
-        )
-        if len(touched) <= merge.MAX_PRUNED_PARTITIONS:
-            table = table.filter(merge.partition_filter(touched, list(bronze.PARTITION_COLS)))
+    if start is not None and lh.exists(layout.loads_spec()):
+        late = F.col("to_time") >= F.lit(start.isoformat(sep=" ")).cast("timestamp")
+        table = merge.touched_partitions(table, lh.read(layout.loads_spec()).filter(late), bronze.PARTITION_COLS)
     return silver.select_types(eventlog.incremental(table, start), device_types)
 
 
 def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
-                  layout: Layout | None = None, diagnose: bool = False, dedup_flags: bool = False,
-                  want_dates: bool = True) -> dict:
+                  layout: Layout | None = None, diagnose: bool = False, dedup_flags: bool = False) -> bool:
     """Bronze rows (already windowed) -> flags (appended) + silver (merged).
 
     The parse is persisted once and read by the flags, the silver rows and
     (optionally) the field diagnosis.  Flags are appended on every run, so
     overlapping windows repeat a ``(type, device, load date)``;
-    ``dedup_flags`` appends only triples the flags table lacks.  With
-    ``want_dates`` the device dates of the batch are returned (bounded) for
-    the incremental gold step.
+    ``dedup_flags`` appends only triples the flags table lacks.  The device
+    dates of the batch are noted as pending for gold *before* silver is
+    written, so a run that dies in between is made good by the next one.
+    Returns whether flags were written.
     """
     layout = layout or Layout()
     parsed = silver.parse(silver.select_types(bronze_window, device.name), device.telemetry)
@@ -187,10 +197,7 @@ def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
         flags = silver.flags(parsed)
         if dedup_flags and lh.exists(layout.flags_spec()):
             # Only the batch's load dates can match (a handful of partitions).
-            dates = flags.select("load_date").distinct().limit(MAX_TOUCHED_DATES + 1).collect()
-            seen = lh.read(layout.flags_spec())
-            if len(dates) <= MAX_TOUCHED_DATES:
-                seen = seen.filter(merge.partition_filter(dates, ["load_date"]))
+            seen = merge.touched_partitions(lh.read(layout.flags_spec()), flags, ["load_date"])
             same = [flags[c].eqNullSafe(seen[c]) for c in flags.columns]
             cond = same[0]
             for c in same[1:]:
@@ -201,85 +208,82 @@ def refine_silver(lh: Lakehouse, bronze_window: DataFrame, device: DeviceType,
             lh.append(layout.flag_detail_spec(),
                       diagnosis.diagnose_as_detail(diagnosis.diagnose(parsed, device.telemetry)))
         rows = silver.rows(parsed)
+        if device.gold_field is not None:
+            lh.append(layout.pending_spec(device.name), rows.select("Device_Date").distinct().coalesce(1))
         merge_into(lh, layout.silver_spec(device.name), rows, null_keys=False)
-        dates = None
-        if want_dates:
-            dates = rows.select("Device_Date").distinct().limit(MAX_TOUCHED_DATES + 1).collect()
     finally:
         parsed.unpersist()
-    touched = None if dates is None or len(dates) > MAX_TOUCHED_DATES else [r["Device_Date"] for r in dates]
-    return {"flags": wrote_flags, "dates": touched}
-
-
-def _dates_filter(dates: list) -> F.Column:
-    known = [d for d in dates if d is not None]
-    cond = F.col("Device_Date").isin(known) if known else F.lit(False)
-    return cond | F.col("Device_Date").isNull() if None in dates else cond
+    return wrote_flags
 
 
 def build_gold(lh: Lakehouse, device: DeviceType, as_of: str | dt.date | None = None,
-               layout: Layout | None = None, touched_dates: list | None = None) -> None:
+               layout: Layout | None = None, full: bool = False) -> None:
     """Silver -> daily counts -> gold counts and gold severity.
 
     The daily counts (one row per device and day: total, anomaly-predicate
-    and value-class counts) are kept in a table partitioned by date.  With
-    ``touched_dates`` (the device dates of this run's silver batch) only those
-    dates are recomputed from silver - a partition-pruned read - and their
-    partitions replaced; any date whose silver rows changed is among them,
-    so the table stays exact.  Without them, or on the first run, it is
-    rebuilt from all of silver.  Gold counts and severity (which depends on
+    and value-class counts) are kept in a table partitioned by date.  The
+    pending device dates - noted before any silver write, cleared here after
+    gold is written - are recomputed from silver (a partition-pruned read)
+    and their partitions replaced.  A run that failed leaves its dates
+    pending, so the table stays exact.  ``full``, or the first run, rebuilds
+    it from all of silver.  Gold counts and severity (which depends on
     ``as_of``) are then projections of the small daily table, overwritten.
     """
     layout = layout or Layout()
     if device.gold_field is None:
         return
     as_of = as_of or dt.date.today()
-    spec = layout.daily_counts_spec(device.name)
+    spec, pending = layout.daily_counts_spec(device.name), layout.pending_spec(device.name)
     silver_df = lh.read(layout.silver_spec(device.name))
-    if touched_dates is None or not lh.exists(spec):
+    if full or not lh.exists(spec) or not lh.exists(pending):
         daily = gold.daily_counts(gold.readings(silver_df, device.gold_field), device.large_threshold)
         lh.overwrite(spec, daily)
-    elif touched_dates:
-        part = silver_df.filter(_dates_filter(touched_dates))
+    else:
+        part = merge.touched_partitions(silver_df, lh.read(pending), ["Device_Date"])
         daily = gold.daily_counts(gold.readings(part, device.gold_field), device.large_threshold)
         lh.replace_partitions(spec, daily)
     daily = lh.read(spec)
     lh.overwrite(layout.gold_spec(device.name), gold.counts_from_daily(daily))
     sev = gold.severity(gold.class_rows_from_daily(daily), as_of, device.rows_per_day)
     lh.overwrite(layout.severity_spec(device.name), sev)
+    lh.truncate(pending)
 
 
 def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType] | list[DeviceType],
               minutes: int = 3000, as_of: dt.datetime | None = None, load_ts=None,
               layout: Layout | None = None, diagnose: bool = False,
-              parallel_types: int = DEFAULT_PARALLEL_TYPES, dedup_flags: bool = False) -> BatchResult:
+              parallel_types: int = DEFAULT_PARALLEL_TYPES, dedup_flags: bool = False,
+              start: dt.datetime | None = None, full_refresh: bool = False) -> BatchResult:
     """K7: ingest the last ``minutes`` up to ``as_of``, then silver and gold per type.
 
+    ``start`` gives the window's begin itself instead of ``minutes``.
+    ``full_refresh`` lets silver read all of bronze and rebuilds gold.
+
     Bronze is read once for all types: filtered to the window and the known
     types, persisted, and parsed per type from there.  The per-type jobs are
     independent (own tables) and are submitted from up to
     ``parallel_types`` threads, so small types do not leave the cluster idle.
     """
+    require(lh.spark)
     layout = layout or Layout()
     devices = list(devices.values()) if isinstance(devices, Mapping) else list(devices)
     as_of = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    start = as_of - dt.timedelta(minutes=minutes)
+    start = start or as_of - dt.timedelta(minutes=minutes)
     report = ingest_bronze(lh, events, start, as_of, load_ts, layout)
-    window = bronze_window(lh, start, [d.name for d in devices], layout).persist(StorageLevel.MEMORY_AND_DISK)
+    window = bronze_window(lh, None if full_refresh else start, [d.name for d in devices], layout)
+    # Only what silver and the flags read is kept, dealt out by type.
+    window = window.select(*[c for c in window.columns if c in SILVER_INPUT]).persist(StorageLevel.MEMORY_AND_DISK)
 
     def one_type(device: DeviceType) -> dict:
-        # Touched dates matter only once the daily counts exist (else: full build).
-        want = device.gold_field is not None and lh.exists(layout.daily_counts_spec(device.name))
-        done = refine_silver(lh, window, device, layout, diagnose, dedup_flags, want_dates=want)
-        build_gold(lh, device, as_of.date(), layout, done["dates"])
-        return done
+        flagged = refine_silver(lh, window, device, layout, diagnose, dedup_flags)
+        build_gold(lh, device, as_of.date(), layout, full_refresh)
+        return {"flags": flagged}
 
     try:
-        with dynamic_partition_overwrite(lh.spark):
-            workers = max(1, min(parallel_types, len(devices)))
-            with ThreadPoolExecutor(max_workers=workers) as pool:
-                futures = {d.name: pool.submit(one_type, d) for d in devices}
-                written = {name: f.result() for name, f in futures.items()}
+        workers = max(1, min(parallel_types, len(devices)))
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            futures = {d.name: pool.submit(one_type, d) for d in devices}
+            written = {name: f.result() for name, f in futures.items()}
     finally:
         window.unpersist()
     return BatchResult(report, written)
@@ -313,7 +317,6 @@ def backfill(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType]
     lower = start
     while lower < end:
         upper = min(lower + dt.timedelta(minutes=slice_minutes), end)
-        minutes = int((upper - lower).total_seconds() // 60)
-        results.append(run_daily(lh, events, devices, minutes, upper, **kwargs))
+        results.append(run_daily(lh, events, devices, as_of=upper, start=lower, **kwargs))
         lower = upper
     return results

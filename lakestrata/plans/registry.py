@@ -265,7 +265,7 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_types(spark, sf_dir):
     """Device types discovered by a streaming run over the whole log."""
     configure(spark)
-    query, out = ingest.discover_types(_events_stream(spark, sf_dir))
+    query, out = ingest.discover_types(_events_stream(spark, sf_dir), f"{scratch_path(spark, 'types')}/_checkpoint")
     query.awaitTermination()
     return spark.read.parquet(out).select("TemplateName").distinct()
 
@@ -273,7 +273,7 @@ def q_stream_types(spark, sf_dir):
 def q_stream_types_unknown(spark, sf_dir):
     """Types discovered by the stream that the known list lacks (Q5 on a stream)."""
     configure(spark)
-    query, out = ingest.discover_types(_events_stream(spark, sf_dir))
+    query, out = ingest.discover_types(_events_stream(spark, sf_dir), f"{scratch_path(spark, 'types')}/_checkpoint")
     query.awaitTermination()
     seen = spark.read.parquet(out).select("TemplateName").distinct()
     return inventory.seen_not_known(seen, inventory.known_types(spark, KNOWN_TYPES))

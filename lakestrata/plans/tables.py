@@ -13,10 +13,10 @@ whose folder holds data but which the (session-scoped) catalog lacks.
 
 from __future__ import annotations
 
+import copy
 import re
 import threading
 from collections import defaultdict
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -32,28 +32,8 @@ class TableSpec:
     buckets: int = 0
 
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
-@contextmanager
-def dynamic_partition_overwrite(spark: SparkSession):
-    """Overwrites replace only the partitions written (restored afterwards).
-
-    Leaves the setting alone when it is already dynamic, so that jobs run
-    from several threads inside one such block never toggle it.
-    """
-    before = spark.conf.get(_OVERWRITE_MODE, None)
-    if before is not None and before.lower() == "dynamic":
-        yield
-        return
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_OVERWRITE_MODE)
-        else:
-            spark.conf.set(_OVERWRITE_MODE, before)
+class TableSchemaError(ValueError):
+    """A batch whose columns cannot be stored in the table."""
 
 
 def _ident(name: str) -> str:
@@ -63,7 +43,7 @@ def _ident(name: str) -> str:
 class Lakehouse:
     """Tables under one root folder and one catalog database."""
 
-    def __init__(self, spark: SparkSession, root: str, database: str = "iot"):
+    def __init__(self, spark: SparkSession, root: str, database: str = "lakestrata"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
@@ -76,6 +56,16 @@ class Lakehouse:
         # session's warehouse folder, which may be machine-local.
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)} LOCATION '{self.root}/_catalog/{database}.db'")
 
+    def bound_to(self, spark: SparkSession) -> "Lakehouse":
+        """The same tables (and locks) seen from another session.
+
+        The frames of a streaming micro-batch belong to a session of their
+        own, whose file listings differ from the starting session's.
+        """
+        other = copy.copy(self)
+        other.spark = spark
+        return other
+
     def _lock(self, name: str) -> threading.RLock:
         with self._locks_guard:
             return self._locks[name]
@@ -120,6 +110,11 @@ class Lakehouse:
         spec = spec if isinstance(spec, TableSpec) else TableSpec(spec)
         if not self.exists(spec):
             raise AnalysisException(f"table {spec.name} does not exist")  # type: ignore[call-arg]
+        return self._current(spec)
+
+    def _current(self, spec: TableSpec) -> DataFrame:
+        """The table with its files listed anew: another session may have written."""
+        self.spark.catalog.refreshTable(self.fq(spec.name))
         return self.spark.table(self.fq(spec.name))
 
     def preview(self, spec: TableSpec | str, n: int = 100) -> DataFrame:
@@ -156,6 +151,7 @@ class Lakehouse:
     def create(self, spec: TableSpec, df: DataFrame, mode: str = "overwrite") -> None:
         """Write ``df`` as the table (``mode='errorifexists'`` refuses an existing one)."""
         writer = self._bucketed(spec, df).write.format("parquet").mode(mode).option("path", self.path(spec.name))
+        writer = writer.option("partitionOverwriteMode", "static")  # whatever the session says: all rows go
         if spec.partition_by:
             writer = writer.partitionBy(*spec.partition_by)
         if spec.bucket_by and spec.buckets:
@@ -171,14 +167,38 @@ class Lakehouse:
             self.create(spec, df)
             return True
 
+    def _aligned(self, spec: TableSpec, df: DataFrame) -> DataFrame:
+        """``df`` in the table's columns; columns the table lacks are added to it.
+
+        Older rows read NULL in an added column, and a column that the batch
+        lacks is NULL in its rows.  A column of another type is refused: a
+        silent cast could lose values.
+        """
+        table = self._current(spec)
+        have = {f.name.lower(): f for f in table.schema.fields}
+        given = {f.name.lower(): f for f in df.schema.fields}
+        for key, f in given.items():
+            if key in have and have[key].dataType != f.dataType:
+                raise TableSchemaError(f"{spec.name}.{f.name}: {f.dataType.simpleString()} given, "
+                                       f"{have[key].dataType.simpleString()} stored")
+        added = [f for key, f in given.items() if key not in have]
+        if added:
+            cols = ", ".join(f"{_ident(f.name)} {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.fq(spec.name)} ADD COLUMNS ({cols})")
+            table = self._current(spec)
+        return df.select(*[
+            F.col(given[f.name.lower()].name).alias(f.name) if f.name.lower() in given
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in table.schema.fields
+        ])
+
     def append(self, spec: TableSpec, df: DataFrame) -> None:
-        """Append by column name (creating the table when absent)."""
+        """Append by column name (creating the table when absent, adding new columns)."""
         with self._lock(spec.name):
             if not self.exists(spec):
                 self.create(spec, df)
                 return
-            columns = self.spark.table(self.fq(spec.name)).columns
-            self._bucketed(spec, df).select(*columns).write.insertInto(self.fq(spec.name))
+            self._bucketed(spec, self._aligned(spec, df)).write.insertInto(self.fq(spec.name))
 
     def append_if_rows(self, spec: TableSpec, df: DataFrame) -> bool:
         """Append only a non-empty batch; True when something was written."""
@@ -188,31 +208,40 @@ class Lakehouse:
         return True
 
     def replace_partitions(self, spec: TableSpec, df: DataFrame) -> None:
-        """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
+        """Replace exactly the partitions present in ``df``.
+
+        The mode is an option of this one write, not of the session (which
+        other threads share); ``insertInto`` knows no such option, hence the
+        write by path.
+        """
+        if spec.bucket_by:
+            raise TableSchemaError(f"{spec.name}: partitions of a bucketed table cannot be replaced by path")
         with self._lock(spec.name):
             if not self.exists(spec):
                 self.create(spec, df)
                 return
-            columns = self.spark.table(self.fq(spec.name)).columns
-            with dynamic_partition_overwrite(self.spark):  # insertInto ignores the per-write option
-                self._bucketed(spec, df).select(*columns).write.insertInto(self.fq(spec.name), overwrite=True)
+            (self._bucketed(spec, self._aligned(spec, df)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by).parquet(self.path(spec.name)))
+            self.spark.sql(f"ALTER TABLE {self.fq(spec.name)} RECOVER PARTITIONS")
+            self.spark.catalog.refreshTable(self.fq(spec.name))
 
     def overwrite(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace the table's content (the plan must not read this table)."""
         self.create(spec, df, mode="overwrite")
 
     def drop(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(name)}")
+        """Drop the table with its data: it must not come back when attached again."""
+        with self._lock(name):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(name)}")
+            jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+            path.getFileSystem(conf).delete(path, True)
 
     def truncate(self, spec: TableSpec) -> None:
         """Empty the table, keeping its schema."""
-        try:
-            self.spark.sql(f"TRUNCATE TABLE {self.fq(spec.name)}")
-        except AnalysisException:
-            # External tables refuse TRUNCATE: overwrite with no rows of the
-            # same schema (built from the schema, so the plan reads nothing).
-            schema = self.spark.table(self.fq(spec.name)).schema
-            self.create(spec, self.spark.createDataFrame([], schema))
+        with self._lock(spec.name):
+            if self.exists(spec):
+                self.create(spec, self.spark.createDataFrame([], self._current(spec).schema))
 
     def size_in_bytes(self, name: str) -> int | None:
         """Table size from catalog statistics (computed without a scan)."""

@@ -43,11 +43,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require(spark: SparkSession) -> None:
+    """Refuse a session whose settings would give other partitions or flags."""
+    wrong = {k: v for k, v in REQUIRED_CONF.items() if (spark.conf.get(k, None) or "").lower() != v.lower()}
+    if wrong:
+        raise ValueError(f"settings the results depend on (see lakestrata.configure): {wrong}")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Falls back to a fresh local folder only when the session names none
-    (local tests); on a cluster the setting must point at shared storage.
+    A fresh local folder is made only for a local master that names none
+    (tests); a cluster without the setting gets an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -57,8 +64,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")

@@ -28,22 +28,20 @@ def _ts(value: TimeLike) -> Column:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a source with fewer splits than cores over all cores.
+    """Spread a source of fewer files than cores over all cores.
 
     The per-row work after a scan (JSON parsing, hashing) runs in the scan's
-    tasks.  A source of a few unsplittable files would run it on a few
-    cores; a round-robin repartition of the raw rows fixes that.  A large
-    source already has at least as many splits as cores and is returned
-    unchanged (no shuffle).
+    tasks; a source of a few files may give only a few.  The file list is
+    read from the plan: nothing is executed, and plans over other sources
+    than files are left as they are.
     """
     if df.isStreaming:
         return df
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # a session without RDD access (Spark Connect): leave as is
+    except Exception:  # a session without a SparkContext (Spark Connect)
         return df
-    return df if have >= want else df.repartition(want)
+    return df.repartition(want) if 0 < len(df.inputFiles()) < want else df
 
 
 def with_string_body(df: DataFrame) -> DataFrame:

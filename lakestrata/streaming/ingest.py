@@ -1,21 +1,24 @@
 """Structured Streaming forms of the bronze ingest and the type discovery.
 
-* :func:`discover_types` - distinct device types seen on the log
-  (``dropDuplicates`` on the name: state holds one row per type).
+* :func:`discover_types` - distinct device types seen on the log, each
+  written once: a micro-batch is reduced map-side, then compared with the
+  types already in the sink.
 * :func:`start_bronze_ingest` - each micro-batch is enriched and merged
   insert-only into bronze through ``foreachBatch``; a replayed batch adds
-  nothing, so the sink is idempotent on ``rowhash``.
+  no non-NULL body again (NULL bodies have no key, and are added as often
+  as they are read).
 * :func:`dedup_within_watermark` - the state-store alternative: drop
   repeated bodies seen within the watermark delay.
 
-Checkpoints and sinks live under the shared ``spark.checkpoint.dir``
-unless the caller names other shared locations.
+A stream's checkpoint is always named by the caller: a new one would read
+the log again from its start.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,56 +37,71 @@ def _trigger(writer, available_now: bool, processing_time: str | None):
     return writer
 
 
-def types_stream(stream: DataFrame) -> DataFrame:
-    """Distinct template names of a message stream (append mode)."""
-    parsed = stream.select(
+def types_of(messages: DataFrame) -> DataFrame:
+    """Distinct template names of messages (combined map-side in a batch)."""
+    parsed = messages.select(
         F.from_json(F.col("body").cast("string"), "templateName string").getField("templateName").alias("TemplateName")
     )
-    return parsed.dropDuplicates(["TemplateName"])
+    return parsed.distinct()
 
 
-def discover_types(stream: DataFrame, sink_path: str | None = None, checkpoint: str | None = None,
+def discover_types(stream: DataFrame, checkpoint: str, sink_path: str | None = None,
                    available_now: bool = True, processing_time: str | None = None,
-                   sink: str = "parquet", query_name: str = "distinct_templates") -> tuple[StreamingQuery, str]:
-    """Write the distinct device types of the stream to a sink.
+                   sink: str = "parquet", query_name: str = "device_types_seen") -> tuple[StreamingQuery, str]:
+    """Write the distinct device types of the stream to a sink, each once.
 
-    ``sink="parquet"`` (default) writes files under ``sink_path`` and returns
+    ``sink="parquet"`` (default) appends files under ``sink_path`` and returns
     their path; ``sink="memory"`` keeps the rows in the in-memory table
-    ``query_name`` (the result is one row per type) and returns that name.
+    ``query_name`` and returns that name (a stateful distinct: for tests and
+    small logs, since it shuffles the rows on the type).
     """
     spark = stream.sparkSession
-    sink_path = sink_path or scratch_path(spark, "types")
-    checkpoint = checkpoint or f"{sink_path}/_checkpoint"
-    writer = types_stream(stream).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if sink == "memory":
-        writer, where = writer.format("memory").queryName(query_name), query_name
+        names = types_of(stream).writeStream.outputMode("append")
+        writer, where = names.format("memory").queryName(query_name), query_name
     else:
-        writer, where = writer.format(sink).option("path", f"{sink_path}/data"), f"{sink_path}/data"
-    return _trigger(writer, available_now, processing_time).start(), where
+        where = f"{sink_path or scratch_path(spark, 'types')}/data"
 
+        def write(batch: DataFrame, batch_id: int) -> None:
+            seen, session = types_of(batch), batch.sparkSession
+            try:
+                known = session.read.parquet(where).withColumnRenamed("TemplateName", "known")
+                seen = seen.join(known, F.col("TemplateName").eqNullSafe(F.col("known")), "left_anti")
+            except AnalysisException:  # nothing written yet
+                pass
+            seen.coalesce(1).write.mode("append").parquet(where)
 
-def bronze_batch_writer(lh: Lakehouse, layout: Layout | None = None, load_ts=None) -> Callable[[DataFrame, int], None]:
+        writer = stream.writeStream.foreachBatch(write)
+    return _trigger(writer.option("checkpointLocation", checkpoint), available_now, processing_time).start(), where
+
+
+def bronze_batch_writer(lh: Lakehouse, layout: Layout | None = None, load_ts=None,
+                        dedup_source: bool = False) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: enrich the micro-batch and merge it into bronze."""
     layout = layout or Layout()
     spec = layout.bronze_spec()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        tables = lh.bound_to(batch.sparkSession)
         enriched = bronze.enrich(batch, load_ts).persist()
         try:
-            record_load(lh, enriched, layout)  # index first (see ingest_bronze)
-            merge_into(lh, spec, enriched)
+            record_load(tables, enriched, layout)  # index first (see ingest_bronze)
+            merge_into(tables, spec, enriched, dedup_source=dedup_source)
         finally:
             enriched.unpersist()
 
     return write
 
 
-def start_bronze_ingest(stream: DataFrame, lh: Lakehouse, checkpoint: str | None = None,
+def start_bronze_ingest(stream: DataFrame, lh: Lakehouse, checkpoint: str,
                         layout: Layout | None = None, load_ts=None, available_now: bool = True,
-                        processing_time: str | None = None) -> StreamingQuery:
-    """Micro-batch bronze ingest: ``foreachBatch`` + insert-only merge."""
-    checkpoint = checkpoint or scratch_path(stream.sparkSession, "bronze-stream-checkpoint")
-    writer = stream.writeStream.foreachBatch(bronze_batch_writer(lh, layout, load_ts)).option(
+                        processing_time: str | None = None, dedup_source: bool = False) -> StreamingQuery:
+    """Micro-batch bronze ingest: ``foreachBatch`` + insert-only merge.
+
+    ``dedup_source`` also keeps one row per body within a micro-batch, which
+    makes the whole log's non-NULL bodies distinct, however late a copy is.
+    """
+    writer = stream.writeStream.foreachBatch(bronze_batch_writer(lh, layout, load_ts, dedup_source)).option(
         "checkpointLocation", checkpoint
     )
     return _trigger(writer, available_now, processing_time).start()
@@ -94,7 +112,12 @@ def dedup_within_watermark(stream: DataFrame, delay: str = "1 minute", time_col:
     """Bronze rows of a stream with repeated bodies dropped within the watermark.
 
     State holds each hash until the watermark passes its event time plus
-    ``delay``, so it stays bounded by the rows of one delay period.
+    ``delay``, so it stays bounded by the rows of one delay period.  Rows
+    with a NULL body have no hash and all pass.  A bounded state cannot judge
+    rows later than ``delay``, and Spark drops them: where late rows matter,
+    use ``start_bronze_ingest(dedup_source=True)``, which compares with the
+    table instead.
     """
-    enriched = bronze.enrich(stream.withWatermark(time_col, delay), load_ts)
-    return enriched.dropDuplicatesWithinWatermark(["rowhash"])
+    watched = stream.withWatermark(time_col, delay)
+    keyed = bronze.enrich(watched.filter(F.col("body").isNotNull()), load_ts).dropDuplicatesWithinWatermark(["rowhash"])
+    return keyed.unionByName(bronze.enrich(watched.filter(F.col("body").isNull()), load_ts))

@@ -1,9 +1,7 @@
-"""Value classes and severity scores against plain-Python brute force."""
+"""Value classes and severity scores against numbers worked out by hand."""
 
 import datetime as dt
-import math
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,70 +11,68 @@ from lakestrata.functions import expressions as X
 AS_OF = dt.date(2024, 1, 31)
 
 
-def py_class(v):
-    if v is None:
-        return "null"
-    if v > 100000 or math.isnan(v):
-        return "large"
-    if v == 0:
-        return "zero"
-    if v < 0:
-        return "negative"
-    return "normal"
-
-
-def py_sev1(valuetype, date, n):
-    w = {"normal": 0.0, "large": 0.5, "negative": 0.7, "null": 0.3, "zero": 0.3}
-    score = 0
-    score += 1 * n
-    score += w.get(valuetype, 0.0)
-    score += 1 * (AS_OF - date).days
-    score += 0.7 * n
-    return float(np.float32(score))
-
-
-def py_sev2(valuetype, date, n):
-    w = {"large": 50, "negative": 50, "null": 30, "zero": 40, "normal": 0}
-    days = (AS_OF - date).days
-    if days <= 3:
-        mult = 1
-    elif days <= 7:
-        mult = 1.5
-    elif days <= 14:
-        mult = 1.8
-    else:
-        mult = 2.0
-    return float(np.float32(round(mult * w[valuetype] * n / 2880, 0)))
+CLASSES = ("normal", "large", "negative", "null", "zero")
 
 
-def test_value_class_boundaries(spark):
-    values = [0.0, -0.0, 100000.0, 100000.5, float("nan"), -1.0, None, 1.5, float("inf"), -float("inf")]
-    df = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("v", T.DoubleType())]))
-    got = [r["c"] for r in df.select(X.value_class("v").alias("c")).collect()]
-    assert got == [py_class(v) for v in values]
-    assert got[2] == "normal" and got[3] == "large" and got[4] == "large" and got[1] == "zero"
-
-
-@pytest.mark.parametrize("ages", [[-1, 0, 3, 4, 7, 8, 14, 15, 40]])
-def test_severity_matches_python(spark, ages):
-    rows = []
-    for age in ages:
-        for vt in ("normal", "large", "negative", "null", "zero"):
-            for n in (1, 2, 7, 1439, 2880, 6000):
-                rows.append((AS_OF - dt.timedelta(days=age), vt, n))
-    schema = "date date, valuetype string, count bigint"
-    df = spark.createDataFrame(rows, schema)
+def scores(spark, rows):
+    """(s1, s2) of (age in days, class, count) rows, in order."""
+    data = [(i, AS_OF - dt.timedelta(days=a), vt, n) for i, (a, vt, n) in enumerate(rows)]
+    df = spark.createDataFrame(data, "i int, date date, valuetype string, count bigint")
     out = df.select(
-        "date", "valuetype", "count",
+        "i",
         X.severity_v1("count", "valuetype", "date", AS_OF).alias("s1"),
         X.severity_v2("count", "valuetype", "date", AS_OF).alias("s2"),
-    ).collect()
-    assert len(out) == len(rows)
-    for r in out:
-        assert r["s1"] == py_sev1(r["valuetype"], r["date"], r["count"]), r
-        assert r["s2"] == py_sev2(r["valuetype"], r["date"], r["count"]), r
-    # no clamp: 6000 rows of a "large" day older than 14 days scores above 100
-    assert max(r["s2"] for r in out) > 100
+    )
+    return [(r["s1"], r["s2"]) for r in out.orderBy("i").collect()]
+
+
+def test_value_class_boundaries(spark):
+    expected = [
+        (0.0, "zero"), (-0.0, "zero"), (100000.0, "normal"), (100000.5, "large"), (float("nan"), "large"), (-1.0, "negative"),
+        (None, "null"), (1.5, "normal"), (float("inf"), "large"), (-float("inf"), "negative"), (5e-324, "normal"), (-5e-324, "negative"),
+    ]
+    df = spark.createDataFrame([(v,) for v, _ in expected], T.StructType([T.StructField("v", T.DoubleType())]))
+    assert [r["c"] for r in df.select(X.value_class("v").alias("c")).collect()] == [c for _, c in expected]
+
+
+def test_severity_numbers(spark):
+    """Scores worked out by hand: (age, class, count) -> (first score, second score)."""
+    expected = {
+        (0, "normal", 10): (17.0, 0.0),
+        (0, "large", 2880): (4896.5, 50.0),
+        (3, "negative", 2880): (4899.7, 50.0),
+        (4, "negative", 2880): (4900.7, 75.0),
+        (7, "zero", 1440): (2455.3, 30.0),
+        (8, "zero", 1440): (2456.3, 36.0),
+        (14, "null", 2880): (4910.3, 54.0),
+        (15, "null", 2880): (4911.3, 60.0),
+        (-1, "large", 288): (489.1, 5.0),
+        (40, "large", 5760): (9832.5, 200.0),
+        (0, "null", 48): (81.9, 0.0),
+        (0, "null", 144): (245.1, 2.0),
+        (15, "zero", 108): (198.9, 3.0),
+    }
+    got = scores(spark, list(expected))
+    for key, (s1, s2) in zip(expected, got, strict=True):
+        assert s1 == pytest.approx(expected[key][0], rel=1e-6), key
+        assert s2 == expected[key][1], key
+
+
+def test_second_score_rounds_half_to_even(spark):
+    # 1 * 30 * 48 / 2880 = 0.5 and 1 * 30 * 144 / 2880 = 1.5, 240 rows: 2.5
+    assert [s2 for _, s2 in scores(spark, [(0, "null", 48), (0, "null", 144), (0, "null", 240)])] == [0.0, 2.0, 2.0]
+
+
+def test_severity_properties(spark):
+    """Linear in the count, rising with age, ordered by class; not clamped at 100."""
+    by_count = scores(spark, [(5, "large", n) for n in (2880, 5760, 11520)])
+    assert [s2 for _, s2 in by_count] == [75.0, 150.0, 300.0]
+    by_age = scores(spark, [(a, "negative", 2880) for a in range(-2, 60)])
+    assert all(a[0] < b[0] and a[1] <= b[1] for a, b in zip(by_age, by_age[1:]))
+    assert len({s2 for _, s2 in by_age}) == 4
+    base = dict(zip(CLASSES, scores(spark, [(0, c, 2880) for c in CLASSES]), strict=True))
+    assert base["normal"][0] < base["null"][0] == base["zero"][0] < base["large"][0] < base["negative"][0]
+    assert base["normal"][1] < base["null"][1] < base["zero"][1] < base["large"][1] == base["negative"][1]
 
 
 def test_severity_null_date(spark):
@@ -99,55 +95,15 @@ def test_evaluate_once_keeps_filter_above_parse(spark):
     assert out.count() == 1
 
 
-def py_sev0(valuetype, ts, n):
-    w = {"normal": 0.0, "large": 0.5, "negative": 0.7, "null": 0.3, "zero": 0.3}
-    score = 0
-    score += 1 * n
-    score += w.get(valuetype, 0.0)
-    score += 1 * (AS_OF - ts.date()).days
-    score += 1 * (ts.hour - 12) ** 2
-    score += 0.7 * n
-    return float(np.float32(score))
-
-
 def test_severity_v0_time_of_day(spark):
-    rows = [(dt.datetime(2024, 1, 20, h, 30), vt, n) for h in (0, 7, 12, 23)
-            for vt in ("normal", "large", "null") for n in (1, 30)]
+    """By hand: 30 rows 11 days ago give 30 + weight + 11 + 21 + the squared distance from noon."""
+    expected = [(12, "normal", 62.0), (0, "normal", 206.0), (23, "normal", 183.0), (12, "large", 62.5), (7, "null", 87.3)]
+    rows = [(dt.datetime(2024, 1, 20, h, 30), vt, 30) for h, vt, _ in expected]
     df = spark.createDataFrame(rows, "ts timestamp, valuetype string, count bigint")
-    out = df.select("ts", "valuetype", "count", X.severity_v0("count", "valuetype", "ts", AS_OF).alias("s")).collect()
-    for r in out:
-        assert r["s"] == py_sev0(r["valuetype"], r["ts"], r["count"]), r
+    got = [r["s"] for r in df.select(X.severity_v0("count", "valuetype", "ts", AS_OF).alias("s")).collect()]
+    assert got == pytest.approx([s for *_, s in expected], rel=1e-6)
 
 
 def test_field_text():
     from lakestrata.schemas import field_text
     assert field_text(T.StructField("X", T.DoubleType(), True)) == "StructField('X', DoubleType(), True)"
-
-
-def test_severity_and_class_property(spark):
-    """Random batches: native expressions equal the Python formulas bit for bit."""
-    from hypothesis import given, settings
-    from hypothesis import strategies as st
-
-    classes = st.sampled_from(["normal", "large", "negative", "null", "zero"])
-    ages = st.integers(min_value=-30, max_value=400)
-    counts = st.integers(min_value=1, max_value=200_000)
-    values = st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=True, width=64))
-
-    @settings(max_examples=4, deadline=None)
-    @given(st.lists(st.tuples(ages, classes, counts, values), min_size=1, max_size=300))
-    def check(batch):
-        rows = [(AS_OF - dt.timedelta(days=a), vt, n, v) for a, vt, n, v in batch]
-        df = spark.createDataFrame(rows, "date date, valuetype string, count bigint, v double")
-        out = df.select(
-            "date", "valuetype", "count", "v",
-            X.severity_v1("count", "valuetype", "date", AS_OF).alias("s1"),
-            X.severity_v2("count", "valuetype", "date", AS_OF).alias("s2"),
-            X.value_class("v").alias("c"),
-        ).collect()
-        for r in out:
-            assert r["s1"] == py_sev1(r["valuetype"], r["date"], r["count"])
-            assert r["s2"] == py_sev2(r["valuetype"], r["date"], r["count"])
-            assert r["c"] == py_class(r["v"])
-
-    check()

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from lakestrata.operators import merge
 from lakestrata.plans import daily
 from lakestrata.plans.tables import Lakehouse, TableSpec
@@ -27,30 +25,23 @@ def test_new_rows_semantics(spark):
     assert sorted(r["rowhash"] or "" for r in dedup) == ["", "c"]
 
 
-def test_partition_filter_includes_null_partition(spark):
+def test_touched_partitions_include_null_partition(spark):
     source = spark.createDataFrame([("a", 2024, 1, 1), ("b", None, None, 2)], SCHEMA)
-    cond = merge.batch_partitions_filter(source, ["yearDevice", "monthDevice"])
     target = spark.createDataFrame([("x", 2024, 1, 1), ("y", None, None, 2), ("w", 2024, 2, 3)], SCHEMA)
-    assert sorted(r["rowhash"] for r in target.filter(cond).collect()) == ["x", "y"]
+    got = merge.touched_partitions(target, source, ["yearDevice", "monthDevice"])
+    assert sorted(r["rowhash"] for r in got.collect()) == ["x", "y"]
 
 
-def test_skew_split_equals_plain_merge(spark):
-    """A body copied in a third of the batch: the split merge equals the plain one."""
+def test_copied_body_in_a_third_of_the_batch(spark):
     rows = [("hot", 2024, 1, i) for i in range(300)] + [(f"k{i}", 2024, 1, 1000 + i) for i in range(600)]
     rows += [(None, None, None, 5000 + i) for i in range(100)]
     source = spark.createDataFrame(rows, SCHEMA)
     target = spark.createDataFrame([("k1", 2024, 1, 0), ("k2", 2024, 1, 0), ("other", 2024, 1, 0)], SCHEMA)
-    plain = merge.new_rows(source, target, "rowhash", ["yearDevice", "monthDevice"], skew_split=False)
-    split = merge.new_rows(source, target, "rowhash", ["yearDevice", "monthDevice"], skew_split=True)
-    assert sorted(r["v"] for r in split.collect()) == sorted(r["v"] for r in plain.collect())
-    assert split.filter(F.col("rowhash") == "hot").count() == 300
+    got = merge.new_rows(source, target, "rowhash", ["yearDevice", "monthDevice"])
+    assert sorted(r["v"] for r in got.collect()) == sorted(v for k, _, _, v in rows if k not in ("k1", "k2"))
     # the hot key already in the target: all its copies are dropped
     target2 = target.unionByName(spark.createDataFrame([("hot", 2024, 1, 0)], SCHEMA))
-    split2 = merge.new_rows(source, target2, "rowhash", None, skew_split=True)
-    assert split2.filter(F.col("rowhash") == "hot").count() == 0
-    assert split2.count() == 598 + 100
-    hot = merge.hot_keys(source.filter(F.col("rowhash").isNotNull()), "rowhash", 900, max_keys=10)
-    assert [r["rowhash"] for r in hot.collect()] == ["hot"]
+    assert merge.new_rows(source, target2, "rowhash", None).count() == 598 + 100
 
 
 def test_insert_new_sql_matches_dataframe_form(spark):

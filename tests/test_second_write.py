@@ -1,0 +1,174 @@
+"""What happens after the first write: later runs, later micro-batches, failures between tables."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata.plans import daily
+from lakestrata.plans.tables import Lakehouse, TableSchemaError, TableSpec
+from lakestrata.schemas import telemetry_struct
+from lakestrata.session import require, scratch_path
+from lakestrata.sources import eventlog
+from lakestrata.streaming import ingest
+
+LOG = "event_id long, enqueuedTime timestamp, body string"
+LOAD = "2024-01-31 00:00:00"
+
+
+def message(device, when, telemetry='{"D":1.5}', kind="pump"):
+    return f'{{"deviceId":"{device}","templateName":"{kind}","enqueuedTime":"{when.isoformat()}Z","telemetry":{telemetry}}}'
+
+
+def lake(spark, name):
+    return Lakehouse(spark, scratch_path(spark, name) + "/lake", name.replace("-", "_"))
+
+
+def minute_log(spark, minutes, telemetry='{"D":1.5}', start=dt.datetime(2024, 1, 1)):
+    rows = [(k, t := start + dt.timedelta(seconds=10 * k), message("d", t, telemetry)) for k in range(6 * minutes)]
+    return spark.createDataFrame(rows, LOG)
+
+
+def on_disk(spark, lh, spec):
+    return spark.read.parquet(lh.path(spec.name)).count()
+
+
+def test_micro_batches_see_what_earlier_ones_wrote(spark):
+    """Six bodies in four files, copies across files; a second stream over the same files adds nothing."""
+    path = scratch_path(spark, "second-log")
+    t = dt.datetime(2024, 1, 1)
+    bodies = [message(f"d{k}", t + dt.timedelta(minutes=k)) for k in range(6)]
+    for k, part in enumerate([(0, 1), (1, 2, 3), (0, 3, 4), (5, 2, 0)]):
+        rows = [(10 * k + i, t, bodies[i]) for i in part]
+        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(path)
+    lh, layout = lake(spark, "second-stream"), daily.Layout(buckets=2)
+    for run in range(2):
+        stream = eventlog.read_stream(spark, path, spark.read.parquet(path).schema, watermark=None, maxFilesPerTrigger=1)
+        ingest.start_bronze_ingest(stream, lh, scratch_path(spark, f"second-ckpt{run}"), layout, LOAD).awaitTermination()
+        assert on_disk(spark, lh, layout.bronze_spec()) == 6
+        assert lh.read(layout.bronze_spec()).count() == 6
+
+
+def test_types_discovered_once_over_micro_batches(spark):
+    path = scratch_path(spark, "types-log")
+    t = dt.datetime(2024, 1, 1)
+    for kinds in (("a", "b"), ("b", "c"), ("a", "c")):
+        spark.createDataFrame([(1, t, message("d", t, kind=k)) for k in kinds] + [(2, t, None)], LOG).coalesce(1).write.mode("append").parquet(path)
+    stream = eventlog.read_stream(spark, path, spark.read.parquet(path).schema, watermark=None, maxFilesPerTrigger=1)
+    query, out = ingest.discover_types(stream, scratch_path(spark, "types-ckpt"))
+    query.awaitTermination()
+    assert sorted(str(r["TemplateName"]) for r in spark.read.parquet(out).collect()) == ["None", "a", "b", "c"]
+
+
+def test_stream_dedup_keeps_null_bodies(spark):
+    path = scratch_path(spark, "dedup-log")
+    t = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(1, t, "x"), (2, t, "x"), (3, t, None), (4, t, None)], LOG).coalesce(1).write.parquet(path)
+    stream = eventlog.read_stream(spark, path, spark.read.parquet(path).schema, watermark=None)
+    q = ingest.dedup_within_watermark(stream).writeStream.format("memory").queryName("dedup_nulls").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.table("dedup_nulls").count() == 3
+
+
+def test_backfill_keeps_seconds_and_reports(spark):
+    log = minute_log(spark, 11)
+    lh, layout = lake(spark, "second-backfill"), daily.Layout(buckets=2)
+    devs = [daily.DeviceType("pump", telemetry_struct({"D": "double"}), "D")]
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 10, 30)
+    runs = daily.backfill(lh, log, devs, start, end, 5, load_ts=LOAD, layout=layout)
+    assert lh.read(layout.bronze_spec()).count() == 64
+    assert [r.range_report.first()["StreamRange_Minutes"] for r in runs] == [5, 5, 0]
+    assert lh.read(layout.scratch_spec()).count() == 0
+
+
+def test_new_template_field_and_log_column_are_kept(spark):
+    lh, layout = lake(spark, "second-fields"), daily.Layout(buckets=2)
+    one = daily.DeviceType("pump", telemetry_struct({"D": "double"}), "D")
+    two = daily.DeviceType("pump", telemetry_struct({"D": "double", "NEW": "double"}), "D")
+    log1 = minute_log(spark, 1)
+    log2 = minute_log(spark, 1, '{"D":2.5,"NEW":7.5}', dt.datetime(2024, 1, 2)).withColumn("partition", F.lit("p3"))
+    daily.run_daily(lh, log1, [one], 1440, dt.datetime(2024, 1, 1, 12), LOAD, layout)
+    daily.run_daily(lh, log2, [two], 1440, dt.datetime(2024, 1, 2, 12), LOAD, layout)
+    daily.run_daily(lh, log1, [one], 1440, dt.datetime(2024, 1, 1, 12), LOAD, layout)  # an older template again
+    got = {(r["D"], r["NEW"]): r["n"] for r in lh.read(layout.silver_spec("pump")).groupBy("D", "NEW").agg(F.count("*").alias("n")).collect()}
+    assert got == {(1.5, None): 6, (2.5, 7.5): 6}
+    assert lh.read(layout.bronze_spec()).filter("partition = 'p3'").count() == 6
+
+
+def test_changed_column_type_is_refused(spark):
+    lh, spec = lake(spark, "second-type"), TableSpec("t")
+    lh.create(spec, spark.createDataFrame([(1, 2.5)], "k int, v double"))
+    with pytest.raises(TableSchemaError):
+        lh.append(spec, spark.createDataFrame([(1, "x")], "k int, v string"))
+
+
+def test_load_index_covers_late_and_older_rows(spark):
+    """Load times older than the window, and a bronze table older than its index, lose nothing."""
+    log = minute_log(spark, 4)
+    lh, layout = lake(spark, "second-index"), daily.Layout(buckets=2)
+    daily.ingest_bronze(lh, log, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), "2020-01-01 00:00:00", layout)
+    assert daily.bronze_window(lh, dt.datetime(2024, 1, 1), ["pump"], layout).count() == 24
+    lh.drop(layout.loads_spec().name)
+    more = minute_log(spark, 1, '{"D":9.5}', dt.datetime(2024, 2, 1))
+    daily.ingest_bronze(lh, more, dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2), LOAD, layout)
+    assert daily.bronze_window(lh, dt.datetime(2024, 1, 1), ["pump"], layout).count() == 30
+    assert daily.bronze_window(lh, None, ["pump"], layout).count() == 30
+
+
+def test_gold_is_made_good_after_a_failure(spark, monkeypatch):
+    lh, layout = lake(spark, "second-crash"), daily.Layout(buckets=2)
+    devs = [daily.DeviceType("pump", telemetry_struct({"D": "double"}), "D")]
+    for day in (1, 2, 3):
+        log = minute_log(spark, 1, start=dt.datetime(2024, 1, day))
+        with monkeypatch.context() as m:
+            if day == 2:
+                m.setattr(daily, "build_gold", lambda *a, **k: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    daily.run_daily(lh, log, devs, 1440, dt.datetime(2024, 1, day, 12), LOAD, layout)
+            else:
+                daily.run_daily(lh, log, devs, 1440, dt.datetime(2024, 1, day, 12), LOAD, layout)
+    for spec in (layout.gold_spec("pump"), layout.severity_spec("pump")):
+        assert sorted(str(r["date"]) for r in lh.read(spec).collect()) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert lh.read(layout.pending_spec("pump")).count() == 0
+
+
+def test_full_refresh_reads_all_of_bronze(spark):
+    lh, layout = lake(spark, "second-full"), daily.Layout(buckets=2)
+    devs = [daily.DeviceType("pump", telemetry_struct({"D": "double"}), "D")]
+    daily.ingest_bronze(lh, minute_log(spark, 2), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), LOAD, layout)
+    empty = minute_log(spark, 1).limit(0)
+    daily.run_daily(lh, empty, devs, 60, dt.datetime(2024, 3, 1), LOAD, layout, full_refresh=True)
+    assert lh.read(layout.silver_spec("pump")).count() == 12
+    assert lh.read(layout.gold_spec("pump")).first()["TotalCount"] == 12
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_overwrite_truncate_drop_under_either_session_mode(spark, mode):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        lh, spec = lake(spark, f"second-admin-{mode}"), TableSpec("t", ("p",))
+        rows = lambda *ps: spark.createDataFrame([(p, p) for p in ps], "v int, p int")
+        lh.create(spec, rows(1, 2))
+        lh.replace_partitions(spec, rows(2, 3).withColumn("v", F.col("v") * 10))
+        assert sorted((r["v"], r["p"]) for r in lh.read(spec).collect()) == [(1, 1), (20, 2), (30, 3)]
+        lh.overwrite(spec, rows(4))
+        assert [r["p"] for r in lh.read(spec).collect()] == [4]
+        lh.truncate(spec)
+        assert lh.read(spec).count() == 0 and lh.exists(spec)
+        lh.append(spec, rows(5))
+        lh.drop("t")
+        assert not lh.exists(spec) and not os.path.exists(lh.path("t").removeprefix("file:"))
+        assert lh.create_if_absent(spec, rows(6)) and lh.read(spec).count() == 1
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_wrong_session_settings_are_refused(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError):
+            require(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -25,7 +25,7 @@ def _log_folder(spark):
 def test_discover_types_memory_sink(spark):
     path, schema = _log_folder(spark)
     stream = eventlog.read_stream(spark, path, schema)
-    query, table = ingest.discover_types(stream, sink="memory", query_name="types_test")
+    query, table = ingest.discover_types(stream, scratch_path(spark, "types-ckpt"), sink="memory", query_name="types_test")
     query.awaitTermination()
     got = {r["TemplateName"] for r in spark.table(table).collect()}
     expected = {r["TemplateName"] for r in bronze.template_names(bronze.enrich(read_envelope(spark, SF))).collect()}
