@@ -3,8 +3,8 @@
 One pass over the flagged messages, no driver loop: every field whose raw
 value its declared type rejects is named (``offending_names``, linear in the
 message size).  Messages that fail before any field is read (the body is not a JSON
-object, or it has no ``telemetry`` object) get a NULL field and a reason
-instead.  The result is distinct ``(TemplateName, DeviceId,
+object, or it has no ``telemetry`` object), or whose bad value a later one of
+the same key hides, get a NULL field and a reason instead.  The result is distinct ``(TemplateName, DeviceId,
 FlaggedField, Reason)``; the distinct is a partial-then-final aggregation,
 so a device holding a large share of the flagged rows is combined map-side.
 """
@@ -15,9 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.operators.silver import present_fields
+from lakestrata.functions.expressions import evaluate_once
 from lakestrata.schemas import FLAG_DETAIL_SCHEMA
 
+# ``telemetry`` as text values: read for flagged messages only.
+RAW_TELEMETRY_SCHEMA = T.StructType(
+    [T.StructField("telemetry", T.MapType(T.StringType(), T.StringType()), True)]
+)
+
 # The reasons reported with a flagged field.
 REASON_UNREADABLE = "unreadable body"
 REASON_NO_TELEMETRY = "no telemetry object"
@@ -28,6 +33,13 @@ def _finding(field, reason: str):
     return F.struct(F.lit(field).cast("string").alias("FlaggedField"), F.lit(reason).alias("Reason"))
 
 
+def present_fields(telemetry: T.StructType):
+    """Distinct template fields with a non-null raw value (one pass over the map)."""
+    names = [f.name for f in telemetry.fields]
+    present = F.map_filter(F.col("telemetry_raw"), lambda k, v: v.isNotNull() & k.isin(names))
+    return F.array_distinct(F.map_keys(present))
+
+
 def offending_names(telemetry: T.StructType):
     """Names of the offending fields of a message, linear in its size.
 
@@ -42,8 +54,11 @@ def offending_names(telemetry: T.StructType):
 
 def diagnose(parsed: DataFrame, telemetry: T.StructType) -> DataFrame:
     """Flagged rows of ``silver.parse`` -> distinct (TemplateName, DeviceId, FlaggedField, Reason)."""
+    flagged = parsed.filter(F.col("flagged") == 1)
+    flagged = evaluate_once(flagged, {"telemetry_raw": F.from_json(F.col("body"), RAW_TELEMETRY_SCHEMA).getField("telemetry")})
+    names = offending_names(telemetry)
     per_field = F.transform(
-        offending_names(telemetry),
+        names,
         lambda n: F.struct(n.alias("FlaggedField"), F.lit(REASON_TYPE).alias("Reason")),
     )
     msg = F.col("JSONTemplate")
@@ -53,10 +68,12 @@ def diagnose(parsed: DataFrame, telemetry: T.StructType) -> DataFrame:
     findings = (
         F.when(~readable, F.array(_finding(None, REASON_UNREADABLE)))
         .when(msg.getField("telemetry").isNull(), F.array(_finding(None, REASON_NO_TELEMETRY)))
-        .otherwise(per_field)
+        .when(F.size(names) > 0, per_field)
+        # e.g. a key given twice, of which only the overridden value was bad
+        .otherwise(F.array(_finding(None, REASON_TYPE)))
     )
     return (
-        parsed.filter(F.col("flagged") == 1)
+        flagged
         .select(
             F.col("templateName").alias("TemplateName"),
             F.col("deviceId").alias("DeviceId"),

@@ -1,12 +1,10 @@
 """Silver: typed parse of each message against its device template.
 
 A message is *flagged* when it does not fit the template: the body is not a
-JSON object, it has no ``telemetry`` object, or a telemetry field is present
-with a value its declared type does not accept.  The last test is made per
-field, in the same pass, by also reading ``telemetry`` as a
-``map<string,string>``: field ``f`` offends when its raw value is non-null
-and its typed value is null.  This gives the strict (whole-record) reading
-of a failed parse independently of ``spark.sql.json.enablePartialResults``.
+JSON object, it has no ``telemetry`` object, or a value in it is of another
+type than declared (the strict, whole-record reading).  One ``from_json`` per
+message decides all of it: its schema has a corrupt-record field, which the
+parser fills exactly when some value did not fit.
 
 Flagged messages go to the flags table; the others are expanded into the
 wide silver table, one column per template field.
@@ -16,16 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions.expressions import evaluate_once, parse_failed
 from lakestrata.schemas import message_schema
 
-RAW_TELEMETRY_SCHEMA = T.StructType(
-    [T.StructField("telemetry", T.MapType(T.StringType(), T.StringType()), True)]
-)
+CORRUPT = "_corrupt_record"
 
 
 def select_types(bronze: DataFrame, device_types: str | Sequence[str]) -> DataFrame:
@@ -41,58 +37,13 @@ def select_types(bronze: DataFrame, device_types: str | Sequence[str]) -> DataFr
     return bronze.filter(F.col("templateName").isin(types))
 
 
-def offending(telemetry: T.StructType) -> dict[str, Column]:
-    """Per template field: raw value present but not accepted by its type.
-
-    One map lookup per field, each a scan of the message's entries: the
-    direct (quadratic) statement of the rule, kept as the reference the
-    linear forms (``any_offending``, ``diagnosis.offending_names``) are
-    tested against.
-    """
-    typed = F.col("JSONTemplate").getField("telemetry")
-    raw = F.col("telemetry_raw")
-    return {
-        f.name: F.try_element_at(raw, F.lit(f.name)).isNotNull() & typed.getField(f.name).isNull()
-        for f in telemetry.fields
-    }
-
-
-def present_fields(telemetry: T.StructType) -> Column:
-    """Distinct template fields with a non-null raw value (one pass over the map)."""
-    names = [f.name for f in telemetry.fields]
-    present = F.map_filter(F.col("telemetry_raw"), lambda k, v: v.isNotNull() & k.isin(names))
-    return F.array_distinct(F.map_keys(present))
-
-
-def any_offending(telemetry: T.StructType) -> Column:
-    """True when some template field's raw value is not accepted by its type.
-
-    Linear in the message and template sizes: the number of distinct
-    template fields with a non-null raw value (one pass over the map, with a
-    hash-set membership test) exceeds the number of non-null typed fields.
-    A typed field is non-null only if its raw value is, so the counts differ
-    exactly when a present value was rejected.
-    """
-    names = [f.name for f in telemetry.fields]
-    if not names:
-        return F.lit(False)
-    typed = F.col("JSONTemplate").getField("telemetry")
-    raw_count = F.size(present_fields(telemetry))
-    # A flat array (not a chain of additions) stays shallow for wide templates.
-    typed_count = F.size(F.array_compact(F.array(*[F.when(typed.getField(n).isNotNull(), F.lit(1)) for n in names])))
-    return raw_count > typed_count
-
-
 def parse(bronze: DataFrame, telemetry: T.StructType) -> DataFrame:
-    """Adds ``JSONTemplate`` (typed message), ``telemetry_raw`` and ``flagged`` (1/0)."""
-    parsed = evaluate_once(
-        bronze,
-        {
-            "JSONTemplate": F.from_json(F.col("body"), message_schema(telemetry)),
-            "telemetry_raw": F.from_json(F.col("body"), RAW_TELEMETRY_SCHEMA).getField("telemetry"),
-        },
-    )
-    bad = parse_failed(F.col("JSONTemplate"), F.col("body")) | any_offending(telemetry)
+    """Adds ``JSONTemplate`` (typed message) and ``flagged`` (1/0); each body is parsed once."""
+    schema = T.StructType([*message_schema(telemetry).fields, T.StructField(CORRUPT, T.StringType())])
+    typed = F.from_json(F.col("body"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = evaluate_once(bronze, {"JSONTemplate": typed})
+    message = F.col("JSONTemplate")
+    bad = parse_failed(message, F.col("body")) | message.getField(CORRUPT).isNotNull()
     return parsed.withColumn("flagged", F.when(bad, F.lit(1)).otherwise(F.lit(0)))
 
 
