@@ -63,6 +63,9 @@ class Layout:
     def flag_detail_spec(self) -> TableSpec:
         return TableSpec(f"{self.silver_prefix}_flagdetail")
 
+    def investigation_spec(self, device_type: str) -> TableSpec:
+        return TableSpec(f"{self.silver_prefix}_{device_type.replace(' ', '')}_investigation")
+
     def gold_spec(self, device_type: str) -> TableSpec:
         return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}")
 
@@ -289,6 +292,20 @@ def run_daily(lh: Lakehouse, events: DataFrame, devices: Mapping[str, DeviceType
     return BatchResult(report, written)
 
 
+def investigate(lh: Lakehouse, device: DeviceType, start: dt.datetime | None = None,
+                layout: Layout | None = None) -> DataFrame:
+    """The field diagnosis of one type over stored bronze, as a job of its own.
+
+    Overwrites the type's investigation table (TemplateName, DeviceId,
+    FlaggedField, Reason) and returns it; ``start`` bounds the hub time.
+    """
+    require(lh.spark)
+    layout = layout or Layout()
+    window = bronze_window(lh, start, [device.name], layout)
+    lh.overwrite(layout.investigation_spec(device.name), diagnosis.diagnose(silver.parse(window, device.telemetry), device.telemetry))
+    return lh.read(layout.investigation_spec(device.name))
+
+
 def gold_tables(lh: Lakehouse, devices: list[DeviceType], layout: Layout | None = None,
                 severity: bool = False) -> DataFrame:
     """All gold tables of the given types, with a ``device_type`` column."""

@@ -23,16 +23,12 @@ from lakestrata.plans.tables import Lakehouse
 from lakestrata.schemas import telemetry_struct
 from lakestrata.session import configure, scratch_path
 from lakestrata.sources import eventlog
-from lakestrata.sources.envelope import envelope, envelope_sql, read_envelope
+from lakestrata.sources.envelope import TELEMETRY_FIELD, TEMPLATE, envelope, envelope_sql, read_envelope
 from lakestrata.streaming import ingest
 
 # Fixed parameters of the checked queries.
 AS_OF = "2024-01-31"
 LOAD_TS = "2024-01-31 00:00:00"
-# Device-type dictionary of the checked queries: every event type of the
-# data uses one template with a single double field.
-DEVICE_TYPES = ("click", "error", "purchase", "signup", "view")
-TEMPLATE = {"RUNNINGHR": "double"}
 KNOWN_TYPES = ("click", "view", "refund")
 BLANK_TYPE_EVERY = 31
 BOUNDED_START, BOUNDED_END = "2024-01-10T00:00:00Z", "2024-01-20T00:00:00Z"
@@ -55,7 +51,7 @@ def _telemetry():
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.parse(silver.select_types(_bronze(spark, sf_dir), DEVICE_TYPES), _telemetry())
+    return silver.parse(_bronze(spark, sf_dir), _telemetry())
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +104,7 @@ def q_silver_one_type(spark, sf_dir):
 
 def q_silver_incremental(spark, sf_dir):
     b = eventlog.incremental(_bronze(spark, sf_dir), INCREMENTAL_START)
-    return silver.rows(silver.parse(silver.select_types(b, DEVICE_TYPES), _telemetry()))
+    return silver.rows(silver.parse(b, _telemetry()))
 
 
 def q_silver_flags(spark, sf_dir):
@@ -183,7 +179,8 @@ def q_severity_means(spark, sf_dir):
 
 
 def q_severity_describe(spark, sf_dir):
-    return gold.severity_describe(_severity(spark, sf_dir))
+    text = gold.severity_describe(_severity(spark, sf_dir))
+    return text.select("summary", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("severity_moy", "severity")])
 
 
 def _orders_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,19 +238,50 @@ def _scratch_lakehouse(spark: SparkSession, name: str) -> Lakehouse:
 SCRATCH_BUCKETS = 8
 
 
-def _devices() -> list[daily.DeviceType]:
-    return [daily.DeviceType(t, _telemetry(), next(iter(TEMPLATE))) for t in DEVICE_TYPES]
+# Device types of the data (one row per type reaches the driver).
+MAX_TYPES = 1000
 
 
-def q_daily_gold_counts(spark, sf_dir):
-    """The whole daily batch (bronze, silver, gold per type) into fresh tables."""
+def _devices(spark: SparkSession, sf_dir: str) -> list[daily.DeviceType]:
+    seen = inventory.seen_types(_bronze(spark, sf_dir)).limit(MAX_TYPES + 1).collect()
+    if len(seen) > MAX_TYPES:
+        raise ValueError(f"more than {MAX_TYPES} device types")
+    return [daily.DeviceType(n, _telemetry(), TELEMETRY_FIELD) for n in sorted(r["TemplateName"] for r in seen if r["TemplateName"])]
+
+
+def _log_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.datetime]:
+    row = read_envelope(spark, sf_dir).agg(F.min("enqueuedTime").alias("a"), F.max("enqueuedTime").alias("b")).first()
+    return row["a"], row["b"]
+
+
+def _daily_runs(spark, sf_dir, severity=False, runs=1):
+    """The daily batch (bronze, silver, gold per type) into fresh tables, in windows that overlap."""
     configure(spark)
     lh = _scratch_lakehouse(spark, "daily")
-    layout = daily.Layout(buckets=SCRATCH_BUCKETS)
-    as_of = dt.datetime.fromisoformat(LOAD_TS)
-    minutes = int((as_of - dt.datetime(2023, 12, 31)).total_seconds() // 60)
-    daily.run_daily(lh, read_envelope(spark, sf_dir), _devices(), minutes, as_of, LOAD_TS, layout)
-    return daily.gold_tables(lh, _devices(), layout)
+    layout, devices = daily.Layout(buckets=SCRATCH_BUCKETS), _devices(spark, sf_dir)
+    first, last = _log_range(spark, sf_dir)
+    step = (last - first) / runs
+    for k in range(runs):
+        begin = first + step * max(0, k - 0.5)  # half of the window before is read again
+        end = last if k == runs - 1 else first + step * (k + 1)
+        as_of = end if k < runs - 1 else max(last, dt.datetime.fromisoformat(LOAD_TS))
+        daily.run_daily(lh, read_envelope(spark, sf_dir), devices, as_of=as_of, start=begin, load_ts=LOAD_TS, layout=layout)
+    return daily.gold_tables(lh, devices, layout, severity)
+
+
+def q_daily_gold_counts(spark, sf_dir):
+    """The whole daily batch in one run."""
+    return _daily_runs(spark, sf_dir)
+
+
+def q_daily_two_runs(spark, sf_dir):
+    """Two runs over overlapping windows into the same tables give the same gold."""
+    return _daily_runs(spark, sf_dir, runs=2)
+
+
+def q_daily_gold_severity(spark, sf_dir):
+    """The severity tables after two overlapping runs."""
+    return _daily_runs(spark, sf_dir, severity=True, runs=2)
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,6 +290,23 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(stream)
 
 
+# Resent messages of the streamed log: each copy RESENT_EVERY-th event, later;
+# and messages without a body.
+RESENT_EVERY, NO_BODY_EVERY = 7, 37
+
+
+def _resent_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of the whole log in two steps: the messages, then copies and messages without a body."""
+    path = scratch_path(spark, "resent-log")
+    env = read_envelope(spark, sf_dir)
+    env.write.parquet(path)
+    e, later = F.col("event_id"), F.col("enqueuedTime") + F.expr("INTERVAL 1 DAY")
+    copies = env.filter(e % RESENT_EVERY == 0).withColumn("enqueuedTime", later)
+    nothing = env.filter(e % NO_BODY_EVERY == 0).withColumn("body", F.lit(None).cast("string"))
+    copies.unionByName(nothing).coalesce(2).write.mode("append").parquet(path)
+    return spark.readStream.schema(env.schema).option("maxFilesPerTrigger", 4).parquet(path)
+
+
 def q_stream_types(spark, sf_dir):
     """Device types discovered by a streaming run over the whole log."""
     configure(spark)
@@ -279,25 +324,29 @@ def q_stream_types_unknown(spark, sf_dir):
     return inventory.seen_not_known(seen, inventory.known_types(spark, KNOWN_TYPES))
 
 
-def q_stream_bronze_dedup(spark, sf_dir):
-    """Bronze rows of the whole log streamed with watermark de-duplication on rowhash."""
+def _streamed(spark, sf_dir, runs, **options):
     configure(spark)
-    out = scratch_path(spark, "stream-dedup")
-    deduped = ingest.dedup_within_watermark(_events_stream(spark, sf_dir), "1 minute", load_ts=LOAD_TS)
-    query = (deduped.writeStream.format("parquet").outputMode("append").option("path", f"{out}/data")
-             .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
-    query.awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    lh = _scratch_lakehouse(spark, "stream-bronze")
+    layout, stream = daily.Layout(buckets=SCRATCH_BUCKETS), _resent_log(spark, sf_dir)
+    for k in range(runs):
+        query = ingest.start_bronze_ingest(stream, lh, f"{lh.root}/_checkpoint{k}", layout, LOAD_TS, **options)
+        query.awaitTermination()
+    return lh.read(layout.bronze_spec())
+
+
+def q_stream_bronze_dedup(spark, sf_dir):
+    """Distinct bodies (and every message without one) of a log with copies, in micro-batches."""
+    out = _streamed(spark, sf_dir, 1, dedup_source=True)
+    return out.select("body", "templateId", "templateName", "deviceId", "rowhash")
 
 
 def q_stream_bronze(spark, sf_dir):
-    """Micro-batch bronze ingest of the whole log (foreachBatch + insert-only merge)."""
-    configure(spark)
-    lh = _scratch_lakehouse(spark, "stream-bronze")
-    layout = daily.Layout(buckets=SCRATCH_BUCKETS)
-    query = ingest.start_bronze_ingest(_events_stream(spark, sf_dir), lh, layout=layout, load_ts=LOAD_TS)
-    query.awaitTermination()
-    return lh.read(layout.bronze_spec())
+    """Micro-batch ingest of a log with copies, then once more over the same files.
+
+    Bodies are stored once; messages without a body have no key and are
+    added by each run.
+    """
+    return _streamed(spark, sf_dir, 2).select("event_id", "body", "templateId", "templateName", "deviceId", "yearDevice", "monthDevice", "rowhash", "loadDatetime")
 
 
 QUERIES: dict[str, Query] = {
@@ -332,6 +381,8 @@ QUERIES: dict[str, Query] = {
     "gold_counts_customer": q_gold_counts_customer,
     "value_class_counts_customer": q_value_class_counts_customer,
     "daily_gold_counts": q_daily_gold_counts,
+    "daily_two_runs": q_daily_two_runs,
+    "daily_gold_severity": q_daily_gold_severity,
     "stream_types": q_stream_types,
     "stream_types_unknown": q_stream_types_unknown,
     "stream_bronze": q_stream_bronze,
@@ -360,35 +411,40 @@ bronze AS (
   FROM env)"""
 
 
+_NUMBER = ("'DOUBLE', 'BIGINT', 'UBIGINT', 'HUGEINT'", "f_type = 'VARCHAR' AND f_text IN ('NaN', 'Infinity', '-Infinity')")
+# Per template type: JSON types it accepts, and texts accepted besides.
+_ACCEPTS = {"double": _NUMBER, "float": _NUMBER, "integer": ("'BIGINT', 'UBIGINT'", "false"), "boolean": ("'BOOLEAN'", "false")}
+_DUCK_TYPES = {"double": "DOUBLE", "float": "FLOAT", "integer": "INTEGER", "boolean": "BOOLEAN"}
+
+
+def _bad(field: str) -> str:
+    types, texts = _ACCEPTS[TEMPLATE[field]]
+    texts = texts.replace("f_type", f"type_{field}").replace("f_text", f"text_{field}")
+    return f"CASE WHEN type_{field} IS NOT NULL AND type_{field} <> 'NULL' AND type_{field} NOT IN ({types}) AND NOT ({texts}) THEN '{field}' END"
+
+
 def _parsed_cte(source: str = "bronze") -> str:
-    field = next(iter(TEMPLATE))
-    return f"""typed AS (
-  SELECT *, json_type(body, '$.telemetry') AS t_type,
-    json_type(body, '$.telemetry.{field}') AS f_type,
-    json_extract_string(body, '$.telemetry.{field}') AS f_text
-  FROM {source} WHERE templateName IN ({_in_list(DEVICE_TYPES)})),
+    fields = ", ".join(f"json_type(body, '$.telemetry.{f}') AS type_{f}, json_extract_string(body, '$.telemetry.{f}') AS text_{f}" for f in TEMPLATE)
+    return f"""typed AS (SELECT *, json_type(body, '$.telemetry') AS t_type, {fields} FROM {source}),
+judged AS (SELECT *, list_filter([{", ".join(map(_bad, TEMPLATE))}], lambda x: x IS NOT NULL) AS bad FROM typed),
 parsed AS (
   SELECT *,
     CASE WHEN body IS NULL OR NOT json_valid(body) OR json_type(body) <> 'OBJECT' THEN 'unreadable body'
          WHEN t_type IS DISTINCT FROM 'OBJECT' THEN 'no telemetry object'
-         WHEN f_type IS NOT NULL AND f_type <> 'NULL'
-              AND f_type NOT IN ('DOUBLE', 'BIGINT', 'UBIGINT', 'HUGEINT')
-              AND NOT (f_type = 'VARCHAR' AND f_text IN ('NaN', 'Infinity', '-Infinity'))
-           THEN 'type mismatch' END AS reason
-  FROM typed)"""
+         WHEN len(bad) > 0 THEN 'type mismatch' END AS reason
+  FROM judged)"""
 
 
 def _silver_cte() -> str:
-    field = next(iter(TEMPLATE))
+    fields = ", ".join(f"TRY_CAST(text_{f} AS {_DUCK_TYPES[TEMPLATE[f]]}) AS {f}" for f in TEMPLATE)
     return f"""silver AS (
   SELECT enqueuedTime AS Eventhub_enqueuedTime,
     TRY_CAST(json_extract_string(body, '$.enqueuedTime') AS TIMESTAMP) AS Device_enqueuedTime,
     TRY_CAST(substr(json_extract_string(body, '$.enqueuedTime'), 1, 10) AS DATE) AS Device_Date,
-    templateName, deviceId AS DeviceId,
-    TRY_CAST(f_text AS DOUBLE) AS {field},
+    templateName, deviceId AS DeviceId, {fields},
     loadDatetime AS loaddatetime, rowhash
   FROM parsed WHERE reason IS NULL),
-readings AS (SELECT Device_Date AS date, DeviceId AS deviceid, {field} AS runninghour FROM silver)"""
+readings AS (SELECT Device_Date AS date, DeviceId AS deviceid, {TELEMETRY_FIELD} AS runninghour FROM silver)"""
 
 
 def _with(*ctes: str) -> str:
@@ -437,6 +493,16 @@ def _gold_prefix() -> str:
     return _with(_bronze_cte(), _parsed_cte(), _silver_cte())
 
 
+def _per_type(sql: str) -> str:
+    """The same gold query with the device type as first key."""
+    sql = sql.replace("readings AS (SELECT Device_Date AS date,", "readings AS (SELECT templateName AS device_type, Device_Date AS date,")
+    sql = sql.replace("SELECT date, deviceid,", "SELECT device_type, date, deviceid,").replace("GROUP BY date, deviceid", "GROUP BY device_type, date, deviceid")
+    return sql.replace("FROM readings GROUP BY 1, 2, 3)", "FROM readings GROUP BY 1, 2, 3, 4)")
+
+
+_NO_BODY = f"no_body AS (SELECT * FROM bronze WHERE event_id % {NO_BODY_EVERY} = 0)"
+
+
 def _bronze_cols() -> str:
     return ("event_id, enqueuedTime, body, templateId, templateName, deviceId, deviceEnqueueTtime, "
             "yearDevice, monthDevice, rowhash, loadDatetime")
@@ -472,12 +538,12 @@ ORACLES: dict[str, str] = {
     + "SELECT DISTINCT templateName AS TemplateName, deviceId AS DeviceID, CAST(loadDatetime AS DATE) AS load_date "
     "FROM parsed WHERE reason IS NOT NULL",
     "field_diagnosis": _gold_prefix()
-    + f"SELECT DISTINCT templateName AS TemplateName, deviceId AS DeviceId, "
-    f"CASE WHEN reason = 'type mismatch' THEN '{next(iter(TEMPLATE))}' END AS FlaggedField, reason AS Reason "
+    + "SELECT DISTINCT templateName AS TemplateName, deviceId AS DeviceId, "
+    "unnest(CASE WHEN reason = 'type mismatch' THEN bad ELSE [NULL] END) AS FlaggedField, reason AS Reason "
     "FROM parsed WHERE reason IS NOT NULL",
     "flag_detail": _gold_prefix()
-    + f"SELECT DISTINCT templateName AS TemplateName, deviceId AS DeviceId, "
-    f"CASE WHEN reason = 'type mismatch' THEN '{next(iter(TEMPLATE))}' END AS FlaggedField "
+    + "SELECT DISTINCT templateName AS TemplateName, deviceId AS DeviceId, "
+    "unnest(CASE WHEN reason = 'type mismatch' THEN bad ELSE [NULL] END) AS FlaggedField "
     "FROM parsed WHERE reason IS NOT NULL",
     "types_seen": _with(_bronze_cte()) + "SELECT DISTINCT templateName AS TemplateName FROM bronze ORDER BY 1",
     "types_known_seen": _with(_bronze_cte())
@@ -503,8 +569,8 @@ ORACLES: dict[str, str] = {
     "severity_v2": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte())
     + "SELECT date, deviceid, valuetype, count, severity_moy FROM sev",
     "gold_severity": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte()) + "SELECT * FROM sev",
-    "daily_gold_counts": _gold_prefix().replace("readings AS (SELECT Device_Date AS date,", "readings AS (SELECT templateName AS device_type, Device_Date AS date,")
-    + _COUNTS.replace("SELECT date, deviceid,", "SELECT device_type, date, deviceid,").replace("GROUP BY date, deviceid", "GROUP BY device_type, date, deviceid"),
+    **dict.fromkeys(("daily_gold_counts", "daily_two_runs"), _per_type(_gold_prefix() + _COUNTS)),
+    "daily_gold_severity": _per_type(_with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte()) + "SELECT * FROM sev"),
     "gold_counts_orders": _with(_ORDERS_READINGS) + _COUNTS,
     "gold_severity_orders": _with(_ORDERS_READINGS, _severity_cte()) + "SELECT * FROM sev",
     "gold_percent_orders": _with(_ORDERS_READINGS)
@@ -517,8 +583,16 @@ ORACLES: dict[str, str] = {
     "stream_types": _with(_bronze_cte()) + "SELECT DISTINCT templateName AS TemplateName FROM bronze",
     "stream_types_unknown": _with(_bronze_cte())
     + f"SELECT DISTINCT templateName AS TemplateName FROM bronze WHERE templateName NOT IN ({_in_list(KNOWN_TYPES)})",
-    "stream_bronze": _with(_bronze_cte()) + "SELECT * FROM bronze",
-    "stream_bronze_dedup": _with(_bronze_cte()) + "SELECT * FROM bronze",
+    "stream_bronze": _with(_bronze_cte(), _NO_BODY)
+    + "SELECT event_id, body, templateId, templateName, deviceId, yearDevice, monthDevice, rowhash, loadDatetime FROM bronze "
+    "UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, loadDatetime FROM no_body, range(2)",
+    "stream_bronze_dedup": _with(_bronze_cte(), _NO_BODY)
+    + "SELECT DISTINCT body, templateId, templateName, deviceId, rowhash FROM bronze "
+    "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL FROM no_body",
+    "severity_describe": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte())
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS summary, round(CAST(CAST({fn.format('severity_moy')} AS VARCHAR) AS DOUBLE), 4) AS severity_moy, round(CAST(CAST({fn.format('severity')} AS VARCHAR) AS DOUBLE), 4) AS severity FROM sev"
+        for name, fn in (("count", "count({})"), ("mean", "avg({})"), ("stddev", "stddev_samp({})"), ("min", "min({})"), ("max", "max({})"))),
     "severity_means": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte())
     + "SELECT date, deviceid, avg(count) AS avg_count, avg(severity) AS avg_severity, "
     "avg(severity_moy) AS avg_severity_moy FROM sev GROUP BY date, deviceid",

@@ -61,7 +61,8 @@ def telemetry_struct(fields: Mapping[str, str] | Iterable[tuple[str, str]]) -> T
     """``{name: type name}`` -> nullable struct, fields sorted by name.
 
     Raises :class:`TemplateError` for a type name outside
-    :data:`TEMPLATE_TYPES` or for a field named like a fixed silver column.
+    :data:`TEMPLATE_TYPES`, for a field named like a fixed silver column, or
+    for two names that differ in case only (column names ignore case).
     """
     items = dict(fields.items() if isinstance(fields, Mapping) else fields)
     fixed = {c.lower() for c in SILVER_FIXED_COLUMNS}
@@ -71,6 +72,8 @@ def telemetry_struct(fields: Mapping[str, str] | Iterable[tuple[str, str]]) -> T
             raise TemplateError(f"field {name!r}: unsupported template type {type_name!r}")
         if name.lower() in fixed:
             raise TemplateError(f"field {name!r} collides with a fixed silver column")
+        if any(name.lower() == f.name.lower() for f in out):
+            raise TemplateError(f"field {name!r} differs from another one in case only")
         out.append(T.StructField(name, TEMPLATE_TYPES[type_name], True))
     return T.StructType(out)
 

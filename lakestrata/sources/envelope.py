@@ -2,8 +2,9 @@
 
 The given tables hold no device telemetry, so the checked queries run over
 an event log that Spark derives row by row from ``events``: one message
-per event, its reading chosen by fixed rules on ``event_id`` so that every
-value class, a wrongly typed field and a missing telemetry object occur.
+per event, with one field of each template type.  The reading is the event's
+``value``; fixed rules on ``event_id`` replace some, so that every value
+class, wrongly typed fields and a missing telemetry object occur.
 The derivation is a single projection; it partitions like ``events``.
 """
 
@@ -14,43 +15,59 @@ from pyspark.sql import functions as F
 
 from lakestrata.sources.eventlog import spread
 
-# The reading rules, first match wins (FIXTURES.md section 6).
-#   event_id % 17 = 0  -> null
-#   event_id % 19 = 0  -> "bad" (a string)
-#   event_id % 13 = 0  -> 0
-#   event_id % 11 = 0  -> minus (event_id % 100 + 1)
-#   event_id % 23 = 0  -> 250000
-#   otherwise          -> (event_id % 5000) followed by ".5"
-# and telemetry is omitted when event_id % 29 = 0.
+# The template of the derived messages, one field of each type.
+TEMPLATE = {"RUNNINGHR": "double", "PRESSURE": "float", "CYCLES": "integer", "ACTIVE": "boolean"}
+# The reading rules per field as (condition on event_id, JSON
+# text) in SQL that Spark and DuckDB both read, first match wins (FIXTURES.md
+# section 6).  The normal RUNNINGHR is the event's value in hundredths.
+READINGS = {
+    "RUNNINGHR": (
+        ("event_id % 17 = 0", "'null'"),
+        ("event_id % 19 = 0", "'\"bad\"'"),
+        ("event_id % 13 = 0", "'0'"),
+        ("event_id % 11 = 0", "concat('-', CAST(event_id % 100 + 1 AS {text}))"),
+        ("event_id % 23 = 0", "'250000'"),
+        (None, "coalesce(concat(CAST(CAST(round(value * 100) AS BIGINT) AS {text}), 'e-2'), 'null')"),
+    ),
+    "PRESSURE": (
+        ("event_id % 43 = 0", "'\"high\"'"),
+        (None, "concat(CAST(event_id % 90 AS {text}), '.25')"),
+    ),
+    "CYCLES": (
+        ("event_id % 41 = 0", "'1.5'"),
+        (None, "CAST(event_id % 100000 AS {text})"),
+    ),
+    "ACTIVE": (
+        ("event_id % 47 = 0", "'1'"),
+        ("event_id % 2 = 0", "'true'"),
+        (None, "'false'"),
+    ),
+}
+# Telemetry is omitted when event_id % 29 = 0.
 NO_TELEMETRY_EVERY = 29
 TELEMETRY_FIELD = "RUNNINGHR"
 
 
-def reading_text(event_id: Column) -> Column:
-    e = event_id
-    return (
-        F.when(e % 17 == 0, F.lit("null"))
-        .when(e % 19 == 0, F.lit('"bad"'))
-        .when(e % 13 == 0, F.lit("0"))
-        .when(e % 11 == 0, F.concat(F.lit("-"), (e % 100 + 1).cast("string")))
-        .when(e % 23 == 0, F.lit("250000"))
-        .otherwise(F.concat((e % 5000).cast("string"), F.lit(".5")))
-    )
+def reading_sql(field: str, text: str) -> str:
+    """The JSON text of a field; ``text`` is the dialect's text type."""
+    cases = " ".join(f"WHEN {when} THEN {value}" if when else f"ELSE {value}" for when, value in READINGS[field])
+    return f"CASE {cases} END".format(text=text)
 
 
-def body_text(event_id: Column, user_id: Column, event_type: Column, ts: Column,
-              template_name: Column | None = None) -> Column:
-    """The JSON message, keys in fixed order, no blanks between tokens."""
-    name = event_type if template_name is None else template_name
-    telemetry = F.when(event_id % NO_TELEMETRY_EVERY == 0, F.lit("")).otherwise(
-        F.concat(F.lit(f',"telemetry":{{"{TELEMETRY_FIELD}":'), reading_text(event_id), F.lit("}"))
-    )
+def telemetry_sql(text: str) -> str:
+    parts = [f"""'{"," if i else ""}"{field}":', {reading_sql(field, text)}""" for i, field in enumerate(TEMPLATE)]
+    return f"""CASE WHEN event_id % {NO_TELEMETRY_EVERY} = 0 THEN '' ELSE concat(',"telemetry":{{', {", ".join(parts)}, '}}') END"""
+
+
+def body_text(template_name: Column | None = None) -> Column:
+    """The JSON message of an event, keys in fixed order, no blanks between tokens."""
+    name = F.col("event_type") if template_name is None else template_name
     return F.concat(
-        F.lit('{"deviceId":"dev-'), user_id.cast("string"),
+        F.lit('{"deviceId":"dev-'), F.col("user_id").cast("string"),
         F.lit('","templateName":"'), name,
-        F.lit('","templateId":"t-'), event_type,
-        F.lit('","enqueuedTime":"'), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        F.lit('"'), telemetry, F.lit("}"),
+        F.lit('","templateId":"t-'), F.col("event_type"),
+        F.lit('","enqueuedTime":"'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit('"'), F.expr(telemetry_sql("STRING")), F.lit("}"),
     )
 
 
@@ -67,7 +84,7 @@ def envelope(events: DataFrame, blank_type_every: int | None = None) -> DataFram
     return events.select(
         e.alias("event_id"),
         F.col("ts").cast("timestamp").alias("enqueuedTime"),
-        body_text(e, F.col("user_id"), F.col("event_type"), F.col("ts"), name).alias("body"),
+        body_text(name).alias("body"),
     )
 
 
@@ -84,12 +101,5 @@ def envelope_sql(blank_type_every: int | None = None) -> str:
     return f"""SELECT event_id, CAST(ts AS TIMESTAMP) AS enqueuedTime,
   '{{"deviceId":"dev-' || CAST(user_id AS VARCHAR) || '","templateName":"' || {name}
   || '","templateId":"t-' || event_type || '","enqueuedTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') || '"'
-  || CASE WHEN event_id % {NO_TELEMETRY_EVERY} = 0 THEN '' ELSE ',"telemetry":{{"{TELEMETRY_FIELD}":' ||
-       CASE WHEN event_id % 17 = 0 THEN 'null'
-            WHEN event_id % 19 = 0 THEN '"bad"'
-            WHEN event_id % 13 = 0 THEN '0'
-            WHEN event_id % 11 = 0 THEN '-' || CAST(event_id % 100 + 1 AS VARCHAR)
-            WHEN event_id % 23 = 0 THEN '250000'
-            ELSE CAST(event_id % 5000 AS VARCHAR) || '.5' END || '}}' END
-  || '}}' AS body
+  || {telemetry_sql("VARCHAR")} || '}}' AS body
 FROM events"""

@@ -159,18 +159,31 @@ def telemetry_of(spark: SparkSession, path: str) -> T.StructType:
     return telemetry_struct({r["name"]: r["schema"] for r in rows})
 
 
-def telemetry_by_type(spark: SparkSession, directory: str, mapping: Mapping[str, str]) -> dict[str, T.StructType]:
-    """Telemetry struct per device type, from one scan of the mapped files."""
+def telemetry_by_type(spark: SparkSession, directory: str, mapping: Mapping[str, str],
+                      unsupported: dict[str, dict[str, str]] | None = None) -> dict[str, T.StructType]:
+    """Telemetry struct per device type, from one scan of the mapped files.
+
+    A field of an unsupported type does not stop its template, nor the other
+    types: it is left out, and noted in ``unsupported`` (per device type:
+    field -> type name) when the caller gives one.
+    """
     files = sorted({v.rsplit("/", 1)[-1] for v in mapping.values()})
     paths = [f"{directory.rstrip('/')}/{f}" for f in files]
     decl = last_declarations(read_entries(spark, paths)).select("file", "name", "schema")
-    rows = decl.limit(MAX_TEMPLATE_FIELDS + 1).collect()
-    if len(rows) > MAX_TEMPLATE_FIELDS:
-        raise TemplateError(f"more than {MAX_TEMPLATE_FIELDS} template fields")
+    rows = decl.limit(MAX_TEMPLATE_FIELDS * len(files) + 1).collect()
     per_file: dict[str, dict[str, str]] = {}
     for r in rows:
         per_file.setdefault(r["file"], {})[r["name"]] = r["schema"]
-    return {t: telemetry_struct(per_file.get(v.rsplit("/", 1)[-1], {})) for t, v in mapping.items()}
+    if any(len(f) > MAX_TEMPLATE_FIELDS for f in per_file.values()) or len(rows) > MAX_TEMPLATE_FIELDS * len(files):
+        raise TemplateError(f"a template has more than {MAX_TEMPLATE_FIELDS} fields")
+    out = {}
+    for device_type, path in mapping.items():
+        fields = per_file.get(path.rsplit("/", 1)[-1], {})
+        bad = {n: t for n, t in fields.items() if t not in TEMPLATE_TYPES}
+        if bad and unsupported is not None:
+            unsupported[device_type] = bad
+        out[device_type] = telemetry_struct({n: t for n, t in fields.items() if n not in bad})
+    return out
 
 
 __all__ = [

@@ -100,6 +100,20 @@ def test_telemetry_by_type(spark, template_dir):
     assert structs["Compressors"]["PRESSURE"].dataType.simpleString() == "double"
 
 
+def test_unsupported_field_stops_neither_its_template_nor_the_others(spark, template_dir):
+    left_out = {}
+    structs = tp.telemetry_by_type(spark, template_dir, MAPPING, left_out)
+    assert [f.name for f in structs["Dryers"].fields] == ["DEWPOINT", "RUNNINGHR"]
+    assert set(left_out) == {"Dryers"} and set(left_out["Dryers"]) == {"MODE"}
+    assert "PRESSURE" in structs["Compressors"].names
+
+
+def test_names_that_differ_in_case_only_are_refused():
+    from lakestrata.schemas import telemetry_struct
+    with pytest.raises(TemplateError):
+        telemetry_struct({"Level": "double", "LEVEL": "float"})
+
+
 def test_cli_daily_from_templates(spark, template_dir):
     """The command line builds device types from template files and runs the batch."""
     from pyspark.sql import functions as F
@@ -121,3 +135,16 @@ def test_cli_daily_from_templates(spark, template_dir):
     assert gold.agg(F.sum("TotalCount")).first()[0] == spark.table("test_cli.silver_Compressors").count() > 0
     assert main(["discrepancy", "--templates", template_dir, "--type", "Compressors=Compressors.json",
                  "--type", "LNG Tank 1=LNG Tank.json"], spark) == 0
+    assert main(["investigate", "--root", root, "--database", "test_cli", "--templates", template_dir,
+                 "--type", "Compressors=Compressors.json", "--only", "Compressors"], spark) == 0
+    found = spark.table("test_cli.silver_Compressors_investigation")
+    assert {r["Reason"] for r in found.collect()} == {"type mismatch", "no telemetry object"}
+    before = spark.table("test_cli.silver_Compressors").count()
+    assert main(["daily", "--root", root, "--database", "test_cli", "--log", log, "--templates", template_dir,
+                 "--type", "Compressors=Compressors.json", "--type", "Dryers=Dryers.json", "--minutes", "1",
+                 "--as-of", "2024-03-31T00:00:00Z", "--buckets", "4", "--full-refresh"], spark) == 0
+    assert spark.table("test_cli.silver_Compressors").count() == before
+    out = scratch_path(spark, "test-discrepancy")
+    assert main(["discrepancy", "--templates", template_dir, "--type", "Compressors=Compressors.json",
+                 "--type", "LNG Tank 1=LNG Tank.json", "--out", out], spark) == 0
+    assert {r["Telemetry"] for r in spark.read.parquet(out).collect()} == {"PRESSURE"}
