@@ -6,7 +6,8 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
 
@@ -38,6 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one, ``__row``: no helper column can clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row")
+
+
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets (n + 1, starting at 0) of a string column; null: empty."""
     if isinstance(arr, pa.ChunkedArray):

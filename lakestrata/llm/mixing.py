@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .base import mix as scramble
+from .base import whole_row
 
 MAX_SOURCES = 50_000
 ROUNDS = 24
@@ -212,7 +213,7 @@ def taken() -> Column:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes their first word: whole documents at the mix's rates."""
-    packed = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("__row"), "doc_id", "source", "text")
+    packed = docs.select(whole_row(docs), "doc_id", "source", "text")
     times = F.size(F.filter("pieces", lambda p: p["first"] == 0))
     mixed = mix(packed, carry=["__row"], **options).select("__row", times.alias("__times")).where("__times > 0")
     return mixed.select("__row", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("__row.*")
