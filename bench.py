@@ -27,7 +27,6 @@ HEADLINE = [
     "silver_flags",
     "field_diagnosis",
     "gold_counts",
-    "gold_counts_joinform",
     "value_class_counts",
     "gold_severity",
     "severity_means",

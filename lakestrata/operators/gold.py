@@ -5,8 +5,8 @@ Both gold outputs come from ONE aggregation over silver, keyed by
 four value-class counts (conditional counts, combined map-side before the
 shuffle, so a device-day holding a third of all rows costs one partial
 aggregate per task, not one hot reducer).  The anomaly counts table is a
-projection of it; the severity rows are an unpivot of it.  The literal
-five-aggregate / four-left-join form is kept for parity checks.
+projection of it; the severity rows are an unpivot of it.  The
+four-left-join form is kept for parity checks.
 """
 
 from __future__ import annotations
@@ -76,21 +76,19 @@ def counts(readings_df: DataFrame, large_threshold: float = LARGE_THRESHOLD) ->
 
 
 def counts_join_form(readings_df: DataFrame, large_threshold: float = LARGE_THRESHOLD) -> DataFrame:
-    """The literal form: five aggregations, four left joins on (date, deviceid)."""
-    v = F.col("runninghour")
-    total = readings_df.groupBy("deviceid", "date").count().withColumnRenamed("count", "TotalCount")
-    out = total
-    parts = {}
-    for name, pred in _predicates(v, large_threshold).items():
-        part = readings_df.filter(pred).groupBy("deviceid", "date").count().withColumnRenamed("count", name)
-        parts[name] = part[name]
-        # Project after each join so that only the left side's keys remain.
-        out = out.join(
-            part,
-            on=(total["date"] == part["date"]) & (total["deviceid"] == part["deviceid"]),
-            how="left",
-        ).select(total["date"], total["deviceid"], *parts.values(), total["TotalCount"])
-    return out
+    """The join form: totals left-joined with each anomaly's counts on (date, deviceid).
+
+    All five sides are projections of one aggregation, whose shuffle they
+    share; the joins need no other.
+    """
+    daily = daily_counts(readings_df, large_threshold)
+    out = daily.select(*KEYS, "TotalCount")
+    names = list(_predicates(F.col("runninghour"), large_threshold))
+    for name in names:
+        part = daily.filter(F.col(f"n_{name}") > 0).select(
+            F.col("date").alias("_date"), F.col("deviceid").alias("_device"), F.col(f"n_{name}").alias(name))
+        out = out.join(part, (F.col("date") == F.col("_date")) & (F.col("deviceid") == F.col("_device")), "left").drop("_date", "_device")
+    return out.select(*KEYS, *names, "TotalCount")
 
 
 def percent(counts_df: DataFrame) -> DataFrame:
