@@ -127,7 +127,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
-def choose_cutoffs(holdout: DataFrame, risk: float = 0.05, error: float = 0.05) -> DataFrame:
+def choose_cutoffs(holdout: DataFrame, risk: float = 0.03, error: float = 0.05) -> DataFrame:
     """stratum and one cutoff column per rule (null: none is proven).
 
     ``holdout``: statistics of good labelled documents that pass the base
@@ -163,7 +163,7 @@ def choose_cutoffs(holdout: DataFrame, risk: float = 0.05, error: float = 0.05)
     return strata.mapInArrow(decide, "stratum string, " + ", ".join(f"{r} double" for r in rules))
 
 
-def judge(stats: DataFrame, labels: DataFrame, risk: float = 0.05, error: float = 0.05) -> DataFrame:
+def judge(stats: DataFrame, labels: DataFrame, risk: float = 0.03, error: float = 0.05) -> DataFrame:
     """``stats`` with base_failed, failed_rules (array) and kept.
 
     ``labels``: doc_id, quality (1: good); a document labelled more than

@@ -109,7 +109,7 @@ def test_cutoffs_keep_the_promise(spark):
     got = {r["stratum"]: r for r in quality_rules.choose_cutoffs(spark.createDataFrame(data, columns)).collect()}
     assert got["small"]["symbols"] is None
     rejected = lambda c: sum(x[3] * 1000 / 5000 > c for x in data if x[0] == "big")
-    level, share = 0.05 / 12, 0.05 / 6
+    level, share = 0.05 / 12, 0.03 / 6
     want = None
     for c in quality_rules.CUTOFFS:
         if quality_rules.binomial_tail(rejected(c), 4000, share) > level:
