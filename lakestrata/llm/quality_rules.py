@@ -48,6 +48,8 @@ RULES = {
 #: Candidate cutoffs in thousandths, loosest first; a rate above its cutoff rejects.
 CUTOFFS = [900, 700, 500, 400, 300, 250, 200, 150, 120, 100, 80, 60, 50, 40, 30, 25, 20, 15, 10, 5]
 MAX_BROADCAST_STRATA = 10_000
+#: Share of good documents that may be rejected in a stratum, and the chance that some stratum loses more.
+RISK, ERROR = 0.03, 0.05
 
 
 def _line_counts(text: str) -> tuple[int, int]:
@@ -127,7 +129,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
-def choose_cutoffs(holdout: DataFrame, risk: float = 0.03, error: float = 0.05) -> DataFrame:
+def choose_cutoffs(holdout: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """stratum and one cutoff column per rule (null: none is proven).
 
     ``holdout``: statistics of good labelled documents that pass the base
@@ -163,7 +165,7 @@ def choose_cutoffs(holdout: DataFrame, risk: float = 0.03, error: float = 0.05)
     return strata.mapInArrow(decide, "stratum string, " + ", ".join(f"{r} double" for r in rules))
 
 
-def judge(stats: DataFrame, labels: DataFrame, risk: float = 0.03, error: float = 0.05) -> DataFrame:
+def judge(stats: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """``stats`` with base_failed, failed_rules (array) and kept.
 
     ``labels``: doc_id, quality (1: good); a document labelled more than

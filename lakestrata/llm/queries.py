@@ -81,12 +81,38 @@ QUERIES = {
 }
 
 _UPPER, _LOWER = url_filter.UPPER, url_filter.LOWER
+_RATES = ", ".join(f"({i}, coalesce(1000 * {top} / nullif({base}, 0), 0.0))" for i, (top, base) in enumerate(quality_rules.RULES.values()))
 _HOST = f"CASE WHEN position('://' IN url) > 0 THEN translate(regexp_extract(substr(url, position('://' IN url) + 3), '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') ELSE '' END"
 _PATH = "CASE WHEN position('://' IN url) > 0 THEN regexp_extract(substr(url, position('://' IN url) + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END"
 _HOST_RULES = ", ".join(f"('{r.host}', '{r.path}', '{r.action}')" for r in URL_RULES if not r.pattern)
 _PATTERNS = " OR ".join(f"regexp_matches(translate(url, '{_UPPER}', '{_LOWER}'), '{r.regex()[4:]}', 's')" for r in URL_RULES if r.pattern)
 
 ORACLES = {
+    # the binomial test of every candidate cutoff; a rule's cutoff is the last before the first failure
+    "op1_quality_rules": rf"""
+        WITH w AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '(null)') AS stratum, coalesce(text, '') AS t,
+              regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+              list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+        win AS (SELECT r, unnest(range(1, len(ws) - 6)) AS i, unnest(list_transform(range(1, len(ws) - 6), lambda i: array_to_string(ws[i:i + 7], ' '))) AS g FROM w WHERE len(ws) > 7),
+        dup AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+        cov AS (SELECT r, count(DISTINCT i + k) AS n FROM dup, range(8) x(k) GROUP BY r),
+        c AS (SELECT w.r, doc_id, stratum, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+              length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
+              len(ls) AS n_lines, length(t) - length(translate(t, '{_UPPER}', '')) AS n_upper, length(t) - length(translate(t, '!', '')) AS n_marks,
+              len(list_filter(range(1, len(ws)), lambda i: translate(ws[i], '{_UPPER}', '{_LOWER}') = translate(ws[i + 1], '{_UPPER}', '{_LOWER}'))) AS n_adjacent
+              FROM w LEFT JOIN cov ON w.r = cov.r),
+        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c),
+        rates AS (SELECT r, doc_id, stratum, base_failed, x.rule, x.rate FROM b, LATERAL (VALUES {_RATES}) x(rule, rate)),
+        good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+        cuts AS (SELECT unnest(range(1, {len(quality_rules.CUTOFFS)} + 1)) AS i, unnest({quality_rules.CUTOFFS}) AS c),
+        held AS (SELECT stratum, rule, i, c, count(*) AS n, count(*) FILTER (WHERE rate > c) AS k
+              FROM rates, cuts WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY ALL),
+        lim AS (SELECT {quality_rules.RISK}::DOUBLE / {len(quality_rules.RULES)} AS a, {quality_rules.ERROR}::DOUBLE / greatest(1, count(DISTINCT stratum) * {len(quality_rules.RULES)}) AS d FROM held),
+        test AS (SELECT held.*, k < n AND list_sum(list_transform(range(k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(a) + (n - j) * ln(1 - a)))) <= d AS ok FROM held, lim),
+        chosen AS (SELECT stratum, rule, min(c) AS cutoff FROM (SELECT *, bool_and(ok) OVER (PARTITION BY stratum, rule ORDER BY i) AS so_far FROM test) WHERE so_far GROUP BY ALL),
+        fails AS (SELECT DISTINCT r FROM rates JOIN chosen USING (stratum, rule) WHERE rate > cutoff)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND fails.r IS NULL AS kept
+        FROM b LEFT JOIN fails ON b.r = fails.r""",
     "op4_url_filter": f"""
         WITH p AS (SELECT row_number() OVER () AS i, page_id, url, coalesce({_HOST}, '') AS host, coalesce({_PATH}, '') AS path FROM pages),
         r(h, s, action) AS (VALUES {_HOST_RULES}),
