@@ -9,9 +9,9 @@ non-negative unbiased risk
     prior * E_pos[l(f, +)] + max(0, E_unl[l(f, -)] - prior * E_pos[l(f, -)]).
 
 Features are rates of a text's surface (symbols, repeats, case, lines, word
-lengths); scoring is an expression over them.  The fit uses at most
-``sample`` positives and unlabelled rows, the least by a hash of the id: a
-bounded sample; features and scores cover all rows.
+lengths); scoring is an expression over them.  The fit uses about
+``sample`` positives and as many unlabelled rows, chosen by a hash: a bounded
+sample; features and scores cover all rows.
 
 Null or empty texts have zero features and get a score too.  Repeated rows
 score alike.  Without positives every score is the prior 0.5.
@@ -138,10 +138,17 @@ def fit(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample: int
     """Learn from ``feats`` (unlabelled) and the rows of them that ``labels`` marks good (quality 1)."""
     good = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min("quality").alias("q")).where("q = 1")
     array = F.array(*(c.cast("double") for c in inputs())).alias("x")
+    span = 1 << 31
 
     def take(df: DataFrame) -> np.ndarray:
-        rows = df.select(array, F.xxhash64(id_col).alias("h"), F.col(id_col)).orderBy("h", id_col).limit(sample).select("x").collect()
-        return np.array([r["x"] for r in rows], float).reshape(len(rows), len(inputs()))
+        """About ``sample`` rows, by a hash: what reaches the driver does not grow with the input."""
+        share = min(1.0, sample / max(1, df.count()))
+        some = df.where(F.pmod(F.xxhash64(id_col, *COUNTS), F.lit(span)) < int(share * span))
+        rows = some.select(array).limit(2 * sample).collect()  # the limit matters only if one row fills the table
+        return np.array(sorted(r["x"] for r in rows), float).reshape(len(rows), len(inputs()))[order(len(rows))]
+
+    def order(n: int) -> np.ndarray:
+        return np.random.default_rng(0).permutation(n)
 
     p, u = take(feats.join(good, id_col, "left_semi")), take(feats)
     if not len(p) or not len(u):
