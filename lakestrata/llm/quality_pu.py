@@ -157,9 +157,10 @@ def fit(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample: int
     mean, scale = u.mean(axis=0), u.std(axis=0) + 1e-6
     add = lambda x: np.concatenate([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))], axis=1)
     p, u = add(p), add(u)
-    half_p, half_u = np.arange(len(p)) % 2 == 0, np.arange(len(u)) % 2 == 0
-    first = _train(p[half_p], u[half_u], 0.5, steps=500)
-    prior = estimate_prior(p[~half_p] @ first, u[~half_u] @ first) if len(p) > 1 and len(u) > 1 else 0.5
+    prior = 0.5
+    if len(p) > 3 and len(u) > 3:  # each half is judged by a classifier of the other; the lower estimate is the safe one
+        halves = [(np.arange(len(p)) % 2 == k, np.arange(len(u)) % 2 == k) for k in (0, 1)]
+        prior = min(estimate_prior(p[~a] @ w, u[~b] @ w) for a, b in halves for w in [_train(p[a], u[b], 0.5, steps=500)])
     w = _train(p, u, prior)
     return Model(w[:-1].tolist(), float(w[-1]), mean.tolist(), scale.tolist(), prior)
 
