@@ -7,9 +7,8 @@ item's impacts are scaled by its own full score, hence a passage scores 1 on
 an item whose words it all has, and every item at ``threshold`` or above is
 retrieved.  Retrieval is block-max WAND: items lie in blocks, a term keeps
 its largest impact per block, and blocks whose bounds cannot reach the
-threshold are skipped.  The first round of bounds, over whole passages and
-then over blocks, is taken for all passages of a batch at once; the cursors
-run only for passages that survive.
+threshold are skipped.  The bounds of all passages of a batch are taken at
+once, and the cursors run only for passages that survive them.
 
 A retrieved item is a match if the passage holds at least ``overlap`` of the
 five-word shingles of its question and of its answer (the last sentence; of
@@ -33,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WordHasher, cut, row_chunks, utf8, windows
+from .base import WordHasher, cut, row_chunks, utf8, whole_row, windows
 
 BLOCK = 8
 MAX_INDEX_BYTES = 16 << 20
@@ -53,6 +52,7 @@ class Index:
     bstart: np.ndarray  # blocks of a term
     block: np.ndarray
     bmax: np.ndarray
+    first: np.ndarray  # postings of a term's block: first[e] to first[e + 1]
     step: int
     question: list  # sorted distinct shingle hashes by shingle width
     answer: list
@@ -125,7 +125,7 @@ def build(items: list[tuple[object, str]]) -> Index | None:
     found = [[shingles(h) for *_, h in _each([p[s] for p in parts])] for s in (0, 1)]
     return Index(
         [items[k][0] for k in order], terms, np.append(start, len(rows)), doc, impact,
-        np.searchsorted(bterm, np.arange(len(terms) + 1)), block, np.maximum.reduceat(impact, first),
+        np.searchsorted(bterm, np.arange(len(terms) + 1)), block, np.maximum.reduceat(impact, first), np.append(first, len(rows)),
         max(LEAST_STEP, max(len(words[k]) for k in order)), *found,
     )
 
@@ -180,45 +180,48 @@ def wand(x: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float
     return out
 
 
-def candidates(x: Index, known: np.ndarray, rows: np.ndarray, steps: np.ndarray, threshold: float):
-    """(row, step) of passages with a block whose bound reaches the threshold; bounds of all passages at once.
+def candidates(x: Index, known: np.ndarray, rows: np.ndarray, steps: np.ndarray, last: np.ndarray, threshold: float):
+    """(row, step) of passages with an item at the threshold, for all passages of a batch at once.
 
-    A passage is two half windows, ``step`` and the next; terms are distinct within a half.
+    Bounds as the cursors would take them, each round for the survivors of
+    the round before: the sum of the terms' largest impacts, the sums of
+    their largest impacts in each block, the scores within a block.
+    A passage is half ``step`` and the next; ``last``: the last half of each row.
     """
-    n_terms = len(x.terms)
-    span = int(steps.max(initial=0)) + 2
-    half = rows * span + steps
-    key = np.unique(half * n_terms + known)
-    half, term = key // n_terms, key % n_terms
-    uhalf, at = np.unique(half, return_inverse=True)
+    n_terms, n_blocks = len(x.terms), int(x.block.max()) + 1
+    span = int(last.max(initial=0)) + 1
+    # a word lies in the passage of its half and in the one before; a last half alone is part of the one before
+    own = (steps < last[rows]) | (steps == 0)
+    before = steps > 0
+    passage = np.concatenate([(rows * span + steps)[own], (rows * span + steps - 1)[before]])
+    key = np.unique(passage * n_terms + np.concatenate([known[own], known[before]]))
+    passage, term = key // n_terms, key % n_terms
+    passages, at = np.unique(passage, return_inverse=True)
     top = np.maximum.reduceat(x.bmax, x.bstart[:-1])
-    most = np.bincount(at, weights=top[term], minlength=len(uhalf))
-
-    def passages(value):
-        """Passage sums: each half with the next, if both are there; a half before a first one stands for itself."""
-        follows = np.zeros(len(uhalf), bool)
-        follows[:-1] = uhalf[1:] == uhalf[:-1] + 1
-        total = value.copy()
-        total[follows] += value[1:][follows[:-1]]
-        return total
-
-    alive = passages(most) >= threshold - 1e-6
-    need = alive.copy()
-    need[1:] |= alive[:-1] & (uhalf[1:] == uhalf[:-1] + 1)
-    pick = need[at]
-    at2, term2 = at[pick], term[pick]
-    count = x.bstart[term2 + 1] - x.bstart[term2]
-    n_blocks = int(x.block.max()) + 1
-    entry = np.repeat(x.bstart[term2] - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(int(count.sum()))
-    cell, inverse = np.unique(np.repeat(at2, count) * n_blocks + x.block[entry], return_inverse=True)
-    bound = np.bincount(inverse, weights=x.bmax[entry])
-    chalf, cblock = cell // n_blocks, cell % n_blocks
-    after = np.searchsorted(cell, (chalf + 1) * n_blocks + cblock)
-    ok = (after < len(cell)) & (cell[np.minimum(after, len(cell) - 1)] == (chalf + 1) * n_blocks + cblock)
-    ok &= np.append(uhalf[1:] == uhalf[:-1] + 1, False)[chalf]
-    total = bound + np.where(ok, bound[np.minimum(after, len(cell) - 1)], 0.0)
-    good = np.unique(chalf[(total >= threshold - 1e-6) & alive[chalf]])
-    return uhalf[good] // span, uhalf[good] % span
+    reach = threshold - 1e-6
+
+    alive = np.bincount(at, weights=top[term], minlength=len(passages)) >= reach
+    pick = alive[at]
+    passages, at, term = passages[alive], (np.cumsum(alive) - 1)[at[pick]], term[pick]
+
+    entry, of = spread(x.bstart[term], x.bstart[term + 1])
+    cell = at[of] * n_blocks + x.block[entry]
+    alive = np.bincount(cell, weights=x.bmax[entry], minlength=len(passages) * n_blocks) >= reach
+    pick = alive[cell]
+    entry, cell = entry[pick], (np.cumsum(alive) - 1)[cell[pick]]
+    cells = np.flatnonzero(alive)
+
+    posting, of = spread(x.first[entry], x.first[entry + 1])
+    score = np.bincount(cell[of] * BLOCK + x.doc[posting] % BLOCK, weights=x.impact[posting], minlength=len(cells) * BLOCK)
+    good = passages[np.unique(cells[np.flatnonzero(score >= reach) // BLOCK] // n_blocks)]
+    return good // span, good % span
+
+
+def spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each start up to its end, and which pair each is of."""
+    count = end - start
+    of = np.repeat(np.arange(len(count)), count)
+    return np.arange(int(count.sum())) + (start - (np.cumsum(count) - count))[of], of
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", threshold: float = 0.6, overlap: float = 0.8) -> DataFrame:
@@ -265,7 +268,8 @@ def _query(thin: DataFrame, index: Index, schema: str, threshold: float, overlap
                     continue
                 first = np.searchsorted(rows, np.arange(int(rows[-1]) + 2))
                 best: dict[tuple[int, int], tuple] = {}
-                for row, step in zip(*map(np.ndarray.tolist, candidates(x, at[hit], rows[hit], place[hit] // x.step, threshold)), strict=True):
+                last = np.maximum(np.diff(first) - 1, 0) // x.step
+                for row, step in zip(*map(np.ndarray.tolist, candidates(x, at[hit], rows[hit], place[hit] // x.step, last, threshold)), strict=True):
                     a = int(first[row]) + step * x.step
                     z = min(a + 2 * x.step, int(first[row + 1]))
                     terms = np.unique(at[a:z][hit[a:z]])
@@ -287,7 +291,7 @@ def _query(thin: DataFrame, index: Index, schema: str, threshold: float, overlap
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows whose text has a match."""
-    keyed = docs.withColumn("__key", F.xxhash64(text_col))
-    bad = cut(matches(keyed, items, "__key", text_col, **options).select(F.col("__key").alias("__bad")).distinct())
+    keyed = docs.select(whole_row(docs), F.xxhash64(text_col).alias("__key"), F.col(text_col).alias("text"))
+    bad = cut(matches(keyed, items, "__key", **options).select(F.col("__key").alias("__bad")).distinct())
     bad = F.broadcast(bad) if bad.count() <= BROADCAST_KEYS else bad
-    return keyed.join(bad, F.col("__key") == F.col("__bad"), "left_anti").drop("__key")
+    return keyed.join(bad, F.col("__key") == F.col("__bad"), "left_anti").select("__row.*")
