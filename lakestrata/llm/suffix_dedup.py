@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .base import WordHasher, cut, mix, row_chunks, utf8
+from .base import WordHasher, cut, mix, row_chunks, stored, utf8
 
 SPAN, GRAM = 200, 32
 #: Documents read to find frequent grams; a gram is frequent in SAMPLE_SHARE of them.
@@ -125,24 +125,25 @@ def frequent_grams(texts: DataFrame, rows: int) -> np.ndarray:
     return np.sort(found.where(F.col("count") >= least).select("gram").toPandas()["gram"].to_numpy(np.int64).view(np.uint64))
 
 
-def sort_suffixes(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
+def sort_suffixes(text: np.ndarray, end: np.ndarray, packed: np.ndarray, depth: int) -> np.ndarray:
     """Suffix array of strings laid end to end, in order to ``depth`` symbols.
 
-    ``text``: symbols 1 to 256, a 0 after every string; ``starts``: of the strings.
+    ``text``: symbols 1 to 256, a 0 after every string; ``end``: of each
+    position's string; ``packed``: the next seven symbols of each position.
     """
     n = len(text)
-    packed = _packed(text)
     # runs of one symbol share their type; a suffix is small if the next different symbol is larger
     change = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
     small_run = np.append(text[change[1:]] > text[change[:-1]], False)
     small = np.repeat(small_run, np.diff(np.append(change, n))) & (text > 0)
 
     # stage 1: sort the small suffixes directly, seven symbols a round, only where still tied
+    rank = np.unique(packed, return_inverse=True)[1] + 1  # 0: beyond the string's end
     pos = np.flatnonzero(small)
-    order = pos[np.argsort(packed[pos], kind="stable")]
+    order = pos[np.argsort(rank[pos])]
     tied = np.zeros(len(order), bool)
     if len(order):
-        same = packed[order][1:] == packed[order][:-1]
+        same = rank[order][1:] == rank[order][:-1]
         group = np.concatenate([[0], np.cumsum(~same)])
         tied[1:] |= same
         tied[:-1] |= same
@@ -150,13 +151,12 @@ def sort_suffixes(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarra
         at = np.flatnonzero(tied)
         if not len(at):
             break
-        key = packed[np.minimum(order[at] + d, n - 1)]
-        ended = _past_end(text, starts, order[at], d)
-        key = np.where(ended, 0, key)
-        by = np.lexsort((key, group[at]))
+        next_ = order[at] + d
+        key = np.where(next_ >= end[order[at]], 0, rank[np.minimum(next_, n - 1)]) + group[at] * (n + 2)
+        by = np.argsort(key)
         order[at] = order[at][by]
         key = key[by]
-        same = (key[1:] == key[:-1]) & (group[at][1:] == group[at][:-1]) & (key[1:] > 0)
+        same = (key[1:] == key[:-1]) & (key[1:] % (n + 2) > 0)
         tied[:] = False
         tied[at[1:]] |= same
         tied[at[:-1]] |= same
@@ -211,12 +211,6 @@ def _packed(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def _past_end(text: np.ndarray, starts: np.ndarray, pos: np.ndarray, d: int) -> np.ndarray:
-    """Whether pos + d lies beyond the end of the string of pos."""
-    last = np.append(starts[1:], len(text)) - 1
-    return pos + d >= last[np.searchsorted(starts, pos, "right") - 1]
-
-
 def repeated_windows(strings: list[bytes], span: int) -> list[np.ndarray]:
     """For each string, which of its windows of ``span`` bytes occur again in the list."""
     data = np.frombuffer(b"".join(strings), np.uint8)
@@ -224,12 +218,11 @@ def repeated_windows(strings: list[bytes], span: int) -> list[np.ndarray]:
     text = np.zeros(len(data) + len(strings), np.int16)
     starts = np.concatenate([[0], np.cumsum(size + 1)])[:-1]
     text[np.arange(len(data)) + np.repeat(np.arange(len(strings)), size)] = data.astype(np.int16) + 1
-    order = sort_suffixes(text, starts, span)
+    packed, end = _packed(text), np.repeat(starts + size, size + 1)
+    order = sort_suffixes(text, end, packed, span)
     # adjacent common prefixes of span symbols or more
-    room = np.append(starts[1:], len(text)) - 1
-    left = room[np.searchsorted(starts, order, "right") - 1] - order >= span
+    left = end[order] - order >= span
     pair = np.flatnonzero(left[1:] & left[:-1])
-    packed = _packed(text)
     for d in [*range(0, span - 6, 7), span - 7]:
         pair = pair[packed[order[pair] + d] == packed[order[pair + 1] + d]]
     hit = np.zeros(len(text), bool)
@@ -368,7 +361,7 @@ def _apply(rows: DataFrame) -> DataFrame:
 def repeated_ranges(texts: DataFrame, rows: int, span: int) -> DataFrame:
     """(key, start, end) of bytes of each text that a repeated window covers; ranges may overlap."""
     frequent = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts, rows))
-    found = cut(_repeating(_segment_rows(texts, frequent, span)))
+    found = cut(_repeating(stored(_segment_rows(texts, frequent, span))))
     equal = found.where("same > 1").select("key", "start", (F.col("start") + F.col("n") + (span - 1)).alias("end"))
     # groups with different segments, and segments that may repeat in themselves: one of each, to be sorted
     mixed = found.where("same < `all` OR (same = 1 AND many)")
