@@ -79,6 +79,12 @@ def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
+def pieces(size: int, width: int):
+    """Parts of a text that hold each window of ``width`` bytes in exactly one of them."""
+    for a in range(0, size - width + 1, LONGEST):
+        yield a, min(size, a + LONGEST + width - 1)
+
+
 def segments(raw: np.ndarray, off: np.ndarray, grams: Grams, span: int):
     """(gram, hash of the bytes, row, start, windows, whether the gram occurs in it twice) of each segment."""
     none = np.zeros(0, np.int64)
@@ -90,7 +96,6 @@ def segments(raw: np.ndarray, off: np.ndarray, grams: Grams, span: int):
     valid = np.arange(span, span + len(least)) <= off[row + 1]
     new = np.ones(len(least), bool)
     new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1]) | ~valid[:-1]
-    new[::LONGEST] = True
     at = np.flatnonzero(new & valid)
     stop = np.flatnonzero(np.append(new[1:], True) | ~np.append(valid[1:], False))
     end = stop[np.searchsorted(stop, at)] + span  # bytes up to the last window's end
@@ -116,9 +121,9 @@ def frequent_grams(texts: DataFrame, rows: int) -> np.ndarray:
         for b in batches:
             data, off = utf8(b.column(1))
             for i in range(b.num_rows):
-                raw = data[off[i] : off[i + 1]][: 1 << 16]
-                if len(raw) >= GRAM:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(grams(raw)[0]).view(np.int64))], ["gram"])
+                for a, z in pieces(int(off[i + 1] - off[i]), GRAM):
+                    found = np.unique(grams(data[off[i] + a : off[i] + z])[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["gram"])
 
     found = some.mapInArrow(run, "gram long").groupBy("gram").count()
     least = max(8, int(SAMPLE_SHARE * min(rows, SAMPLE)))
@@ -247,9 +252,13 @@ def _segment_rows(texts: DataFrame, frequent, span: int) -> DataFrame:
                 if len(seen) > 500_000:
                     seen = set()
                 new = np.array([k not in seen and not seen.add(k) for k in keys[lo:hi].tolist()])
-                g, h, row, start, n, many = segments(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], grams, span)
-                keep = new[row]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in (g[keep].view(np.int64), h[keep].view(np.int64), keys[lo:hi][row[keep]], start[keep], n[keep], many[keep])], ["gram", "hash", "key", "start", "n", "many"])
+                # one long text goes piece by piece
+                parts = [(0, int(off[hi] - off[lo]))] if hi - lo > 1 else pieces(int(off[hi] - off[lo]), span)
+                for a, z in parts:
+                    raw = data[off[lo] + a : off[lo] + z]
+                    g, h, row, start, n, many = segments(raw, off[lo : hi + 1] - off[lo] if hi - lo > 1 else np.array([0, len(raw)]), grams, span)
+                    keep = new[row]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (g[keep].view(np.int64), h[keep].view(np.int64), keys[lo:hi][row[keep]], start[keep] + a, n[keep], many[keep])], ["gram", "hash", "key", "start", "n", "many"])
 
     return texts.mapInArrow(run, "gram long, hash long, key long, start long, n long, many boolean")
 

@@ -266,6 +266,12 @@ def test_suffix_dedup(docs, rows, empty, span):
     assert suffix_dedup.deduplicate(empty).count() == 0
 
 
+def test_suffix_dedup_of_long_texts_in_pieces(docs, rows, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LONGEST", 700)
+    monkeypatch.setattr(suffix_dedup, "row_chunks", lambda off: base.row_chunks(off, 1))
+    assert bag(suffix_dedup.deduplicate(docs).collect()) == bag((r[0], *x) for r, x in zip(rows, brute_removed([r[1] for r in rows], 200)))
+
+
 def test_suffix_dedup_with_frequent_grams(spark, monkeypatch):
     """A passage in most texts: its grams are demoted, its windows still found."""
     rng = random.Random(8)
