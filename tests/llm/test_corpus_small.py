@@ -183,6 +183,27 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.matches(empty, bench).count() == 0 and decontaminate.matches(d, bench.limit(0)).count() == 0
 
 
+def test_decontamination_typographic_characters(spark):
+    item = "Who wrote in the harbour log that the ferry didn't sail on that day? The keeper's son - aged nine - wrote it."
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    curly = item.replace("'", "\u2019")
+    ways = [
+        curly, item.replace(" - ", "\u2014"), item.replace(" ", "\u00a0"), "\u201c" + item.replace("day?", "day?\u201d \u2026") + "\u201d",
+        curly.replace(" - ", "\u2013").replace(" ", "\u202f"), item.replace("-", "\u2764\ufe0f"),
+    ]
+    d = spark.createDataFrame([*enumerate(ways), (10, "Who wrote it\u2014the keeper\u2019s son?")], "doc_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.matches(d, bench).collect()} == set(range(len(ways)))
+    assert [r["doc_id"] for r in decontaminate.decontaminate(d, bench).collect()] == [10]
+    quoted = spark.createDataFrame([(1, curly.replace(" - ", "\u2014"))], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.matches(d, quoted).collect()} == set(range(len(ways)))
+
+
+def test_decontamination_words():
+    words = lambda t: len(next(decontaminate._each([t]))[1])
+    assert [words(t) for t in ("don\u2019t", "don't", "a\u2014b", "a\u00a0b\u3000c", "\u201c\u2026\u201d", "\u00e9t\u00e9 \u65e5\u672c \u0663\u0664")] == [2, 2, 2, 3, 0, 3]
+    assert words("\u0939\u093f\u0928\u094d\u0926\u0940 e\u0301te\u0301") == 2  # marks belong to their letters
+
+
 def test_decontamination_in_index_parts(spark, monkeypatch):
     items = [(i, f"question {i} about topic {i * 7} and so on? answer {i} is number {i * 13}.") for i in range(30)]
     bench = spark.createDataFrame(items, "item_id long, text string")
