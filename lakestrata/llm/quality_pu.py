@@ -9,9 +9,10 @@ non-negative unbiased risk
     prior * E_pos[l(f, +)] + max(0, E_unl[l(f, -)] - prior * E_pos[l(f, -)]).
 
 Features are rates of a text's surface (symbols, repeats, case, lines, word
-lengths); scoring is an expression over them.  The fit uses about
+lengths); scoring is an expression over them.  The gradient fits use about
 ``sample`` positives and as many unlabelled rows, chosen by a hash: a bounded
-sample; features and scores cover all rows.
+sample.  All rows count in the features' means and deviations, in the tail
+masses of the prior (the sample only places the cuts) and in the scores.
 
 Null or empty texts have zero features and get a score too.  Repeated rows
 score alike.  Without positives every score is the prior 0.5.
@@ -20,6 +21,7 @@ score alike.  Without positives every score is the prior 0.5.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import WordHasher, lower_ascii, mix, row_chunks, utf8, windows, word_spans
+from .base import WordHasher, cut, lower_ascii, mix, row_chunks, utf8, windows, word_spans
 
 #: Counts of a text, as columns ``q_...``.
 COUNTS = [f"q_{c}" for c in ("n_words", "n_chars", "n_symbols", "n_marks", "n_bars", "n_upper", "n_digits", "n_stops", "n_commas", "n_lines", "n_adjacent", "n_distinct", "n_repeats", "n_long", "n_short", "n_capital")]
@@ -117,50 +119,103 @@ def _train(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate:
     return w
 
 
-def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
+def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))], axis=1)
+
+
+def _scores(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return (x * w).sum(axis=1)  # row by row, so that equal rows score alike in any batch
+
+
+def _tails(z: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Numbers of scores, of those from each cut up, and of those up to each cut."""
+    z = np.sort(z)
+    return np.concatenate([[len(z)], len(z) - np.searchsorted(z, cuts, "left"), np.searchsorted(z, cuts, "right")])
+
+
+def tail_counts(rows: DataFrame, models: list[np.ndarray], cuts: list[np.ndarray], mean: np.ndarray, scale: np.ndarray, bounds: tuple[int, int]) -> np.ndarray:
+    """models x (unlabelled, positive) x (rows, tails): over the ``rows`` (x, good, h) outside both samples' hash bounds."""
+    size = 1 + 2 * len(cuts[0])
+
+    def run(batches):
+        out = np.zeros((len(models), 2, size), np.int64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = _standard(b.column(0).flatten().to_numpy().reshape(b.num_rows, -1), mean, scale)
+            good, h = b.column(1).to_numpy(zero_copy_only=False).astype(bool), b.column(2).to_numpy()
+            for k, w in enumerate(models):
+                z = _scores(x, w)
+                for part, of in enumerate((h >= bounds[0], good & (h >= bounds[1]))):
+                    out[k, part] += _tails(z[of], cuts[k])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], ["k", "n"])
+
+    out = np.zeros(len(models) * 2 * size, np.int64)
+    for r in rows.select("x", "good", "h").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        out[r["k"]] = r["n"]
+    return out.reshape(len(models), 2, size)
+
+
+def estimate_prior(counts: np.ndarray) -> float:
     """Share of positives among the unlabelled: P(A) * prior <= U(A) for every set A of scores.
 
     The least U(A) / P(A) over upper and lower tails.  Being a least value of
     noisy ratios it errs below, if at all: a prior above the true share would
     make the negative risk vanish before the negatives are told apart.
     """
-    cuts = np.quantile(p, np.linspace(0.02, 0.98, 49))
-    best = 1.0
-    for above in (True, False):
-        for c in cuts:
-            ps, us = ((p >= c).mean(), (u >= c).mean()) if above else ((p <= c).mean(), (u <= c).mean())
-            if ps >= 0.3:  # shares of smaller tails are too noisy
-                best = min(best, us / ps)
+    unl, pos = (c[1:] / max(1, c[0]) for c in counts)
+    big = pos >= 0.3  # shares of smaller tails are too noisy
+    best = min(1.0, float((unl[big] / pos[big]).min(initial=1.0)))
     return float(np.clip(best, 0.05, 0.99))
 
 
+def moments(rows: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Numbers of rows and of positives, mean and deviation of each input over all rows, by exact sums."""
+    n_inputs = len(inputs())
+    x = [F.col("x")[i].cast("decimal(18,6)") for i in range(n_inputs)]
+    got = rows.agg(F.count("*"), F.count_if("good"), *map(F.sum, x), *(F.sum(c * c) for c in x)).first()
+    n, n_good, sums = got[0], got[1], [Fraction(v or 0) for v in got[2:]]
+    if not n:
+        return 0, 0, np.zeros(n_inputs), np.zeros(n_inputs)
+    mean = np.array([float(v / n) for v in sums[:n_inputs]])
+    var = [float((n * q - v * v) / (n * n)) for v, q in zip(sums[:n_inputs], sums[n_inputs:], strict=True)]
+    return n, n_good, mean, np.sqrt(np.maximum(var, 0))
+
+
 def fit(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
     """Learn from ``feats`` (unlabelled) and the rows of them that ``labels`` marks good (quality 1)."""
     good = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min("quality").alias("q")).where("q = 1")
     array = F.array(*(c.cast("double") for c in inputs())).alias("x")
     span = 1 << 31
-
-    def take(df: DataFrame) -> np.ndarray:
-        """About ``sample`` rows, by a hash: what reaches the driver does not grow with the input."""
-        share = min(1.0, sample / max(1, df.count()))
-        some = df.where(F.pmod(F.xxhash64(id_col, *COUNTS), F.lit(span)) < int(share * span))
-        rows = some.select(array).limit(2 * sample).collect()  # the limit matters only if one row fills the table
-        return np.array(sorted(r["x"] for r in rows), float).reshape(len(rows), len(inputs()))[order(len(rows))]
-
-    def order(n: int) -> np.ndarray:
-        return np.random.default_rng(0).permutation(n)
-
-    p, u = take(feats.join(good, id_col, "left_semi")), take(feats)
+    marked = feats.join(good.select(id_col, F.lit(True).alias("good")), id_col, "left")
+    rows = cut(marked.select(array, F.coalesce("good", F.lit(False)).alias("good"), F.pmod(F.xxhash64(id_col, *COUNTS), F.lit(span)).alias("h")))
+    n, n_good, mean, scale = moments(rows)
+    scale = scale + 1e-6
+
+    def below(count: int) -> int:
+        return int(min(1.0, sample / max(1, count)) * span)
+
+    def take(df: DataFrame, bound: int) -> tuple[np.ndarray, float]:
+        """About ``sample`` rows, by a hash, and how many rows each stands for: what reaches the driver does not grow with the input."""
+        some = df.where(F.col("h") < bound)
+        x = np.array(sorted(r["x"] for r in some.select("x").limit(2 * sample).collect()), float).reshape(-1, len(inputs()))
+        x = x[np.random.default_rng(0).permutation(len(x))]
+        # the limit matters only if one row fills the table
+        return _standard(x, mean, scale), some.count() / len(x) if len(x) == 2 * sample else 1.0
+
+    bounds = below(n), below(n_good)
+    (u, u_weight), (p, p_weight) = take(rows, bounds[0]), take(rows.where("good"), bounds[1])
     if not len(p) or not len(u):
-        n = len(inputs())
-        return Model([0.0] * n, 0.0, [0.0] * n, [1.0] * n, 0.5)
-    mean, scale = u.mean(axis=0), u.std(axis=0) + 1e-6
-    add = lambda x: np.concatenate([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))], axis=1)
-    p, u = add(p), add(u)
+        k = len(inputs())
+        return Model([0.0] * k, 0.0, [0.0] * k, [1.0] * k, 0.5)
     prior = 0.5
-    if len(p) > 3 and len(u) > 3:  # each half is judged by a classifier of the other; the lower estimate is the safe one
+    if len(p) > 3 and len(u) > 3:  # each half of the samples is judged by a classifier of the other, all other rows by both; the lower estimate is the safe one
         halves = [(np.arange(len(p)) % 2 == k, np.arange(len(u)) % 2 == k) for k in (0, 1)]
-        prior = min(estimate_prior(p[~a] @ w, u[~b] @ w) for a, b in halves for w in [_train(p[a], u[b], 0.5, steps=500)])
+        models = [_train(p[a], u[b], 0.5, steps=500) for a, b in halves]
+        cuts = [np.quantile(_scores(p[~a], w), np.linspace(0.02, 0.98, 49)) for (a, _), w in zip(halves, models, strict=True)]
+        sampled = [[u_weight * _tails(_scores(u[~b], w), c), p_weight * _tails(_scores(p[~a], w), c)] for (a, b), w, c in zip(halves, models, cuts, strict=True)]
+        others = tail_counts(rows, models, cuts, mean, scale, bounds) if min(bounds) < span else 0
+        prior = min(map(estimate_prior, np.array(sampled) + others))
     w = _train(p, u, prior)
     return Model(w[:-1].tolist(), float(w[-1]), mean.tolist(), scale.tolist(), prior)
 

@@ -322,6 +322,34 @@ def test_classifier(spark, docs, empty):
     assert {r["s"] for r in quality_pu.features(docs).select(quality_pu.score(untaught).alias("s")).collect()} == {0.5}
 
 
+def test_classifier_statistics_take_all_rows(spark):
+    rng = random.Random(6)
+    good = lambda: " ".join("".join(rng.choice("abcde") for _ in range(rng.randint(2, 6))) for _ in range(rng.randint(20, 90))) + "."
+    bad = lambda: " ".join("X#" + rng.choice("abc") + "!!" for _ in range(rng.randint(20, 90)))
+    d = spark.createDataFrame([(i, bad() if i % 4 == 0 else good()) for i in range(1600)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(1600)], "doc_id long, quality int")
+    feats = quality_pu.features(d).cache()
+    model = quality_pu.fit(feats, labels, sample=60)
+    x = np.array([r[0] for r in feats.select(F.array(*(c.cast("double") for c in quality_pu.inputs()))).collect()])
+    assert np.allclose(model.mean, x.mean(axis=0), atol=1e-5) and np.allclose(model.scale, x.std(axis=0), atol=1e-4)
+    assert 0.72 <= model.prior <= 0.8  # of three quarters; least ratios of 30 rows err far below
+    assert quality_pu.fit(feats.repartition(7), labels, sample=60) == model
+
+
+def test_classifier_tail_counts(spark):
+    rng = np.random.default_rng(2)
+    x, good, h = rng.normal(size=(500, 3)).round(1), rng.random(500) < 0.4, rng.integers(0, 1000, 500)
+    rows = spark.createDataFrame([(a, bool(g), int(k)) for a, g, k in zip(x.tolist(), good, h)], "x array<double>, good boolean, h long").repartition(5)
+    mean, scale, models = x.mean(axis=0), x.std(axis=0), [rng.normal(size=4), rng.normal(size=4)]
+    z = [quality_pu._scores(quality_pu._standard(x, mean, scale), w) for w in models]
+    cuts = [np.quantile(s[good], [0.2, 0.5, 0.9]) for s in z]
+    got = quality_pu.tail_counts(rows, models, cuts, mean, scale, (300, 700))
+    for k in (0, 1):
+        for part, of in enumerate((h >= 300, good & (h >= 700))):
+            s = z[k][of]
+            assert got[k, part].tolist() == [len(s), *((s >= c).sum() for c in cuts[k]), *((s <= c).sum() for c in cuts[k])]
+
+
 def test_non_negative_risk_gradient():
     rng = np.random.default_rng(0)
     p, u, w = rng.normal(1, 1, (50, 3)), rng.normal(0, 1, (80, 3)), rng.normal(0, 1, 3)
