@@ -141,23 +141,7 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
     shard (sort by it).  An unfinished epoch has only the drawn blocks.
     """
     carry = [c for c in docs.columns if c not in ("size", "source_size", "target", "pieces")] if carry is None else carry
-    sized = docs.select(
-        *(F.col(c) for c in carry),
-        word_count(F.col("text").cast("string")).alias("size"),
-        F.col("source").cast("string").alias("__source"),
-        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("__key"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("__h"),
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(plan(sized, weights, share, most, shards, seed, block))
-    # offsets in each source's stream: sums of (source, hash slice), then inside a slice
-    sized = sized.withColumn("__slice", F.shiftrightunsigned("__h", 52).cast("int"))
-    slices = sized.groupBy("__key", "__slice").agg(F.sum("size").alias("__n"))
-    before = F.sum("__n").over(W.partitionBy("__key").orderBy("__slice").rowsBetween(W.unboundedPreceding, -1))
-    slices = slices.select(F.col("__key").alias("__sk"), F.col("__slice").alias("__sl"), F.coalesce(before, F.lit(0)).alias("__base"))
-    inner = F.sum("size").over(W.partitionBy("__key", "__slice").orderBy("__h", "size").rowsBetween(W.unboundedPreceding, -1))
-    placed = sized.withColumn("__off", F.coalesce(inner, F.lit(0)))
-    placed = placed.join(slices, (F.col("__key") == F.col("__sk")) & (F.col("__slice") == F.col("__sl")), "left")
-    placed = placed.select(*carry, "size", "__key", (F.col("__base") + F.col("__off")).alias("__at"))
+    placed, shared = _placed(docs, carry, weights, share, most, shards, seed, block)
     fields = [*placed.schema.fields[:-2], T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("pieces", PIECES)]
 
     def run(batches):
@@ -177,6 +161,27 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
     return placed.mapInArrow(run, T.StructType(fields))
 
 
+def _placed(docs: DataFrame, carry: list[str], weights=(3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, shards: int = 64, seed: int = 7, block: int = 1024):
+    """The ``carry`` columns with size, source key and offset in the source's stream; the plan, broadcast."""
+    sized = docs.select(
+        *(F.col(c) for c in carry),
+        word_count(F.col("text").cast("string")).alias("size"),
+        F.col("source").cast("string").alias("__source"),
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("__key"),
+        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("__h"),
+    )
+    shared = docs.sparkSession.sparkContext.broadcast(plan(sized, weights, share, most, shards, seed, block))
+    # offsets in each source's stream: sums of (source, hash slice), then inside a slice
+    sized = sized.withColumn("__slice", F.shiftrightunsigned("__h", 52).cast("int"))
+    slices = sized.groupBy("__key", "__slice").agg(F.sum("size").alias("__n"))
+    before = F.sum("__n").over(W.partitionBy("__key").orderBy("__slice").rowsBetween(W.unboundedPreceding, -1))
+    slices = slices.select(F.col("__key").alias("__sk"), F.col("__slice").alias("__sl"), F.coalesce(before, F.lit(0)).alias("__base"))
+    inner = F.sum("size").over(W.partitionBy("__key", "__slice").orderBy("__h", "size").rowsBetween(W.unboundedPreceding, -1))
+    placed = sized.withColumn("__off", F.coalesce(inner, F.lit(0)))
+    placed = placed.join(slices, (F.col("__key") == F.col("__sk")) & (F.col("__slice") == F.col("__sl")), "left")
+    return placed.select(*carry, "size", "__key", (F.col("__base") + F.col("__off")).alias("__at")), shared
+
+
 def pieces_of(size: np.ndarray, at: np.ndarray, plans: list[list]) -> pa.Array:
     """Lists of pieces of documents that lie at ``at`` in their sources' streams."""
     width, blocks, epochs, drawn, last = (np.array([p[i] for p in plans], np.int64) for i in range(2, 7))
@@ -212,8 +217,26 @@ def taken() -> Column:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes their first word: whole documents at the mix's rates."""
-    packed = docs.select(whole_row(docs), "doc_id", "source", "text")
-    times = F.size(F.filter("pieces", lambda p: p["first"] == 0))
-    mixed = mix(packed, carry=["__row"], **options).select("__row", times.alias("__times")).where("__times > 0")
-    return mixed.select("__row", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("__row.*")
+    """The rows of ``docs`` at the mix's rates, as whole documents.
+
+    A source's documents are taken once for each epoch.  For the rest of its
+    target, words are rounded to documents along the hashed order: one more
+    time each document whose middle lies before the rest.  So a source's words
+    miss its target by at most half of one document (and the rounding of the
+    target to a word).
+    """
+    placed, shared = _placed(docs.select(whole_row(docs), "doc_id", "source", "text"), ["__row"], **options)
+    fields = [placed.schema["__row"], T.StructField("__times", T.LongType())]
+
+    def run(batches):
+        sources = shared.value
+        for b in batches:
+            size, at = b.column(1).to_numpy(), b.column(3).to_numpy()
+            plans = [sources[k] for k in b.column(2).to_pylist()]
+            width, _, epochs, drawn, last = (np.array([p[i] for p in plans], np.int64) for i in range(2, 7))
+            rest = np.where(drawn > 0, (drawn - 1) * width + last, 0)
+            times = np.where(size > 0, epochs + (2 * at + size <= 2 * rest), 0)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(times)], ["__row", "__times"])
+
+    mixed = placed.mapInArrow(run, T.StructType(fields)).where("__times > 0")
+    return mixed.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select("__row.*")

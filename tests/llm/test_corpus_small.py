@@ -409,6 +409,26 @@ def test_mixing(docs, rows, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_mixed_documents_meet_each_target(spark):
+    """Few and long documents: every source is within half a document of its target."""
+    rng = random.Random(9)
+    data = [(100 * s + i, f"s{s:02}", "w " * (rng.randint(2000, 4000) if i < 3 else rng.randint(1, 60))) for s in range(20) for i in range(rng.randint(4, 30))]
+    d = spark.createDataFrame([*data, (None, "s01", None), (5000, None, "a b c")], "doc_id long, source string, text string").repartition(3)
+    per, longest, took = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in d.collect():
+        n = len((r["text"] or "").split())
+        per[r["source"]] += n
+        longest[r["source"]] = max(longest[r["source"]], n)
+    names = sorted(per, key=lambda s: (s is None, s or ""))
+    goal = dict(zip(names, mixing.targets([per[s] for s in names], [(3, 1, 2)[i % 3] for i in range(len(names))], 1.5, 2)))
+    out = mixing.mixed_documents(d).collect()
+    for r in out:
+        took[r["source"]] += len(r["text"].split())
+    assert all(abs(took[s] - goal[s]) <= longest[s] / 2 + 1 for s in names)
+    assert max(collections.Counter(r["doc_id"] for r in out).values()) == 2
+    assert bag(tuple(r) for r in mixing.mixed_documents(d.repartition(5)).collect()) == bag(tuple(r) for r in out)
+
+
 def test_permutation():
     for n in (1, 2, 7, 100):
         for seed in (1, 2):
