@@ -35,6 +35,9 @@ from .base import whole_row
 MAX_SOURCES = 50_000
 ROUNDS = 24
 MAX_BLOCKS = 200_000
+#: numpy draws from fewer than this many.
+LARGEST = 1_000_000_000
+DRAW_CHUNK = 1 << 20
 PIECES = T.ArrayType(T.StructType([T.StructField(n, t()) for n, t in (("epoch", T.IntegerType), ("shard", T.IntegerType), ("place", T.LongType), ("first", T.LongType), ("words", T.LongType))]))
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -60,6 +63,40 @@ def targets(sizes: list[int], weights: list[float], share: float, most: float) -
     return out
 
 
+def hypergeometric(c: int, rest: int, n: int, rng: np.random.Generator) -> int:
+    """How many of ``n`` drawn without replacement are of the ``c``, not of the ``rest``.
+
+    Beyond numpy's limit by inversion: the weights of all values within twelve
+    deviations of the mode, from the ratios of neighbours; what lies outside
+    has less weight than a double tells apart.
+    """
+    total = c + rest
+    if total < LARGEST:
+        return int(rng.hypergeometric(c, rest, n))
+    mode = (n + 1) * (c + 1) // (total + 2)
+    reach = 64 + int(12 * math.sqrt(n * (c / total) * (rest / total) * ((total - n) / (total - 1))))
+    lo, hi = max(0, n - rest, mode - reach), min(c, n, mode + reach)
+
+    def weights(first: int, log: float) -> tuple[np.ndarray, float]:
+        """Weights from ``first`` on, relative to that of ``lo``, and the logarithm of the next one."""
+        k = np.arange(first, min(first + DRAW_CHUNK, hi + 1), dtype=np.float64)
+        with np.errstate(divide="ignore"):
+            logs = log + np.concatenate([[0.0], np.cumsum(np.log((c - k) / (k + 1)) + np.log((n - k) / (rest - n + k + 1)))])
+        return np.exp(logs[:-1]), float(logs[-1])
+
+    starts, sums, log = [], [], 0.0
+    for first in range(lo, hi + 1, DRAW_CHUNK):
+        starts.append((first, log))
+        w, log = weights(first, log)
+        sums.append(float(w.sum()))
+    upto = np.cumsum(sums)
+    at = rng.random() * upto[-1]
+    part = min(int(np.searchsorted(upto, at, "right")), len(sums) - 1)
+    w, _ = weights(*starts[part])
+    inside = np.searchsorted(np.cumsum(w), at - (upto[part] - sums[part]), "right")
+    return starts[part][0] + min(int(inside), len(w) - 1)
+
+
 def split_tree(blocks: list[int], shards: int, seed: int) -> np.ndarray:
     """shards x sources: block counts; each node's left half is a multivariate-hypergeometric draw."""
     out = np.zeros((shards, len(blocks)), np.int64)
@@ -70,13 +107,7 @@ def split_tree(blocks: list[int], shards: int, seed: int) -> np.ndarray:
             rest -= c
             if n <= 0:
                 break
-            if c + rest >= 1_000_000_000:  # numpy's limit; a normal draw of the same mean and variance
-                total = c + rest
-                mean, var = n * c / total, n * (c / total) * (rest / total) * (total - n) / max(1, total - 1)
-                k = round(rng.normal(mean, math.sqrt(var)))
-            else:
-                k = int(rng.hypergeometric(c, rest, n))
-            got[i] = k = min(max(k, n - rest, 0), c, n)
+            got[i] = k = hypergeometric(c, rest, n, rng)
             n -= k
         return got
 

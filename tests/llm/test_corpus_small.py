@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -380,6 +381,32 @@ def test_splitting_tree():
     assert (mixing.split_tree(blocks, 7, 1) == out).all() and (mixing.split_tree(blocks, 7, 2) != out).any()
 
 
+def test_splitting_tree_draws_are_exact_at_large_sizes():
+    """Beyond numpy's limit: halves of a small source, and rare blocks among 1e12."""
+    one = np.array([mixing.split_tree([2, 4 * 10**9], 2, seed)[0, 0] for seed in range(3000)])
+    share = np.bincount(one, minlength=3) / len(one)
+    assert np.abs(share - [0.25, 0.5, 0.25]).max() < 0.04  # a normal draw: 0.24, 0.52, 0.24
+    rng = np.random.default_rng(1)
+    few = np.array([mixing.hypergeometric(10**10, 99 * 10**10, 100, rng) for _ in range(3000)])
+    for k in range(4):
+        assert abs((few == k).mean() - math.comb(100, k) * 0.01**k * 0.99 ** (100 - k)) < 0.035  # a normal draw: 0.31 of 0, not 0.37
+    out = mixing.split_tree([3 * 10**11, 10**9, 7], 4, 3)
+    assert out.sum(axis=0).tolist() == [3 * 10**11, 10**9, 7] and (out >= 0).all()
+
+
+def test_large_draws_follow_the_law(monkeypatch):
+    c, rest, n = 40, 70, 30
+    monkeypatch.setattr(mixing, "LARGEST", 0)
+    for chunk in (1 << 20, 7):
+        monkeypatch.setattr(mixing, "DRAW_CHUNK", chunk)
+        rng = np.random.default_rng(4)
+        got = np.bincount([mixing.hypergeometric(c, rest, n, rng) for _ in range(20000)], minlength=n + 1) / 20000
+        want = np.array([math.comb(c, k) * math.comb(rest, n - k) / math.comb(c + rest, n) for k in range(n + 1)])
+        assert np.abs(got - want).max() < 0.015
+    rng = np.random.default_rng(5)
+    assert [mixing.hypergeometric(a, b, k, rng) for a, b, k in ((5, 0, 3), (0, 5, 3), (4, 3, 7), (4, 3, 0))] == [3, 0, 4, 0]
+
+
 def test_mixing(docs, rows, empty):
     mixed = mixing.mix(docs).cache()
     sizes = [len(WORD.findall(r[1] or "")) for r in rows]
