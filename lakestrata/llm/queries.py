@@ -1,11 +1,11 @@
-"""The checked queries of the ten operators over the given tables, and their SQL."""
+"""The checked queries of the operators over the given tables, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, mixing, quality_pu, quality_rules, sharding, suffix_dedup, token_counts, url_filter
+from . import conversation_trie, decontaminate, importance, jaccard_join, language_id, license_rules, license_scan, mixing, quality_pu, quality_rules, sharding, suffix_dedup, token_counts, url_filter
 from .base import cut, table
 from .url_filter import Rule
 
@@ -20,6 +20,10 @@ URL_RULES = [
     *(Rule("block", pattern=p) for p in ("*/casino-*", "*.casino-*", "*/free-bets.*", "*.free-bets.*", "*/poker-*", "*.poker-*", "*://ads.*", "*.doubleclick.*", "*/wp-login.php^", "*.exe^")),
 ]
 
+LICENSE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+LICENSE_RULES = [*license_rules.phrases(LICENSE_PHRASES), *license_rules.signatures()]
+IMPORTANCE = importance.Settings(width=1, buckets=10_000, seed=2024, least_words=20, percent=10)
+
 
 def fold(parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(parts))
@@ -75,9 +79,29 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long"), "grown_shard")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(conversation_trie.rebuilt(conversation_trie.turns(table(spark, sf_dir, "conversations"))))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), LICENSE_RULES)
+    every = F.col("detections")
+    base = F.filter(every, lambda d: d["base"])
+    starts = F.transform(base, lambda d: d["start"])
+    return found.select(
+        "row.doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        license_scan.labels(base).alias("base_labels"), license_scan.labels(every).alias("labels"), license_scan.confidence(every).alias("score"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), IMPORTANCE)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_language_id, op3_decontamination, op4_url_filter, op5_suffix_dedup, op6_quality_classifier, op7_mixing, op8_token_counts, op9_jaccard_join, op10_sharding)
+    for f in (op1_quality_rules, op2_language_id, op3_decontamination, op4_url_filter, op5_suffix_dedup, op6_quality_classifier, op7_mixing, op8_token_counts, op9_jaccard_join, op10_sharding,
+        op11_conversation_trie, op12_license_scan, op13_importance_resampling)
 }
 
 _UPPER, _LOWER = url_filter.UPPER, url_filter.LOWER
@@ -86,6 +110,11 @@ _HOST = f"CASE WHEN position('://' IN url) > 0 THEN translate(regexp_extract(sub
 _PATH = "CASE WHEN position('://' IN url) > 0 THEN regexp_extract(substr(url, position('://' IN url) + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END"
 _HOST_RULES = ", ".join(f"('{r.host}', '{r.path}', '{r.action}')" for r in URL_RULES if not r.pattern)
 _PATTERNS = " OR ".join(f"regexp_matches(translate(url, '{_UPPER}', '{_LOWER}'), '{r.regex()[4:]}', 's')" for r in URL_RULES if r.pattern)
+_quote = lambda t: "'" + t.replace("'", "''") + "'"
+_SIGNATURES = ", ".join(f"({i}, {_quote(r.label)}, {r.level}, {r.base}, {_quote(' ' + r.keyword)}, {_quote(r.regex())})" for i, r in enumerate(LICENSE_RULES))
+#: CRC-32 of a blob ``b``, byte by byte; the table ``t`` is made by the rule of its polynomial
+_CRC_TABLE = "SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)"
+_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(b), '..'), lambda h: ('0x' || h)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
 
 ORACLES = {
     # the binomial test of every candidate cutoff; a rule's cutoff is the last before the first failure
@@ -137,12 +166,61 @@ ORACLES = {
         FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN rep ON d.doc_id = rep.doc_id LEFT JOIN m ON m.x = rep.rep""",
     # CRC-32 byte by byte, its table made by the rule of its polynomial; rendezvous scores from MD5
     "op10_sharding": f"""
-        WITH t AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+        WITH t AS ({_CRC_TABLE}),
         d AS (SELECT coalesce(doc_id::VARCHAR, '(null)') AS k, doc_id, encode(coalesce(text, '')) AS b FROM documents),
         c AS (SELECT k, doc_id, octet_length(b) + 1 AS size,
-              xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(b), '..'), lambda h: ('0x' || h)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32 FROM d, t),
+              {_CRC} AS text_crc32 FROM d, t),
         s AS (SELECT c.*, list_transform(range({SHARDS + 1}), lambda s: -ln((('0x' || left(md5(k || ':' || s), 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)) AS v FROM c),
         g AS (SELECT *, list_position(v[1:{SHARDS}], list_min(v[1:{SHARDS}])) - 1 AS shard, list_position(v, list_min(v)) - 1 AS grown_shard FROM s)
         SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard,
                row_number() OVER (PARTITION BY shard ORDER BY md5(k), doc_id, text_crc32, size) - 1 AS slot, grown_shard::INT AS grown_shard FROM g""",
+    # subtrees by all ancestors of each node's smallest member
+    "op11_conversation_trie": f"""
+        WITH tab AS ({_CRC_TABLE}),
+        y AS (SELECT conv_id AS c, turn, length(coalesce(text, '')) AS n, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS tok FROM conversations WHERE conv_id IS NOT NULL),
+        o AS (SELECT c, n, tok, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, tok) AS p FROM y),
+        i AS (SELECT c, encode(c::VARCHAR) AS b FROM (SELECT DISTINCT c FROM o)),
+        h AS (SELECT c, {_CRC} % 6 AS h FROM i, tab),
+        r AS (SELECT h.c, b.p, b.tok, b.n FROM h JOIN o b ON b.c = h.c - h.c % 100 AND b.p <= h.h
+              UNION ALL SELECT o.c, o.p, o.tok, o.n FROM h JOIN o ON o.c = h.c AND o.p > h.h),
+        s AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY p) AS d, tok, n FROM r),
+        q AS (SELECT c, d, n, md5(list(tok) OVER (PARTITION BY c ORDER BY d)::VARCHAR) AS k, d = max(d) OVER (PARTITION BY c) AS last FROM s
+              UNION ALL SELECT c, 0, 0, '', c NOT IN (SELECT c FROM s) FROM h),
+        n AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, max(n) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256 FROM q GROUP BY d, k),
+        a AS (SELECT n.d AS below, n.k AS kb, q.d, q.k, n.n_convs, n.n FROM n JOIN q ON q.c = n.conv_id AND q.d <= n.d),
+        kids AS (SELECT d, k, count(*) AS n_children FROM a WHERE below = d + 1 GROUP BY d, k),
+        leaf AS (SELECT n.d, n.k, kids.n_children IS NULL AS leaf FROM n LEFT JOIN kids USING (d, k)),
+        sub AS (SELECT a.d, a.k, sum((n_convs - 1) * n) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves FROM a JOIN leaf ON a.below = leaf.d AND a.kb = leaf.k GROUP BY a.d, a.k)
+        SELECT n.conv_id, n.d AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+        FROM n JOIN sub USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN a ON a.below = n.d AND a.kb = n.k AND a.d = n.d - 1 LEFT JOIN n up ON up.d = a.d AND up.k = a.k""",
+    "op12_license_scan": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, trim(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')) AS w FROM documents),
+        s(rule, label, level, base, keyword, regex) AS (VALUES {_SIGNATURES}),
+        m AS (SELECT r, rule, label, level, base, string_split_regex(p, regex) AS ps, regexp_extract_all(p, regex) AS hs
+              FROM (SELECT r, ' ' || w AS w, ' ' || replace(w, ' ', '  ') || ' ' AS p FROM d) JOIN s ON contains(w, keyword)),
+        c AS (SELECT *, list_transform(ps, lambda x: (length(x) - length(replace(x, ' ', ''))) // 2) AS pn, list_transform(hs, lambda x: (length(x) - length(replace(x, ' ', ''))) // 2) AS hn FROM m WHERE len(hs) > 0),
+        f AS (SELECT r, rule, label, level, base, (list_sum(pn[1:i]) + coalesce(list_sum(hn[1:i - 1]), 0))::BIGINT AS a, a + hn[i] AS z FROM (SELECT *, unnest(range(1, len(hs) + 1)) AS i FROM c)),
+        k AS (SELECT * FROM f WHERE base OR NOT EXISTS (SELECT 1 FROM f b WHERE b.r = f.r AND b.a <= f.a AND b.z >= f.z AND b.level <= f.level
+              AND (b.level < f.level OR b.a < f.a OR b.z > f.z OR b.rule < f.rule))),
+        g AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(a) FILTER (WHERE base) AS first_word, max(a) FILTER (WHERE base) AS last_word,
+              string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, min(level) AS best FROM k GROUP BY r)
+        SELECT doc_id, CASE WHEN w = '' THEN 0 ELSE length(w) - length(replace(w, ' ', '')) + 1 END AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(({list(license_rules.CONFIDENCE)})[best + 1], 0.0)::DOUBLE AS score
+        FROM d LEFT JOIN g ON d.r = g.r""",
+    "op13_importance_resampling": rf"""
+        WITH tab AS ({_CRC_TABLE}),
+        d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        w AS (SELECT r, unnest(ws) AS w FROM d),
+        tw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+        v AS (SELECT w, encode(w) AS b FROM (SELECT w FROM w UNION SELECT w FROM tw)),
+        u AS (SELECT w, {_CRC} % {IMPORTANCE.buckets} AS u FROM v, tab),
+        s AS (SELECT u, count(*) AS s FROM w JOIN u USING (w) GROUP BY u),
+        t AS (SELECT u, count(*) AS t FROM tw JOIN u USING (w) GROUP BY u),
+        n AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS ns, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS nt),
+        gain AS (SELECT u, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (ns + {IMPORTANCE.buckets})) / ((s + 1)::DOUBLE * (nt + {IMPORTANCE.buckets}))))::BIGINT AS g FROM s LEFT JOIN t USING (u), n),
+        m AS (SELECT r, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM w JOIN u USING (w) JOIN gain USING (u) GROUP BY r),
+        z AS (SELECT d.r, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+              floor(-1000 * ln(-ln((('0x' || left(sha256('{IMPORTANCE.seed}:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS noise FROM d LEFT JOIN m ON d.r = m.r),
+        x AS (SELECT r, row_number() OVER (ORDER BY weight + noise DESC, doc_id NULLS FIRST, n_features, weight) AS k, count(*) OVER () AS n FROM z WHERE n_features >= {IMPORTANCE.least_words})
+        SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN k <= ({IMPORTANCE.percent} * n) // 100 THEN k END AS rank FROM z LEFT JOIN x USING (r)""",
 }
