@@ -68,11 +68,12 @@ def words_of(text: bytes):
         end = at + PIECE
         if end < size:
             plain = text[at:end].translate(TABLE)
-            cut = plain.rfind(b" ")
+            cut = plain.rfind(b" ", 1)
             while cut < 0 and end < size:  # one word, longer than a piece
+                seen = len(plain)
                 plain += text[end : end + PIECE].translate(TABLE)
                 end += PIECE
-                cut = plain.find(b" ")
+                cut = plain.find(b" ", seen)
             plain = plain if cut < 0 else plain[:cut]
             end = size if cut < 0 else at + cut
         else:
