@@ -11,8 +11,11 @@ four-left-join form is kept for parity checks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.functions.expressions import (
     LARGE_THRESHOLD,
@@ -140,13 +143,16 @@ def severity(class_rows_df: DataFrame, as_of, rows_per_day: int = ROWS_PER_DAY)
     )
 
 
+def means(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Mean of every numeric column that is no key, as ``avg_<column>``, per key."""
+    named = {k.lower() for k in keys}
+    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name.lower() not in named]
+    return df.groupBy(*keys).agg(*[F.avg(f"`{c}`").alias(f"avg_{c}") for c in columns])
+
+
 def severity_means(severity_df: DataFrame) -> DataFrame:
     """Mean of every numeric column per (date, deviceid)."""
-    return severity_df.groupBy(*KEYS).agg(
-        F.avg("count").alias("avg_count"),
-        F.avg("severity").alias("avg_severity"),
-        F.avg("severity_moy").alias("avg_severity_moy"),
-    )
+    return means(severity_df)
 
 
 def severity_describe(severity_df: DataFrame) -> DataFrame:

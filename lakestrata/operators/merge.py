@@ -42,19 +42,28 @@ def touched_partitions(target: DataFrame, batch: DataFrame, cols: Sequence[str])
     One membership test on partition columns: the scan lists only these.
     """
     keys = batch.select(partition_key(cols).alias("k")).distinct().limit(MAX_BATCH_PARTITIONS + 1).collect()
+    return in_partitions(target, [r["k"] for r in keys], cols)
+
+
+def in_partitions(target: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` in the partitions that ``keys`` (see :func:`partition_key`) name."""
     if len(keys) > MAX_BATCH_PARTITIONS:
         raise ValueError(f"a batch touches more than {MAX_BATCH_PARTITIONS} partitions")
-    return target.filter(partition_key(cols).isin([r["k"] for r in keys]))
+    return target.filter(partition_key(cols).isin(list(keys)))
 
 
 def new_rows(source: DataFrame, target: DataFrame, key: str = "rowhash",
-             partition_cols: Sequence[str] | None = None, dedup_source: bool = False) -> DataFrame:
+             partition_cols: Sequence[str] | None = None, dedup_source: bool = False,
+             partition_keys: Sequence[str] | None = None) -> DataFrame:
     """Source rows to insert: key NULL, or key absent from the target.
 
-    ``dedup_source``: one row per key of the batch.
+    ``dedup_source``: one row per key of the batch.  ``partition_keys``: the
+    partitions that the source touches, where the caller knows them already.
     """
     k = F.col(key)
-    if partition_cols:
+    if partition_cols and partition_keys is not None:
+        target = in_partitions(target, partition_keys, partition_cols)
+    elif partition_cols:
         target = touched_partitions(target, source, partition_cols)
     keyed = source.filter(k.isNotNull())
     existing = target.select(key).filter(k.isNotNull())
@@ -71,11 +80,16 @@ def insert_new_sql(spark, target_table: str, source: DataFrame, key: str = "rowh
     ``MERGE ... WHEN NOT MATCHED THEN INSERT`` needs a transactional table
     format; on Parquet tables the same statement is an ``INSERT`` of the
     source rows that have no matching key (a NULL key never matches).
-    Columns are matched by name.
+    Columns are matched by name.  The statement reads the whole key column
+    of the target; :func:`new_rows` prunes it and is what the jobs use.  The
+    view is gone afterwards.
     """
     source.createOrReplaceTempView(view)
-    columns = ", ".join(f"s.`{c}`" for c in spark.table(target_table).columns)
-    spark.sql(
-        f"INSERT INTO {target_table} SELECT {columns} FROM {view} s "
-        f"LEFT ANTI JOIN (SELECT DISTINCT `{key}` FROM {target_table}) t ON s.`{key}` = t.`{key}`"
-    )
+    try:
+        columns = ", ".join(f"s.`{c}`" for c in spark.table(target_table).columns)
+        spark.sql(
+            f"INSERT INTO {target_table} SELECT {columns} FROM {view} s "
+            f"LEFT ANTI JOIN {target_table} t ON s.`{key}` = t.`{key}`"
+        )
+    finally:
+        spark.catalog.dropTempView(view)

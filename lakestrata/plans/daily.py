@@ -98,7 +98,7 @@ class BatchResult:
 
 
 def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "rowhash",
-               dedup_source: bool = False, null_keys: bool = True) -> None:
+               dedup_source: bool = False, null_keys: bool = True, partition_keys: list[str] | None = None) -> None:
     """Create the table from the batch when absent, then merge insert-only.
 
     Same result as create-then-MERGE: after a create, every non-NULL key of
@@ -107,8 +107,10 @@ def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "ro
     itself.  Otherwise the anti-join of ``merge.new_rows`` runs against the
     partitions of the table that the batch touches.  ``dedup_source`` keeps
     one row per key of the batch (by default every copy is inserted);
-    ``null_keys=False`` states that the batch has no NULL key (silver: a
-    NULL body is always flagged), which saves checking for them.
+    ``null_keys=False`` leaves out the second writing of NULL-key rows after a
+    create (silver has none: a NULL body is always flagged; a stream must not
+    depend on which micro-batch creates the table).  ``partition_keys`` names the
+    partitions that the batch touches, where they are known already.
     """
     if dedup_source:
         source = source.filter(F.col(key).isNull()).unionByName(
@@ -117,7 +119,7 @@ def merge_into(lh: Lakehouse, spec: TableSpec, source: DataFrame, key: str = "ro
         if null_keys:
             lh.append_if_rows(spec, source.filter(F.col(key).isNull()))
     else:
-        lh.append(spec, merge.new_rows(source, lh.read(spec), key, spec.partition_by))
+        lh.append(spec, merge.new_rows(source, lh.read(spec), key, spec.partition_by, partition_keys=partition_keys))
 
 
 def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=None,
@@ -137,31 +139,45 @@ def ingest_bronze(lh: Lakehouse, events: DataFrame, start, end=None, load_ts=Non
     lh.overwrite(scratch, batch)
     staged = lh.read(scratch)
     # Index first: a failure after it leaves a superset of partitions indexed.
-    record_load(lh, staged, layout)
-    merge_into(lh, layout.bronze_spec(), staged, dedup_source=dedup_source)
+    touched = record_load(lh, staged, layout)
+    merge_into(lh, layout.bronze_spec(), staged, dedup_source=dedup_source, partition_keys=touched)
+    compact_loads(lh, layout)
     report = bronze.range_report(staged)
     report = lh.spark.createDataFrame(report.collect(), report.schema)
     lh.truncate(scratch)
     return report
 
 
-def record_load(lh: Lakehouse, batch: DataFrame, layout: Layout | None = None) -> None:
+def _spans(rows: DataFrame) -> DataFrame:
+    t = F.col("enqueuedTime").cast("timestamp")
+    return rows.groupBy(*bronze.PARTITION_COLS).agg(
+        F.min(t).alias("from_time"), F.max(t).alias("to_time"), F.count(F.lit(1)).alias("rows"))
+
+
+def record_load(lh: Lakehouse, batch: DataFrame, layout: Layout | None = None) -> list[str]:
     """Append to the load index: bronze partitions touched, with their span of hub time.
 
     A bronze table older than its index is indexed whole the first time, so
-    the index always covers every row.
+    the index always covers every row.  Returns the partitions' keys (bounded,
+    see ``merge.MAX_BATCH_PARTITIONS``), which the merge needs next.
     """
     layout = layout or Layout()
-
-    def index(rows: DataFrame) -> DataFrame:
-        t = F.col("enqueuedTime").cast("timestamp")
-        return rows.groupBy(*bronze.PARTITION_COLS).agg(
-            F.min(t).alias("from_time"), F.max(t).alias("to_time"), F.count(F.lit(1)).alias("rows"))
-
     spec = layout.loads_spec()
     if not lh.exists(spec) and lh.exists(layout.bronze_spec()):
-        lh.append(spec, index(lh.read(layout.bronze_spec())))
-    lh.append(spec, index(batch))
+        lh.append(spec, _spans(lh.read(layout.bronze_spec())))
+    spans = _spans(batch).withColumn("key", merge.partition_key(bronze.PARTITION_COLS))
+    found = spans.limit(merge.MAX_BATCH_PARTITIONS + 1).collect()
+    if len(found) > merge.MAX_BATCH_PARTITIONS:
+        raise ValueError(f"a batch touches more than {merge.MAX_BATCH_PARTITIONS} partitions")
+    lh.append(spec, lh.spark.createDataFrame(found, spans.schema).drop("key").coalesce(1))
+    return [r["key"] for r in found]
+
+
+def compact_loads(lh: Lakehouse, layout: Layout | None = None) -> None:
+    """One row for each bronze partition in the load index: its span over all loads."""
+    spec = (layout or Layout()).loads_spec()
+    loads = lh.read(spec).groupBy(*bronze.PARTITION_COLS)
+    lh.overwrite(spec, loads.agg(F.min("from_time").alias("from_time"), F.max("to_time").alias("to_time"), F.sum("rows").alias("rows")).coalesce(1))
 
 
 def bronze_window(lh: Lakehouse, start: dt.datetime | None, device_types: list[str],

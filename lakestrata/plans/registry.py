@@ -17,14 +17,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.functions.expressions import severity_v0, value_class
 from lakestrata.operators import bronze, diagnosis, gold, inventory, merge, silver
 from lakestrata.plans import daily
 from lakestrata.plans.tables import Lakehouse
 from lakestrata.schemas import telemetry_struct
 from lakestrata.session import configure, scratch_path
-from lakestrata.sources import eventlog
+from lakestrata.sources import eventlog, inference, templates
 from lakestrata.sources.envelope import TELEMETRY_FIELD, TEMPLATE, envelope, envelope_sql, read_envelope
-from lakestrata.streaming import ingest
+from lakestrata.streaming import ingest, late
 
 # Fixed parameters of the checked queries.
 AS_OF = "2024-01-31"
@@ -71,6 +72,13 @@ def q_bronze_enrich(spark, sf_dir):
     return _bronze(spark, sf_dir)
 
 
+def q_bronze_binary_body(spark, sf_dir):
+    """The log with binary bodies, as the event source delivers them."""
+    configure(spark)
+    log = read_envelope(spark, sf_dir).withColumn("body", F.col("body").cast("binary"))
+    return bronze.enrich(log, LOAD_TS).select("event_id", "body", "templateName", "deviceId", "rowhash")
+
+
 def q_bronze_bounded_read(spark, sf_dir):
     configure(spark)
     return eventlog.bounded(read_envelope(spark, sf_dir), BOUNDED_START, BOUNDED_END)
@@ -349,8 +357,129 @@ def q_stream_bronze(spark, sf_dir):
     return _streamed(spark, sf_dir, 2).select("event_id", "body", "templateId", "templateName", "deviceId", "yearDevice", "monthDevice", "rowhash", "loadDatetime")
 
 
+def q_severity_v0(spark, sf_dir):
+    """The earlier severity on ungrouped rows: each reading with its time of day."""
+    s = _silver(spark, sf_dir)
+    rows = s.select("DeviceId", F.col("Device_enqueuedTime").alias("time"), value_class(F.col(TELEMETRY_FIELD)).alias("valuetype"), F.lit(1).cast("long").alias("count"))
+    return rows.select("DeviceId", "time", "valuetype", severity_v0("count", "valuetype", "time", AS_OF).alias("severity"))
+
+
+def q_template_fields(spark, sf_dir):
+    """The types that each device type's telemetry fields really hold, counted."""
+    configure(spark)
+    return inference.observed_types(read_envelope(spark, sf_dir))
+
+
+def q_template_merged(spark, sf_dir):
+    """The one type that all values of a field fit."""
+    configure(spark)
+    return inference.merged_types(read_envelope(spark, sf_dir))
+
+
+def _written_templates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Template files written from the data and read again: (entries, dictionary)."""
+    configure(spark)
+    folder = scratch_path(spark, "templates")
+    mapping = inference.write_templates(inference.observed_types(read_envelope(spark, sf_dir)), folder)
+    listed = [r["path"] for r in templates.list_files(spark, folder, glob="*.json").limit(MAX_TYPES + 1).collect()]
+    return templates.read_entries(spark, listed), templates.dictionary(spark, mapping)
+
+
+def q_template_discrepancy(spark, sf_dir):
+    """Fields that the data's templates declare with more than one type."""
+    entries, types = _written_templates(spark, sf_dir)
+    return templates.type_discrepancy(templates.flatten(entries, types))
+
+
+def q_template_declared(spark, sf_dir):
+    """The last declaration of each field, which its telemetry struct is made of."""
+    entries, types = _written_templates(spark, sf_dir)
+    last = templates.last_declarations(entries).join(F.broadcast(types), "file")
+    return last.select(F.col("device_type").alias("Asset"), F.col("name").alias("Telemetry"), F.col("schema").alias("DataType"))
+
+
+# The second day of the template change begins here; the device type without times of its own.
+CHANGE, TIMELESS_TYPE, NEW_FIELD = "2024-01-16 00:00:00", "view", "ACTIVE"
+
+
+def _timeless(env: DataFrame) -> DataFrame:
+    none = F.regexp_replace("body", '"enqueuedTime":"[^"]*"', '"enqueuedTime":null')
+    return env.withColumn("body", F.when(F.col("body").contains(f'"templateName":"{TIMELESS_TYPE}"'), none).otherwise(F.col("body")))
+
+
+def q_template_change(spark, sf_dir):
+    """A run, a template that gains a field, a run in a new session, silver read in a third one.
+
+    Messages of one type have no device time: its only silver partition is NULL.
+    """
+    configure(spark)
+    first, last = _log_range(spark, sf_dir)
+    change = dt.datetime.fromisoformat(CHANGE)
+    days = [(min(first, change), change - dt.timedelta(microseconds=1)), (change, max(last, change))]
+    names, lh, layout = [d.name for d in _devices(spark, sf_dir)], _scratch_lakehouse(spark, "change"), daily.Layout(buckets=SCRATCH_BUCKETS)
+
+    def anew() -> Lakehouse:
+        return Lakehouse(configure(spark.newSession()), lh.root, f"lakestrata_{uuid.uuid4().hex[:12]}")
+
+    for (begin, end), template in zip(days, ({k: v for k, v in TEMPLATE.items() if k != NEW_FIELD}, TEMPLATE), strict=True):
+        tables = anew()
+        log = _timeless(read_envelope(tables.spark, sf_dir))
+        devices = [daily.DeviceType(n, telemetry_struct(template)) for n in names]
+        daily.run_daily(tables, log, devices, as_of=end, start=begin, load_ts=LOAD_TS, layout=layout)
+    tables = Lakehouse(spark, lh.root, f"lakestrata_{uuid.uuid4().hex[:12]}")
+    out = None
+    for n in names:
+        rows = tables.read(layout.silver_spec(n)).select("templateName", "DeviceId", "Device_Date", *TEMPLATE, "rowhash")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_stream_replay(spark, sf_dir):
+    """Messages without a body in every micro-batch, the creating one too; the last batch is run twice."""
+    configure(spark)
+    lh, layout, path = _scratch_lakehouse(spark, "replay"), daily.Layout(buckets=SCRATCH_BUCKETS), scratch_path(spark, "replay-log")
+    env = read_envelope(spark, sf_dir)
+    nothing = F.when(F.col("event_id") % NO_BODY_EVERY != 0, F.col("body"))
+    env.withColumn("body", nothing).repartition(4).write.parquet(path)
+    stream = spark.readStream.schema(env.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    checkpoint = f"{lh.root}/_checkpoint"
+    ingest.start_bronze_ingest(stream, lh, checkpoint, layout, LOAD_TS).awaitTermination()
+    ingest.forget_last_commit(spark, checkpoint)
+    ingest.start_bronze_ingest(stream, lh, checkpoint, layout, LOAD_TS).awaitTermination()
+    return lh.read(layout.bronze_spec()).select("event_id", "body", "templateName", "deviceId", "rowhash")
+
+
+# The stream of late rows: how far its watermark trails, and the files that one batch reads.
+LATE_DELAY, LATE_FILES = "3 days", 4
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """Every row of a log with copies, late copies and late messages, with its verdict; none is lost."""
+    configure(spark)
+    path, out = scratch_path(spark, "late-log"), scratch_path(spark, "late-out")
+    env = read_envelope(spark, sf_dir)
+    env.repartition(LATE_FILES).write.parquet(path)
+    e = F.col("event_id")
+    again = env.filter(e % RESENT_EVERY == 0)
+    other = env.filter(e % 5 == 1).withColumn("body", F.concat("body", F.lit(" ")))
+    nothing = env.filter(e % NO_BODY_EVERY == 0).withColumn("body", F.lit(None).cast("string"))
+    again.unionByName(other).unionByName(nothing).coalesce(LATE_FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(env.schema).option("maxFilesPerTrigger", LATE_FILES).parquet(path)
+    late.start_split(stream, out, f"{out}-checkpoint", LATE_DELAY).awaitTermination()
+    return late.rows_of(spark, out).groupBy("body", "verdict").agg(F.count("*").alias("rows"))
+
+
 QUERIES: dict[str, Query] = {
     "bronze_enrich": q_bronze_enrich,
+    "bronze_binary_body": q_bronze_binary_body,
+    "severity_v0": q_severity_v0,
+    "template_fields": q_template_fields,
+    "template_merged": q_template_merged,
+    "template_discrepancy": q_template_discrepancy,
+    "template_declared": q_template_declared,
+    "template_change": q_template_change,
+    "stream_replay": q_stream_replay,
+    "stream_late_rows": q_stream_late_rows,
     "bronze_bounded_read": q_bronze_bounded_read,
     "bronze_rolling_window": q_bronze_rolling_window,
     "bronze_range_minutes": q_bronze_range_minutes,
@@ -508,7 +637,47 @@ def _bronze_cols() -> str:
             "yearDevice, monthDevice, rowhash, loadDatetime")
 
 
+_JSON_TYPES = ("CASE t WHEN 'BOOLEAN' THEN 'boolean' WHEN 'BIGINT' THEN 'integer' WHEN 'UBIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'double' "
+               "WHEN 'VARCHAR' THEN 'string' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' END")
+_OBSERVED = f"""env AS ({envelope_sql()}),
+fields AS ({" UNION ALL ".join(f"SELECT json_extract_string(body, '$.templateName') AS TemplateName, '{f}' AS Telemetry, json_type(body, '$.telemetry.{f}') AS t FROM env" for f in TEMPLATE)}),
+observed AS (SELECT TemplateName, Telemetry, {_JSON_TYPES} AS DataType, count(*) AS messages FROM fields WHERE t IS NOT NULL AND t <> 'NULL' GROUP BY ALL)"""
+
+
+def _change_ctes() -> tuple[str, ...]:
+    """Messages of one type without device time; a template that gains a field on the second day."""
+    body = (f"CASE WHEN contains(body, '\"templateName\":\"{TIMELESS_TYPE}\"') "
+            "THEN regexp_replace(body, '\"enqueuedTime\":\"[^\"]*\"', '\"enqueuedTime\":null') ELSE body END")
+    early = f"enqueuedTime < TIMESTAMP '{CHANGE}'"
+    log = _bronze_cte().replace(f"env AS ({envelope_sql()})", f"env AS (SELECT event_id, enqueuedTime, {body} AS body FROM ({envelope_sql()}))")
+    bad = _bad(NEW_FIELD)
+    judged = _parsed_cte().replace(bad, f"CASE WHEN {early} THEN NULL ELSE {bad} END")
+    value = f"TRY_CAST(text_{NEW_FIELD} AS {_DUCK_TYPES[TEMPLATE[NEW_FIELD]]})"
+    return log, judged, _silver_cte().replace(f"{value} AS {NEW_FIELD}", f"CASE WHEN {early} THEN NULL ELSE {value} END AS {NEW_FIELD}")
+
+
 ORACLES: dict[str, str] = {
+    "bronze_binary_body": _with(_bronze_cte()) + "SELECT event_id, body, templateName, deviceId, rowhash FROM bronze",
+    "severity_v0": _with(_bronze_cte(), _parsed_cte(), _silver_cte())
+    + f"SELECT DeviceId, time, valuetype, CAST(CASE WHEN time IS NOT NULL THEN ((1 + CASE valuetype WHEN 'large' THEN 0.5::DOUBLE WHEN 'negative' THEN 0.7::DOUBLE WHEN 'null' THEN 0.3::DOUBLE WHEN 'zero' THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END) "
+    f"+ date_diff('day', CAST(time AS DATE), DATE '{AS_OF}')) + power(hour(time) - 12, 2) + 0.7::DOUBLE * 1 END AS FLOAT) AS severity "
+    f"FROM (SELECT DeviceId, Device_enqueuedTime AS time, {_CLASS.replace('runninghour', TELEMETRY_FIELD)} AS valuetype FROM silver)",
+    "template_fields": _with(_OBSERVED) + "SELECT * FROM observed",
+    "template_merged": _with(_OBSERVED) + "SELECT TemplateName, Telemetry, CASE WHEN count(*) = 1 THEN min(DataType) WHEN bool_and(DataType IN ('integer', 'double')) THEN 'double' ELSE 'mixed' END AS DataType FROM observed GROUP BY ALL",
+    "template_discrepancy": _with(_OBSERVED)
+    + "SELECT Telemetry, TemplateName AS Asset, DataType FROM observed WHERE Telemetry IN (SELECT Telemetry FROM observed GROUP BY 1 HAVING count(DISTINCT DataType) > 1)",
+    "template_declared": _with(_OBSERVED)
+    + "SELECT TemplateName AS Asset, Telemetry, DataType FROM observed QUALIFY row_number() OVER (PARTITION BY TemplateName, Telemetry ORDER BY messages DESC, DataType DESC) = 1",
+    "template_change": _with(*_change_ctes()) + f"SELECT templateName, DeviceId, Device_Date, {', '.join(TEMPLATE)}, rowhash FROM silver",
+    "stream_replay": _with(_bronze_cte())
+    + f"SELECT event_id, CASE WHEN keep THEN body END AS body, CASE WHEN keep THEN templateName END AS templateName, CASE WHEN keep THEN deviceId END AS deviceId, "
+    f"CASE WHEN keep THEN rowhash END AS rowhash FROM (SELECT *, event_id % {NO_BODY_EVERY} <> 0 AS keep FROM bronze)",
+    "stream_late_rows": _with(f"env AS ({envelope_sql()})")
+    + f"""SELECT body, verdict, count(*) AS rows FROM (
+  SELECT body, CASE WHEN row_number() OVER (PARTITION BY body) = 1 THEN 'first' ELSE 'copy' END AS verdict FROM env
+  UNION ALL SELECT body, CASE WHEN enqueuedTime < wm THEN 'late' ELSE 'copy' END FROM env, mark WHERE event_id % {RESENT_EVERY} = 0
+  UNION ALL SELECT body || ' ', CASE WHEN enqueuedTime < wm THEN 'late' WHEN row_number() OVER (PARTITION BY body, enqueuedTime < wm) = 1 THEN 'first' ELSE 'copy' END FROM env, mark WHERE event_id % 5 = 1
+  UNION ALL SELECT NULL, 'first' FROM env WHERE event_id % {NO_BODY_EVERY} = 0) GROUP BY ALL""".replace("FROM env, mark", f"FROM env, (SELECT max(enqueuedTime) - INTERVAL {LATE_DELAY} AS wm FROM env)"),
     "bronze_enrich": _with(_bronze_cte()) + "SELECT * FROM bronze",
     "bronze_bounded_read": _with(f"env AS ({envelope_sql()})")
     + "SELECT * FROM env WHERE enqueuedTime BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'",

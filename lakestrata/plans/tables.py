@@ -1,27 +1,40 @@
 """Parquet tables of the lakehouse, registered in the session catalog.
 
-Each table is an external Parquet table at ``<root>/<name>`` registered as
-``<database>.<name>``.  History tables (bronze, silver) are partitioned by
+Each table is an external Parquet table in a folder below ``<root>/data/<name>``,
+registered as ``<database>.<name>``.  History tables (bronze, silver) are partitioned by
 time and bucketed by ``rowhash``: the daily insert-only merge then reads
 only the touched partitions, and the target side of its anti-join needs no
 shuffle (the bucketed scan is already hash-partitioned on the key); only
 the batch is shuffled, into the bucket layout, before it is appended.
 
-Tables survive the session: :meth:`Lakehouse.exists` re-attaches a table
-whose folder holds data but which the (session-scoped) catalog lacks.
+Tables survive the session.  A note beside the data (``plans.notes``) holds
+each table's columns, types, partitioning, buckets and folder; the session's
+catalog follows it: :meth:`Lakehouse.exists` registers a table that the catalog
+lacks, or whose note has changed, from the note alone, so that columns added
+later and partition types never depend on which file is looked at.
+
+An overwrite writes a new folder and then changes the note: a reader sees all
+of the old rows or all of the new ones, and an overwrite that fails leaves the
+old ones.  The folder before stays for readers that have begun, until the next
+overwrite.
 """
 
 from __future__ import annotations
 
 import copy
+import json
 import re
 import threading
+import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakestrata.plans.notes import Notes
 
 
 @dataclass(frozen=True)
@@ -52,6 +65,8 @@ class Lakehouse:
         # writes to different tables run concurrently.
         self._locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
         self._locks_guard = threading.Lock()
+        self.notes = Notes(spark, self.root)
+        self._registered: dict[str, int] = {}  # number of the note that the catalog follows
         # The database folder goes under the (shared) root, not under the
         # session's warehouse folder, which may be machine-local.
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)} LOCATION '{self.root}/_catalog/{database}.db'")
@@ -75,35 +90,73 @@ class Lakehouse:
         return f"{_ident(self.database)}.{_ident(name)}"
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """The folder that holds the table's current files."""
+        found = self.notes.latest("table", name)
+        return f"{self.root}/{found[1]['folder'] if found else name}"
 
     # -- existence and attach ----------------------------------------------
     def exists(self, spec: TableSpec | str) -> bool:
-        """Registered, or data at the table's path (then re-registered)."""
+        """Whether the table has a note; the catalog then follows its latest one."""
         spec = spec if isinstance(spec, TableSpec) else TableSpec(spec)
-        if self.spark.catalog.tableExists(f"{self.database}.{spec.name}"):
+        with self._lock(spec.name):
+            found = self.notes.latest("table", spec.name)
+            if found is None:
+                return self._adopt(spec)
+            number, note = found
+            if self._registered.get(spec.name) != number or not self.spark.catalog.tableExists(f"{self.database}.{spec.name}"):
+                self._register(spec.name, number, note)
             return True
-        return self._attach(spec)
 
-    def _attach(self, spec: TableSpec) -> bool:
+    def _register(self, name: str, number: int, note: dict) -> None:
+        """Make the catalog's table the one that the note describes."""
+        schema = T.StructType.fromJson(note["schema"])
+        cols = ", ".join(f"{_ident(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        ddl = f"CREATE TABLE {self.fq(name)} ({cols}) USING parquet"
+        if note["partition_by"]:
+            ddl += f" PARTITIONED BY ({', '.join(_ident(c) for c in note['partition_by'])})"
+        if note["buckets"]:
+            ddl += f" CLUSTERED BY ({_ident(note['bucket_by'])}) INTO {note['buckets']} BUCKETS"
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(name)}")  # external: the files stay
+        self.spark.sql(ddl + f" LOCATION '{self.root}/{note['folder']}'")
+        if note["partition_by"]:
+            # The catalog tracks partitions: register the ones on storage.
+            self.spark.sql(f"ALTER TABLE {self.fq(name)} RECOVER PARTITIONS")
+        self._registered[name] = number
+
+    def _note(self, spec: TableSpec, schema: T.StructType, folder: str, before: str | None = None) -> None:
+        """Write the table's next note and let the catalog follow it."""
+        numbers = self.notes.numbers("table", spec.name)
+        number = numbers[-1] + 1 if numbers else 1
+        note = {
+            "schema": json.loads(schema.json()), "partition_by": list(spec.partition_by), "folder": folder, "before": before,
+            "bucket_by": spec.bucket_by if spec.buckets else None, "buckets": spec.buckets if spec.bucket_by else 0,
+        }
+        self.notes.put("table", spec.name, number, note)
+        self.notes.forget("table", spec.name, below=number)
+        self._register(spec.name, number, note)
+
+    def _adopt(self, spec: TableSpec) -> bool:
+        """A table written without a note, at ``<root>/<name>``: the columns of all its files become the note."""
         try:
-            schema = self.spark.read.parquet(self.path(spec.name)).schema
+            schema = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{spec.name}").schema
         except AnalysisException:
             return False
-        cols = ", ".join(f"{_ident(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-        ddl = f"CREATE TABLE IF NOT EXISTS {self.fq(spec.name)} ({cols}) USING parquet"
-        if spec.partition_by:
-            ddl += f" PARTITIONED BY ({', '.join(_ident(c) for c in spec.partition_by)})"
-        if spec.bucket_by and spec.buckets:
-            ddl += f" CLUSTERED BY ({_ident(spec.bucket_by)}) INTO {spec.buckets} BUCKETS"
-        self.spark.sql(ddl + f" LOCATION '{self.path(spec.name)}'")
-        if spec.partition_by:
-            # The catalog tracks partitions: register the ones on storage.
-            self.spark.sql(f"ALTER TABLE {self.fq(spec.name)} RECOVER PARTITIONS")
+        # the type of a partition column cannot be read from NULL values alone
+        fields = [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.NullType) else f for f in schema.fields]
+        self._note(spec, T.StructType(fields), spec.name)
         return True
 
+    def _new_folder(self, name: str) -> str:
+        return f"data/{name}/{uuid.uuid4().hex[:12]}"
+
+    def _delete(self, folder: str | None) -> None:
+        if folder:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def list_tables(self) -> list[str]:
-        return [t.name for t in self.spark.catalog.listTables(self.database)]
+        """Names of all tables, whether the catalog knows them yet or not."""
+        return sorted({t.name for t in self.spark.catalog.listTables(self.database)} | set(self.notes.names("table")))
 
     # -- reads --------------------------------------------------------------
     def read(self, spec: TableSpec | str) -> DataFrame:
@@ -125,39 +178,53 @@ class Lakehouse:
     def _bucketed(self, spec: TableSpec, df: DataFrame) -> DataFrame:
         """Cluster rows for the table's layout before a write.
 
-        Bucketed tables: range-partition on (bucket id, input partition).
-        Each task then holds one or a few buckets and writes few files, the
-        write uses at least as many tasks as the cluster has cores, and since
-        the range bounds are sampled from the data, a bucket holding a large
-        share of the rows (one body copied many times) is split across
-        several tasks instead of landing in one.
-
-        Partitioned, unbucketed tables: the same on (partition values, input
-        partition), so each partition value is written by few tasks (few
-        files) and a hot value is still split.
+        By bucket id, or by partition values, so that each is written by few
+        tasks into few files.  The exchange is a rebalance: adaptive
+        execution merges small partitions and splits a large one (one body
+        copied many times, one hot date) over several tasks, from the sizes
+        it has written, without a sampling run beforehand.
         """
-        try:
-            parallelism = self.spark.sparkContext.defaultParallelism
-        except Exception:  # Spark Connect: fall back to the shuffle setting
-            parallelism = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
         if spec.bucket_by and spec.buckets:
             bucket = F.pmod(F.hash(F.col(spec.bucket_by)), F.lit(spec.buckets))
-            return df.repartitionByRange(max(spec.buckets, parallelism), bucket, F.spark_partition_id())
+            return df.withColumn("__bucket", bucket).hint("rebalance", "__bucket").drop("__bucket")
         if spec.partition_by:
-            cols = [F.col(c) for c in spec.partition_by]
-            return df.repartitionByRange(parallelism, *cols, F.spark_partition_id())
+            return df.hint("rebalance", *spec.partition_by)
         return df
 
     def create(self, spec: TableSpec, df: DataFrame, mode: str = "overwrite") -> None:
-        """Write ``df`` as the table (``mode='errorifexists'`` refuses an existing one)."""
-        writer = self._bucketed(spec, df).write.format("parquet").mode(mode).option("path", self.path(spec.name))
-        writer = writer.option("partitionOverwriteMode", "static")  # whatever the session says: all rows go
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
-        if spec.bucket_by and spec.buckets:
-            writer = writer.bucketBy(spec.buckets, spec.bucket_by).sortBy(spec.bucket_by)
+        """Write ``df`` as the table (``mode='errorifexists'`` refuses an existing one).
+
+        The rows go to a new folder; only when all are written does the
+        table's note name it, so ``df`` may read the table itself.
+        """
         with self._lock(spec.name):
-            writer.saveAsTable(self.fq(spec.name))
+            found = self.notes.latest("table", spec.name) if self.exists(spec) else None
+            if found and mode == "errorifexists":
+                raise AnalysisException(f"table {spec.name} exists")  # type: ignore[call-arg]
+            folder, staged = self._new_folder(spec.name), f"{spec.name}__{uuid.uuid4().hex[:12]}"
+            writer = self._bucketed(spec, df).write.format("parquet").option("path", f"{self.root}/{folder}")
+            if spec.partition_by:
+                writer = writer.partitionBy(*spec.partition_by)
+            if spec.bucket_by and spec.buckets:
+                writer = writer.bucketBy(spec.buckets, spec.bucket_by).sortBy(spec.bucket_by)
+            try:
+                writer.saveAsTable(self.fq(staged))
+                schema = self.spark.table(self.fq(staged)).schema
+            except BaseException:
+                self._delete(folder)
+                raise
+            finally:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(staged)}")
+            self._swap(spec, schema, folder, found[1] if found else None)
+
+    def _swap(self, spec: TableSpec, schema: T.StructType, folder: str, old: dict | None, keep: bool = True) -> None:
+        """From now on ``folder`` holds the table; the folder before it goes with the next swap, or now."""
+        before = old["folder"] if old else None
+        self._note(spec, schema, folder, before if keep else None)
+        if old:
+            self._delete(old["before"])
+            if not keep:
+                self._delete(before)
 
     def create_if_absent(self, spec: TableSpec, df: DataFrame) -> bool:
         """Create the table from ``df`` unless it exists; True when created."""
@@ -185,6 +252,9 @@ class Lakehouse:
         if added:
             cols = ", ".join(f"{_ident(f.name)} {f.dataType.simpleString()}" for f in added)
             self.spark.sql(f"ALTER TABLE {self.fq(spec.name)} ADD COLUMNS ({cols})")
+            note = self.notes.latest("table", spec.name)[1]
+            layout = TableSpec(spec.name, tuple(note["partition_by"]), note["bucket_by"], note["buckets"])
+            self._note(layout, self._current(spec).schema, note["folder"], note["before"])
             table = self._current(spec)
         return df.select(*[
             F.col(given[f.name.lower()].name).alias(f.name) if f.name.lower() in given
@@ -233,15 +303,22 @@ class Lakehouse:
         """Drop the table with its data: it must not come back when attached again."""
         with self._lock(name):
             self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(name)}")
-            jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(conf).delete(path, True)
+            self.notes.forget("table", name)
+            self._registered.pop(name, None)
+            self._delete(name)
+            self._delete(f"data/{name}")
 
     def truncate(self, spec: TableSpec) -> None:
-        """Empty the table, keeping its schema."""
+        """Empty the table, keeping its columns and layout: a new, empty folder; no job runs."""
         with self._lock(spec.name):
-            if self.exists(spec):
-                self.create(spec, self.spark.createDataFrame([], self._current(spec).schema))
+            if not self.exists(spec):
+                return
+            note = self.notes.latest("table", spec.name)[1]
+            folder = self._new_folder(spec.name)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+            layout = TableSpec(spec.name, tuple(note["partition_by"]), note["bucket_by"], note["buckets"])
+            self._swap(layout, T.StructType.fromJson(note["schema"]), folder, note, keep=False)
 
     def size_in_bytes(self, name: str) -> int | None:
         """Table size from catalog statistics (computed without a scan)."""
