@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import secrets
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,9 +118,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHasher:
-    """64-bit hashes of byte ranges by prefix sums of a polynomial modulo 2**64."""
+    """64-bit hashes of byte ranges: prefix sums of a polynomial modulo 2**64, XXH3 for long ranges.
 
-    BASE = 0x9E3779B97F4A7C15
+    The base is drawn anew by each driver and shipped with the functions, so
+    that nobody can prepare colliding words; results do not depend on it.
+    Long ranges have collisions for every base (Thue-Morse words from 1,024
+    bytes on), hence the other hash for them.
+    """
+
+    BASE = secrets.randbits(64) & ~7 | 5
+    LONG = 256
 
     def __init__(self):
         self.size = 0
@@ -146,8 +155,14 @@ class WordHasher:
                 h = (sums[ends[lo:hi] - a] - sums[starts[lo:hi] - a]) * self.inverse[starts[lo:hi] - a]
             out[lo:hi] = mix(h)
             lo = hi
+        self.rehash_long(data, starts, ends, out)
         return out
 
+    def rehash_long(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, out: np.ndarray) -> None:
+        """Replace the hashes of long ranges."""
+        for i in np.flatnonzero(ends - starts > self.LONG).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(np.ascontiguousarray(data[starts[i] : ends[i]]), self.BASE)
+
 
 def windows(hashes: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Index and hash of each run of ``width`` words that lies in one row."""

@@ -133,11 +133,14 @@ def choose_cutoffs(holdout: DataFrame, risk: float = RISK, error: float = ERROR)
     """stratum and one cutoff column per rule (null: none is proven).
 
     ``holdout``: statistics of good labelled documents that pass the base
-    rules.  One row per (stratum, rule) reaches the test, whatever the input.
+    rules.  A document is one trial, however often its rows repeat (by its
+    greatest rates).  One row per (stratum, rule) reaches the test, whatever the
+    input.
     """
     rules = list(RULES)
+    holdout = holdout.groupBy("stratum", "doc_id").agg(*(F.max(rate(r)).alias(r) for r in rules))
     # how many cutoffs a document's rate exceeds, counted per stratum and rule
-    level = lambda r: F.size(F.filter(F.lit(CUTOFFS), lambda c: rate(r) > c))
+    level = lambda r: F.size(F.filter(F.lit(CUTOFFS), lambda c: F.col(r) > c))
     each = F.explode(F.array(*(F.struct(F.lit(i).alias("rule"), level(r).alias("level")) for i, r in enumerate(rules))))
     counted = holdout.select("stratum", each.alias("e")).groupBy("stratum", "e.rule", "e.level").agg(F.count("*").alias("n"))
     strata = cut(counted.groupBy("stratum").agg(F.collect_list(F.struct("rule", "level", "n")).alias("cells")))

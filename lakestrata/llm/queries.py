@@ -135,7 +135,7 @@ ORACLES = {
         good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
         cuts AS (SELECT unnest(range(1, {len(quality_rules.CUTOFFS)} + 1)) AS i, unnest({quality_rules.CUTOFFS}) AS c),
         held AS (SELECT stratum, rule, i, c, count(*) AS n, count(*) FILTER (WHERE rate > c) AS k
-              FROM rates, cuts WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY ALL),
+              FROM (SELECT stratum, rule, doc_id, max(rate) AS rate FROM rates WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY ALL), cuts GROUP BY stratum, rule, i, c),
         lim AS (SELECT {quality_rules.RISK}::DOUBLE / {len(quality_rules.RULES)} AS a, {quality_rules.ERROR}::DOUBLE / greatest(1, count(DISTINCT stratum) * {len(quality_rules.RULES)}) AS d FROM held),
         test AS (SELECT held.*, k < n AND list_sum(list_transform(range(k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(a) + (n - j) * ln(1 - a)))) <= d AS ok FROM held, lim),
         chosen AS (SELECT stratum, rule, min(c) AS cutoff FROM (SELECT *, bool_and(ok) OVER (PARTITION BY stratum, rule ORDER BY i) AS so_far FROM test) WHERE so_far GROUP BY ALL),

@@ -12,6 +12,10 @@ else (any text, same text included) is removed.  No task sees the corpus:
 2.  Only segments whose gram occurs twice (in two segments, or in one) are kept.  Equal segments need no
     sorting: all their windows repeat.  Of each other group the distinct
     segments are fetched and sorted.
+    A group of more than GROUP_BYTES is filed again, by the next gram in the
+    order that its windows hold, and so on: borders leave the group, and what
+    is left of its segments becomes equal.  What is still too large after
+    LEVELS rounds (text of a short period) is counted window by window.
 3.  The suffixes of a group's segments are put in order by two-stage
     sorting: those smaller than their successors are sorted directly, the
     others are induced by bucket scans; windows whose neighbour in the suffix
@@ -19,6 +23,8 @@ else (any text, same text included) is removed.  No task sees the corpus:
 
 Texts are told apart by a 64-bit hash; equal texts are one text that repeats
 as a whole.  Null text: empty.  Texts shorter than ``span`` keep all bytes.
+Long texts go piece by piece, repeated rows are judged each by itself, empty
+tables give empty results, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,15 +37,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .base import WordHasher, cut, mix, row_chunks, stored, utf8
+from . import base
+from .base import WordHasher, cut, mix, stored, utf8
 
 SPAN, GRAM = 200, 32
 #: Documents read to find frequent grams; a gram is frequent in SAMPLE_SHARE of them.
 SAMPLE, SAMPLE_SHARE = 1_000, 0.01
-BATCH_BYTES = 4 << 20
+#: Bytes that a task sorts at once (a batch of whole groups), and of the largest group that is sorted.
+BATCH_BYTES = GROUP_BYTES = 512 << 10
+LEVELS = 6
+FETCH_BYTES = 4 << 20
 BROADCAST_KEYS = 300_000
-LONGEST = 1 << 20
+#: Bytes of text whose grams a task holds at once.
+LONGEST = 256 << 10
 DEMOTED = np.uint64(1 << 63)
+NOTHING = np.uint64((1 << 64) - 1)
+
+
+def row_chunks(off: np.ndarray):
+    return base.row_chunks(off, LONGEST)
 
 
 class Grams:
@@ -85,12 +101,19 @@ def pieces(size: int, width: int):
         yield a, min(size, a + LONGEST + width - 1)
 
 
-def segments(raw: np.ndarray, off: np.ndarray, grams: Grams, span: int):
-    """(gram, hash of the bytes, row, start, windows, whether the gram occurs in it twice) of each segment."""
+def segments(raw: np.ndarray, off: np.ndarray, grams: Grams, span: int, above: np.ndarray | None = None):
+    """(gram, hash of the bytes, row, start, windows, whether the gram occurs in it twice) of each segment.
+
+    ``above``: for each row, the grams up to this one do not count (a window
+    without any other is filed under NOTHING).
+    """
     none = np.zeros(0, np.int64)
     if len(raw) < span:
         return none.view(np.uint64), none.view(np.uint64), none, none, none, none.astype(bool)
     value, sums = grams(raw)
+    if above is not None:
+        of = np.repeat(above, np.diff(off))[: len(value)]
+        value = np.where(value <= of, NOTHING, value)
     least = sliding_least(value, span - GRAM + 1)
     row = np.searchsorted(off, np.arange(len(least)), "right") - 1 if len(off) > 2 else np.zeros(len(least), np.int64)
     valid = np.arange(span, span + len(least)) <= off[row + 1]
@@ -101,6 +124,7 @@ def segments(raw: np.ndarray, off: np.ndarray, grams: Grams, span: int):
     end = stop[np.searchsorted(stop, at)] + span  # bytes up to the last window's end
     with np.errstate(over="ignore"):
         whole = mix((sums[end] - sums[at]) * grams.hasher.inverse[at] + (end - at).astype(np.uint64))
+    grams.hasher.rehash_long(raw, at, end, whole)
     # places of grams that are the least of some window around them, and how many a segment has of its own
     width = span - GRAM + 1
     around = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
@@ -113,8 +137,8 @@ def segments(raw: np.ndarray, off: np.ndarray, grams: Grams, span: int):
 
 
 def frequent_grams(texts: DataFrame, rows: int) -> np.ndarray:
-    """Grams in SAMPLE_SHARE of the sampled texts, a balance of load only."""
-    some = texts.where(F.pmod("key", F.lit(max(1, rows // SAMPLE))) == 0)
+    """Grams in SAMPLE_SHARE of the sampled texts, each text once: a balance of load only."""
+    some = texts.where(F.pmod("key", F.lit(max(1, rows // SAMPLE))) == 0).dropDuplicates(["key"])
 
     def run(batches):
         grams = Grams(np.zeros(0, np.uint64))
@@ -241,7 +265,10 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _segment_rows(texts: DataFrame, frequent, span: int) -> DataFrame:
-    """(gram, hash, key, start, n windows, many); the copies of a text that a task has seen are left out."""
+    """(gram, least, hash, key, start, n windows, many); the copies of a text that a task has seen are left out.
+
+    ``gram`` names the group, ``least`` is its place in the order of grams.
+    """
 
     def run(batches):
         grams, seen = Grams(frequent.value), set()
@@ -260,7 +287,45 @@ def _segment_rows(texts: DataFrame, frequent, span: int) -> DataFrame:
                     keep = new[row]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in (g[keep].view(np.int64), h[keep].view(np.int64), keys[lo:hi][row[keep]], start[keep] + a, n[keep], many[keep])], ["gram", "hash", "key", "start", "n", "many"])
 
-    return texts.mapInArrow(run, "gram long, hash long, key long, start long, n long, many boolean")
+    found = texts.mapInArrow(run, "gram long, hash long, key long, start long, n long, many boolean")
+    return found.withColumn("least", F.col("gram"))
+
+
+def _filed_again(parts: DataFrame, frequent, span: int) -> DataFrame:
+    """Rows as of ``_segment_rows`` of fetched segments, by the next gram of each window."""
+
+    def run(batches):
+        grams = Grams(frequent.value)
+        for b in batches:
+            data, off = utf8(b.column("bytes"))
+            group, above, keys, begin = (b.column(c).to_numpy() for c in ("gram", "least", "key", "start"))
+            for lo, hi in row_chunks(off):
+                raw, at = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
+                g, h, row, start, n, many = segments(raw, at, grams, span, above[lo:hi].view(np.uint64))
+                with np.errstate(over="ignore"):
+                    name = mix(group[lo:hi][row].view(np.uint64) * np.uint64(0xD1342543DE82EF95) + g) | DEMOTED  # counted by joins: it may be large
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (name.view(np.int64), h.view(np.int64), keys[lo:hi][row], start + begin[lo:hi][row], n, many | (g == NOTHING), g.view(np.int64))], ["gram", "hash", "key", "start", "n", "many", "least"])
+
+    return parts.mapInArrow(run, "gram long, hash long, key long, start long, n long, many boolean, least long")
+
+
+def _counted(parts: DataFrame, span: int) -> DataFrame:
+    """(key, start, end) of windows of fetched segments that occur twice, counted by hash: for what no filing splits."""
+
+    def run(batches):
+        hasher = WordHasher()
+        for b in batches:
+            data, off = utf8(b.column("bytes"))
+            for i, (gram, key, start) in enumerate(zip(*(b.column(c).to_pylist() for c in ("gram", "key", "start")), strict=True)):
+                for a, z in pieces(int(off[i + 1] - off[i]), span):
+                    raw = data[off[i] + a : off[i] + z]
+                    first = np.arange(len(raw) - span + 1)
+                    h = hasher(raw, first, first + span).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), gram)), pa.array(h), pa.array(np.full(len(h), key)), pa.array(first + (start + a))], ["gram", "hash", "key", "start"])
+
+    windows = stored(parts.mapInArrow(run, "gram long, hash long, key long, start long"))
+    twice = windows.groupBy("gram", "hash").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return windows.join(twice, ["gram", "hash"]).select("key", "start", (F.col("start") + span).alias("end"))
 
 
 def _repeating(rows: DataFrame) -> DataFrame:
@@ -286,13 +351,13 @@ def texts_of(texts: DataFrame, wanted: DataFrame, each: DataFrame) -> DataFrame:
 
 
 def _fetch(rows: DataFrame, span: int) -> DataFrame:
-    """The bytes of wanted segments: (gram, single, key, start, bytes)."""
+    """The bytes of wanted segments: (gram, least, single, key, start, bytes)."""
 
     def run(batches):
         seen: set[int] = set()
         for b in batches:
             data, off = utf8(b.column(1))
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in NAMES]
             held = 0
             for i, (key, segs) in enumerate(zip(b.column(0).to_pylist(), b.column(2), strict=True)):
                 if key in seen:
@@ -301,27 +366,33 @@ def _fetch(rows: DataFrame, span: int) -> DataFrame:
                 raw = data[off[i] : off[i + 1]]
                 for s in segs.as_py():
                     part = raw[s["start"] : s["start"] + s["n"] + span - 1].tobytes()
-                    for c, v in zip(out, (s["gram"], s["single"], key, s["start"], part), strict=True):
+                    for c, v in zip(out, (s["gram"], s["least"], s["single"], key, s["start"], part), strict=True):
                         c.append(v)
                     held += len(part)
-                    if held > BATCH_BYTES:
+                    if held > FETCH_BYTES:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, KINDS, strict=True)], NAMES)
-                        out, held = [[], [], [], [], []], 0
+                        out, held = [[] for _ in NAMES], 0
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, KINDS, strict=True)], NAMES)
 
-    NAMES = ["gram", "single", "key", "start", "bytes"]
-    KINDS = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
-    return rows.mapInArrow(run, "gram long, single boolean, key long, start long, bytes binary")
+    NAMES = ["gram", "least", "single", "key", "start", "bytes"]
+    KINDS = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+    return rows.mapInArrow(run, "gram long, least long, single boolean, key long, start long, bytes binary")
+
+
+def _fetched(texts: DataFrame, wanted: DataFrame, span: int) -> DataFrame:
+    each = cut(wanted.groupBy("key").agg(F.collect_list(F.struct("gram", "least", "single", "start", "n")).alias("segments")))
+    return _fetch(texts_of(texts, each, each).select("key", "text", "segments"), span)
 
 
 def _sorted_repeats(parts: DataFrame, span: int) -> DataFrame:
     """(key, start, end) of repeated bytes in segments that are equal to no other."""
 
     def solve(held):
-        hits = repeated_windows([h[4] for h in held], span)
+        columns = [np.concatenate(c) for c in list(zip(*held, strict=True))[:3]]
+        hits = repeated_windows([s for h in held for s in h[3]], span)
         out = []
-        for (_, single, key, start, _), hit in zip(held, hits, strict=True):
+        for single, key, start, hit in zip(*columns, hits, strict=True):
             if single:
                 a, z = _runs(hit)
                 out += [(key, start + x, start + y + span - 1) for x, y in zip(a.tolist(), z.tolist(), strict=True)]
@@ -329,19 +400,23 @@ def _sorted_repeats(parts: DataFrame, span: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["key", "start", "end"])
 
     def run(batches):
-        held, size, group = [], 0, None
+        held, size, last = [], 0, None
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if row[0] != group and size > BATCH_BYTES:  # groups stay whole; a batch holds several
+            group = b.column(0).to_numpy()
+            begins = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else group
+            for lo, hi in zip(begins.tolist(), [*begins[1:].tolist(), len(group)], strict=True):
+                more = b.slice(lo, hi - lo)
+                if group[lo] != last and size > BATCH_BYTES:  # groups stay whole; a batch holds several
                     yield from solve(held)
                     held, size = [], 0
-                group = row[0]
-                held.append(row)
-                size += len(row[4])
+                last = group[lo]
+                single, key, start = (more.column(c).to_numpy(zero_copy_only=False) for c in (1, 2, 3))
+                held.append((single, key, start, more.column(4).to_pylist()))
+                size += sum(map(len, held[-1][3]))
         if held:
             yield from solve(held)
 
-    dealt = parts.repartition("gram").sortWithinPartitions("gram")
+    dealt = parts.select("gram", "single", "key", "start", "bytes").repartition("gram").sortWithinPartitions("gram")
     return dealt.mapInArrow(run, "key long, start long, end long")
 
 
@@ -370,15 +445,26 @@ def _apply(rows: DataFrame) -> DataFrame:
 def repeated_ranges(texts: DataFrame, rows: int, span: int) -> DataFrame:
     """(key, start, end) of bytes of each text that a repeated window covers; ranges may overlap."""
     frequent = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts, rows))
-    found = cut(_repeating(stored(_segment_rows(texts, frequent, span))))
-    equal = found.where("same > 1").select("key", "start", (F.col("start") + F.col("n") + (span - 1)).alias("end"))
-    # groups with different segments, and segments that may repeat in themselves: one of each, to be sorted
-    mixed = found.where("same < `all` OR (same = 1 AND many)")
-    one = mixed.groupBy("gram", "hash").agg(F.min(F.struct("key", "start", "n")).alias("s"), F.max("same").alias("same"))
-    one = one.select("gram", "s.key", "s.start", "s.n", (F.col("same") == 1).alias("single"))
-    each = cut(one.groupBy("key").agg(F.collect_list(F.struct("gram", "single", "start", "n")).alias("segments")))
-    parts = _fetch(texts_of(texts, each, each).select("key", "text", "segments"), span)
-    return equal.unionByName(_sorted_repeats(parts, span))
+    filed, out = _segment_rows(texts, frequent, span), None
+    for level in range(LEVELS + 1):
+        found = cut(_repeating(stored(filed)))
+        equal = found.where("same > 1").select("key", "start", (F.col("start") + F.col("n") + (span - 1)).alias("end"))
+        out = equal if out is None else out.unionByName(equal)
+        # groups with different segments, and segments that may repeat in themselves: one of each, to be sorted
+        mixed = found.where("same < `all` OR (same = 1 AND many)")
+        one = mixed.groupBy("gram", "hash").agg(F.min(F.struct("key", "start", "n", "least")).alias("s"), F.max("same").alias("same"))
+        one = cut(one.select("gram", "s.*", (F.col("same") == 1).alias("single")))
+        large = one.groupBy("gram").agg(F.sum(F.col("n") + (span - 1)).alias("bytes")).where(F.col("bytes") > GROUP_BYTES).select("gram")
+        large = cut(large)
+        left = large.count()
+        if not left:
+            return out.unionByName(_sorted_repeats(_fetched(texts, one, span), span))
+        out = out.unionByName(_sorted_repeats(_fetched(texts, one.join(large, "gram", "left_anti"), span), span))
+        again = _fetched(texts, one.join(large, "gram", "left_semi"), span)
+        if level == LEVELS:
+            return out.unionByName(_counted(again, span))
+        filed = _filed_again(again, frequent, span)
+    return out
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, keep_bytes: bool = False) -> DataFrame:

@@ -46,9 +46,9 @@ class Rule:
         return self.pattern or self.host + self.path
 
     def regex(self) -> str:
-        """A Java regular expression for the lower-cased URL (pattern) or for "host path" (host rule)."""
+        """A Java regular expression for the lower-cased URL (pattern) or for host and path (host rule: a host holds no slash)."""
         if not self.pattern:
-            return r"^([^ ]*\.)?" + re.escape(self.host) + " " + re.escape(self.path)
+            return r"^([^/]*\.)?" + re.escape(self.host) + re.escape(self.path)
         text = "".join(".*" if c == "*" else "([^a-z0-9_.%-]|$)" if c == "^" else re.escape(c) for c in self.pattern.lower())
         return "(?s)" + text
 
@@ -124,7 +124,7 @@ def judge(urls: DataFrame, rules: list[Rule], url_col: str = "url", default: str
     slot = lambda t: F.element_at(index, (F.pmod(F.crc32(t.cast("binary")), F.lit(len(slots))) + 1).cast("int"))
     fetched = F.flatten(F.transform(tokens_of(url), lambda t: F.filter(slot(t), lambda e: e["token"] == t)))
     candidates = F.concat(fetched, _entries(always))
-    site = F.concat(host_of(url), F.lit(" "), path_of(url))
+    site = F.concat(host_of(url), path_of(url))
     runs = F.filter(candidates, lambda e: F.when(e["host"], F.regexp_like(site, e["regex"])).otherwise(F.regexp_like(lower(F.coalesce(url, F.lit(""))), e["regex"])))
     # struct order picks the winner: the longest host rule; for patterns block before allow
     hosts = F.array_max(F.transform(F.filter(runs, lambda e: e["host"]), lambda e: F.struct(F.length(e["name"]).alias("n"), e["name"].alias("name"), e["action"].alias("action"))))

@@ -294,6 +294,70 @@ def test_suffix_dedup_of_long_texts_in_pieces(docs, rows, monkeypatch):
     assert bag(suffix_dedup.deduplicate(docs).collect()) == bag((r[0], *x) for r, x in zip(rows, brute_removed([r[1] for r in rows], 200)))
 
 
+@pytest.mark.parametrize("levels", [6, 1, 0])
+def test_suffix_dedup_of_large_groups(spark, monkeypatch, levels):
+    """Groups above the bound are filed again, and what no gram splits is counted window by window."""
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 600)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 600)
+    monkeypatch.setattr(suffix_dedup, "LEVELS", levels)
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcd ") for _ in range(330))
+    texts = [f"{rng.random()} {rng.random()} " * rng.randint(3, 9) + passage[rng.randint(0, 60) :][: rng.randint(210, 330)] + f" {rng.random()}" * 8 for _ in range(60)]
+    texts += ["ab" * 400, "x" * 700, "ab" * 300 + "y", passage * 3, None, "", passage[:200], passage[:199]]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    assert bag(suffix_dedup.deduplicate(d).collect()) == bag((i, *x) for i, x in enumerate(brute_removed(texts, 200)))
+
+
+def test_sorting_memory_is_bounded():
+    """What a task sorts at once needs some 100 bytes a byte."""
+    import tracemalloc
+
+    rng = random.Random(2)
+    part = bytes(rng.choice(b"abcdefgh ") for _ in range(900))
+    strings = [bytes(rng.choice(b"abcdefgh ") for _ in range(150)) + part[rng.randint(0, 300) :] for _ in range(400)]
+    tracemalloc.start()
+    suffix_dedup.repeated_windows(strings, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 130 * sum(map(len, strings))
+
+
+def colliding_words(k):
+    """A Thue-Morse word of 2^k letters and its swap: equal under any polynomial hash modulo 2^64 from k = 10 on."""
+    bits = [bin(i).count("1") % 2 for i in range(1 << k)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_hashes_of_constructed_words(spark):
+    hasher = base.WordHasher()
+    for k in range(6, 14):
+        a, b = (np.frombuffer(w.encode(), np.uint8) for w in colliding_words(k))
+        one, two = (hasher(x, np.array([0]), np.array([len(x)]))[0] for x in (a, b))
+        assert one != two, k
+    a, b = colliding_words(11)
+    texts = [" ".join([w, "plain", "words", "here"] * 9) for w in (a, b)] + [f"{a} {b} " * 4 + "one two three " * 8]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(d, width=3, percent=90).collect()}
+    assert got == {0: 0, 1: 1, 2: 2}
+    words = quality_rules.statistics(d).collect()
+    assert {r["doc_id"]: r["n_repeat_words"] for r in words} == {i: brute_counts(t)[4] for i, t in enumerate(texts)}
+
+
+def test_quality_rules_count_documents_not_rows(spark):
+    """Copies of one labelled document prove nothing."""
+    text = "some good words that follow each other without any harm " * 5
+    one = spark.createDataFrame([(1, text, "en")] * 400, "doc_id long, text string, lang string")
+    stats = quality_rules.statistics(one, stratum=F.col("lang"))
+    cutoffs = quality_rules.choose_cutoffs(stats).collect()[0]
+    assert all(cutoffs[r] is None for r in quality_rules.RULES)
+
+
+def test_url_hosts_with_blanks(spark):
+    rules = [Rule("block", host="example.org", path="/es/"), Rule("block", host="com", path="/de/")]
+    d = spark.createDataFrame([(1, "http://foo bar.example.org/es/x"), (2, "http://a b.com/de/1"), (3, "http://x/ example.org/es/"), (4, "http://com /de/")], "page_id long, url string")
+    assert {r["page_id"]: r["url_rule"] for r in url_filter.judge(d, rules).collect()} == {1: "example.org/es/", 2: "com/de/", 3: None, 4: None}
+
+
 def test_suffix_dedup_with_frequent_grams(spark, monkeypatch):
     """A passage in most texts: its grams are demoted, its windows still found."""
     rng = random.Random(8)
