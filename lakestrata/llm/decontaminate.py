@@ -1,9 +1,11 @@
 """Benchmark decontamination: BM25 over the test items with block-max WAND, then overlap.
 
-The index holds the benchmark; the training passages are the queries.  A
-passage is a window of words twice as long as the longest item, stepping by
-half, so every item that a document quotes lies whole in some passage.  An
-item's impacts are scaled by its own full score, hence a passage scores 1 on
+The index holds the benchmark; the training passages are the queries.  Items
+are indexed by length class (up to 32 words, 64, 128, ...); a class's passages
+are windows of twice its length, stepping by half, so every item that a
+document quotes lies whole in some passage, and an item is judged alike
+whatever else the benchmark holds.  Frequencies and the mean length are
+counted over all items.  An item's impacts are scaled by its own full score, hence a passage scores 1 on
 an item whose words it all has, and every item at ``threshold`` or above is
 retrieved.  Retrieval is block-max WAND: items lie in blocks, a term keeps
 its largest impact per block, and blocks whose bounds cannot reach the
@@ -17,8 +19,11 @@ words count as one shingle.
 
 Words: lower-cased runs of letters, with their marks, and digits; every other
 code point separates, typographic quotes, dashes and spaces too.  Null or
-empty texts and items match nothing.  Benchmarks above MAX_INDEX_BYTES are indexed in
-parts, and all documents are queried against each part.
+empty texts and items match nothing, repeated rows are judged each by itself, and of
+passages that match an item alike the first is returned.  Texts go piece by
+piece of about a megabyte, or one longer row.  Benchmarks above MAX_INDEX_BYTES
+are indexed in parts, one at a time, and all documents are queried against
+each part; neither matches nor scores depend on the parts.
 """
 
 from __future__ import annotations
@@ -33,13 +38,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import WordHasher, cut, row_chunks, utf8, whole_row, windows
+from .base import WordHasher, cut, row_chunks, stored, utf8, whole_row, windows
 
 BLOCK = 8
 MAX_INDEX_BYTES = 16 << 20
 K1, B = 1.2, 0.75
 WIDTH = 5
 LEAST_STEP = 32
+#: Cells of (passage, block) whose bounds are held at once.
+MAX_CELLS = 1 << 20
 BROADCAST_KEYS = 300_000
 #: Separators beyond ASCII, with the marks set on them; those of ASCII are told by their byte.
 SEPARATORS = r"(?:[^\x00-\x7F\p{L}\p{M}\p{N}]\p{M}*)+"
@@ -97,20 +104,52 @@ def split_item(text: str) -> tuple[str, str]:
     return " ".join(words[:k]), " ".join(words[k:])
 
 
-def build(items: list[tuple[object, str]]) -> Index | None:
-    words = [h for *_, h in _each([t for _, t in items])]
-    kept = [(i, w) for (i, _), w in zip(items, words, strict=True) if len(w)]
-    if not kept:
-        return None
+def step_of(n_words: int) -> int:
+    """The length class of an item: half the words of its passages."""
+    return max(LEAST_STEP, 1 << (max(1, n_words) - 1).bit_length())
+
+
+@dataclass
+class Corpus:
+    """What is counted over all items: their number, their mean words, and how many hold each term."""
+
+    n: int
+    mean: float
+    df: dict[int, int]
+
+
+def corpus_of(words: list[np.ndarray]) -> Corpus:
+    held = [w for w in words if len(w)]
     df: dict[int, int] = {}
-    for _, w in kept:
+    for w in held:
         for t in set(w.tolist()):
             df[t] = df.get(t, 0) + 1
+    return Corpus(len(held), sum(map(len, held)) / max(1, len(held)), df)
+
+
+def build_classes(items: list[tuple[object, str]], corpus: Corpus | None = None) -> list[Index]:
+    """An index for each length class of the items."""
+    words = [h for *_, h in _each([t for _, t in items])]
+    corpus = corpus or corpus_of(words)
+    classes: dict[int, list[int]] = {}
+    for k, w in enumerate(words):
+        if len(w):
+            classes.setdefault(step_of(len(w)), []).append(k)
+    return [build([items[k] for k in ks], corpus, step) for step, ks in sorted(classes.items())]
+
+
+def build(items: list[tuple[object, str]], corpus: Corpus | None = None, step: int | None = None) -> Index | None:
+    """The index of some items, for passages of twice ``step`` words (default: the class of the longest)."""
+    words = [h for *_, h in _each([t for _, t in items])]
+    corpus = corpus or corpus_of(words)
+    if not any(map(len, words)):
+        return None
+    df = corpus.df
     # blocks of like items give tight bounds: order by their commonest words, then length
     common = lambda w: sorted(set(w.tolist()), key=lambda t: (-df[t], t))[:2]
     text_of = dict(enumerate(t for _, t in items))
     order = sorted((k for k in range(len(items)) if len(words[k])), key=lambda k: (common(words[k]), len(words[k]), k))
-    n, mean = len(order), sum(len(words[k]) for k in order) / len(order)
+    n, mean = corpus.n, corpus.mean
     rows = []
     for d, k in enumerate(order):
         term, tf = np.unique(words[k], return_counts=True)
@@ -121,7 +160,7 @@ def build(items: list[tuple[object, str]]) -> Index | None:
     term, doc, impact = np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows])
     terms, start = np.unique(term, return_index=True)
     at = np.searchsorted(terms, term)
-    key = at * (n // BLOCK + 1) + doc // BLOCK
+    key = at * (len(order) // BLOCK + 1) + doc // BLOCK
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     bterm, block = at[first], doc[first] // BLOCK
     parts = [split_item(text_of[k]) for k in order]
@@ -129,7 +168,7 @@ def build(items: list[tuple[object, str]]) -> Index | None:
     return Index(
         [items[k][0] for k in order], terms, np.append(start, len(rows)), doc, impact,
         np.searchsorted(bterm, np.arange(len(terms) + 1)), block, np.maximum.reduceat(impact, first), np.append(first, len(rows)),
-        max(LEAST_STEP, max(len(words[k]) for k in order)), *found,
+        step or step_of(max(len(words[k]) for k in order)), *found,
     )
 
 
@@ -207,16 +246,22 @@ def candidates(x: Index, known: np.ndarray, rows: np.ndarray, steps: np.ndarray,
     pick = alive[at]
     passages, at, term = passages[alive], (np.cumsum(alive) - 1)[at[pick]], term[pick]
 
-    entry, of = spread(x.bstart[term], x.bstart[term + 1])
-    cell = at[of] * n_blocks + x.block[entry]
-    alive = np.bincount(cell, weights=x.bmax[entry], minlength=len(passages) * n_blocks) >= reach
-    pick = alive[cell]
-    entry, cell = entry[pick], (np.cumsum(alive) - 1)[cell[pick]]
-    cells = np.flatnonzero(alive)
-
-    posting, of = spread(x.first[entry], x.first[entry + 1])
-    score = np.bincount(cell[of] * BLOCK + x.doc[posting] % BLOCK, weights=x.impact[posting], minlength=len(cells) * BLOCK)
-    good = passages[np.unique(cells[np.flatnonzero(score >= reach) // BLOCK] // n_blocks)]
+    good = []
+    width = max(1, MAX_CELLS // n_blocks)  # so many passages at a time: blocks times passages stay in memory
+    for lo in range(0, len(passages), width):
+        mine = slice(*np.searchsorted(at, [lo, lo + width]))
+        n = min(width, len(passages) - lo)
+        entry, of = spread(x.bstart[term[mine]], x.bstart[term[mine] + 1])
+        cell = (at[mine] - lo)[of] * n_blocks + x.block[entry]
+        alive = np.bincount(cell, weights=x.bmax[entry], minlength=n * n_blocks) >= reach
+        pick = alive[cell]
+        entry, cell = entry[pick], (np.cumsum(alive) - 1)[cell[pick]]
+        cells = np.flatnonzero(alive)
+
+        posting, of = spread(x.first[entry], x.first[entry + 1])
+        score = np.bincount(cell[of] * BLOCK + x.doc[posting] % BLOCK, weights=x.impact[posting], minlength=len(cells) * BLOCK)
+        good.append(passages[lo + np.unique(cells[np.flatnonzero(score >= reach) // BLOCK] // n_blocks)])
+    good = np.concatenate(good) if good else passages
     return good // span, good % span
 
 
@@ -239,57 +284,101 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     thin = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind, item_kind = (f.schema[c].dataType.simpleString() for f, c in ((thin, "id"), (items, "item_id")))
     schema = f"`{id_col}` {kind}, item_id {item_kind}, passage long, score double, question_overlap double, answer_overlap double"
+    counted = _counted(items) if parts > 1 else None
     out = spark.createDataFrame([], schema)
     for part in range(parts):
         mine = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part)
-        index = build([(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()])
-        if index is not None:
-            out = out.unionByName(_query(thin, index, schema, threshold, overlap)) if part else _query(thin, index, schema, threshold, overlap)
+        rows = [(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()]  # about MAX_INDEX_BYTES
+        indexes = build_classes(rows, _corpus_of_part(mine, *counted) if counted else None)
+        if not indexes:
+            continue
+        found, shared = _query(thin, indexes, schema, threshold, overlap)
+        if parts == 1:
+            return found
+        out = out.unionByName(stored(found))
+        shared.unpersist()  # one part in memory at a time
     return out
 
 
+def _counted(items: DataFrame) -> tuple[DataFrame, int, float]:
+    """(how many items hold each term, number of items with a word, their mean words), counted on Spark."""
+
+    def run(batches):
+        for b in batches:
+            for *_, h in _each(b.column(0).to_pylist()):
+                if len(h):
+                    term = np.unique(h).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(np.append(np.zeros(len(term) - 1, np.int64), len(h)))], ["term", "words"])
+
+    # one row of each item bears its number of words
+    rows = stored(items.select("text").mapInArrow(run, "term long, words long"))
+    n, words = rows.where("words > 0").agg(F.count("*"), F.sum("words")).first()
+    return rows.groupBy("term").agg(F.count("*").alias("df")), n, (words or 0) / max(1, n)
+
+
+def _corpus_of_part(mine: DataFrame, counts: DataFrame, n: int, mean: float) -> Corpus:
+    """The counts over all items, of the terms that a part's items hold."""
+
+    def run(batches):
+        for b in batches:
+            for *_, h in _each(b.column(0).to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(h).view(np.int64))], ["term"])
+
+    terms = mine.select("text").mapInArrow(run, "term long").distinct()
+    found = counts.join(terms, "term").toArrow()
+    return Corpus(n, mean, dict(zip(found["term"].to_numpy().view(np.uint64).tolist(), found["df"].to_pylist(), strict=True)))
+
+
 def _share(part: tuple[int, np.ndarray], own: dict[int, np.ndarray]) -> float:
     width, wanted = part
     return float(np.isin(wanted, own[width]).mean()) if width else 1.0
 
 
-def _query(thin: DataFrame, index: Index, schema: str, threshold: float, overlap: float) -> DataFrame:
-    shared = thin.sparkSession.sparkContext.broadcast(tuple(vars(index).values()))
+def _passage_matches(x: Index, h: np.ndarray, rows: np.ndarray, place: np.ndarray, threshold: float, overlap: float):
+    """(row, position of the item, first word, score, overlaps): the best passage of each row and item that match."""
+    at = np.minimum(np.searchsorted(x.terms, h), len(x.terms) - 1)
+    hit = x.terms[at] == h
+    if not hit.any():
+        return
+    first = np.searchsorted(rows, np.arange(int(rows[-1]) + 2))
+    best: dict[tuple[int, int], tuple] = {}
+    last = np.maximum(np.diff(first) - 1, 0) // x.step
+    for row, step in zip(*map(np.ndarray.tolist, candidates(x, at[hit], rows[hit], place[hit] // x.step, last, threshold)), strict=True):
+        a = int(first[row]) + step * x.step
+        z = min(a + 2 * x.step, int(first[row + 1]))
+        terms = np.unique(at[a:z][hit[a:z]])
+        own: dict[int, np.ndarray] = {}
+        for d, score in wand(x, terms, threshold):
+            for w in {x.question[d][0], x.answer[d][0]} - own.keys():
+                own[w] = windows(h[a:z], np.zeros(z - a, np.int64), w)[1] if w else np.zeros(0, np.uint64)
+            q, r = _share(x.question[d], own), _share(x.answer[d], own)
+            if q >= overlap and r >= overlap:
+                key, new = (row, d), (min(q, r), round(score, 9), -step, q, r)
+                best[key] = max(best.get(key, new), new)
+    for (row, d), (_, score, s, q, r) in best.items():
+        yield row, d, -s * x.step, score, q, r
+
+
+def _query(thin: DataFrame, indexes: list[Index], schema: str, threshold: float, overlap: float):
+    """The matches of all rows against some indexes, in one pass, and the broadcast they need."""
+    shared = thin.sparkSession.sparkContext.broadcast([tuple(vars(x).values()) for x in indexes])
     names = [c.split()[0].strip("`") for c in schema.split(", ")]
 
     def run(batches):
-        x = Index(*shared.value)
+        indexes = [Index(*x) for x in shared.value]
         for b in batches:
             found: list[tuple] = []
             for lo, _, h, rows in tokens(b.column(1)):
                 if not len(h):
                     continue
-                at = np.minimum(np.searchsorted(x.terms, h), len(x.terms) - 1)
-                hit = x.terms[at] == h
                 place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-                if not hit.any():
-                    continue
-                first = np.searchsorted(rows, np.arange(int(rows[-1]) + 2))
-                best: dict[tuple[int, int], tuple] = {}
-                last = np.maximum(np.diff(first) - 1, 0) // x.step
-                for row, step in zip(*map(np.ndarray.tolist, candidates(x, at[hit], rows[hit], place[hit] // x.step, last, threshold)), strict=True):
-                    a = int(first[row]) + step * x.step
-                    z = min(a + 2 * x.step, int(first[row + 1]))
-                    terms = np.unique(at[a:z][hit[a:z]])
-                    own: dict[int, np.ndarray] = {}
-                    for d, score in wand(x, terms, threshold):
-                        for w in {x.question[d][0], x.answer[d][0]} - own.keys():
-                            own[w] = windows(h[a:z], np.zeros(z - a, np.int64), w)[1] if w else np.zeros(0, np.uint64)
-                        q, r = _share(x.question[d], own), _share(x.answer[d], own)
-                        if q >= overlap and r >= overlap:
-                            key, new = (lo + row, d), (min(q, r), score, -step, q, r)
-                            best[key] = max(best.get(key, new), new)
-                found += [(row, x.ids[d], -s * x.step, score, q, r) for (row, d), (_, score, s, q, r) in best.items()]
+                for x in indexes:
+                    found += [(lo + row, x.ids[d], *rest) for row, d, *rest in _passage_matches(x, h, rows, place, threshold, overlap)]
             if found:
                 rows_, ids, *rest = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows_)), pa.array(ids), *map(pa.array, rest)], names)
 
-    return thin.mapInArrow(run, schema)
+    return thin.mapInArrow(run, schema), shared
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
