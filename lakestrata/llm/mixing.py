@@ -14,7 +14,9 @@ hash gives each block's place within its shard.
 The driver handles one row per source (MAX_SOURCES, an error beyond it),
 never documents.  Sources are weighed by code-point order, null last.
 Null or empty texts have size 0 and are taken 0 times.  Repeated rows each
-count.  The same input and seed give the same mix.
+count; equal rows (same id and text) lie in one stretch of the stream, ties
+going to the smaller of their other columns' hash.  Empty tables give empty
+results.  The same input and seed give the same mix.
 """
 
 from __future__ import annotations
@@ -200,6 +202,7 @@ def _placed(docs: DataFrame, carry: list[str], weights=(3.0, 1.0, 2.0), share: f
         F.col("source").cast("string").alias("__source"),
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("__key"),
         F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("__h"),
+        F.xxhash64(F.lit(seed), *(F.col(c) for c in carry if "map<" not in docs.schema[c].dataType.simpleString())).alias("__tie"),
     )
     shared = docs.sparkSession.sparkContext.broadcast(plan(sized, weights, share, most, shards, seed, block))
     # offsets in each source's stream: sums of (source, hash slice), then inside a slice
@@ -207,7 +210,7 @@ def _placed(docs: DataFrame, carry: list[str], weights=(3.0, 1.0, 2.0), share: f
     slices = sized.groupBy("__key", "__slice").agg(F.sum("size").alias("__n"))
     before = F.sum("__n").over(W.partitionBy("__key").orderBy("__slice").rowsBetween(W.unboundedPreceding, -1))
     slices = slices.select(F.col("__key").alias("__sk"), F.col("__slice").alias("__sl"), F.coalesce(before, F.lit(0)).alias("__base"))
-    inner = F.sum("size").over(W.partitionBy("__key", "__slice").orderBy("__h", "size").rowsBetween(W.unboundedPreceding, -1))
+    inner = F.sum("size").over(W.partitionBy("__key", "__slice").orderBy("__h", "size", "__tie").rowsBetween(W.unboundedPreceding, -1))
     placed = sized.withColumn("__off", F.coalesce(inner, F.lit(0)))
     placed = placed.join(slices, (F.col("__key") == F.col("__sk")) & (F.col("__slice") == F.col("__sl")), "left")
     return placed.select(*carry, "size", "__key", (F.col("__base") + F.col("__off")).alias("__at")), shared
@@ -247,27 +250,60 @@ def taken() -> Column:
     return F.aggregate("pieces", F.lit(0).cast("long"), lambda s, p: s + p["words"])
 
 
+def shard_words() -> Column:
+    """Words of each shard that takes some: ``"0:12,5:3"``, by shard."""
+    shards = F.array_sort(F.array_distinct(F.transform("pieces", lambda p: p["shard"])))
+    words = lambda s: F.aggregate(F.filter("pieces", lambda p: p["shard"] == s), F.lit(0).cast("long"), lambda a, p: a + p["words"])
+    return F.array_join(F.transform(shards, lambda s: F.concat(s.cast("string"), F.lit(":"), words(s).cast("string"))), ",")
+
+
+#: Parts of a shard that are shuffled by a task each.
+SHARD_PARTS = 64
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` at the mix's rates, as whole documents.
+    """The rows of ``docs`` at the mix's rates, as whole documents, shard after shard.
 
     A source's documents are taken once for each epoch.  For the rest of its
     target, words are rounded to documents along the hashed order: one more
     time each document whose middle lies before the rest.  So a source's words
     miss its target by at most half of one document (and the rounding of the
     target to a word).
+
+    The splitting tree's quotas cut this stream of documents: a copy goes to
+    the shard whose blocks hold its middle, so each shard's words of a source
+    miss the quota by at most half a document at either end.  The copies of
+    a shard are shuffled locally: dealt by a hash of their place, and in its
+    order within a partition.
     """
+    dealt = dealt_documents(docs, **options)
+    return dealt.repartition("__shard", F.pmod("__place", F.lit(SHARD_PARTS))).sortWithinPartitions("__shard", "__place").select("__row.*")
+
+
+def dealt_documents(docs: DataFrame, **options) -> DataFrame:
+    """(__row, __shard, __place): a row for each copy of a document that the mix takes."""
     placed, shared = _placed(docs.select(whole_row(docs), "doc_id", "source", "text"), ["__row"], **options)
-    fields = [placed.schema["__row"], T.StructField("__times", T.LongType())]
+    copies = T.ArrayType(T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("place", T.LongType())]))
+    fields = [placed.schema["__row"], T.StructField("__copies", copies)]
 
     def run(batches):
         sources = shared.value
         for b in batches:
             size, at = b.column(1).to_numpy(), b.column(3).to_numpy()
             plans = [sources[k] for k in b.column(2).to_pylist()]
-            width, _, epochs, drawn, last = (np.array([p[i] for p in plans], np.int64) for i in range(2, 7))
+            width, blocks, epochs, drawn, last = (np.array([p[i] for p in plans], np.int64) for i in range(2, 7))
             rest = np.where(drawn > 0, (drawn - 1) * width + last, 0)
             times = np.where(size > 0, epochs + (2 * at + size <= 2 * rest), 0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(times)], ["__row", "__times"])
-
-    mixed = placed.mapInArrow(run, T.StructType(fields)).where("__times > 0")
-    return mixed.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select("__row.*")
+            row = np.repeat(np.arange(len(size)), times)
+            epoch = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            block = epoch * blocks[row] + ((at + size // 2) // np.maximum(width, 1))[row]
+            shard = np.array([np.searchsorted(plans[i][7], k, "right") for i, k in zip(row.tolist(), block.tolist(), strict=True)], np.int32)
+            with np.errstate(over="ignore"):
+                key = np.array([p[8][0] for p in plans], np.int64)[row].astype(np.uint64) + epoch.astype(np.uint64)
+                place = scramble(scramble(key) ^ at[row].astype(np.uint64)).view(np.int64)
+            structs = pa.StructArray.from_arrays([pa.array(shard), pa.array(place)], ["shard", "place"])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(times)]).astype(np.int32)), structs)
+            yield pa.RecordBatch.from_arrays([b.column(0), lists], ["__row", "__copies"])
+
+    mixed = placed.mapInArrow(run, T.StructType(fields))
+    return mixed.select("__row", F.explode("__copies").alias("__copy")).select("__row", F.col("__copy.shard").alias("__shard"), F.col("__copy.place").alias("__place"))

@@ -63,7 +63,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    return mixed.select("doc_id", "size", "source_size", "target", mixing.taken().alias("taken"))
+    return mixed.select("doc_id", "size", "source_size", "target", mixing.taken().alias("taken"), mixing.shard_words().alias("shard_words"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -294,6 +294,74 @@ def test_suffix_dedup_of_long_texts_in_pieces(docs, rows, monkeypatch):
     assert bag(suffix_dedup.deduplicate(docs).collect()) == bag((r[0], *x) for r, x in zip(rows, brute_removed([r[1] for r in rows], 200)))
 
 
+def brute_matches(docs, items, threshold=0.6, overlap=0.8, k1=1.2, b=0.75):
+    """Every passage of every document against every item: BM25 share and shingle overlaps."""
+    say = lambda t: re.findall("[a-z0-9]+", (t or "").lower())
+    held = [(i, t, say(t)) for i, t in items if say(t)]
+    df, mean = collections.Counter(w for *_, ws in held for w in set(ws)), sum(len(ws) for *_, ws in held) / len(held)
+
+    def grams(ws):
+        n = min(5, len(ws))
+        return n, {tuple(ws[i : i + n]) for i in range(len(ws) - n + 1)} if n else set()
+
+    out = {}
+    for item, text, ws in held:
+        gain = {w: math.log(1 + (len(held) - df[w] + 0.5) / (df[w] + 0.5)) * c * (k1 + 1) / (c + k1 * (1 - b + b * len(ws) / mean)) for w, c in collections.Counter(ws).items()}
+        step = max(32, 1 << (len(ws) - 1).bit_length())
+        halves = [grams(say(p)) for p in decontaminate.split_item(text)]
+        for r, (doc, t) in enumerate(docs):
+            dw = say(t)
+            for s in range(max(1, max(len(dw) - 1, 0) // step)):
+                part = dw[s * step : (s + 2) * step]
+                score = sum(gain[w] for w in set(part) & gain.keys()) / sum(gain.values())
+                if part and score >= threshold:
+                    q, a = (sum(g in {tuple(part[i : i + n]) for i in range(len(part) - n + 1)} for g in want) / len(want) if n else 1.0 for n, want in halves)
+                    if q >= overlap and a >= overlap:
+                        new = (min(q, a), round(score, 6), -s, doc, item, s * step, q, a)
+                        out[r, item] = max(out.get((r, item), new), new)
+    return collections.Counter((doc, item, at, score, round(q, 6), round(a, 6)) for _, score, _, doc, item, at, q, a in out.values())
+
+
+def benchmark_rows():
+    rng = random.Random(12)
+    vocab = [f"w{i}" for i in range(160)]
+    say = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    items = [(i, f"{say(rng.choice([4, 9, 25, 40, 90]))}? {say(rng.choice([1, 3, 8]))}.") for i in range(40)] + [(50, ""), (51, None), (52, "!?")]
+    docs = [(i, f"{say(rng.randint(0, 200))} {rng.choice(items[:40])[1] if rng.random() < 0.6 else ''} {say(rng.randint(0, 120))}") for i in range(50)]
+    for i in range(50, 80):  # damaged quotes
+        w = rng.choice(items[:40])[1].split()
+        w[rng.randrange(len(w))] = "changed"
+        docs.append((i, f"{say(rng.randint(0, 90))} {' '.join(w)} {say(30)}"))
+    q, a = items[7][1].split("? ")
+    docs += [(80, f"{q} {say(300)} {a}"), (81, f"{q} {say(9)} {a}"), (82, None), (83, ""), (84, docs[0][1]), (84, docs[0][1])]
+    return docs, items
+
+
+def found_matches(spark, docs, items, **kw):
+    d, m = spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.matches(d, m, **kw).collect()
+    return collections.Counter((r["doc_id"], r["item_id"], r["passage"], round(r["score"], 6), round(r["question_overlap"], 6), round(r["answer_overlap"], 6)) for r in rows)
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.95])
+def test_decontamination_equals_brute_force(spark, monkeypatch, threshold):
+    """The whole operator, in one index, in parts, and with few cells at a time: matches, passages and scores."""
+    docs, items = benchmark_rows()
+    want = brute_matches(docs, items, threshold)
+    assert len(want) > 40 and found_matches(spark, docs, items, threshold=threshold) == want
+    monkeypatch.setattr(decontaminate, "MAX_INDEX_BYTES", 3_000)
+    monkeypatch.setattr(decontaminate, "MAX_CELLS", 5)
+    assert found_matches(spark, docs, items, threshold=threshold) == want
+
+
+def test_an_unrelated_item_changes_no_verdict(spark):
+    docs, items = benchmark_rows()
+    other = [(99, " ".join(f"other{i}" for i in range(2_000)))]
+    pairs = lambda m: {x[:2] for x in m}
+    before, after = found_matches(spark, docs, items), found_matches(spark, docs, items + other)
+    assert pairs(before) == pairs(after) and (80, 7) not in pairs(after) and (81, 7) in pairs(after)
+
+
 @pytest.mark.parametrize("levels", [6, 1, 0])
 def test_suffix_dedup_of_large_groups(spark, monkeypatch, levels):
     """Groups above the bound are filed again, and what no gram splits is counted window by window."""
@@ -488,7 +556,19 @@ def test_mixing(docs, rows, empty):
         for e in {p["epoch"] for p in r["pieces"]}:  # pieces of an epoch do not overlap
             spans = sorted((p["first"], p["first"] + p["words"]) for p in r["pieces"] if p["epoch"] == e)
             assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and spans[0][0] >= 0 and spans[-1][1] <= r["size"]
-    assert all(abs(took[s] - goal[s]) <= 100 for s in per)
+    assert all(abs(took[s] - goal[s]) <= 0.5 + 1e-6 for s in per)
+    sized = docs.select(mixing.word_count(F.col("text")).alias("size"), F.col("source").alias("__source"))
+    plans = mixing.plan(sized, (3.0, 1.0, 2.0), 1.5, 2.0, 64, 7, 1024)
+    for s in names:  # every shard holds as many blocks of a source as the tree's quota says
+        blocks = {(p["shard"], p["epoch"], p["place"]) for r in got if r["source"] == s for p in r["pieces"]}
+        quota = np.diff([0, *plans["" if s is None else f"={s}"][7]])
+        assert collections.Counter(b[0] for b in blocks) == {k: n for k, n in enumerate(quota.tolist()) if n}
+    told = mixed.select("pieces", mixing.shard_words().alias("w")).collect()
+    for r in told:
+        by = collections.Counter()
+        for p in r["pieces"]:
+            by[p["shard"]] += p["words"]
+        assert r["w"] == ",".join(f"{k}:{by[k]}" for k in sorted(by))
     shards = collections.Counter()
     for r in got:
         for p in r["pieces"]:
@@ -518,6 +598,19 @@ def test_mixed_documents_meet_each_target(spark):
     assert all(abs(took[s] - goal[s]) <= longest[s] / 2 + 1 for s in names)
     assert max(collections.Counter(r["doc_id"] for r in out).values()) == 2
     assert bag(tuple(r) for r in mixing.mixed_documents(d.repartition(5)).collect()) == bag(tuple(r) for r in out)
+    # each shard's words of a source are the tree's quota, but for half a document at either end
+    dealt = mixing.dealt_documents(d, shards=4).select("__shard", "__place", "__row.*").collect()
+    assert bag((r["doc_id"], r["source"], r["text"]) for r in dealt) == bag(tuple(r) for r in out) and len({r["__place"] for r in dealt}) == len(dealt)
+    plans = mixing.plan(d.select(mixing.word_count(F.col("text")).alias("size"), F.col("source").alias("__source")), (3.0, 1.0, 2.0), 1.5, 2.0, 4, 7, 1024)
+    for s in names:
+        size, _, width, *_, quota, _ = plans["" if s is None else f"={s}"]
+        words = collections.Counter()
+        for r in dealt:
+            if r["source"] == s:
+                words[r["__shard"]] += len(r["text"].split())
+        assert all(abs(words[k] - n * width) <= longest[s] + 2 * width for k, n in enumerate(np.diff([0, *quota]).tolist())), s
+    shuffled = [r["__shard"] for r in mixing.dealt_documents(d, shards=4).repartition(2, "__shard").sortWithinPartitions("__shard", "__place").collect()]
+    assert len(set(shuffled)) == 4
 
 
 def test_permutation():
