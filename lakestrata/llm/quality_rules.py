@@ -134,11 +134,12 @@ def choose_cutoffs(holdout: DataFrame, risk: float = RISK, error: float = ERROR)
 
     ``holdout``: statistics of good labelled documents that pass the base
     rules.  A document is one trial, however often its rows repeat (by its
-    greatest rates).  One row per (stratum, rule) reaches the test, whatever the
+    greatest rates); without a column doc_id each row is one.  One row per (stratum, rule) reaches the test, whatever the
     input.
     """
     rules = list(RULES)
-    holdout = holdout.groupBy("stratum", "doc_id").agg(*(F.max(rate(r)).alias(r) for r in rules))
+    rates = holdout.select("stratum", *(c for c in holdout.columns if c == "doc_id"), *(rate(r).alias(r) for r in rules))
+    holdout = rates.groupBy("stratum", "doc_id").agg(*(F.max(r).alias(r) for r in rules)) if "doc_id" in rates.columns else rates
     # how many cutoffs a document's rate exceeds, counted per stratum and rule
     level = lambda r: F.size(F.filter(F.lit(CUTOFFS), lambda c: F.col(r) > c))
     each = F.explode(F.array(*(F.struct(F.lit(i).alias("rule"), level(r).alias("level")) for i, r in enumerate(rules))))
