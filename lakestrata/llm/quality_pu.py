@@ -9,10 +9,14 @@ non-negative unbiased risk
     prior * E_pos[l(f, +)] + max(0, E_unl[l(f, -)] - prior * E_pos[l(f, -)]).
 
 Features are rates of a text's surface (symbols, repeats, case, lines, word
-lengths); scoring is an expression over them.  The gradient fits use about
-``sample`` positives and as many unlabelled rows, chosen by a hash: a bounded
-sample.  All rows count in the features' means and deviations, in the tail
-masses of the prior (the sample only places the cuts) and in the scores.
+lengths); scoring is an expression over them.  A bounded sample (about
+``sample`` positives and as many unlabelled rows, chosen by a hash) only gives
+the first weights and places the prior's cuts.  All rows count in the features'
+means and deviations, in the tail masses of the prior and in the risk that is
+minimised: from the first weights on, Newton steps use gradient and curvature
+summed over all rows on Spark, shortened while the negative part of the risk
+would fall below zero.  The sums are exact (in units of 2**-30), so the
+weights do not depend on partitions.
 
 Null or empty texts have zero features and get a score too.  Repeated rows
 score alike.  Without positives every score is the prior 0.5.
@@ -34,6 +38,11 @@ from .base import WordHasher, cut, lower_ascii, mix, row_chunks, utf8, windows,
 #: Counts of a text, as columns ``q_...``.
 COUNTS = [f"q_{c}" for c in ("n_words", "n_chars", "n_symbols", "n_marks", "n_bars", "n_upper", "n_digits", "n_stops", "n_commas", "n_lines", "n_adjacent", "n_distinct", "n_repeats", "n_long", "n_short", "n_capital")]
 SAMPLE = 20_000
+#: Newton steps over all rows, halvings of each, and the unit of their sums.
+STEPS, HALVINGS, UNIT = 8, 6, 2.0**30
+DECAY = 1e-4
+#: Shrinkage of the weights in the steps over all rows.
+RIDGE = 1e-2
 
 
 @dataclass
@@ -109,7 +118,7 @@ def _risk_gradient(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) ->
     return good + bad if minus_u - prior * minus_p >= 0 else -bad
 
 
-def _train(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.03, decay: float = 1e-4) -> np.ndarray:
+def _train(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.03, decay: float = DECAY) -> np.ndarray:
     w = np.zeros(p.shape[1])
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
@@ -156,6 +165,83 @@ def tail_counts(rows: DataFrame, models: list[np.ndarray], cuts: list[np.ndarray
     return out.reshape(len(models), 2, size)
 
 
+def risk_sums(rows: DataFrame, w: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """(unlabelled, positives) x sums over all ``rows`` (x, good) at weights ``w``.
+
+    Of each: rows, softplus of the score, inputs, probability times inputs,
+    and curvature (probability times its complement times products of inputs).
+    """
+    k = len(w)
+    size = 2 + 2 * k + k * k
+
+    def run(batches):
+        out = np.zeros((2, size), np.int64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = _standard(b.column(0).flatten().to_numpy().reshape(b.num_rows, -1), mean, scale)
+            good = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for lo in range(0, len(x), 2048):
+                part = x[lo : lo + 2048]
+                z = np.clip(_scores(part, w), -30, 30)
+                sig = 1 / (1 + np.exp(-z))
+                curve = (sig * (1 - sig))[:, None] * (part[:, :, None] * part[:, None, :]).reshape(len(part), -1)
+                each = np.concatenate([np.ones((len(part), 1)), np.logaddexp(0, z)[:, None], part, sig[:, None] * part, curve], axis=1)
+                units = np.rint(each * UNIT).astype(np.int64)  # a row's share does not depend on the rows beside it
+                out[0] += units.sum(axis=0)
+                out[1] += units[good[lo : lo + 2048]].sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], ["k", "n"])
+            out[:] = 0
+
+    summed = rows.select("x", "good").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum(F.col("n").cast("decimal(20,0)")).alias("n"))
+    out = np.zeros(2 * size)
+    for r in summed.collect():  # one row for each sum
+        out[r["k"]] = float(Fraction(r["n"]) / int(UNIT))
+    return out.reshape(2, size)
+
+
+def refine(rows: DataFrame, w: np.ndarray, prior: float, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Newton steps of the risk over all rows, as long as its negative part stays above zero.
+
+    There the risk is -prior * E_pos[f] + E_unl[softplus(f)], which is convex.
+    """
+    k = len(w)
+
+    def negative(sums: np.ndarray) -> float:
+        u, p = sums
+        return u[1] / u[0] - prior * p[1] / p[0]
+
+    def risk(sums: np.ndarray, at: np.ndarray) -> float:
+        u, p = sums
+        return float(u[1] / u[0] - prior * (p[2 : 2 + k] / p[0]) @ at + RIDGE / 2 * at @ at)
+
+    sums = risk_sums(rows, w, mean, scale)
+    for _ in range(HALVINGS):
+        if negative(sums) >= 0:
+            break
+        w = w / 2  # at zero the negative part is positive
+        sums = risk_sums(rows, w, mean, scale)
+    if negative(sums) < 0:
+        return w
+    for _ in range(STEPS):
+        u, p = sums
+        slope = u[2 + k : 2 + 2 * k] / u[0] - prior * p[2 : 2 + k] / p[0] + RIDGE * w
+        curve = u[2 + 2 * k :].reshape(k, k) / u[0] + RIDGE * np.eye(k)
+        step = np.linalg.solve(curve, slope)
+        for _ in range(HALVINGS):
+            new = w - step
+            there = risk_sums(rows, new, mean, scale)
+            if negative(there) >= 0 and risk(there, new) <= risk(sums, w):
+                break
+            step = step / 2
+        else:
+            return w
+        w, sums = new, there
+        if np.abs(step).max() < 1e-4:
+            break
+    return w
+
+
 def estimate_prior(counts: np.ndarray) -> float:
     """Share of positives among the unlabelled: P(A) * prior <= U(A) for every set A of scores.
 
@@ -216,7 +302,7 @@ def fit(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample: int
         sampled = [[u_weight * _tails(_scores(u[~b], w), c), p_weight * _tails(_scores(p[~a], w), c)] for (a, b), w, c in zip(halves, models, cuts, strict=True)]
         others = tail_counts(rows, models, cuts, mean, scale, bounds) if min(bounds) < span else 0
         prior = min(map(estimate_prior, np.array(sampled) + others))
-    w = _train(p, u, prior)
+    w = refine(rows, _train(p, u, prior), prior, mean, scale)
     return Model(w[:-1].tolist(), float(w[-1]), mean.tolist(), scale.tolist(), prior)
 
 

@@ -362,6 +362,25 @@ def test_an_unrelated_item_changes_no_verdict(spark):
     assert pairs(before) == pairs(after) and (80, 7) not in pairs(after) and (81, 7) in pairs(after)
 
 
+def test_refined_weights_minimise_the_risk_over_all_rows(spark):
+    """Against plain descent on all rows in one array; the same for any partitions."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(1, 1, (300, 3)), rng.normal(-1, 1, (500, 3))])
+    good = np.arange(800) < 120
+    prior, mean, scale = 0.3, np.zeros(3), np.ones(3)
+    df = spark.createDataFrame([(r.tolist(), bool(g)) for r, g in zip(x, good)], "x array<double>, good boolean")
+    w = quality_pu.refine(df.repartition(3), np.zeros(4), prior, mean, scale)
+    one = np.concatenate([np.clip(x, -8, 8), np.ones((800, 1))], axis=1)
+    slope = one.T @ (1 / (1 + np.exp(-one @ w))) / 800 - prior * one[good].mean(axis=0) + quality_pu.RIDGE * w
+    sums = quality_pu.risk_sums(df, w, mean, scale)
+    assert np.abs(slope).max() < 1e-3 and sums[0, 0] == 800 and sums[1, 0] == 120
+    assert np.logaddexp(0, one @ w).mean() - prior * np.logaddexp(0, one[good] @ w).mean() >= 0
+    assert (quality_pu.refine(df.repartition(11), np.zeros(4), prior, mean, scale) == w).all()
+    # from weights whose negative part is below zero it steps back first
+    far = quality_pu.refine(df, np.array([40.0, 40.0, 40.0, 60.0]), prior, mean, scale)
+    assert np.logaddexp(0, one @ far).mean() - prior * np.logaddexp(0, one[good] @ far).mean() >= 0
+
+
 @pytest.mark.parametrize("levels", [6, 1, 0])
 def test_suffix_dedup_of_large_groups(spark, monkeypatch, levels):
     """Groups above the bound are filed again, and what no gram splits is counted window by window."""
