@@ -41,6 +41,7 @@ def enrich(events: DataFrame, load_ts: str | dt.datetime | Column | None = None)
     df = evaluate_once(df, {"_envelope": F.from_json(F.col("body"), BRONZE_BODY_SCHEMA)})
     parsed = F.col("_envelope")
     device_time = parsed.getField("enqueuedTime")
+    # The names of the history table's columns, spelled as there.
     added = {
         "templateId": parsed.getField("templateId"),
         "templateName": parsed.getField("templateName"),

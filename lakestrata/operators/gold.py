@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakestrata.functions.expressions import (
     LARGE_THRESHOLD,
@@ -24,6 +23,7 @@ from lakestrata.functions.expressions import (
     severity_v2,
     value_class,
 )
+from lakestrata.operators.moments import numeric_columns
 
 KEYS = ("date", "deviceid")
 
@@ -145,9 +145,7 @@ def severity(class_rows_df: DataFrame, as_of, rows_per_day: int = ROWS_PER_DAY)
 
 def means(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Mean of every numeric column that is no key, as ``avg_<column>``, per key."""
-    named = {k.lower() for k in keys}
-    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name.lower() not in named]
-    return df.groupBy(*keys).agg(*[F.avg(f"`{c}`").alias(f"avg_{c}") for c in columns])
+    return df.groupBy(*keys).agg(*[F.avg(f"`{c}`").alias(f"avg_{c}") for c in numeric_columns(df, keys)])
 
 
 def severity_means(severity_df: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Which device types occur in the data, against the known list.
 
 The known list is the device-type dictionary: configuration of bounded
-size (one row per template), so it is the broadcast side of the
-membership joins; the seen types are a distinct over the data.
+size (one row per template), which Spark broadcasts by its own size check;
+the seen types are a distinct over the data.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Upper bound on the dictionary size accepted as a broadcast side.
+# More known types than this are refused: they are configuration.
 MAX_KNOWN_TYPES = 100_000
 
 
@@ -32,9 +32,9 @@ def seen_types(messages: DataFrame, name_col: str = "templateName") -> DataFrame
 
 def known_and_seen(seen: DataFrame, known: DataFrame) -> DataFrame:
     """Known types that also occur in the data."""
-    return seen.join(F.broadcast(known), "TemplateName", "left_semi")
+    return seen.join(known, "TemplateName", "left_semi")
 
 
 def seen_not_known(seen: DataFrame, known: DataFrame) -> DataFrame:
     """Types that occur in the data but are not in the dictionary."""
-    return seen.join(F.broadcast(known), "TemplateName", "left_anti")
+    return seen.join(known, "TemplateName", "left_anti")

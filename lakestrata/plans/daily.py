@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.operators import bronze, diagnosis, gold, merge, silver
+from lakestrata.operators import bronze, diagnosis, gold, merge, moments, silver
 from lakestrata.plans.tables import Lakehouse, TableSpec
 from lakestrata.session import require
 from lakestrata.sources import eventlog
@@ -76,6 +76,10 @@ class Layout:
         """Device dates whose silver rows may have changed since gold was built."""
         return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}_pending")
 
+    def moments_spec(self, device_type: str) -> TableSpec:
+        """Moments of the daily counts' columns, a few rows per device date."""
+        return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}_moments", ("date",))
+
     def daily_counts_spec(self, device_type: str) -> TableSpec:
         return TableSpec(f"{self.gold_prefix}_{device_type.replace(' ', '')}_daily", ("date",))
 
@@ -322,6 +326,26 @@ def investigate(lh: Lakehouse, device: DeviceType, start: dt.datetime | None = N
     return lh.read(layout.investigation_spec(device.name))
 
 
+def refresh_moments(lh: Lakehouse, device: DeviceType, layout: Layout | None = None, since: dt.date | None = None) -> None:
+    """Moments of the daily counts per device date: all dates the first time, later those from ``since`` on.
+
+    Call it after :func:`build_gold`; a date without a value (NULL) is always
+    computed anew.
+    """
+    layout = layout or Layout()
+    spec, daily = layout.moments_spec(device.name), lh.read(layout.daily_counts_spec(device.name))
+    if since is not None and lh.exists(spec):
+        daily = daily.filter((F.col("date") >= F.lit(since)) | F.col("date").isNull())
+        lh.replace_partitions(spec, moments.moments(daily, ["date"]))
+    else:
+        lh.overwrite(spec, moments.moments(daily, ["date"]))
+
+
+def describe_daily(lh: Lakehouse, device: DeviceType, layout: Layout | None = None) -> DataFrame:
+    """count, mean, stddev, min, max of every numeric column of the daily counts, from the moments alone."""
+    return moments.describe(lh.read((layout or Layout()).moments_spec(device.name)))
+
+
 def gold_tables(lh: Lakehouse, devices: list[DeviceType], layout: Layout | None = None,
                 severity: bool = False) -> DataFrame:
     """All gold tables of the given types, with a ``device_type`` column."""

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import datetime as dt
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -262,7 +263,7 @@ def _log_range(spark: SparkSession, sf_dir: str) -> tuple[dt.datetime, dt.dateti
     return row["a"], row["b"]
 
 
-def _daily_runs(spark, sf_dir, severity=False, runs=1):
+def _daily_runs(spark, sf_dir, severity=False, runs=1, described=False):
     """The daily batch (bronze, silver, gold per type) into fresh tables, in windows that overlap."""
     configure(spark)
     lh = _scratch_lakehouse(spark, "daily")
@@ -274,6 +275,12 @@ def _daily_runs(spark, sf_dir, severity=False, runs=1):
         end = last if k == runs - 1 else first + step * (k + 1)
         as_of = end if k < runs - 1 else max(last, dt.datetime.fromisoformat(LOAD_TS))
         daily.run_daily(lh, read_envelope(spark, sf_dir), devices, as_of=as_of, start=begin, load_ts=LOAD_TS, layout=layout)
+        if described:
+            for d in devices:  # device times are those of the hub: a later run changes no earlier date
+                daily.refresh_moments(lh, d, layout, since=begin.date())
+    if described:
+        parts = [daily.describe_daily(lh, d, layout).withColumn("device_type", F.lit(d.name)) for d in devices]
+        return functools.reduce(DataFrame.unionByName, parts)
     return daily.gold_tables(lh, devices, layout, severity)
 
 
@@ -287,6 +294,12 @@ def q_daily_two_runs(spark, sf_dir):
     return _daily_runs(spark, sf_dir, runs=2)
 
 
+def q_daily_describe(spark, sf_dir):
+    """Summary of the daily counts' numeric columns after two runs, from moments per date."""
+    out = _daily_runs(spark, sf_dir, runs=2, described=True)
+    return out.select("device_type", "column", "count", *[F.round(c, 6).alias(c) for c in ("mean", "stddev", "min", "max")])
+
+
 def q_daily_gold_severity(spark, sf_dir):
     """The severity tables after two overlapping runs."""
     return _daily_runs(spark, sf_dir, severity=True, runs=2)
@@ -394,7 +407,7 @@ def q_template_discrepancy(spark, sf_dir):
 def q_template_declared(spark, sf_dir):
     """The last declaration of each field, which its telemetry struct is made of."""
     entries, types = _written_templates(spark, sf_dir)
-    last = templates.last_declarations(entries).join(F.broadcast(types), "file")
+    last = templates.last_declarations(entries).join(types, "file")
     return last.select(F.col("device_type").alias("Asset"), F.col("name").alias("Telemetry"), F.col("schema").alias("DataType"))
 
 
@@ -512,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "daily_gold_counts": q_daily_gold_counts,
     "daily_two_runs": q_daily_two_runs,
     "daily_gold_severity": q_daily_gold_severity,
+    "daily_describe": q_daily_describe,
     "stream_types": q_stream_types,
     "stream_types_unknown": q_stream_types_unknown,
     "stream_bronze": q_stream_bronze,
@@ -656,6 +670,12 @@ def _change_ctes() -> tuple[str, ...]:
     return log, judged, _silver_cte().replace(f"{value} AS {NEW_FIELD}", f"CASE WHEN {early} THEN NULL ELSE {value} END AS {NEW_FIELD}")
 
 
+_DAILY_COUNTS = {
+    "n_NullCount": "runninghour IS NULL", "n_NegCount": "runninghour < 0", "n_ZeroCount": "runninghour = 0", "n_LargeCount": "runninghour > 100000",
+    **{f"c_{c}": f"({_CLASS}) = '{c}'" for c in ("large", "zero", "negative", "null")},
+}
+
+
 ORACLES: dict[str, str] = {
     "bronze_binary_body": _with(_bronze_cte()) + "SELECT event_id, body, templateName, deviceId, rowhash FROM bronze",
     "severity_v0": _with(_bronze_cte(), _parsed_cte(), _silver_cte())
@@ -739,6 +759,10 @@ ORACLES: dict[str, str] = {
     + "SELECT date, deviceid, valuetype, count, severity_moy FROM sev",
     "gold_severity": _with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte()) + "SELECT * FROM sev",
     **dict.fromkeys(("daily_gold_counts", "daily_two_runs"), _per_type(_gold_prefix() + _COUNTS)),
+    "daily_describe": _per_type(_gold_prefix().rstrip()) + ",\n" + f"d AS (SELECT device_type, date, deviceid, count(*) AS TotalCount, "
+    + ", ".join(f"count(*) FILTER (WHERE {p}) AS {n}" for n, p in _DAILY_COUNTS.items()) + " FROM readings GROUP BY ALL)\n"
+    + "SELECT device_type, x.c AS \"column\", count(x.v) AS \"count\", round(avg(x.v), 6) AS mean, round(stddev_samp(x.v), 6) AS stddev, round(min(x.v)::DOUBLE, 6) AS \"min\", round(max(x.v)::DOUBLE, 6) AS \"max\" "
+    + "FROM d, LATERAL (VALUES ('TotalCount', TotalCount), " + ", ".join(f"('{n}', {n})" for n in _DAILY_COUNTS) + ") x(c, v) GROUP BY device_type, x.c",
     "daily_gold_severity": _per_type(_with(_bronze_cte(), _parsed_cte(), _silver_cte(), _severity_cte()) + "SELECT * FROM sev"),
     "gold_counts_orders": _with(_ORDERS_READINGS) + _COUNTS,
     "gold_severity_orders": _with(_ORDERS_READINGS, _severity_cte()) + "SELECT * FROM sev",

@@ -46,7 +46,7 @@ ACTIVE_DICTIONARY = {
 # A template with more fields than this is refused (its struct is built on
 # the driver).
 MAX_TEMPLATE_FIELDS = 50_000
-# The device-type dictionary is broadcast; it may not exceed this many entries.
+# The device-type dictionary is configuration; it may not exceed this many entries.
 MAX_DICTIONARY_ENTRIES = 100_000
 
 
@@ -110,7 +110,7 @@ def diagnostics(entries: DataFrame) -> DataFrame:
 def dictionary(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
     """Device type -> template file name, as a small DataFrame ``(device_type, file)``.
 
-    It is the broadcast side of :func:`flatten`, so its size is checked.
+    It is configuration: its size is checked.
     """
     if len(mapping) > MAX_DICTIONARY_ENTRIES:
         raise TemplateError(f"{len(mapping)} dictionary entries exceed the broadcast bound {MAX_DICTIONARY_ENTRIES}")
@@ -125,11 +125,12 @@ def flatten(entries: DataFrame, dictionary_df: DataFrame) -> DataFrame:
     """``(Asset, Telemetry, DataType)`` for every field of every mapped template, distinct.
 
     Entries without a schema are skipped, as for the telemetry struct.  The
-    dictionary (one row per device type) is the broadcast side.
+    dictionary has one row per device type: Spark broadcasts it by its own
+    size check.
     """
     fields = entries.filter(F.col("name").isNotNull() & F.col("schema").isNotNull())
     return (
-        fields.join(F.broadcast(dictionary_df), "file")
+        fields.join(dictionary_df, "file")
         .select(
             F.col("device_type").alias("Asset"),
             F.col("name").alias("Telemetry"),
