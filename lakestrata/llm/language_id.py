@@ -9,6 +9,9 @@ Texts are lower-cased, every run of other characters than letters becomes
 one space.  Null text, or one without a letter: ``und`` with score 0.
 Rows with a null language are not learned from.  Ties: the language first in
 code-point order.  If nothing can be learned, every prediction is ``und``.
+Very long texts are read in pieces; repeated rows count as often as they
+occur in learning and are predicted each by itself; empty tables give empty
+results; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

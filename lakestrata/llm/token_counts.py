@@ -4,12 +4,15 @@ The vocabulary becomes a trie whose nodes carry a failure link and the
 number of pieces popped when the link is taken, so a word's piece count
 is a sum along one walk: no piece is built and no character is read twice.
 Words seen in a batch are walked together, one numpy step per character
-position, and a bounded memo keeps the counts of words.
+position, and a bounded memo keeps the counts of words.  A word of more than
+LONG_WORD bytes is walked by itself, symbol by symbol, and not kept.
 
 Texts are lower-cased and cut into runs of letters, single digits and runs of
 other characters than white space; a word's last byte is its word-end symbol.
 A word that no sequence of greedy pieces covers counts as one (unknown)
-token.  Null or empty texts: zero words and tokens.
+token.  Null or empty texts: zero words and tokens.  Very long texts are read
+in pieces cut at white space; repeated rows are counted each by itself; empty
+tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ WORDS = r"[^\W\d_]+|\d|(?:[^\w\s]|_)+"
 SYMBOLS = 512  # a byte, and a byte that ends its word
 MEMO_WORDS = 300_000
 WALK_WORDS = 20_000
+LONG_WORD = 256
 
 
 @dataclass
@@ -36,6 +40,7 @@ class Automaton:
     to: np.ndarray  # the child of each key
     fail: np.ndarray  # -1: none
     popped: np.ndarray
+    plain: tuple | None = None  # the same as a dictionary and lists, made for the first long word
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -99,8 +104,39 @@ def step(a: Automaton, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return np.where(a.keys[at] == key, a.to[at], -1) if len(a.keys) else np.full(len(key), -1)
 
 
+def count_long(a: Automaton, word: bytes) -> int:
+    """Pieces of one word, symbol by symbol."""
+    if a.plain is None:
+        a.plain = dict(zip(a.keys.tolist(), a.to.tolist(), strict=True)), a.fail.tolist(), a.popped.tolist()
+    edges, fail, popped = a.plain
+    count = state = 0
+    for symbol in (*word[:-1], word[-1] + 256):
+        while (to := edges.get(state * SYMBOLS + symbol)) is None:
+            if fail[state] < 0:
+                return 1
+            count, state = count + popped[state], fail[state]
+        state = to
+    while state:
+        if fail[state] < 0:
+            return 1
+        count, state = count + popped[state], fail[state]
+    return count
+
+
 def count_words(a: Automaton, words: list[str]) -> np.ndarray:
-    """Pieces of each word; all words take a step at the same time."""
+    """Pieces of each word; all words of up to LONG_WORD bytes take a step at the same time."""
+    if any(len(w) * 4 > LONG_WORD for w in words):
+        size = np.array([len(w.encode("utf-8", "surrogatepass")) for w in words])
+        out, short = np.zeros(len(words), np.int64), np.flatnonzero(size <= LONG_WORD)
+        for i in np.flatnonzero(size > LONG_WORD).tolist():
+            out[i] = count_long(a, words[i].encode("utf-8", "surrogatepass"))
+        if len(short):
+            out[short] = _count_together(a, [words[i] for i in short.tolist()])
+        return out
+    return _count_together(a, words)
+
+
+def _count_together(a: Automaton, words: list[str]) -> np.ndarray:
     raw = [w.encode("utf-8", "surrogatepass") for w in words]
     size = np.array([len(r) for r in raw], np.int64)
     start = np.concatenate([[0], np.cumsum(size)])[:-1]
@@ -143,7 +179,8 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bytes a trie node).
     """
     pieces = load_vocabulary(vocabulary) if isinstance(vocabulary, str) else vocabulary
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(build(pieces)).values()))
+    a = build(pieces)
+    shared = docs.sparkSession.sparkContext.broadcast((a.keys, a.to, a.fail, a.popped))
     thin = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
 
     def run(batches):
@@ -164,6 +201,9 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         part = new[i : i + WALK_WORDS]
                         memo.update(zip(part, count_words(automaton, part).tolist(), strict=True))
                     m += sum(map(memo.__getitem__, found))
+                    for w in new:
+                        if len(w) > LONG_WORD:
+                            del memo[w]
                 words.append(n)
                 tokens.append(m)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], [id_col, "n_words", "n_tokens"])

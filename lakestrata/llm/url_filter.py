@@ -17,7 +17,8 @@ Of the host rules that fit, the longest name decides; failing those, a
 fitting pattern decides (block before allow, then by name); failing those,
 the default.  Null URLs, or without ``://``: empty host and path, no rule,
 the default verdict.  Empty tables give empty results; repeated rows are
-judged each by itself.
+judged each by itself; a long URL is judged whole, its candidate rules growing
+with its tokens.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ def _entries(items: list[tuple]) -> Column:
 
 
 def judge(urls: DataFrame, rules: list[Rule], url_col: str = "url", default: str = "allow") -> DataFrame:
-    """``urls`` with url_host, url_path, url_rule, url_pattern and url_verdict; all rows and columns stay."""
+    """``urls`` with url_host, url_path, url_rule, url_pattern and url_verdict; all rows stay, and all columns but those of these names, ``__hit`` and ``__pat``."""
     if len(rules) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
     slots, always = index_rules(rules, token_counts(urls, url_col, rules))

@@ -362,6 +362,23 @@ def test_an_unrelated_item_changes_no_verdict(spark):
     assert pairs(before) == pairs(after) and (80, 7) not in pairs(after) and (81, 7) in pairs(after)
 
 
+def test_long_words_are_counted_in_linear_time():
+    import time
+
+    rng = random.Random(1)
+    pieces = {tuple(rng.choice(b"abc") for _ in range(rng.randint(1, 4))) for _ in range(60)} | {(c,) for c in b"abc"}
+    pieces |= {(*p[:-1], p[-1] + 256) for p in list(pieces)}
+    a = token_counts.build(sorted(pieces))
+    words = ["".join(rng.choice("abc") for _ in range(n)) for n in (255, 256, 257, 300, 2_000, 3)]
+    short = token_counts._count_together(a, words)
+    assert token_counts.count_words(a, words).tolist() == short.tolist() == [token_counts.count_long(a, w.encode()) for w in words]
+    lost = ["abc" * 100 + "x" + "abc" * 100, "é" * 200, "a" * 300 + "\U0001f642"]
+    assert token_counts.count_words(a, lost).tolist() == [1, 1, 1]
+    begin = time.perf_counter()
+    assert token_counts.count_words(a, ["".join(rng.choice("abc") for _ in range(300_000))])[0] > 50_000
+    assert time.perf_counter() - begin < 10
+
+
 def test_refined_weights_minimise_the_risk_over_all_rows(spark):
     """Against plain descent on all rows in one array; the same for any partitions."""
     rng = np.random.default_rng(5)
