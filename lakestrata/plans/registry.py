@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.expressions import severity_v0, value_class
 from lakestrata.operators import bronze, diagnosis, gold, inventory, merge, silver
-from lakestrata.plans import daily
+from lakestrata.plans import compaction, daily
 from lakestrata.plans.tables import Lakehouse
 from lakestrata.schemas import telemetry_struct
 from lakestrata.session import configure, scratch_path
@@ -482,7 +482,18 @@ def q_stream_late_rows(spark, sf_dir):
     return late.rows_of(spark, out).groupBy("body", "verdict").agg(F.count("*").alias("rows"))
 
 
+def q_stream_compacted(spark, sf_dir):
+    """Bronze of a stream after its many small files were packed."""
+    configure(spark)
+    lh, layout = _scratch_lakehouse(spark, "compacted"), daily.Layout(buckets=SCRATCH_BUCKETS)
+    stream = _resent_log(spark, sf_dir)
+    ingest.start_bronze_ingest(stream, lh, f"{lh.root}/_checkpoint", layout, LOAD_TS).awaitTermination()
+    compaction.compact(lh, layout.bronze_spec())
+    return lh.read(layout.bronze_spec()).select("event_id", "body", "yearDevice", "monthDevice", "rowhash")
+
+
 QUERIES: dict[str, Query] = {
+    "stream_compacted": q_stream_compacted,
     "bronze_enrich": q_bronze_enrich,
     "bronze_binary_body": q_bronze_binary_body,
     "severity_v0": q_severity_v0,
@@ -779,6 +790,8 @@ ORACLES: dict[str, str] = {
     "stream_bronze": _with(_bronze_cte(), _NO_BODY)
     + "SELECT event_id, body, templateId, templateName, deviceId, yearDevice, monthDevice, rowhash, loadDatetime FROM bronze "
     "UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, loadDatetime FROM no_body, range(2)",
+    "stream_compacted": _with(_bronze_cte(), _NO_BODY)
+    + "SELECT event_id, body, yearDevice, monthDevice, rowhash FROM bronze UNION ALL SELECT event_id, NULL, NULL, NULL, NULL FROM no_body",
     "stream_bronze_dedup": _with(_bronze_cte(), _NO_BODY)
     + "SELECT DISTINCT body, templateId, templateName, deviceId, rowhash FROM bronze "
     "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL FROM no_body",
