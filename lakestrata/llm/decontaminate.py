@@ -1,7 +1,7 @@
 """Benchmark decontamination: BM25 over the test items with block-max WAND, then overlap.
 
 The index holds the benchmark; the training passages are the queries.  Items
-are indexed by length class (up to 32 words, 64, 128, ...); a class's passages
+are indexed by length class (up to 64 words, 128, 256, ...); a class's passages
 are windows of twice its length, stepping by half, so every item that a
 document quotes lies whole in some passage, and an item is judged alike
 whatever else the benchmark holds.  Frequencies and the mean length are
@@ -44,7 +44,7 @@ BLOCK = 8
 MAX_INDEX_BYTES = 16 << 20
 K1, B = 1.2, 0.75
 WIDTH = 5
-LEAST_STEP = 32
+LEAST_STEP = 64
 #: Cells of (passage, block) whose bounds are held at once.
 MAX_CELLS = 1 << 20
 BROADCAST_KEYS = 300_000

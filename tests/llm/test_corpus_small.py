@@ -307,7 +307,7 @@ def brute_matches(docs, items, threshold=0.6, overlap=0.8, k1=1.2, b=0.75):
     out = {}
     for item, text, ws in held:
         gain = {w: math.log(1 + (len(held) - df[w] + 0.5) / (df[w] + 0.5)) * c * (k1 + 1) / (c + k1 * (1 - b + b * len(ws) / mean)) for w, c in collections.Counter(ws).items()}
-        step = max(32, 1 << (len(ws) - 1).bit_length())
+        step = max(decontaminate.LEAST_STEP, 1 << (len(ws) - 1).bit_length())
         halves = [grams(say(p)) for p in decontaminate.split_item(text)]
         for r, (doc, t) in enumerate(docs):
             dw = say(t)
@@ -326,7 +326,7 @@ def benchmark_rows():
     rng = random.Random(12)
     vocab = [f"w{i}" for i in range(160)]
     say = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
-    items = [(i, f"{say(rng.choice([4, 9, 25, 40, 90]))}? {say(rng.choice([1, 3, 8]))}.") for i in range(40)] + [(50, ""), (51, None), (52, "!?")]
+    items = [(i, f"{say(rng.choice([4, 9, 25, 40, 90, 150]))}? {say(rng.choice([1, 3, 8]))}.") for i in range(40)] + [(50, ""), (51, None), (52, "!?")]
     docs = [(i, f"{say(rng.randint(0, 200))} {rng.choice(items[:40])[1] if rng.random() < 0.6 else ''} {say(rng.randint(0, 120))}") for i in range(50)]
     for i in range(50, 80):  # damaged quotes
         w = rng.choice(items[:40])[1].split()
