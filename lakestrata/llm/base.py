@@ -12,7 +12,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 20
+#: Text that a kernel works on at once; its arrays take some 100 bytes a byte.
+CHUNK_BYTES = 256 << 10
+#: Rows of an Arrow batch: texts of some kilobytes, of which each task holds several batches.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS rows; a session that asks for fewer keeps its setting."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -21,6 +31,7 @@ def shared_root(spark: SparkSession) -> str:
     A local folder is made only for a local master (tests).  A cluster
     without the setting gets an error, because executors could not share it.
     """
+    small_batches(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
@@ -46,6 +57,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
