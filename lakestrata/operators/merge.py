@@ -15,6 +15,9 @@ Plan, for a target far larger than the batch, the same at every size:
   target; the bucketed target scan is not shuffled.
 * The batch's rows are then semi-joined with the keys found new.  Both
   sides are ordinary shuffles, so adaptive execution splits a hot key.
+* Both joins are sort-merge joins by a hint.  Sizes are estimated from the
+  files and count a hash as 20 bytes, so that many millions of keys can pass
+  for a table small enough to be broadcast, through the driver's memory.
 * NULL keys bypass the joins: they can never match, and routing them
   through a shuffle would send them all to one reducer.
 """
@@ -67,10 +70,10 @@ def new_rows(source: DataFrame, target: DataFrame, key: str = "rowhash",
         target = touched_partitions(target, source, partition_cols)
     keyed = source.filter(k.isNotNull())
     existing = target.select(key).filter(k.isNotNull())
-    fresh = keyed.select(key).distinct().join(existing, on=key, how="left_anti")
+    fresh = keyed.select(key).distinct().join(existing.hint("merge"), on=key, how="left_anti")
     if dedup_source:
         keyed = keyed.dropDuplicates([key])
-    return keyed.join(fresh, on=key, how="left_semi").unionByName(source.filter(k.isNull()))
+    return keyed.join(fresh.hint("merge"), on=key, how="left_semi").unionByName(source.filter(k.isNull()))
 
 
 def insert_new_sql(spark, target_table: str, source: DataFrame, key: str = "rowhash",
@@ -88,7 +91,7 @@ def insert_new_sql(spark, target_table: str, source: DataFrame, key: str = "rowh
     try:
         columns = ", ".join(f"s.`{c}`" for c in spark.table(target_table).columns)
         spark.sql(
-            f"INSERT INTO {target_table} SELECT {columns} FROM {view} s "
+            f"INSERT INTO {target_table} SELECT /*+ MERGE(t) */ {columns} FROM {view} s "
             f"LEFT ANTI JOIN {target_table} t ON s.`{key}` = t.`{key}`"
         )
     finally:

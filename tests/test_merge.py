@@ -53,3 +53,13 @@ def test_insert_new_sql_matches_dataframe_form(spark):
                                    SCHEMA)
     merge.insert_new_sql(spark, lh.fq("t"), source)
     assert sorted(r["v"] for r in lh.read(spec).collect()) == [1, 2, 11, 12, 13]
+
+
+def test_merge_broadcasts_no_keys(spark):
+    # a hash counts 20 bytes in the estimates: the driver must not gather the keys on their strength
+    source = spark.createDataFrame([("a", 2024, 1, 1), ("c", 2024, 1, 2), (None, None, None, 3)], SCHEMA)
+    target = spark.createDataFrame([("a", 2024, 1, 0)], SCHEMA)
+    got = merge.new_rows(source, target, "rowhash", ["yearDevice", "monthDevice"])
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["v"] for r in got.collect()) == [2, 3]
+    assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
