@@ -316,6 +316,15 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 RESENT_EVERY, NO_BODY_EVERY = 7, 37
 
 
+# Rows of a file of a streamed log, about: a longer log has more files, not larger ones.
+LOG_FILE_ROWS = 250_000
+
+
+def _log_files(log: DataFrame, least: int) -> int:
+    """The number of files that a log is dealt into, a multiple of ``least``."""
+    return least * max(1, -(-log.count() // (least * LOG_FILE_ROWS)))
+
+
 def _resent_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of the whole log in two steps: the messages, then copies and messages without a body."""
     path = scratch_path(spark, "resent-log")
@@ -453,8 +462,9 @@ def q_stream_replay(spark, sf_dir):
     lh, layout, path = _scratch_lakehouse(spark, "replay"), daily.Layout(buckets=SCRATCH_BUCKETS), scratch_path(spark, "replay-log")
     env = read_envelope(spark, sf_dir)
     nothing = F.when(F.col("event_id") % NO_BODY_EVERY != 0, F.col("body"))
-    env.withColumn("body", nothing).repartition(4).write.parquet(path)
-    stream = spark.readStream.schema(env.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    files = _log_files(env, 4)
+    env.withColumn("body", nothing).repartition(files).write.parquet(path)
+    stream = spark.readStream.schema(env.schema).option("maxFilesPerTrigger", files // 2).parquet(path)
     checkpoint = f"{lh.root}/_checkpoint"
     ingest.start_bronze_ingest(stream, lh, checkpoint, layout, LOAD_TS).awaitTermination()
     ingest.forget_last_commit(spark, checkpoint)
@@ -462,7 +472,7 @@ def q_stream_replay(spark, sf_dir):
     return lh.read(layout.bronze_spec()).select("event_id", "body", "templateName", "deviceId", "rowhash")
 
 
-# The stream of late rows: how far its watermark trails, and the files that one batch reads.
+# The stream of late rows: how far its watermark trails, and the files that one batch reads at least.
 LATE_DELAY, LATE_FILES = "3 days", 4
 
 
@@ -471,13 +481,14 @@ def q_stream_late_rows(spark, sf_dir):
     configure(spark)
     path, out = scratch_path(spark, "late-log"), scratch_path(spark, "late-out")
     env = read_envelope(spark, sf_dir)
-    env.repartition(LATE_FILES).write.parquet(path)
+    files = _log_files(env, LATE_FILES)
+    env.repartition(files).write.parquet(path)
     e = F.col("event_id")
     again = env.filter(e % RESENT_EVERY == 0)
     other = env.filter(e % 5 == 1).withColumn("body", F.concat("body", F.lit(" ")))
     nothing = env.filter(e % NO_BODY_EVERY == 0).withColumn("body", F.lit(None).cast("string"))
-    again.unionByName(other).unionByName(nothing).coalesce(LATE_FILES).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(env.schema).option("maxFilesPerTrigger", LATE_FILES).parquet(path)
+    again.unionByName(other).unionByName(nothing).coalesce(files).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(env.schema).option("maxFilesPerTrigger", files).parquet(path)
     late.start_split(stream, out, f"{out}-checkpoint", LATE_DELAY).awaitTermination()
     return late.rows_of(spark, out).groupBy("body", "verdict").agg(F.count("*").alias("rows"))
 

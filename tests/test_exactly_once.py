@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.plans import daily
+from lakestrata.plans import daily, registry
 from lakestrata.plans.notes import Notes
 from lakestrata.plans.tables import Lakehouse
 from lakestrata.session import scratch_path
@@ -213,3 +213,16 @@ def test_templates_from_messages(spark):
 def test_one_json_pass_per_message(spark):
     plan = inference.observed_types(spark.createDataFrame([("x",)], "body string"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") + plan.count("parse_json") == 1
+
+
+def test_log_files_grow_in_number(spark, monkeypatch):
+    assert registry._log_files(spark.range(1000), 4) == 4
+    monkeypatch.setattr(registry, "LOG_FILE_ROWS", 100)
+    assert [registry._log_files(spark.range(n), 4) for n in (0, 400, 401, 1000)] == [4, 4, 8, 12]
+    lake = []
+    monkeypatch.setattr(registry, "_scratch_lakehouse", lambda s, n, make=registry._scratch_lakehouse: lake.append(make(s, n)) or lake[0])
+    rows = registry.q_stream_replay(spark, "/root/testdata/sf0.001")
+    assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    # twelve files of the log, two micro-batches: the first reads six files
+    source = spark.read.text(f"{lake[0].root}/_checkpoint/sources/0/0").filter(F.col("value").contains("path"))
+    assert source.count() == 6
