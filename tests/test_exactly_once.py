@@ -221,8 +221,12 @@ def test_log_files_grow_in_number(spark, monkeypatch):
     assert [registry._log_files(spark.range(n), 4) for n in (0, 400, 401, 1000)] == [4, 4, 8, 12]
     lake = []
     monkeypatch.setattr(registry, "_scratch_lakehouse", lambda s, n, make=registry._scratch_lakehouse: lake.append(make(s, n)) or lake[0])
-    rows = registry.q_stream_replay(spark, "/root/testdata/sf0.001")
-    assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    events = spark.range(1, 1001).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-10 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT)) AS ts",
+        "id % 50 AS user_id", "'click' AS event_type", "CAST(id AS DOUBLE) AS value")
+    sf_dir = scratch_path(spark, "replay-events")
+    events.write.parquet(f"{sf_dir}/events.parquet")
+    assert registry.q_stream_replay(spark, sf_dir).count() == 1000
     # twelve files of the log, two micro-batches: the first reads six files
     source = spark.read.text(f"{lake[0].root}/_checkpoint/sources/0/0").filter(F.col("value").contains("path"))
     assert source.count() == 6
